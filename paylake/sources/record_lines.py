@@ -1,0 +1,246 @@
+"""Turning text lines into CSV records, one file block at a time.
+
+Runs inside Spark tasks on Arrow batches: Spark has already cut the files into
+blocks and the blocks into lines. A line break ends a record only outside quotes,
+and whether a line starts inside quotes is the parity of the quotes before it
+(a doubled quote keeps the parity), so everything here is vector arithmetic.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+_FIELD = r'(?:[^",\r]*|"(?:[^"]|"")*")'
+_OPEN = r'"(?:[^"]|"")*'
+# A well-formed line, given where it starts: outside or inside a quoted field.
+# Stray quotes and bare carriage returns fail, and with them the parity argument.
+LINE_OK = (
+    rf"^(?:{_FIELD},)*(?:{_FIELD}\r?|{_OPEN})$",
+    rf'^(?:[^"]|"")*(?:"(?:,{_FIELD})*(?:\r?|,{_OPEN}))?$',
+)
+
+
+def runs(batches):
+    """Cut (value, file_id, start) batches where the block changes."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lines = batch.column(0)
+        files = batch.column(1).to_numpy(zero_copy_only=False)
+        starts = batch.column(2).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero((np.diff(files) != 0) | (np.diff(starts) != 0)) + 1
+        edges = [0, *cuts.tolist(), batch.num_rows]
+        for lo, hi in zip(edges, edges[1:]):
+            yield int(files[lo]), int(starts[lo]), lines.slice(lo, hi - lo)
+
+
+def odd_quotes(lines):
+    """1 where a line holds an odd number of quotes."""
+    return pc.count_substring(lines, '"').to_numpy(zero_copy_only=False).astype(np.int64) & 1
+
+
+class Fragment:
+    """Collected lines of one open record; gives up (``text`` None) past a size."""
+
+    def __init__(self, limit):
+        self.limit, self.size, self.lines = limit, 0, []
+
+    def add(self, lines):
+        if self.lines is None:
+            return
+        self.size += lines.nbytes
+        if self.size > self.limit:
+            self.lines = None
+        else:
+            self.lines.extend(lines.to_pylist())
+
+    def text(self):
+        return None if self.lines is None else "\n".join(self.lines)
+
+
+class BlockScan:
+    """Facts about one block under both guesses: it starts outside (0) or inside (1) quotes."""
+
+    def __init__(self, file_id, start, limit):
+        self.file_id, self.start, self.limit = file_id, start, limit
+        self.parity = 0
+        self.ok = [True, start > 0]
+        self.bare_cr = [False, False]
+        self.head, self.head_done = Fragment(limit), False
+        self.tail = [Fragment(limit), Fragment(limit)]
+        self.header, self.crlf = None, False
+
+    def add(self, lines):
+        odd = odd_quotes(lines)
+        before = (self.parity + np.cumsum(odd) - odd) & 1
+        if self.start == 0 and self.header is None:
+            self._find_header(lines, odd, before)
+        for guess in (0, 1):
+            if self.ok[guess]:
+                self._check(guess, lines, before ^ guess, odd)
+        if self.ok[1] and not self.head_done:
+            stop = np.flatnonzero(odd)
+            self.head_done = bool(len(stop))
+            self.head.add(lines.slice(0, int(stop[0]) + 1) if len(stop) else lines)
+        self.parity = int(before[-1] ^ odd[-1])
+
+    def _check(self, guess, lines, state, odd):
+        for side in (0, 1):
+            mask = state == side
+            if mask.all():
+                picked = lines
+            elif mask.any():
+                picked = lines.filter(pa.array(mask))
+            else:
+                continue
+            if not pc.all(pc.match_substring_regex(picked, LINE_OK[side])).as_py():
+                self.ok[guess] = False
+                return
+        ends_outside = (state ^ odd) == 0
+        ends_cr = pc.ends_with(lines, "\r").to_numpy(zero_copy_only=False)
+        self.bare_cr[guess] |= bool((ends_outside & ends_cr).any())
+        begins = np.flatnonzero(state == 0)
+        if len(begins):
+            self.tail[guess] = Fragment(self.limit)
+            lines = lines.slice(int(begins[-1]))
+        elif not self.tail[guess].size:
+            return  # still inside the record that came in with the block
+        self.tail[guess].add(lines)
+
+    def _find_header(self, lines, odd, before):
+        first = lines[0].as_py()
+        if not hasattr(self, "_early"):
+            self._early = []
+            self.crlf = first.endswith("\r")
+            if "\r" in first[:-1]:
+                self.ok[0] = False
+        for line, closed in zip(lines.to_pylist(), (before ^ odd) == 0):
+            self._early.append(line)
+            if closed:
+                record = "\n".join(self._early).removesuffix("\r")
+                self._early = []
+                if record:
+                    self.header = record
+                    return
+            if sum(map(len, self._early)) > self.limit:
+                self.ok[0] = False
+                return
+
+    def row(self):
+        tails = []
+        for guess in (0, 1):
+            is_open = (guess ^ self.parity) == 1 and (guess == 0 or self.head_done)
+            text = self.tail[guess].text() if is_open and self.ok[guess] else None
+            if is_open and text is None:
+                self.ok[guess] = False
+            tails.append(text)
+        head = self.head.text() if self.ok[1] else None
+        if head is None:
+            self.ok[1] = False
+        if self.start == 0 and self.header is None:
+            self.ok[0] = False
+        return {
+            "file_id": self.file_id,
+            "start": self.start,
+            "parity": self.parity,
+            "ok0": self.ok[0],
+            "ok1": self.ok[1],
+            "cr0": self.bare_cr[0],
+            "cr1": self.bare_cr[1],
+            "crlf": self.crlf,
+            "head_closes": self.head_done,
+            "head1": head,
+            "tail0": tails[0],
+            "tail1": tails[1],
+            "header": self.header,
+        }
+
+
+BLOCK_ARROW = pa.schema(
+    [
+        ("file_id", pa.int64()),
+        ("start", pa.int64()),
+        ("parity", pa.int32()),
+        ("ok0", pa.bool_()),
+        ("ok1", pa.bool_()),
+        ("cr0", pa.bool_()),
+        ("cr1", pa.bool_()),
+        ("crlf", pa.bool_()),
+        ("head_closes", pa.bool_()),
+        ("head1", pa.string()),
+        ("tail0", pa.string()),
+        ("tail1", pa.string()),
+        ("header", pa.string()),
+    ]
+)
+
+
+def scan_blocks(limit):
+    """Batches of lines -> one row per block."""
+
+    def run(batches):
+        block = None
+        for file_id, start, lines in runs(batches):
+            if block is None or (block.file_id, block.start) != (file_id, start):
+                if block is not None:
+                    yield pa.RecordBatch.from_pylist([block.row()], BLOCK_ARROW)
+                block = BlockScan(file_id, start, limit)
+            block.add(lines)
+        if block is not None:
+            yield pa.RecordBatch.from_pylist([block.row()], BLOCK_ARROW)
+
+    return run
+
+
+def join_lines(inside, crlf_files, split_bytes):
+    """Batches of lines -> the records that begin and end inside one block.
+
+    ``inside`` holds the (file_id, start) of blocks that start inside quotes. The
+    lines before a block's first record and after its last one are left out: the
+    block scan has them already.
+    """
+
+    def run(batches):
+        key = pending = None
+        skipping = header_due = False
+        for file_id, start, lines in runs(batches):
+            if file_id in crlf_files:
+                # Where lines end in \r\n, the CSV reader gives \n, in quotes as well.
+                lines = pc.replace_substring_regex(lines, r"\r\z", "")
+            if key != (file_id, start):
+                if start % split_bytes:
+                    raise RuntimeError("file blocks differ from those scanned before")
+                key, pending = (file_id, start), None
+                skipping, header_due = key in inside, start == 0
+            if skipping:
+                closing = np.flatnonzero(odd_quotes(lines))
+                if not len(closing):
+                    continue
+                skipping, lines = False, lines.slice(int(closing[0]) + 1)
+            if pending is not None:
+                lines = pa.concat_arrays([pending, lines])
+                pending = None
+            if not len(lines):
+                continue
+            odd = odd_quotes(lines)
+            after = np.cumsum(odd) & 1
+            begins = np.flatnonzero((after ^ odd) == 0)
+            end = len(lines)
+            if after[-1]:
+                end = int(begins[-1])
+                pending, begins = lines.slice(end), begins[:-1]
+            if len(begins) == end:
+                records = lines.slice(0, end)
+            else:
+                offsets = pa.array([*begins.tolist(), end], pa.int32())
+                groups = pa.ListArray.from_arrays(offsets, lines.slice(0, end))
+                records = pc.binary_join(groups, "\n")
+            records = records.filter(pc.greater(pc.binary_length(records), 0))
+            if header_due and len(records):
+                header_due, records = False, records.slice(1)
+            if len(records):
+                yield pa.RecordBatch.from_arrays([records.cast(pa.string())], ["record"])
+
+    return run

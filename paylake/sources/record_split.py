@@ -1,0 +1,191 @@
+"""Reading big multi-line CSV files in many tasks.
+
+Spark's own multi-line CSV reader gives each file to one task, so one file that
+holds a third of the data sets the pace for the whole job. Here such files are
+read as text blocks instead, in two passes:
+
+1. one row per block: quote parity, and the pieces of records that cross its ends;
+2. every block joins its own lines into records, knowing from the parities before
+   it whether it starts inside quotes.
+
+Records that cross block ends are put together from the rows of pass 1. A file
+whose quoting is not regular is reported back and read by Spark's reader whole,
+so results never depend on the shortcut.
+"""
+
+from __future__ import annotations
+
+import re
+from dataclasses import dataclass
+from typing import NamedTuple
+
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from paylake.sources import record_lines
+
+# Executors need not have this package installed.
+cloudpickle.register_pickle_by_value(record_lines)
+
+# Longest piece of a record, at a block end, worth carrying in a pass-1 row.
+FRAGMENT_BYTES = 1 << 20
+# Blocks starting inside quotes that fit into one task closure (16 bytes each).
+MAX_INSIDE_BLOCKS = 1_000_000
+
+_GLOB_CHARS = re.compile(r"[{}\[\]*?\\]")
+
+_BLOCK_DDL = (
+    "file_id long, start long, parity int, ok0 boolean, ok1 boolean, cr0 boolean, "
+    "cr1 boolean, crlf boolean, head_closes boolean, head1 string, tail0 string, "
+    "tail1 string, header string"
+)
+
+
+class BigFile(NamedTuple):
+    """A file by the hash of its URI, its URI as Spark reports it, and its path."""
+
+    file_id: int
+    uri: str
+    path: str
+
+
+@dataclass(frozen=True)
+class SplitRead:
+    """Records as text, the files they come from, and those files' header records."""
+
+    records: DataFrame
+    files: list[BigFile]
+    headers: list[str]
+
+
+def split_records(
+    spark: SparkSession, files: list[BigFile], split_bytes: int, work_dir: str
+) -> SplitRead | None:
+    """Records of those files that can be split; None when none can."""
+    lines = _lines(spark, files, split_bytes)
+    scan = lines.mapInArrow(record_lines.scan_blocks(FRAGMENT_BYTES), _BLOCK_DDL)
+    scan.write.mode("overwrite").parquet(work_dir)
+    blocks = _with_state(spark.read.parquet(work_dir))
+
+    # One row per big file, so the driver may hold it.
+    facts = (
+        blocks.groupBy("file_id")
+        .agg(
+            F.bool_and("ok").alias("ok"),
+            (F.sum("parity") % 2 == 0).alias("closed"),
+            F.bool_or("crlf").alias("crlf"),
+            F.bool_or("bare_cr").alias("bare_cr"),
+            F.max("header").alias("header"),
+            F.sum("inside").alias("inside_blocks"),
+        )
+        .filter("ok AND closed AND (crlf OR NOT bare_cr)")
+        .collect()
+    )
+    while sum(f.inside_blocks for f in facts) > MAX_INSIDE_BLOCKS:
+        facts.remove(max(facts, key=lambda f: f.inside_blocks))
+    if not facts:
+        return None
+    good = {f.file_id for f in facts}
+    crlf = frozenset(f.file_id for f in facts if f.crlf)
+    chosen = [f for f in files if f.file_id in good]
+    wanted = F.col("file_id").isin(sorted(good))
+    inside = frozenset(
+        (r.file_id, r.start)
+        for r in blocks.filter(wanted & (F.col("inside") == 1)).select("file_id", "start").collect()
+    )
+    within = _lines(spark, chosen, split_bytes).mapInArrow(
+        record_lines.join_lines(inside, crlf, split_bytes), "record string"
+    )
+    across = _crossing_records(blocks.filter(wanted), sorted(crlf))
+    return SplitRead(
+        records=across.union(within),
+        files=chosen,
+        headers=[f.header for f in facts],
+    )
+
+
+def _lines(spark: SparkSession, files: list[BigFile], split_bytes: int) -> DataFrame:
+    """Lines in file order inside each block. Only "\\n" breaks lines, so a "\\r" stays."""
+    return (
+        _fixed_blocks(spark, split_bytes)
+        .read.option("lineSep", "\n")
+        .text([_GLOB_CHARS.sub(r"\\\g<0>", f.path) for f in files])
+        .select(
+            "value",
+            F.xxhash64("_metadata.file_path").alias("file_id"),
+            F.col("_metadata.file_block_start").alias("start"),
+        )
+    )
+
+
+def _fixed_blocks(spark: SparkSession, split_bytes: int) -> SparkSession:
+    """A session in which block ends depend on ``split_bytes`` alone.
+
+    By default they also depend on the cores available at the moment, which may
+    change between the two passes.
+    """
+    child = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            child.conf.set(key, value)
+    child.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    child.conf.set("spark.sql.files.minPartitionNum", "1")
+    child.conf.unset("spark.sql.files.maxPartitionNum")
+    return child
+
+
+def _with_state(blocks: DataFrame) -> DataFrame:
+    """Settle each block's starting state from the parities before it in its file.
+
+    One row per block: even a file of 30 TB is a few hundred thousand rows here.
+    """
+    earlier = (
+        Window.partitionBy("file_id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    inside = F.coalesce(F.sum("parity").over(earlier), F.lit(0)) % 2
+    at = F.col("inside") == 1
+    return blocks.withColumn("inside", inside).select(
+        "file_id",
+        "start",
+        "parity",
+        "inside",
+        "crlf",
+        "header",
+        F.when(at, F.col("ok1")).otherwise(F.col("ok0")).alias("ok"),
+        F.when(at, F.col("cr1")).otherwise(F.col("cr0")).alias("bare_cr"),
+        F.when(at, F.col("head1")).alias("head"),
+        F.when(at, F.col("tail1")).otherwise(F.col("tail0")).alias("tail"),
+    )
+
+
+def _crossing_records(blocks: DataFrame, crlf_files: list[int]) -> DataFrame:
+    """Join each open tail with the heads that follow it.
+
+    The n-th tail of a file opens its n-th crossing record; a head belongs to the
+    latest tail of an earlier block.
+    """
+    so_far = Window.partitionBy("file_id").orderBy("start")
+    own = F.when(F.col("tail").isNotNull(), 1).otherwise(0)
+    pieces = F.array(
+        F.struct((F.col("tails") - own).alias("n"), "start", F.col("head").alias("text")),
+        F.struct(F.col("tails").alias("n"), "start", F.col("tail").alias("text")),
+    )
+    joined = F.array_join(
+        F.transform(F.array_sort(F.collect_list(F.struct("start", "text"))), lambda p: p["text"]),
+        "\n",
+    )
+    record = F.col("record")
+    return (
+        blocks.withColumn("tails", F.count("tail").over(so_far))
+        .select("file_id", F.explode(pieces).alias("piece"))
+        .select("file_id", "piece.*")
+        .filter(F.col("text").isNotNull())
+        .groupBy("file_id", "n")
+        .agg(joined.alias("record"))
+        .select(
+            F.when(F.col("file_id").isin(crlf_files), F.regexp_replace(record, r"\r(?=\n|\z)", ""))
+            .otherwise(record)
+            .alias("record")
+        )
+    )

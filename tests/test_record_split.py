@@ -1,0 +1,143 @@
+"""The block reader against Spark's whole-file reader, on the same files."""
+
+import random
+
+import pytest
+from pyspark.sql import types as T
+
+from paylake.sources import records as R
+from paylake.sources.record_split import split_records
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("amount", T.DoubleType()),
+        T.StructField("note", T.StringType()),
+        T.StructField("n", T.IntegerType()),
+    ]
+)
+PLAIN = ["", "a", "x y", " lead", "trail ", "ünï", "1.5", "7", "#c", "\\", "a\\n", "'"]
+QUOTED = PLAIN + ["line\nbreak", "\n", "a\r\nb", 'say ""hi""', '""', ",", ",\n,", '"",""\n""', "\n\n\n", "tail\n"]
+
+
+def make_csv(rng, rows, newline, quote_all=False, final_newline=True, blank_lines=True):
+    out = ['"id",amount,"no\nte",n' if rng.random() < 0.3 else "id,amount,note,n"]
+    for i in range(rows):
+        if blank_lines and rng.random() < 0.03:
+            out.append("")
+        fields = [str(i), rng.choice(["1.25", "$9", "NaN", "", "-3"])]
+        long = rng.choice(QUOTED) * rng.choice([1, 1, 1, 9])
+        fields.append(f'"{long}"' if rng.random() < 0.6 else rng.choice(PLAIN))
+        fields.append(rng.choice(["1", "x", "", '"4"']))
+        if rng.random() < 0.05:
+            fields = fields[: rng.randint(1, 3)]
+        if rng.random() < 0.05:
+            fields.append('"extra\nfield"')
+        if quote_all:
+            fields = [f if f.startswith('"') else f'"{f}"' for f in fields]
+        out.append(",".join(fields))
+    return newline.join(out) + (newline if final_newline else "")
+
+
+def as_bag(df):
+    return sorted(map(repr, df.collect()))
+
+
+def write(path, text, bom=False):
+    path.write_bytes((b"\xef\xbb\xbf" if bom else b"") + text.encode())
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_same_rows_as_whole_file_reader(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    for k in range(4):
+        text = make_csv(
+            rng,
+            rng.choice([40, 200]),
+            rng.choice(["\n", "\r\n"]),
+            quote_all=rng.random() < 0.4,
+            final_newline=rng.random() < 0.7,
+        )
+        write(tmp_path / f"f{k}.csv", text, bom=rng.random() < 0.3)
+    path, size = str(tmp_path), rng.choice([64, 257, 1000])
+    want = R.read_records(spark, path, SCHEMA, split_above=None)
+    got = R.read_records(spark, path, SCHEMA, split_bytes=size, split_above=size)
+    assert got.columns == want.columns
+    assert as_bag(got) == as_bag(want)
+
+
+def _files(spark, path):
+    return R._files_above(spark, str(path), 0)
+
+
+def test_regular_files_are_really_split(spark, tmp_path):
+    rng = random.Random(99)
+    write(tmp_path / "a.csv", make_csv(rng, 300, "\n"))
+    write(tmp_path / "b 100%[1].csv", make_csv(rng, 300, "\r\n", quote_all=True))
+    split = split_records(spark, _files(spark, tmp_path), 200, str(tmp_path / "_w"))
+    assert len(split.files) == 2
+    assert split.records.rdd.getNumPartitions() > 20
+    got = R.read_records(spark, str(tmp_path), SCHEMA, split_bytes=200, split_above=200)
+    want = R.read_records(spark, str(tmp_path), SCHEMA, split_above=None)
+    assert as_bag(got) == as_bag(want)
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        '5,1.0,a 6" pipe,1',
+        '5,1.0,"open to the end of the file,1',
+        '5,1.0,"closed" late,1',
+        '5,1.0, "blank first",1',
+        "5,1.0,bare\rreturn,1",
+        "5,1.0,x,1\r",
+    ],
+)
+def test_irregular_file_goes_to_whole_file_reader(spark, tmp_path, line):
+    rng = random.Random(5)
+    body = make_csv(rng, 60, "\n", final_newline=False).split("\n")
+    write(tmp_path / "bad.csv", "\n".join(["id,amount,note,n", "1,2,a,3", line, "9,2,b,3"] * 30))
+    write(tmp_path / "good.csv", "\n".join(body))
+    files = _files(spark, tmp_path)
+    split = split_records(spark, files, 100, str(tmp_path / "_w"))
+    assert [f.path.rsplit("/", 1)[1] for f in split.files] == ["good.csv"]
+    want = R.read_records(spark, str(tmp_path), SCHEMA, split_above=None)
+    got = R.read_records(spark, str(tmp_path), SCHEMA, split_bytes=100, split_above=100)
+    assert as_bag(got) == as_bag(want)
+
+
+def test_record_over_many_blocks(spark, tmp_path):
+    note = "\n".join(f"line {i}" for i in range(400))
+    text = "id,amount,note,n\n" + "".join(f'{i},1.5,"{note}",2\n{i},2,b,3\n' for i in range(4))
+    write(tmp_path / "a.csv", text)
+    assert split_records(spark, _files(spark, tmp_path), 300, str(tmp_path / "_w"))
+    got = R.read_records(spark, str(tmp_path), SCHEMA, split_bytes=300, split_above=300)
+    want = R.read_records(spark, str(tmp_path), SCHEMA, split_above=None)
+    assert as_bag(got) == as_bag(want)
+    assert got.count() == 8
+
+
+def test_long_fragment_goes_to_whole_file_reader(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("paylake.sources.record_split.FRAGMENT_BYTES", 100)
+    note = "\n".join(f"line {i}" for i in range(400))
+    write(tmp_path / "a.csv", f'id,amount,note,n\n1,1.5,"{note}",2\n2,2,b,3\n')
+    assert split_records(spark, _files(spark, tmp_path), 300, str(tmp_path / "_w")) is None
+    got = R.read_records(spark, str(tmp_path), SCHEMA, split_bytes=300, split_above=300)
+    assert got.count() == 2
+
+
+def test_small_files_keep_sparks_reader(spark, tmp_path):
+    write(tmp_path / "a.csv", make_csv(random.Random(1), 50, "\n"))
+    plan = R.read_records(spark, str(tmp_path), SCHEMA)._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan and "from_csv" not in plan
+
+
+def test_strict_header_in_both_paths(spark, tmp_path):
+    write(tmp_path / "a.csv", "id,amount,other,n\n" + "1,2,a,3\n" * 50)
+    with pytest.raises(R.HeaderMismatch):
+        R.read_records(spark, str(tmp_path), SCHEMA, strict_header=True, split_bytes=64, split_above=64)
+    with pytest.raises(Exception, match="(?i)header does not conform"):
+        R.read_records(spark, str(tmp_path), SCHEMA, strict_header=True).collect()
+    write(tmp_path / "a.csv", "ID,amount,note,n\n" + "1,2,a,3\n" * 50)
+    got = R.read_records(spark, str(tmp_path), SCHEMA, strict_header=True, split_bytes=64, split_above=64)
+    assert got.count() == 50
