@@ -1,4 +1,4 @@
-"""Quality counts per layer, in one pass."""
+"""Quality counts per layer, each in one pass, and the gate that uses them."""
 
 from __future__ import annotations
 
@@ -8,14 +8,12 @@ from pyspark.sql import functions as F
 from paylake.functions.scalars import safe_cast_numeric, safe_parse_date
 from paylake.schema import KEY
 
-METRICS = ("row_count", "missing_key", "bad_date", "bad_amount")
-
 
 class QualityError(RuntimeError):
     """A layer has too many unusable rows."""
 
 
-def quality_metrics(df: DataFrame) -> DataFrame:
+def silver_quality(df: DataFrame) -> DataFrame:
     """Rows, missing keys, unparseable dates and uncastable amounts of silver-shaped rows."""
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -25,13 +23,21 @@ def quality_metrics(df: DataFrame) -> DataFrame:
     )
 
 
+def gold_quality(df: DataFrame) -> DataFrame:
+    """The same counts of gold rows, whose date and amount are typed; all but the first are 0."""
+    return df.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(F.col(KEY).isNull()).alias("missing_key"),
+        F.count_if(F.col("payment_date").isNull()).alias("bad_date"),
+        F.count_if(F.col("payment_amount_usd").isNull()).alias("bad_amount"),
+    )
+
+
 def require_quality(metrics: dict[str, int], max_bad_share: float) -> None:
-    """Raise when any failure count exceeds its share of the rows."""
+    """Raise when any count of bad rows exceeds its allowed share."""
     rows = metrics["row_count"]
     over = {
-        name: metrics[name]
-        for name in METRICS[1:]
-        if metrics.get(name, 0) > max_bad_share * rows
+        name: n for name, n in metrics.items() if name != "row_count" and n > max_bad_share * rows
     }
     if over:
         raise QualityError(f"over {max_bad_share:.2%} of {rows} rows unusable: {over}")
