@@ -20,6 +20,9 @@ LINE_OK = (
     rf"^(?:{_FIELD},)*(?:{_FIELD}\r?|{_OPEN})$",
     rf'^(?:[^"]|"")*(?:"(?:,{_FIELD})*(?:\r?|,{_OPEN}))?$',
 )
+# Lines a line-by-line CSV reader treats otherwise: a carriage return inside, or
+# nothing but blanks (such a reader skips them).
+_UNLIKE_RECORD = r"\r[^\n]|^[\x00-\x0c\x0e-\x20][\x00-\x20]*$"
 
 
 def runs(batches):
@@ -66,6 +69,7 @@ class BlockScan:
     def __init__(self, file_id, start, limit):
         self.file_id, self.start, self.limit = file_id, start, limit
         self.parity = 0
+        self.single = True  # every line is a record, or empty
         self.ok = [True, start > 0]
         self.bare_cr = [False, False]
         self.head, self.head_done = Fragment(limit), False
@@ -75,6 +79,10 @@ class BlockScan:
     def add(self, lines):
         odd = odd_quotes(lines)
         before = (self.parity + np.cumsum(odd) - odd) & 1
+        if self.single:
+            self.single = not odd.any() and not pc.any(
+                pc.match_substring_regex(lines, _UNLIKE_RECORD)
+            ).as_py()
         if self.start == 0 and self.header is None:
             self._find_header(lines, odd, before)
         for guess in (0, 1):
@@ -145,6 +153,7 @@ class BlockScan:
             "file_id": self.file_id,
             "start": self.start,
             "parity": self.parity,
+            "single": self.single,
             "ok0": self.ok[0],
             "ok1": self.ok[1],
             "cr0": self.bare_cr[0],
@@ -163,6 +172,7 @@ BLOCK_ARROW = pa.schema(
         ("file_id", pa.int64()),
         ("start", pa.int64()),
         ("parity", pa.int32()),
+        ("single", pa.bool_()),
         ("ok0", pa.bool_()),
         ("ok1", pa.bool_()),
         ("cr0", pa.bool_()),

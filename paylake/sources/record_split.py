@@ -4,8 +4,9 @@ Spark's own multi-line CSV reader gives each file to one task, so one file that
 holds a third of the data sets the pace for the whole job. Here such files are
 read as text blocks instead, in two passes:
 
-1. one row per block: quote parity, and the pieces of records that cross its ends;
-2. every block joins its own lines into records, knowing from the parities before
+1. one row per block: quote parity, and the pieces of records that cross its ends.
+   A file in which no record crosses a line goes to Spark's line-based CSV reader;
+2. for the others, every block joins its own lines into records, knowing from the parities before
    it whether it starts inside quotes.
 
 Records that cross block ends are put together from the rows of pass 1. A file
@@ -36,7 +37,7 @@ MAX_INSIDE_BLOCKS = 1_000_000
 _GLOB_CHARS = re.compile(r"[{}\[\]*?\\]")
 
 _BLOCK_DDL = (
-    "file_id long, start long, parity int, ok0 boolean, ok1 boolean, cr0 boolean, "
+    "file_id long, start long, parity int, single boolean, ok0 boolean, ok1 boolean, cr0 boolean, "
     "cr1 boolean, crlf boolean, head_closes boolean, head1 string, tail0 string, "
     "tail1 string, header string"
 )
@@ -49,15 +50,29 @@ class BigFile(NamedTuple):
     uri: str
     path: str
 
+    @property
+    def literal_path(self) -> str:
+        """The path with no character left to wildcard matching."""
+        return _GLOB_CHARS.sub(r"\\\g<0>", self.path)
+
 
 @dataclass(frozen=True)
 class SplitRead:
-    """Records as text, the files they come from, and those files' header records."""
+    """What the block scan found in big files of regular form.
+
+    ``single_line`` files have one record per line, so Spark's line-based CSV reader
+    splits them by itself. ``multi_line`` files are joined into ``records`` (text).
+    """
 
-    records: DataFrame
-    files: list[BigFile]
+    single_line: list[BigFile]
+    multi_line: list[BigFile]
+    records: DataFrame | None
     headers: list[str]
 
+    @property
+    def files(self) -> list[BigFile]:
+        return self.single_line + self.multi_line
+
 
 def split_records(
     spark: SparkSession, files: list[BigFile], split_bytes: int, work_dir: str
@@ -74,6 +89,7 @@ def split_records(
         .agg(
             F.bool_and("ok").alias("ok"),
             (F.sum("parity") % 2 == 0).alias("closed"),
+            F.bool_and("single").alias("single"),
             F.bool_or("crlf").alias("crlf"),
             F.bool_or("bare_cr").alias("bare_cr"),
             F.max("header").alias("header"),
@@ -86,23 +102,34 @@ def split_records(
         facts.remove(max(facts, key=lambda f: f.inside_blocks))
     if not facts:
         return None
-    good = {f.file_id for f in facts}
+    single = {f.file_id for f in facts if f.single}
+    multi = {f.file_id for f in facts if not f.single}
     crlf = frozenset(f.file_id for f in facts if f.crlf)
-    chosen = [f for f in files if f.file_id in good]
-    wanted = F.col("file_id").isin(sorted(good))
+    multi_line = [f for f in files if f.file_id in multi]
+    return SplitRead(
+        single_line=[f for f in files if f.file_id in single],
+        multi_line=multi_line,
+        records=_records(spark, multi_line, blocks, crlf, split_bytes) if multi else None,
+        headers=[f.header for f in facts],
+    )
+
+
+def _records(
+    spark: SparkSession,
+    files: list[BigFile],
+    blocks: DataFrame,
+    crlf: frozenset[int],
+    split_bytes: int,
+) -> DataFrame:
+    blocks = blocks.filter(F.col("file_id").isin([f.file_id for f in files]))
     inside = frozenset(
         (r.file_id, r.start)
-        for r in blocks.filter(wanted & (F.col("inside") == 1)).select("file_id", "start").collect()
+        for r in blocks.filter("inside = 1").select("file_id", "start").collect()
     )
-    within = _lines(spark, chosen, split_bytes).mapInArrow(
+    within = _lines(spark, files, split_bytes).mapInArrow(
         record_lines.join_lines(inside, crlf, split_bytes), "record string"
     )
-    across = _crossing_records(blocks.filter(wanted), sorted(crlf))
-    return SplitRead(
-        records=across.union(within),
-        files=chosen,
-        headers=[f.header for f in facts],
-    )
+    return _crossing_records(blocks, sorted(crlf)).union(within)
 
 
 def _lines(spark: SparkSession, files: list[BigFile], split_bytes: int) -> DataFrame:
@@ -110,7 +137,7 @@ def _lines(spark: SparkSession, files: list[BigFile], split_bytes: int) -> DataF
     return (
         _fixed_blocks(spark, split_bytes)
         .read.option("lineSep", "\n")
-        .text([_GLOB_CHARS.sub(r"\\\g<0>", f.path) for f in files])
+        .text([f.literal_path for f in files])
         .select(
             "value",
             F.xxhash64("_metadata.file_path").alias("file_id"),
@@ -138,18 +165,29 @@ def _fixed_blocks(spark: SparkSession, split_bytes: int) -> SparkSession:
 def _with_state(blocks: DataFrame) -> DataFrame:
     """Settle each block's starting state from the parities before it in its file.
 
-    One row per block: even a file of 30 TB is a few hundred thousand rows here.
+    ``piece`` numbers what a block leaves open or receives: its tail opens the
+    file's ``tails``-th crossing record, its head belongs to the one before. Only
+    numbers pass the windows, one row per block: even a file of 30 TB is a few
+    hundred thousand of them. The texts are joined back afterwards.
     """
-    earlier = (
-        Window.partitionBy("file_id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    inside = F.coalesce(F.sum("parity").over(earlier), F.lit(0)) % 2
+    key = ["file_id", "start"]
+    so_far = Window.partitionBy("file_id").orderBy("start")
+    earlier = so_far.rowsBetween(Window.unboundedPreceding, -1)
     at = F.col("inside") == 1
-    return blocks.withColumn("inside", inside).select(
-        "file_id",
-        "start",
+    has_tail = F.when(at, F.col("tail1").isNotNull()).otherwise(F.col("tail0").isNotNull())
+    state = (
+        blocks.withColumn(
+            "inside", F.coalesce(F.sum("parity").over(earlier), F.lit(0)) % 2
+        )
+        .withColumn("has_tail", has_tail)
+        .select(*key, "inside", F.count_if("has_tail").over(so_far).alias("tails"))
+    )
+    return blocks.join(state, key).select(
+        *key,
         "parity",
+        "single",
         "inside",
+        "tails",
         "crlf",
         "header",
         F.when(at, F.col("ok1")).otherwise(F.col("ok0")).alias("ok"),
@@ -160,12 +198,7 @@ def _with_state(blocks: DataFrame) -> DataFrame:
 
 
 def _crossing_records(blocks: DataFrame, crlf_files: list[int]) -> DataFrame:
-    """Join each open tail with the heads that follow it.
-
-    The n-th tail of a file opens its n-th crossing record; a head belongs to the
-    latest tail of an earlier block.
-    """
-    so_far = Window.partitionBy("file_id").orderBy("start")
+    """Join each open tail with the heads that follow it."""
     own = F.when(F.col("tail").isNotNull(), 1).otherwise(0)
     pieces = F.array(
         F.struct((F.col("tails") - own).alias("n"), "start", F.col("head").alias("text")),
@@ -177,8 +210,7 @@ def _crossing_records(blocks: DataFrame, crlf_files: list[int]) -> DataFrame:
     )
     record = F.col("record")
     return (
-        blocks.withColumn("tails", F.count("tail").over(so_far))
-        .select("file_id", F.explode(pieces).alias("piece"))
+        blocks.select("file_id", F.explode(pieces).alias("piece"))
         .select("file_id", "piece.*")
         .filter(F.col("text").isNotNull())
         .groupBy("file_id", "n")

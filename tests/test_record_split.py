@@ -106,6 +106,37 @@ def test_irregular_file_goes_to_whole_file_reader(spark, tmp_path, line):
     assert as_bag(got) == as_bag(want)
 
 
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_single_line_files_keep_sparks_line_reader(spark, tmp_path, newline):
+    rows = [f'{i},1.5,"a ""b"", c",{i}' if i % 3 else f"{i},$5,  ,x" for i in range(300)]
+    rows[10:10] = ["", ""]
+    write(tmp_path / "a.csv", newline.join(["id,amount,note,n", *rows]), bom=True)
+    split = split_records(spark, _files(spark, tmp_path), 200, str(tmp_path / "_w"))
+    assert len(split.single_line) == 1 and split.records is None
+    got = R.read_records(spark, str(tmp_path), SCHEMA, split_bytes=200, split_above=200)
+    want = R.read_records(spark, str(tmp_path), SCHEMA, split_above=None)
+    assert as_bag(got) == as_bag(want)
+    assert "MapInArrow" not in got._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("line", ["   ", '5,1,"a\rb",2', " \t"])
+def test_lines_a_line_reader_reads_otherwise(spark, tmp_path, line):
+    write(tmp_path / "a.csv", "\n".join(["id,amount,note,n", *["1,2,x,3", line] * 60]))
+    split = split_records(spark, _files(spark, tmp_path), 200, str(tmp_path / "_w"))
+    assert len(split.multi_line) == 1
+    got = R.read_records(spark, str(tmp_path), SCHEMA, split_bytes=200, split_above=200)
+    want = R.read_records(spark, str(tmp_path), SCHEMA, split_above=None)
+    assert as_bag(got) == as_bag(want)
+
+
+def test_split_files_are_not_listed_twice(spark, tmp_path):
+    write(tmp_path / "a.csv", make_csv(random.Random(1), 200, "\n"))
+    whole = R.read_records(spark, str(tmp_path), SCHEMA, split_above=None)
+    uri = _files(spark, tmp_path)[0].uri
+    rest = whole.filter(~whole["_metadata.file_path"].isin([uri]))
+    assert rest.rdd.getNumPartitions() == 0
+
+
 def test_record_over_many_blocks(spark, tmp_path):
     note = "\n".join(f"line {i}" for i in range(400))
     text = "id,amount,note,n\n" + "".join(f'{i},1.5,"{note}",2\n{i},2,b,3\n' for i in range(4))
