@@ -1,0 +1,131 @@
+import datetime as dt
+import logging
+
+import pytest
+from pyspark.errors import AnalysisException
+
+from paylake.operators.quality import QualityError, require_quality
+from paylake.plans import job, stages
+from paylake.plans.bindings import raw_payments, write_csv
+from paylake.plans.stages import JobConfig, RunCounts, process_records, run_stages
+from paylake.schema import GOLD_COLUMNS, RAW_COLUMNS
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def csv_dir(spark, tmp_path_factory):
+    # Few day folders keep the test short.
+    rows = raw_payments(spark, SF_DIR).filter(
+        "Date_of_Payment LIKE '0%/1%/1996' OR Record_ID IS NULL"
+    )
+    return write_csv(rows.repartition(3), str(tmp_path_factory.mktemp("raw") / "csv"))
+
+
+def config(csv_dir, tmp_path, **more):
+    return JobConfig(
+        input_path=csv_dir,
+        silver_path=str(tmp_path / "silver"),
+        staging_table="job_staging",
+        gold_table="job_gold",
+        gold_path=str(tmp_path / "gold"),
+        **more,
+    )
+
+
+@pytest.mark.parametrize("copy", [False, True])
+def test_run_twice_gives_the_same_state(spark, csv_dir, tmp_path, copy):
+    cfg = config(csv_dir, tmp_path, copy_staging=copy)
+    states = []
+    for _ in range(2):
+        counts = run_stages(spark, cfg)
+        gold = spark.table("job_gold").select(*GOLD_COLUMNS)
+        states.append((counts, sorted(map(repr, gold.collect()))))
+    assert states[0] == states[1]
+    raw = spark.read.csv(csv_dir, header=True, multiLine=True, escape='"')
+    silver = raw.filter("Record_ID IS NOT NULL")
+    assert states[0][0] == RunCounts(raw.count(), silver.count(), len(states[0][1]))
+    assert 0 < states[0][0].gold < states[0][0].silver < states[0][0].raw
+
+
+def test_counts_with_split_files(spark, csv_dir, tmp_path):
+    whole = process_records(spark, csv_dir, str(tmp_path / "a"))
+    split = process_records(spark, csv_dir, str(tmp_path / "b"), split_bytes=999, split_above=999)
+    assert whole == split
+    rows = [sorted(map(repr, spark.read.parquet(str(tmp_path / x)).collect())) for x in "ab"]
+    assert rows[0] == rows[1]
+
+
+def test_quality_gate_stops_before_gold(spark, csv_dir, tmp_path):
+    before = config(csv_dir, tmp_path)
+    run_stages(spark, before)
+    rows = spark.table("job_gold").count()
+    with pytest.raises(QualityError, match="bad_amount"):
+        run_stages(spark, config(csv_dir, tmp_path, max_bad_share=0.001))
+    assert spark.table("job_gold").count() == rows
+    assert run_stages(spark, config(csv_dir, tmp_path, max_bad_share=0.5)).gold == rows
+
+
+def test_require_quality():
+    good = {"row_count": 100, "missing_key": 0, "bad_date": 5, "bad_amount": 5}
+    require_quality(good, 0.05)
+    with pytest.raises(QualityError, match="bad_date"):
+        require_quality({**good, "bad_date": 6}, 0.05)
+
+
+def test_missing_input_is_explained_and_raised(spark, tmp_path, caplog):
+    with caplog.at_level(logging.ERROR), pytest.raises(AnalysisException):
+        process_records(spark, str(tmp_path / "nothing"), str(tmp_path / "out"))
+    assert "check the path" in caplog.text
+    assert not (tmp_path / "out").exists()
+
+
+def test_header_is_positional_unless_strict(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    names = ["Other", *RAW_COLUMNS[1:]]
+    (folder / "a.csv").write_text(",".join(names) + "\n" + ",".join(["1"] * 91) + "\n")
+    assert process_records(spark, str(folder), str(tmp_path / "o")) == (1, 1)
+    with pytest.raises(Exception, match="(?i)header does not conform"):
+        process_records(spark, str(folder), str(tmp_path / "o"), strict_header=True)
+
+
+def test_year_config():
+    cfg = JobConfig.for_year("/lake", 2023, max_bad_share=0.1)
+    assert (cfg.input_path, cfg.silver_path) == ("/lake/raw/2023", "/lake/silver/2023")
+    assert (cfg.gold_table, cfg.max_bad_share) == ("payments_2023", 0.1)
+
+
+def test_both_paths_are_required(capsys):
+    for argv in ([], ["--input_path=a"], ["--output_path=b"]):
+        with pytest.raises(SystemExit):
+            job.parse_args(argv)
+    assert "required" in capsys.readouterr().err
+
+
+def test_command_line_writes_silver(spark, csv_dir, tmp_path, monkeypatch, capsys):
+    class Kept:
+        """The test session, kept open at the end of the job."""
+
+        def __getattr__(self, name):
+            return (lambda: None) if name == "stop" else getattr(spark, name)
+
+    monkeypatch.setattr(job, "build_session", Kept)
+    seen = {}
+
+    def run(session, source, target, **settings):
+        seen["settings"] = settings
+        return process_records(spark, source, target, **settings)
+
+    monkeypatch.setattr(job, "process_records", run)
+    job.main([f"--input_path={csv_dir}", f"--output_path={tmp_path / 's'}", "--show_sample"])
+    assert spark.read.parquet(str(tmp_path / "s")).count() > 0
+    assert seen["settings"] == {"show_sample": True, "strict_header": False}
+    assert "Teaching_Hospital_CCN: string" in capsys.readouterr().out
+
+
+def test_gold_rows_fall_on_parsed_days(spark, csv_dir, tmp_path):
+    run_stages(spark, config(csv_dir, tmp_path))
+    days = [r[0] for r in spark.table("job_gold").select("payment_date").distinct().collect()]
+    assert days and all(dt.date(1996, 1, 1) <= d <= dt.date(1996, 12, 31) for d in days)
+    assert stages.GOLD_COMMENT in str(spark.sql("DESCRIBE EXTENDED job_gold").collect())
