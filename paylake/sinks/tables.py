@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,22 +35,36 @@ def replace_table(
 ) -> DataFrame:
     """Create or replace a Parquet table from a query and return it.
 
-    The stock catalog has no atomic replace: readers may see no table for the
-    moment of the swap. Partition columns move to the end of the stored schema.
+    The stock catalog has no atomic replace: readers may see no table, or an empty
+    one, while it is written. The partition column moves to the end of the schema.
+
+    The table is declared first and then filled, because an insert registers the
+    partitions it wrote; a create-as-select lists all their folders to find them.
     """
     spark = df.sparkSession
     if partition_by:
+        df = df.select(*[c for c in df.columns if c != partition_by], partition_by)
         df = cluster_rows(df, partition_by, cluster_by)
     elif cluster_by:
         df = df.sortWithinPartitions(*cluster_by)
-    writer = df.write.mode("overwrite").format("parquet")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    declaration = [f"CREATE TABLE {table} ({columns}) USING parquet"]
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        declaration.append(f"PARTITIONED BY (`{partition_by}`)")
     if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+        declaration.append(f"LOCATION {_literal(path)}")
     if comment:
-        _comment(spark, table, comment)
+        declaration.append(f"COMMENT {_literal(comment)}")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(" ".join(declaration))
+    settings = {
+        "spark.sql.sources.partitionOverwriteMode": "static",
+        # Files are per partition value, so merging small shuffle partitions saves none
+        # of them and only leaves fewer tasks to write them. Cutting large ones stays on.
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    with _settings(spark, settings if partition_by else {}):
+        df.write.insertInto(table, overwrite=True)
     return spark.table(table)
 
 
@@ -59,6 +74,18 @@ def register_parquet(spark: SparkSession, table: str, path: str) -> DataFrame:
     return spark.catalog.createTable(table, path=path, source="parquet")
 
 
-def _comment(spark: SparkSession, table: str, text: str) -> None:
-    quoted = text.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"COMMENT ON TABLE {table} IS '{quoted}'")
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
