@@ -1,4 +1,4 @@
-"""Command line, for spark-submit.
+"""Command line of the job.
 
 With the two paths alone it turns records into silver; naming a gold table runs
 all three stages.
@@ -55,7 +55,3 @@ def main(argv: list[str] | None = None) -> None:
             logging.info("wrote %d of %d records to %s", silver, raw, args.output_path)
     finally:
         spark.stop()
-
-
-if __name__ == "__main__":
-    main()

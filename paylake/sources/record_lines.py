@@ -73,8 +73,8 @@ class BlockScan:
         self.ok = [True, start > 0]
         self.bare_cr = [False, False]
         self.head, self.head_done = Fragment(limit), False
-        self.tail = [Fragment(limit), Fragment(limit)]
-        self.header, self.crlf = None, False
+        self.tail = [None, None]
+        self.header, self.header_lines, self.crlf = None, None, False
 
     def add(self, lines):
         odd = odd_quotes(lines)
@@ -113,37 +113,34 @@ class BlockScan:
         if len(begins):
             self.tail[guess] = Fragment(self.limit)
             lines = lines.slice(int(begins[-1]))
-        elif not self.tail[guess].size:
+        elif self.tail[guess] is None:
             return  # still inside the record that came in with the block
         self.tail[guess].add(lines)
 
     def _find_header(self, lines, odd, before):
-        first = lines[0].as_py()
-        if not hasattr(self, "_early"):
-            self._early = []
+        if self.header_lines is None:
+            # The CSV reader takes the first line break it meets for the file's.
+            self.header_lines, first = [], lines[0].as_py()
             self.crlf = first.endswith("\r")
-            if "\r" in first[:-1]:
-                self.ok[0] = False
+            self.ok[0] = "\r" not in first[:-1]
         for line, closed in zip(lines.to_pylist(), (before ^ odd) == 0):
-            self._early.append(line)
+            self.header_lines.append(line)
             if closed:
-                record = "\n".join(self._early).removesuffix("\r")
-                self._early = []
-                if record:
-                    self.header = record
+                self.header = "\n".join(self.header_lines).removesuffix("\r") or None
+                self.header_lines = []
+                if self.header:
                     return
-            if sum(map(len, self._early)) > self.limit:
+            if sum(map(len, self.header_lines)) > self.limit:
                 self.ok[0] = False
                 return
 
     def row(self):
         tails = []
         for guess in (0, 1):
-            is_open = (guess ^ self.parity) == 1 and (guess == 0 or self.head_done)
-            text = self.tail[guess].text() if is_open and self.ok[guess] else None
-            if is_open and text is None:
+            is_open = self.ok[guess] and guess ^ self.parity and self.tail[guess] is not None
+            tails.append(self.tail[guess].text() if is_open else None)
+            if is_open and tails[guess] is None:
                 self.ok[guess] = False
-            tails.append(text)
         head = self.head.text() if self.ok[1] else None
         if head is None:
             self.ok[1] = False
@@ -159,7 +156,6 @@ class BlockScan:
             "cr0": self.bare_cr[0],
             "cr1": self.bare_cr[1],
             "crlf": self.crlf,
-            "head_closes": self.head_done,
             "head1": head,
             "tail0": tails[0],
             "tail1": tails[1],
@@ -178,7 +174,6 @@ BLOCK_ARROW = pa.schema(
         ("cr0", pa.bool_()),
         ("cr1", pa.bool_()),
         ("crlf", pa.bool_()),
-        ("head_closes", pa.bool_()),
         ("head1", pa.string()),
         ("tail0", pa.string()),
         ("tail1", pa.string()),
@@ -204,14 +199,29 @@ def scan_blocks(limit):
     return run
 
 
+def starts_by_file(file_ids, starts):
+    """Sorted block starts per file."""
+    if not len(file_ids):
+        return {}
+    order = np.lexsort((starts, file_ids))
+    file_ids, starts = file_ids[order], starts[order]
+    cuts = np.flatnonzero(np.diff(file_ids)) + 1
+    return dict(zip(file_ids[np.r_[0, cuts]].tolist(), np.split(starts, cuts)))
+
+
 def join_lines(inside, crlf_files, split_bytes):
     """Batches of lines -> the records that begin and end inside one block.
 
-    ``inside`` holds the (file_id, start) of blocks that start inside quotes. The
+    ``inside`` holds, per file, the starts of blocks that start inside quotes. The
     lines before a block's first record and after its last one are left out: the
     block scan has them already.
     """
 
+    def starts_inside(file_id, start):
+        starts = inside.get(file_id, ())
+        at = np.searchsorted(starts, start)
+        return at < len(starts) and starts[at] == start
+
     def run(batches):
         key = pending = None
         skipping = header_due = False
@@ -223,7 +233,7 @@ def join_lines(inside, crlf_files, split_bytes):
                 if start % split_bytes:
                     raise RuntimeError("file blocks differ from those scanned before")
                 key, pending = (file_id, start), None
-                skipping, header_due = key in inside, start == 0
+                skipping, header_due = starts_inside(*key), start == 0
             if skipping:
                 closing = np.flatnonzero(odd_quotes(lines))
                 if not len(closing):

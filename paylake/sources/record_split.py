@@ -6,8 +6,8 @@ read as text blocks instead, in two passes:
 
 1. one row per block: quote parity, and the pieces of records that cross its ends.
    A file in which no record crosses a line goes to Spark's line-based CSV reader;
-2. for the others, every block joins its own lines into records, knowing from the parities before
-   it whether it starts inside quotes.
+2. for the others, every block joins its own lines into records, knowing from the
+   parities before it whether it starts inside quotes.
 
 Records that cross block ends are put together from the rows of pass 1. A file
 whose quoting is not regular is reported back and read by Spark's reader whole,
@@ -31,15 +31,15 @@ cloudpickle.register_pickle_by_value(record_lines)
 
 # Longest piece of a record, at a block end, worth carrying in a pass-1 row.
 FRAGMENT_BYTES = 1 << 20
-# Blocks starting inside quotes that fit into one task closure (16 bytes each).
+# Blocks starting inside quotes that fit into one task closure (8 bytes each).
 MAX_INSIDE_BLOCKS = 1_000_000
 
 _GLOB_CHARS = re.compile(r"[{}\[\]*?\\]")
 
 _BLOCK_DDL = (
-    "file_id long, start long, parity int, single boolean, ok0 boolean, ok1 boolean, cr0 boolean, "
-    "cr1 boolean, crlf boolean, head_closes boolean, head1 string, tail0 string, "
-    "tail1 string, header string"
+    "file_id long, start long, parity int, single boolean, ok0 boolean, ok1 boolean, "
+    "cr0 boolean, cr1 boolean, crlf boolean, head1 string, tail0 string, tail1 string, "
+    "header string"
 )
 
 
@@ -122,12 +122,12 @@ def _records(
     split_bytes: int,
 ) -> DataFrame:
     blocks = blocks.filter(F.col("file_id").isin([f.file_id for f in files]))
-    inside = frozenset(
-        (r.file_id, r.start)
-        for r in blocks.filter("inside = 1").select("file_id", "start").collect()
+    inside = blocks.filter("inside = 1").select("file_id", "start").toArrow()
+    starts = record_lines.starts_by_file(
+        inside["file_id"].to_numpy(), inside["start"].to_numpy()
     )
     within = _lines(spark, files, split_bytes).mapInArrow(
-        record_lines.join_lines(inside, crlf, split_bytes), "record string"
+        record_lines.join_lines(starts, crlf, split_bytes), "record string"
     )
     return _crossing_records(blocks, sorted(crlf)).union(within)
 

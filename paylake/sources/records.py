@@ -47,15 +47,16 @@ def read_records(
     options = {**CSV_OPTIONS, "header": "true", "enforceSchema": str(not strict_header).lower()}
     reader = spark.read.schema(schema)
     whole = reader.options(**options).csv(path)
+    declared = whole.select(*schema.names)
     if split_above is None:
-        return whole
+        return declared
     big = _files_above(spark, path, split_above)
     if not big:
-        return whole
+        return declared
     work_dir = f"{scratch_dir(spark)}/blocks-{uuid.uuid4().hex}"
     split = split_records(spark, big, split_bytes, work_dir)
     if split is None:
-        return whole
+        return declared
     if strict_header:
         _check_headers(spark, split.headers, schema)
     # Spark drops the filtered files when it lists them, before any task.

@@ -1,5 +1,9 @@
 import datetime as dt
 import logging
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -124,6 +128,36 @@ def test_command_line_writes_silver(spark, csv_dir, tmp_path, monkeypatch, capsy
     assert "Teaching_Hospital_CCN: string" in capsys.readouterr().out
 
 
+def test_script_runs_all_stages(csv_dir, tmp_path):
+    repo = Path(__file__).resolve().parents[1]
+    settings = {
+        "spark.ui.enabled": "false",
+        "spark.driver.host": "127.0.0.1",
+        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.warehouse.dir": str(tmp_path / "warehouse"),
+    }
+    submit = " ".join(f"--conf {k}={v}" for k, v in settings.items())
+    done = subprocess.run(
+        [
+            sys.executable,
+            str(repo / "run.py"),
+            f"--input_path={csv_dir}",
+            f"--output_path={tmp_path / 'silver'}",
+            "--gold_table=script_gold",
+            f"--gold_path={tmp_path / 'gold'}",
+            "--max_bad_share=0.5",
+        ],
+        env={**os.environ, "PYSPARK_SUBMIT_ARGS": f"--master local[4] {submit} pyspark-shell"},
+        cwd=tmp_path,
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "RunCounts(raw=" in done.stderr
+    assert list((tmp_path / "gold").glob("payment_date=1996-*/*.parquet"))
+
+
 def test_gold_rows_fall_on_parsed_days(spark, csv_dir, tmp_path):
     run_stages(spark, config(csv_dir, tmp_path))
     days = [r[0] for r in spark.table("job_gold").select("payment_date").distinct().collect()]

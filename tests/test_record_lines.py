@@ -1,0 +1,9 @@
+import numpy as np
+
+from paylake.sources.record_lines import starts_by_file
+
+
+def test_starts_by_file():
+    got = starts_by_file(np.array([7, -2, 7, 7, 3]), np.array([30, 5, 10, 20, 0]))
+    assert {k: v.tolist() for k, v in got.items()} == {-2: [5], 3: [0], 7: [10, 20, 30]}
+    assert starts_by_file(np.array([], "int64"), np.array([], "int64")) == {}
