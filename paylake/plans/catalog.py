@@ -276,5 +276,5 @@ def queries() -> dict[str, Query]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records by kind of payment."""
-    return queries()["count_by_nature"](spark, sf_dir)
+    """All stages from the CSV files, then records by kind of payment on the stored table."""
+    return reports.count_by(gold_from_csv(spark, sf_dir), "payment_nature")
