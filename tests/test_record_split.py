@@ -129,6 +129,27 @@ def test_lines_a_line_reader_reads_otherwise(spark, tmp_path, line):
     assert as_bag(got) == as_bag(want)
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "id,amount,note,n",
+        "id,amount,note,n\n",
+        "\n\nid,amount,note,n\n\n1,2,a,3\n\n\n",
+        'id,amount,"no\n\n\nte",n\n1,2,a,3\n',
+        'id,amount,note,n\n1,2,"a\n',
+        "\n" * 50,
+        '"id","amount","note","n"\r\n"1","2","a\r\nb","3"\r\n\r\n"2"\r\n""\r\n',
+        'id,amount,note,n\n"""",2,"""\n""",3\n"a""\n""b",,,\n',
+    ],
+)
+@pytest.mark.parametrize("size", [1, 7, 16, 40])
+def test_small_corner_files(spark, tmp_path, text, size):
+    write(tmp_path / "a.csv", text)
+    want = R.read_records(spark, str(tmp_path), SCHEMA, split_above=None)
+    got = R.read_records(spark, str(tmp_path), SCHEMA, split_bytes=size, split_above=size)
+    assert as_bag(got) == as_bag(want)
+
+
 def test_split_files_are_not_listed_twice(spark, tmp_path):
     write(tmp_path / "a.csv", make_csv(random.Random(1), 200, "\n"))
     whole = R.read_records(spark, str(tmp_path), SCHEMA, split_above=None)
