@@ -59,9 +59,10 @@ def replace_table(
     spark.sql(" ".join(declaration))
     settings = {
         "spark.sql.sources.partitionOverwriteMode": "static",
-        # Files are per partition value, so merging small shuffle partitions saves none
-        # of them and only leaves fewer tasks to write them. Cutting large ones stays on.
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        # Files are per partition value, so merging shuffle partitions saves none of them:
+        # keep a task per core, however small the data.
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
     }
     with _settings(spark, settings if partition_by else {}):
         df.write.insertInto(table, overwrite=True)
