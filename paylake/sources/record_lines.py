@@ -1,9 +1,10 @@
 """Turning text lines into CSV records, one file block at a time.
 
 Runs inside Spark tasks on Arrow batches: Spark has already cut the files into
-blocks and the blocks into lines. A line break ends a record only outside quotes,
-and whether a line starts inside quotes is the parity of the quotes before it
-(a doubled quote keeps the parity), so everything here is vector arithmetic.
+blocks and the blocks into lines. A line break ends a record only outside quotes.
+Whether a line leaves the reader inside quotes depends on the line and on whether it
+began there: two cases, so a run of lines is a map of two states, and the state at
+every line follows by vector arithmetic instead of reading character by character.
 """
 
 from __future__ import annotations
@@ -12,13 +13,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_FIELD = r'(?:[^",\r]*|"(?:[^"]|"")*")'
+# A quote opens a quoted field only as the first character of the field.
+_FIELD = r'(?:(?:[^",\r][^,\r]*)?|"(?:[^"]|"")*")'
 _OPEN = r'"(?:[^"]|"")*'
-# A well-formed line, given where it starts: outside or inside a quoted field.
-# Stray quotes and bare carriage returns fail, and with them the parity argument.
-LINE_OK = (
-    rf"^(?:{_FIELD},)*(?:{_FIELD}\r?|{_OPEN})$",
-    rf'^(?:[^"]|"")*(?:"(?:,{_FIELD})*(?:\r?|,{_OPEN}))?$',
+# By where a line begins, outside (0) or inside (1) quotes: the lines that end outside
+# and those that end inside. Text after a closing quote and bare carriage returns are
+# in neither.
+_ENDS_OUTSIDE = (
+    rf"^(?:{_FIELD},)*{_FIELD}\r?$",
+    rf'^(?:[^"]|"")*"(?:,{_FIELD})*\r?$',
+)
+_ENDS_INSIDE = (
+    rf"^(?:{_FIELD},)*{_OPEN}$",
+    rf'^(?:[^"]|"")*(?:"(?:,{_FIELD})*,{_OPEN})?$',
 )
 # Lines a line-by-line CSV reader treats otherwise: a carriage return inside, or
 # nothing but blanks (such a reader skips them).
@@ -39,9 +46,33 @@ def runs(batches):
             yield int(files[lo]), int(starts[lo]), lines.slice(lo, hi - lo)
 
 
-def odd_quotes(lines):
-    """1 where a line holds an odd number of quotes."""
-    return pc.count_substring(lines, '"').to_numpy(zero_copy_only=False).astype(np.int64) & 1
+def _matches(lines, pattern):
+    return pc.match_substring_regex(lines, pattern).to_numpy(zero_copy_only=False)
+
+
+def line_ends(lines, side):
+    """Per line that begins on ``side``: does it end inside, and is it irregular?"""
+    inside = ~_matches(lines, _ENDS_OUTSIDE[side])
+    bad = np.zeros(len(inside), bool)
+    if inside.any():
+        at = np.flatnonzero(inside)
+        bad[at] = ~_matches(lines.filter(pa.array(inside)), _ENDS_INSIDE[side])
+    return inside.astype(np.int8), bad
+
+
+def line_states(ends, start):
+    """State before and after each line, from where lines end by where they begin."""
+    fixed = ends[0] == ends[1]
+    flips = np.cumsum(~fixed & (ends[0] == 1))
+    flips_before = np.r_[0, flips[:-1]]
+    # The latest line before this one whose end does not depend on its beginning.
+    latest = np.maximum.accumulate(np.where(fixed, np.arange(len(fixed)), -1))
+    latest = np.r_[-1, latest[:-1]]
+    known = latest >= 0
+    base = np.where(known, ends[0][latest], start)
+    since = flips_before - np.where(known, flips[latest], 0)
+    before = base ^ (since & 1)
+    return before, np.where(before == 0, ends[0], ends[1])
 
 
 class Fragment:
@@ -68,7 +99,7 @@ class BlockScan:
 
     def __init__(self, file_id, start, limit):
         self.file_id, self.start, self.limit = file_id, start, limit
-        self.parity = 0
+        self.state = [0, 1]
         self.single = True  # every line is a record, or empty
         self.ok = [True, start > 0]
         self.bare_cr = [False, False]
@@ -77,39 +108,37 @@ class BlockScan:
         self.header, self.header_lines, self.crlf = None, None, False
 
     def add(self, lines):
-        odd = odd_quotes(lines)
-        before = (self.parity + np.cumsum(odd) - odd) & 1
+        ends, bad = [None, None], [None, None]
+        ends[0], bad[0] = line_ends(lines, 0)
         if self.single:
-            self.single = not odd.any() and not pc.any(
-                pc.match_substring_regex(lines, _UNLIKE_RECORD)
-            ).as_py()
-        if self.start == 0 and self.header is None:
-            self._find_header(lines, odd, before)
+            self.single = not ends[0].any() and not _matches(lines, _UNLIKE_RECORD).any()
+        if self.ok[1] or self.state[0] or ends[0].any():
+            ends[1], bad[1] = line_ends(lines, 1)
+        else:
+            ends[1], bad[1] = ends[0], bad[0]  # no line begins inside
+        ends_cr = pc.ends_with(lines, "\r").to_numpy(zero_copy_only=False)
         for guess in (0, 1):
-            if self.ok[guess]:
-                self._check(guess, lines, before ^ guess, odd)
-        if self.ok[1] and not self.head_done:
-            stop = np.flatnonzero(odd)
-            self.head_done = bool(len(stop))
-            self.head.add(lines.slice(0, int(stop[0]) + 1) if len(stop) else lines)
-        self.parity = int(before[-1] ^ odd[-1])
-
-    def _check(self, guess, lines, state, odd):
-        for side in (0, 1):
-            mask = state == side
-            if mask.all():
-                picked = lines
-            elif mask.any():
-                picked = lines.filter(pa.array(mask))
-            else:
+            if not self.ok[guess]:
                 continue
-            if not pc.all(pc.match_substring_regex(picked, LINE_OK[side])).as_py():
+            before, after = line_states(ends, self.state[guess])
+            if guess == 0 and self.start == 0 and self.header is None:
+                self._find_header(lines, after)
+            if np.where(before == 0, bad[0], bad[1]).any():
                 self.ok[guess] = False
-                return
-        ends_outside = (state ^ odd) == 0
-        ends_cr = pc.ends_with(lines, "\r").to_numpy(zero_copy_only=False)
-        self.bare_cr[guess] |= bool((ends_outside & ends_cr).any())
-        begins = np.flatnonzero(state == 0)
+                continue
+            self.state[guess] = int(after[-1])
+            self.bare_cr[guess] |= bool((ends_cr & (after == 0)).any())
+            if guess and not self.head_done:
+                self._extend_head(lines, after)
+            self._extend_tail(guess, lines, before)
+
+    def _extend_head(self, lines, after):
+        stop = np.flatnonzero(after == 0)
+        self.head_done = bool(len(stop))
+        self.head.add(lines.slice(0, int(stop[0]) + 1) if len(stop) else lines)
+
+    def _extend_tail(self, guess, lines, before):
+        begins = np.flatnonzero(before == 0)
         if len(begins):
             self.tail[guess] = Fragment(self.limit)
             lines = lines.slice(int(begins[-1]))
@@ -117,13 +146,13 @@ class BlockScan:
             return  # still inside the record that came in with the block
         self.tail[guess].add(lines)
 
-    def _find_header(self, lines, odd, before):
+    def _find_header(self, lines, after):
         if self.header_lines is None:
             # The CSV reader takes the first line break it meets for the file's.
             self.header_lines, first = [], lines[0].as_py()
             self.crlf = first.endswith("\r")
             self.ok[0] = "\r" not in first[:-1]
-        for line, closed in zip(lines.to_pylist(), (before ^ odd) == 0):
+        for line, closed in zip(lines.to_pylist(), after == 0):
             self.header_lines.append(line)
             if closed:
                 self.header = "\n".join(self.header_lines).removesuffix("\r") or None
@@ -137,7 +166,7 @@ class BlockScan:
     def row(self):
         tails = []
         for guess in (0, 1):
-            is_open = self.ok[guess] and guess ^ self.parity and self.tail[guess] is not None
+            is_open = self.ok[guess] and self.state[guess] and self.tail[guess] is not None
             tails.append(self.tail[guess].text() if is_open else None)
             if is_open and tails[guess] is None:
                 self.ok[guess] = False
@@ -146,10 +175,13 @@ class BlockScan:
             self.ok[1] = False
         if self.start == 0 and self.header is None:
             self.ok[0] = False
+        # A guess ruled out never applies, so its end may be taken as the other's.
+        ends = [self.state[g] if self.ok[g] else self.state[1 - g] for g in (0, 1)]
         return {
             "file_id": self.file_id,
             "start": self.start,
-            "parity": self.parity,
+            "end0": ends[0],
+            "end1": ends[1],
             "single": self.single,
             "ok0": self.ok[0],
             "ok1": self.ok[1],
@@ -167,7 +199,8 @@ BLOCK_ARROW = pa.schema(
     [
         ("file_id", pa.int64()),
         ("start", pa.int64()),
-        ("parity", pa.int32()),
+        ("end0", pa.int32()),
+        ("end1", pa.int32()),
         ("single", pa.bool_()),
         ("ok0", pa.bool_()),
         ("ok1", pa.bool_()),
@@ -220,11 +253,14 @@ def join_lines(inside, crlf_files, split_bytes):
     def starts_inside(file_id, start):
         starts = inside.get(file_id, ())
         at = np.searchsorted(starts, start)
-        return at < len(starts) and starts[at] == start
+        return int(at < len(starts) and starts[at] == start)
+
+    def joined(pieces):
+        return pa.array(["\n".join(line for p in pieces for line in p.to_pylist())], pa.string())
 
     def run(batches):
         key = pending = None
-        skipping = header_due = False
+        state, header_due = 0, False
         for file_id, start, lines in runs(batches):
             if file_id in crlf_files:
                 # Where lines end in \r\n, the CSV reader gives \n, in quotes as well.
@@ -233,34 +269,46 @@ def join_lines(inside, crlf_files, split_bytes):
                 if start % split_bytes:
                     raise RuntimeError("file blocks differ from those scanned before")
                 key, pending = (file_id, start), None
-                skipping, header_due = starts_inside(*key), start == 0
-            if skipping:
-                closing = np.flatnonzero(odd_quotes(lines))
-                if not len(closing):
-                    continue
-                skipping, lines = False, lines.slice(int(closing[0]) + 1)
-            if pending is not None:
-                lines = pa.concat_arrays([pending, lines])
+                state, header_due = starts_inside(file_id, start), start == 0
+            groups = _group(lines, state)
+            lead, whole, rest, state = groups
+            found = []
+            if len(lead) and pending is not None:
+                pending.append(lead)
+            if pending is not None and (rest is not None or len(whole) or not state):
+                found.append(joined(pending))
                 pending = None
-            if not len(lines):
+            if len(whole):
+                found.append(whole)
+            if rest is not None:
+                pending = [rest]
+            if not found:
                 continue
-            odd = odd_quotes(lines)
-            after = np.cumsum(odd) & 1
-            begins = np.flatnonzero((after ^ odd) == 0)
-            end = len(lines)
-            if after[-1]:
-                end = int(begins[-1])
-                pending, begins = lines.slice(end), begins[:-1]
-            if len(begins) == end:
-                records = lines.slice(0, end)
-            else:
-                offsets = pa.array([*begins.tolist(), end], pa.int32())
-                groups = pa.ListArray.from_arrays(offsets, lines.slice(0, end))
-                records = pc.binary_join(groups, "\n")
+            records = pa.concat_arrays(found)
             records = records.filter(pc.greater(pc.binary_length(records), 0))
             if header_due and len(records):
                 header_due, records = False, records.slice(1)
             if len(records):
-                yield pa.RecordBatch.from_arrays([records.cast(pa.string())], ["record"])
+                yield pa.RecordBatch.from_arrays([records], ["record"])
 
     return run
+
+
+def _group(lines, state):
+    """Cut lines into the end of an open record, whole records, and an open one."""
+    outside = _matches(lines, _ENDS_OUTSIDE[0])
+    if state == 0 and outside.all():
+        return lines.slice(0, 0), lines.cast(pa.string()), None, 0
+    ends = [(~outside).astype(np.int8), _matches(lines, _ENDS_INSIDE[1]).astype(np.int8)]
+    before, after = line_states(ends, state)
+    begins, end = np.flatnonzero(before == 0), len(lines)
+    state, rest = int(after[-1]), None
+    if not len(begins):
+        return lines, pa.array([], pa.string()), None, state
+    first = int(begins[0])
+    if state:
+        end, begins = int(begins[-1]), begins[:-1]
+        rest = lines.slice(end)
+    offsets = pa.array([*begins.tolist(), end], pa.int32())
+    groups = pa.ListArray.from_arrays(offsets, lines)
+    return lines.slice(0, first), pc.binary_join(groups, "\n").cast(pa.string()), rest, state

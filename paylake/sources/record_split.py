@@ -4,10 +4,11 @@ Spark's own multi-line CSV reader gives each file to one task, so one file that
 holds a third of the data sets the pace for the whole job. Here such files are
 read as text blocks instead, in two passes:
 
-1. one row per block: quote parity, and the pieces of records that cross its ends.
+1. one row per block: how it maps the state at its start, inside quotes or not, to
+   that at its end, and the pieces of records that cross its ends.
    A file in which no record crosses a line goes to Spark's line-based CSV reader;
 2. for the others, every block joins its own lines into records, knowing from the
-   parities before it whether it starts inside quotes.
+   blocks before it whether it starts inside quotes.
 
 Records that cross block ends are put together from the rows of pass 1. A file
 whose quoting is not regular is reported back and read by Spark's reader whole,
@@ -37,7 +38,7 @@ MAX_INSIDE_BLOCKS = 1_000_000
 _GLOB_CHARS = re.compile(r"[{}\[\]*?\\]")
 
 _BLOCK_DDL = (
-    "file_id long, start long, parity int, single boolean, ok0 boolean, ok1 boolean, "
+    "file_id long, start long, end0 int, end1 int, single boolean, ok0 boolean, ok1 boolean, "
     "cr0 boolean, cr1 boolean, crlf boolean, head1 string, tail0 string, tail1 string, "
     "header string"
 )
@@ -88,7 +89,7 @@ def split_records(
         blocks.groupBy("file_id")
         .agg(
             F.bool_and("ok").alias("ok"),
-            (F.sum("parity") % 2 == 0).alias("closed"),
+            (F.max_by("after", "start") == 0).alias("closed"),
             F.bool_and("single").alias("single"),
             F.bool_or("crlf").alias("crlf"),
             F.bool_or("bare_cr").alias("bare_cr"),
@@ -163,31 +164,42 @@ def _fixed_blocks(spark: SparkSession, split_bytes: int) -> SparkSession:
 
 
 def _with_state(blocks: DataFrame) -> DataFrame:
-    """Settle each block's starting state from the parities before it in its file.
-
-    ``piece`` numbers what a block leaves open or receives: its tail opens the
-    file's ``tails``-th crossing record, its head belongs to the one before. Only
-    numbers pass the windows, one row per block: even a file of 30 TB is a few
-    hundred thousand of them. The texts are joined back afterwards.
+    """Settle each block's starting state from the blocks before it in its file.
+
+    A block's end may be fixed, or follow its start, or be the opposite of it: so
+    its starting state is the latest fixed end before it, flipped as often as blocks
+    since then flip. A tail opens the file's ``tails``-th crossing record, a head
+    belongs to the one before. Only numbers pass the windows, one row per block:
+    even a file of 30 TB is a few hundred thousand of them. The texts are joined
+    back afterwards.
     """
     key = ["file_id", "start"]
     so_far = Window.partitionBy("file_id").orderBy("start")
     earlier = so_far.rowsBetween(Window.unboundedPreceding, -1)
     at = F.col("inside") == 1
+    flip = ((F.col("end0") == 1) & (F.col("end1") == 0)).cast("int")
+    fixed = F.when(F.col("end0") == F.col("end1"), F.struct("end0", "flips"))
+    flips_since = F.col("flips") - F.col("flip") - F.coalesce("fixed.flips", F.lit(0))
     has_tail = F.when(at, F.col("tail1").isNotNull()).otherwise(F.col("tail0").isNotNull())
     state = (
-        blocks.withColumn(
-            "inside", F.coalesce(F.sum("parity").over(earlier), F.lit(0)) % 2
-        )
+        blocks.withColumn("flip", flip)
+        .withColumn("flips", F.sum("flip").over(so_far))
+        .withColumn("fixed", F.last(fixed, ignorenulls=True).over(earlier))
+        .withColumn("inside", (F.coalesce("fixed.end0", F.lit(0)) + flips_since) % 2)
         .withColumn("has_tail", has_tail)
-        .select(*key, "inside", F.count_if("has_tail").over(so_far).alias("tails"))
+        .select(
+            *key,
+            "inside",
+            F.when(at, F.col("end1")).otherwise(F.col("end0")).alias("after"),
+            F.count_if("has_tail").over(so_far).alias("tails"),
+        )
     )
     return blocks.join(state, key).select(
         *key,
-        "parity",
-        "single",
         "inside",
+        "after",
         "tails",
+        "single",
         "crlf",
         "header",
         F.when(at, F.col("ok1")).otherwise(F.col("ok0")).alias("ok"),
