@@ -50,16 +50,29 @@ def _matches(lines, pattern):
     return pc.match_substring_regex(lines, pattern).to_numpy(zero_copy_only=False)
 
 
-def line_ends(lines, side):
+def line_ends(lines, side, check=True):
     """Per line that begins on ``side``: does it end inside, and is it irregular?"""
     inside = ~_matches(lines, _ENDS_OUTSIDE[side])
     bad = np.zeros(len(inside), bool)
-    if inside.any():
-        at = np.flatnonzero(inside)
-        bad[at] = ~_matches(lines.filter(pa.array(inside)), _ENDS_INSIDE[side])
+    if check and inside.any():
+        bad[inside] = ~_matches(lines.filter(pa.array(inside)), _ENDS_INSIDE[side])
     return inside.astype(np.int8), bad
 
 
+def path_ends(lines, start, check=True):
+    """``line_ends`` of both sides, right where reached from ``start``; elsewhere any."""
+    outside = line_ends(lines, 0, check)
+    reached = np.r_[start, outside[0][:-1]].astype(bool)
+    if not reached.any():
+        return outside, outside
+    inside = outside[0].copy(), outside[1].copy()
+    inside[0][reached], inside[1][reached] = line_ends(lines.filter(pa.array(reached)), 1, check)
+    stays = np.r_[False, reached[:-1] & (inside[0][:-1] == 1)]
+    if (stays & ~reached).any():
+        inside = line_ends(lines, 1, check)
+    return outside, inside
+
+
 def line_states(ends, start):
     """State before and after each line, from where lines end by where they begin."""
     fixed = ends[0] == ends[1]
@@ -108,14 +121,13 @@ class BlockScan:
         self.header, self.header_lines, self.crlf = None, None, False
 
     def add(self, lines):
-        ends, bad = [None, None], [None, None]
-        ends[0], bad[0] = line_ends(lines, 0)
+        if self.ok[1]:
+            sides = line_ends(lines, 0), line_ends(lines, 1)
+        else:
+            sides = path_ends(lines, self.state[0])
+        ends, bad = zip(*sides)
         if self.single:
             self.single = not ends[0].any() and not _matches(lines, _UNLIKE_RECORD).any()
-        if self.ok[1] or self.state[0] or ends[0].any():
-            ends[1], bad[1] = line_ends(lines, 1)
-        else:
-            ends[1], bad[1] = ends[0], bad[0]  # no line begins inside
         ends_cr = pc.ends_with(lines, "\r").to_numpy(zero_copy_only=False)
         for guess in (0, 1):
             if not self.ok[guess]:
@@ -270,8 +282,7 @@ def join_lines(inside, crlf_files, split_bytes):
                     raise RuntimeError("file blocks differ from those scanned before")
                 key, pending = (file_id, start), None
                 state, header_due = starts_inside(file_id, start), start == 0
-            groups = _group(lines, state)
-            lead, whole, rest, state = groups
+            lead, whole, rest, state = _group(lines, state)
             found = []
             if len(lead) and pending is not None:
                 pending.append(lead)
@@ -296,11 +307,10 @@ def join_lines(inside, crlf_files, split_bytes):
 
 def _group(lines, state):
     """Cut lines into the end of an open record, whole records, and an open one."""
-    outside = _matches(lines, _ENDS_OUTSIDE[0])
-    if state == 0 and outside.all():
+    outside, inside = path_ends(lines, state, check=False)
+    if state == 0 and not outside[0].any():
         return lines.slice(0, 0), lines.cast(pa.string()), None, 0
-    ends = [(~outside).astype(np.int8), _matches(lines, _ENDS_INSIDE[1]).astype(np.int8)]
-    before, after = line_states(ends, state)
+    before, after = line_states((outside[0], inside[0]), state)
     begins, end = np.flatnonzero(before == 0), len(lines)
     state, rest = int(after[-1]), None
     if not len(begins):
