@@ -2,7 +2,7 @@
 
 A page is cut into flat text blocks at block-level tags. Each block has its word count and
 link density, those of its two neighbours, and what kind of container it stands in. A
-decision tree trained on the small labelled table ``LABELLED`` says which blocks are main
+decision tree trained on the small ``labelled_table`` says which blocks are main
 text. White space inside a block becomes one space, and blocks are joined by one space.
 
 A null or empty page, or one without main text, gives the empty string. Pages are handled
@@ -177,88 +177,55 @@ def features(blocks: list[Block]) -> np.ndarray:
     return np.column_stack([*around, own]) if blocks else np.empty((0, len(FEATURES)))
 
 
-# The labelled table: blocks as (label, words, link density, the block before it, the block
-# after it, boiler, inside, edge, ends a sentence); a neighbour is (words, link density).
-LABELLED = (
-    # Articles in article, main or content containers: text of any length, and headings.
-    (1, 42, 0.0, (8, 0.0), (55, 0.0), 0, 1, 0, 1),
-    (1, 55, 0.05, (42, 0.0), (31, 0.0), 0, 1, 0, 1),
-    (1, 9, 0.0, (0, 0.0), (61, 0.0), 0, 1, 0, 0),
-    (1, 1, 0.0, (60, 0.0), (2, 0.0), 0, 1, 0, 1),
-    (1, 2, 0.0, (1, 0.0), (70, 0.0), 0, 1, 0, 1),
-    (1, 3, 0.0, (4, 0.0), (5, 0.0), 0, 1, 0, 0),
-    (1, 120, 0.1, (3, 0.0), (6, 1.0), 0, 1, 0, 1),
-    (1, 14, 0.2, (6, 1.0), (4, 0.5), 0, 1, 0, 1),
-    (1, 5, 0.0, (6, 1.0), (30, 0.0), 0, 1, 0, 0),
-    (1, 7, 1.0, (40, 0.0), (45, 0.0), 0, 1, 0, 1),
-    (1, 6, 0.0, (25, 0.0), (9, 0.3), 0, 1, 0, 0),
-    (1, 1, 0.0, (0, 0.0), (0, 0.0), 0, 1, 0, 1),
-    (1, 3, 0.0, (12, 0.0), (25, 0.0), 0, 1, 0, 1),
-    (1, 2, 0.0, (9, 0.0), (3, 0.0), 0, 1, 0, 1),
-    (1, 10, 0.0, (5, 0.0), (16, 0.0), 0, 1, 0, 0),
-    (1, 4, 0.0, (30, 0.0), (10, 0.0), 0, 1, 0, 1),
-    (1, 1, 0.0, (2, 0.0), (7, 0.0), 0, 1, 0, 0),
-    (1, 5, 0.0, (7, 0.0), (14, 0.0), 0, 1, 0, 1),
-    (1, 6, 0.0, (1, 1.0), (3, 0.0), 0, 1, 0, 1),
-    (1, 2, 0.0, (4, 1.0), (1, 1.0), 0, 1, 0, 0),
-    (1, 3, 0.0, (2, 0.0), (0, 0.0), 0, 1, 0, 0),
-    (1, 12, 0.4, (30, 0.0), (20, 0.0), 0, 1, 0, 1),
-    (1, 3, 1.0, (30, 0.0), (5, 0.0), 0, 1, 0, 1),
-    (1, 6, 0.5, (0, 0.0), (3, 0.0), 0, 1, 0, 1),
-    (1, 9, 0.3, (2, 0.0), (1, 0.0), 0, 1, 0, 1),
-    # Articles without such a container: long blocks, and short ones between them.
-    (1, 48, 0.0, (7, 0.0), (39, 0.0), 0, 0, 0, 1),
-    (1, 39, 0.1, (48, 0.0), (64, 0.0), 0, 0, 0, 1),
-    (1, 8, 0.0, (39, 0.0), (64, 0.0), 0, 0, 0, 1),
-    (1, 4, 0.0, (50, 0.0), (47, 0.0), 0, 0, 0, 0),
-    (1, 24, 0.0, (3, 1.0), (18, 0.0), 0, 0, 0, 1),
-    (1, 18, 0.0, (24, 0.0), (8, 0.6), 0, 0, 0, 1),
-    (1, 15, 0.1, (5, 0.0), (33, 0.0), 0, 0, 0, 1),
-    (1, 7, 0.0, (2, 1.0), (48, 0.0), 0, 0, 0, 0),
-    (1, 12, 0.0, (30, 0.0), (28, 0.2), 0, 0, 0, 1),
-    (1, 90, 0.25, (10, 0.0), (2, 1.0), 0, 0, 0, 1),
-    (1, 22, 0.0, (0, 0.0), (0, 0.0), 0, 0, 0, 1),
-    (1, 11, 0.0, (20, 0.0), (0, 0.0), 0, 0, 0, 1),
-    (1, 5, 0.0, (33, 0.0), (26, 0.0), 0, 0, 0, 1),
-    # Menus and link lists without a telling container.
-    (0, 1, 1.0, (1, 1.0), (1, 1.0), 0, 0, 0, 0),
-    (0, 2, 1.0, (1, 1.0), (3, 1.0), 0, 0, 0, 0),
-    (0, 3, 1.0, (2, 1.0), (40, 0.0), 0, 0, 0, 0),
-    (0, 8, 1.0, (7, 1.0), (9, 1.0), 0, 0, 0, 0),
-    (0, 16, 0.9, (4, 1.0), (5, 1.0), 0, 0, 0, 0),
-    (0, 26, 0.8, (3, 1.0), (2, 1.0), 0, 0, 0, 0),
-    (0, 4, 1.0, (55, 0.0), (3, 1.0), 0, 0, 0, 0),
-    (0, 12, 0.7, (0, 0.0), (6, 1.0), 0, 0, 0, 0),
-    (0, 2, 1.0, (3, 1.0), (60, 0.0), 0, 0, 0, 0),
-    (0, 1, 1.0, (1, 1.0), (80, 0.0), 0, 0, 0, 0),
-    (0, 4, 1.0, (30, 0.0), (50, 0.0), 0, 0, 0, 0),
-    # Short notes at a page's ends.
-    (0, 3, 0.0, (1, 1.0), (2, 1.0), 0, 0, 0, 0),
-    (0, 5, 0.0, (2, 1.0), (0, 0.0), 0, 0, 0, 0),
-    (0, 2, 0.0, (0, 0.0), (1, 1.0), 0, 0, 0, 0),
-    (0, 4, 0.5, (3, 1.0), (0, 0.0), 0, 0, 0, 1),
-    (0, 6, 0.0, (4, 1.0), (3, 0.0), 0, 0, 0, 0),
-    (0, 3, 0.0, (6, 0.0), (1, 0.0), 0, 0, 0, 1),
-    # Within menus, sidebars, adverts, notices, forms and comments, whatever the length.
-    (0, 1, 1.0, (1, 1.0), (1, 1.0), 1, 0, 0, 0),
-    (0, 1, 1.0, (1, 1.0), (90, 0.0), 1, 0, 0, 0),
-    (0, 2, 1.0, (1, 1.0), (14, 0.0), 1, 0, 0, 0),
-    (0, 14, 0.0, (60, 0.0), (7, 0.0), 1, 0, 0, 1),
-    (0, 45, 0.0, (40, 0.0), (50, 0.0), 1, 0, 0, 1),
-    (0, 33, 0.0, (70, 0.0), (6, 0.0), 1, 1, 0, 1),
-    (0, 5, 0.0, (44, 0.0), (52, 0.0), 1, 1, 0, 0),
-    (0, 80, 0.1, (90, 0.0), (75, 0.0), 1, 1, 0, 1),
-    (0, 9, 0.0, (0, 0.0), (8, 0.0), 1, 0, 0, 0),
-    (0, 25, 0.3, (3, 0.0), (0, 0.0), 1, 0, 0, 1),
-    (0, 6, 0.0, (5, 0.0), (61, 0.0), 1, 1, 0, 1),
-    # Within the page's header or footer.
-    (0, 10, 0.0, (66, 0.0), (0, 0.0), 0, 0, 1, 1),
-    (0, 48, 0.0, (39, 0.0), (0, 0.0), 0, 0, 1, 1),
-    (0, 7, 0.0, (0, 0.0), (50, 0.0), 0, 0, 1, 0),
-    (0, 21, 0.2, (1, 1.0), (33, 0.0), 0, 0, 1, 1),
-    (0, 12, 0.0, (45, 0.0), (3, 0.0), 0, 1, 1, 1),
-    (0, 30, 0.0, (52, 0.0), (40, 0.0), 0, 1, 1, 1),
+# Blocks labelled by reading them where no container tells what they are: (label, words, link
+# density, the block before, the block after, ends a sentence); a neighbour is (words, density).
+PLAIN = (
+    (1, 48, 0.0, (7, 0.0), (39, 0.0), 1),
+    (1, 39, 0.1, (48, 0.0), (64, 0.0), 1),
+    (1, 8, 0.0, (39, 0.0), (64, 0.0), 1),
+    (1, 4, 0.0, (50, 0.0), (47, 0.0), 0),
+    (1, 2, 0.0, (35, 0.0), (41, 0.1), 1),
+    (1, 24, 0.0, (3, 1.0), (18, 0.0), 1),
+    (1, 18, 0.0, (24, 0.0), (8, 0.6), 1),
+    (1, 15, 0.1, (5, 0.0), (33, 0.0), 1),
+    (1, 7, 0.0, (2, 1.0), (48, 0.0), 0),
+    (1, 12, 0.0, (30, 0.0), (28, 0.2), 1),
+    (1, 90, 0.25, (10, 0.0), (2, 1.0), 1),
+    (1, 22, 0.0, (0, 0.0), (0, 0.0), 1),
+    (1, 14, 0.0, (20, 0.0), (0, 0.0), 1),
+    (1, 5, 0.0, (33, 0.0), (26, 0.0), 1),
+    (1, 120, 0.1, (3, 0.0), (6, 1.0), 1),
+    (1, 14, 0.2, (6, 0.0), (24, 0.0), 1),
+    (0, 1, 1.0, (1, 1.0), (1, 1.0), 0),
+    (0, 2, 1.0, (1, 1.0), (3, 1.0), 0),
+    (0, 3, 1.0, (2, 1.0), (40, 0.0), 0),
+    (0, 8, 1.0, (7, 1.0), (9, 1.0), 0),
+    (0, 16, 0.9, (4, 1.0), (5, 1.0), 0),
+    (0, 26, 0.8, (3, 1.0), (2, 1.0), 0),
+    (0, 4, 1.0, (55, 0.0), (3, 1.0), 0),
+    (0, 4, 1.0, (30, 0.0), (50, 0.0), 0),
+    (0, 12, 0.7, (0, 0.0), (6, 1.0), 0),
+    (0, 1, 1.0, (0, 0.0), (80, 0.0), 0),
+    (0, 3, 0.0, (1, 1.0), (2, 1.0), 0),
+    (0, 5, 0.0, (2, 1.0), (0, 0.0), 0),
+    (0, 2, 0.0, (0, 0.0), (1, 1.0), 0),
+    (0, 4, 0.5, (3, 1.0), (0, 0.0), 1),
+    (0, 6, 0.0, (4, 1.0), (3, 0.0), 0),
+    (0, 3, 0.0, (6, 0.0), (1, 0.0), 1),
+    (0, 1, 0.0, (2, 0.0), (0, 0.0), 0),
 )
+# Where a container tells, it decides: (label, boiler, inside, edge) for blocks of any shape.
+TOLD = ((1, 0, 1, 0), (0, 1, 0, 0), (0, 1, 1, 0), (0, 0, 0, 1), (0, 0, 1, 1), (0, 1, 0, 1))
+
+
+def labelled_table() -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the training blocks."""
+    rows, labels = [], []
+    for label, words, density, before, after, ends in PLAIN:
+        for told, boiler, inside, edge in ((label, 0, 0, 0), *TOLD):
+            rows.append((words, density, *before, *after, boiler, inside, edge, ends))
+            labels.append(told)
+    return np.array(rows, float), np.array(labels, float)
 
 
 @dataclass
@@ -308,14 +275,7 @@ def classify(tree: Node, x: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def trained_tree() -> Node:
-    x = np.array(
-        [
-            (words, density, *before, *after, boiler, inside, edge, ends)
-            for _, words, density, before, after, boiler, inside, edge, ends in LABELLED
-        ],
-        float,
-    )
-    return grow(x, np.array([row[0] for row in LABELLED], float))
+    return grow(*labelled_table())
 
 
 def texts_of(pages: list[str]) -> list[str]:
