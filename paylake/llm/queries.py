@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import html_text, pii, secret_scan
+from paylake.llm import fingerprints, html_text, pii, quality, secret_scan
 from paylake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,15 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return quality.score_quality(docs, quality.learn(docs, labels))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(read_table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(read_table(spark, sf_dir, "documents"))
 
@@ -28,6 +37,8 @@ def queries() -> dict[str, Query]:
     return {
         "op1_html_text": op1_html_text,
         "op2_secrets": op2_secrets,
+        "op5_quality": op5_quality,
+        "op8_fingerprints": op8_fingerprints,
         "op10_pii": op10_pii,
     }
 
