@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import fingerprints, html_text, pii, quality, secret_scan
+from paylake.llm import fingerprints, html_text, hyperminhash, pii, quality, secret_scan
 from paylake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.learn(docs, labels))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return hyperminhash.near_duplicates(docs, width=2, percent=80)
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(read_table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ def queries() -> dict[str, Query]:
         "op1_html_text": op1_html_text,
         "op2_secrets": op2_secrets,
         "op5_quality": op5_quality,
+        "op6_near_duplicates": op6_near_duplicates,
         "op8_fingerprints": op8_fingerprints,
         "op10_pii": op10_pii,
     }
