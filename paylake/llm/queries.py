@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylake.llm import fingerprints, html_text, hyperminhash, pii, quality, secret_scan
+from paylake.llm import (
+    fingerprints,
+    html_text,
+    hyperminhash,
+    pii,
+    quality,
+    secret_scan,
+    toxicity,
+)
 from paylake.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +42,11 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(read_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return toxicity.score_toxicity(docs, toxicity.learn(docs, labels))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(read_table(spark, sf_dir, "documents"))
 
@@ -45,6 +58,7 @@ def queries() -> dict[str, Query]:
         "op5_quality": op5_quality,
         "op6_near_duplicates": op6_near_duplicates,
         "op8_fingerprints": op8_fingerprints,
+        "op9_toxicity": op9_toxicity,
         "op10_pii": op10_pii,
     }
 
