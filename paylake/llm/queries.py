@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from paylake.llm import (
+    decontaminate,
     fingerprints,
     html_text,
     hyperminhash,
@@ -38,6 +39,11 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(docs, width=2, percent=80)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return decontaminate.find_passages(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(read_table(spark, sf_dir, "documents"))
 
@@ -57,6 +63,7 @@ def queries() -> dict[str, Query]:
         "op2_secrets": op2_secrets,
         "op5_quality": op5_quality,
         "op6_near_duplicates": op6_near_duplicates,
+        "op7_decontamination": op7_decontamination,
         "op8_fingerprints": op8_fingerprints,
         "op9_toxicity": op9_toxicity,
         "op10_pii": op10_pii,
