@@ -30,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylake.llm.common import keyed_text, mix, slices, word_hashes
@@ -340,17 +340,19 @@ def without_passages(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", tolerance: float = TOLERANCE
 ) -> DataFrame:
     """Rows of ``docs`` that hold no benchmark item, with all their columns."""
-    for matcher in _matchers(benchmark, "item_id", "text", tolerance):
+    own = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
 
+    def clean(matcher: Matcher) -> Column:
         @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, matcher: Matcher = matcher) -> pd.Series:
-            out = np.ones(len(texts), bool)
-            values = texts.tolist()
+        def test(texts: pd.Series) -> pd.Series:
+            out, values = np.ones(len(texts), bool), texts.tolist()
             for i in range(0, len(values), 500):
                 for hit in matcher.find(values[i : i + 500]):
                     out[i + hit[0]] = False
             return pd.Series(out)
 
-        own = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-        docs = docs.filter(clean(own))
+        return test(own)
+
+    for matcher in _matchers(benchmark, "item_id", "text", tolerance):
+        docs = docs.filter(clean(matcher))
     return docs

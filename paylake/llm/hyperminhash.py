@@ -319,6 +319,21 @@ def near_duplicates(
     )
 
 
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without near-duplicates: of each component the row with the smallest id.
+
+    Rows with a null id stay. Of rows that repeat an id one stays, if its id does.
+    """
+    near = near_duplicates(docs, width, percent)
+    keep = near.filter(F.col("kept") & F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").alias("__kept_id")
+    )
+    known = docs.join(
+        keep.distinct(), F.col("doc_id").cast("long") == F.col("__kept_id"), "left_semi"
+    ).dropDuplicates(["doc_id"])
+    return known.union(docs.filter(F.col("doc_id").isNull()))
+
+
 def _classes(sketches: DataFrame) -> DataFrame:
     """(rep, source, set_key, n, sketch) for each distinct set: its smallest id stands for it."""
     return (

@@ -11,6 +11,7 @@ from paylake.llm import (
     fingerprints,
     html_text,
     hyperminhash,
+    piece_encoding,
     pii,
     quality,
     secret_scan,
@@ -29,6 +30,12 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = piece_encoding.public_model()
+    encoded = piece_encoding.encode_documents(read_table(spark, sf_dir, "documents"), path)
+    return piece_encoding.digests(encoded, path)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return quality.score_quality(docs, quality.learn(docs, labels))
@@ -61,6 +68,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_html_text": op1_html_text,
         "op2_secrets": op2_secrets,
+        "op4_pieces": op4_pieces,
         "op5_quality": op5_quality,
         "op6_near_duplicates": op6_near_duplicates,
         "op7_decontamination": op7_decontamination,

@@ -371,3 +371,17 @@ def score_toxicity(docs: DataFrame, model: Model | None) -> DataFrame:
     return rows.select(
         "doc_id", training.held_out(F.col("doc_id")).alias("held_out"), "text"
     ).mapInArrow(run, SCHEMA)
+
+
+def without_toxic(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that score below a half, with all their columns."""
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        values = texts.tolist()
+        if not model:
+            return pd.Series(np.full(len(values), UNKNOWN))
+        parts = [model.score(values[i : i + 1000]) for i in range(0, len(values), 1000)]
+        return pd.Series(np.concatenate(parts) if parts else np.empty(0))
+
+    return docs.filter(score(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))) < 0.5)
