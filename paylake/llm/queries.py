@@ -15,6 +15,7 @@ from paylake.llm import (
     pii,
     quality,
     secret_scan,
+    token_files,
     toxicity,
 )
 from paylake.llm.common import read_table
@@ -30,6 +31,13 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_files.new_folder(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    token_files.write_token_files(docs, token_files.public_tokenizer(), folder)
+    return token_files.digests(token_files.TokenFiles(spark, folder).documents())
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = piece_encoding.public_model()
     encoded = piece_encoding.encode_documents(read_table(spark, sf_dir, "documents"), path)
@@ -68,6 +76,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_html_text": op1_html_text,
         "op2_secrets": op2_secrets,
+        "op3_token_files": op3_token_files,
         "op4_pieces": op4_pieces,
         "op5_quality": op5_quality,
         "op6_near_duplicates": op6_near_duplicates,
