@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 NUMERIC = "decimal(38,9)"
 
 _BLANKS = " \t\r\n\f\v"
-_US_DATE = r"^\d{1,2}/\d{1,2}/\d{4}$"
+_US_DATE = r"^\d{1,2}/\d{1,2}/\d{1,4}$"
 
 
 def safe_parse_date(text: Column) -> Column:
     """Month/day/year text to DATE. Surrounding blanks and unpadded numbers are fine.
 
+    A year is taken as it is written: 23 is the year 23, as strptime's %Y has it.
+
     The shape test keeps text that cannot be a date away from the parser, whose
     failure path builds an exception per row.
     """
     trimmed = F.btrim(text, F.lit(_BLANKS))
-    return F.when(trimmed.rlike(_US_DATE), F.try_to_date(trimmed, "M/d/yyyy"))
+    return F.when(trimmed.rlike(_US_DATE), F.try_to_date(trimmed, "M/d/y"))
 
 
 def safe_cast_numeric(value: Column) -> Column:

@@ -52,8 +52,15 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    """CSV files as the record source expects them: header, doubled quotes."""
+def write_csv(df: DataFrame, path: str, *, split_by: str | None = None) -> str:
+    """CSV files as the record source expects them: header, doubled quotes.
+
+    ``split_by`` deals rows to five files of unequal size by a hash of that column.
+    """
+    if split_by:
+        dice = F.pmod(F.xxhash64(split_by), F.lit(16))
+        share = F.when(dice < 8, 0).when(dice < 12, 1).when(dice < 14, 2).otherwise(dice)
+        df = df.repartition(5, share)
     df.write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="")
     return path
 
@@ -80,6 +87,7 @@ def _payment_columns() -> dict[str, Column]:
         .otherwise(F.col("o_totalprice")),
         "payment_date_str": F.when(key % 17 == 0, F.lit("02/30/1997"))
         .when(key % 29 == 0, F.date_format(day, "M/d/yyyy"))
+        .when(key % 211 == 0, F.lit("01/05/23"))
         .otherwise(F.date_format(day, "MM/dd/yyyy")),
         "payment_form": F.when(cust % 2 == 0, F.lit("Cash or cash equivalent")).otherwise(
             F.lit("In-kind items and services")

@@ -12,20 +12,19 @@ from pyspark.sql import functions as F
 from paylake.functions.scalars import safe_cast_numeric, safe_parse_date
 from paylake.operators import quality, reports
 from paylake.operators.gold import to_gold
-from paylake.operators.silver import require_key, to_silver
+from paylake.operators.silver import project_silver, require_key, to_silver
 from paylake.plans.bindings import payments, raw_payments, table, write_csv
 from paylake.plans.stages import (
     JobConfig,
-    RunCounts,
     build_gold,
     load_staging,
     process_records,
     run_stages,
 )
-from paylake.schema import GOLD_COLUMNS, raw_schema
+from paylake.schema import CLUSTER_COLUMNS, GOLD_COLUMNS, PARTITION_COLUMN, raw_schema
 from paylake.session import scratch_dir
 from paylake.sinks.tables import replace_parquet, replace_table
-from paylake.sources.records import SPLIT_BYTES, read_records
+from paylake.sources.records import read_records
 from paylake.sources.tables import read_parquet, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,7 +61,12 @@ def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_csv(spark: SparkSession, sf_dir: str) -> str:
     return _once(
-        spark, sf_dir, "raw_csv", lambda place: write_csv(raw_payments(spark, sf_dir), place)
+        spark,
+        sf_dir,
+        "raw_csv",
+        lambda place: write_csv(
+            raw_payments(spark, sf_dir), place, split_by="Covered_Recipient_Profile_ID"
+        ),
     )
 
 
@@ -71,7 +75,7 @@ def _documents_csv(spark: SparkSession, sf_dir: str) -> str:
         spark,
         sf_dir,
         "documents_csv",
-        lambda place: write_csv(table(spark, sf_dir, "documents"), place),
+        lambda place: write_csv(table(spark, sf_dir, "documents"), place, split_by="doc_id"),
     )
 
 
@@ -86,21 +90,20 @@ def _stored_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _once(spark, sf_dir, "gold_by_day", make)).select(*GOLD_COLUMNS)
 
 
-def _run(spark: SparkSession, sf_dir: str) -> RunCounts:
-    """All stages, from the CSV files of the whole table."""
-
-    def make(place: str) -> RunCounts:
-        return run_stages(
-            spark,
-            JobConfig(
-                input_path=_raw_csv(spark, sf_dir),
-                silver_path=f"{place}/silver",
-                staging_table=f"run_staging_{_tag(sf_dir)}",
-                gold_table=f"run_gold_{_tag(sf_dir)}",
-                gold_path=f"{place}/gold",
-                max_bad_share=0.2,
-            ),
+def _run(spark: SparkSession, sf_dir: str) -> JobConfig:
+    """All stages, from the CSV files of the whole table; where each layer is."""
+
+    def make(place: str) -> JobConfig:
+        cfg = JobConfig(
+            input_path=_raw_csv(spark, sf_dir),
+            silver_path=f"{place}/silver",
+            staging_table=f"run_staging_{_tag(sf_dir)}",
+            gold_table=f"run_gold_{_tag(sf_dir)}",
+            gold_path=f"{place}/gold",
+            max_bad_share=0.2,
         )
+        run_stages(spark, cfg)
+        return cfg
 
     return _once(spark, sf_dir, "run", make)
 
@@ -113,13 +116,25 @@ def csv_multiline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, _documents_csv(spark, sf_dir), schema)
 
 
-def csv_block_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files in blocks: some 32 for small data, the default size beyond 4 GB."""
-    path = _documents_csv(spark, sf_dir)
-    total = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
-    split = max(64 << 10, min(SPLIT_BYTES, total // 32))
-    schema = table(spark, sf_dir, "documents").schema
-    return read_records(spark, path, schema, split_bytes=split, split_above=split)
+def csv_line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table without line breaks in its fields, its files split into blocks."""
+    columns = (
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        "o_totalprice",
+        "o_orderdate",
+        "o_orderpriority",
+    )
+    orders = table(spark, sf_dir, "orders").select(*columns)
+    orders = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    path = _once(
+        spark,
+        sf_dir,
+        "orders_csv",
+        lambda place: write_csv(orders, place, split_by="o_orderkey"),
+    )
+    return read_records(spark, path, orders.schema, multi_line=False)
 
 
 def csv_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,12 +171,9 @@ def silver_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stage(spark: SparkSession, sf_dir: str, copy: bool) -> DataFrame:
     place = _place(spark, sf_dir, f"silver_staged_{copy}")
     replace_parquet(_silver(spark, sf_dir), place)
-    if not copy:
-        return load_staging(spark, place, f"registered_{_tag(sf_dir)}", copy=False)
-    files = read_parquet(spark, f"{place}/*.parquet")
-    return replace_table(
-        files, f"copied_{_tag(sf_dir)}", path=_place(spark, sf_dir, "silver_copied")
-    )
+    name = f"{'copied' if copy else 'registered'}_{_tag(sf_dir)}"
+    target = _place(spark, sf_dir, "silver_copied") if copy else None
+    return load_staging(spark, place, name, copy=copy, path=target)
 
 
 # Gold
@@ -174,15 +186,78 @@ def gold_replace_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored
 
 
+def gold_replace_fewer_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The partitioned table replaced by a query with fewer days: no old day stays."""
+    gold, name = _gold(spark, sf_dir), f"gold_fewer_{_tag(sf_dir)}"
+    for rows in (gold, _range(gold)):
+        stored = replace_table(
+            rows,
+            name,
+            path=_place(spark, sf_dir, "gold_fewer"),
+            partition_by=PARTITION_COLUMN,
+            cluster_by=CLUSTER_COLUMNS,
+        )
+    return stored.select(*GOLD_COLUMNS)
+
+
 def gold_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _run(spark, sf_dir)
-    return read_table(spark, f"run_gold_{_tag(sf_dir)}").select(*GOLD_COLUMNS)
+    return read_table(spark, _run(spark, sf_dir).gold_table).select(*GOLD_COLUMNS)
+
+
+def gold_comment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table's comment beside its row count."""
+    name = _run(spark, sf_dir).gold_table
+    described = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Comment'")
+    rows = reports.row_count(read_table(spark, name))
+    return described.select(F.col("data_type").alias("table_comment")).crossJoin(rows)
+
+
+def _layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What a run left behind, read back."""
+    cfg = _run(spark, sf_dir)
+    raw = read_records(spark, cfg.input_path, raw_schema())
+    return raw, read_parquet(spark, cfg.silver_path), read_table(spark, cfg.gold_table)
 
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _run(spark, sf_dir)
-    rows = [("raw", counts.raw), ("silver", counts.silver), ("gold", counts.gold)]
-    return spark.createDataFrame(rows, "layer string, record_count long")
+    counts = [
+        reports.row_count(df).select(F.lit(name).alias("layer"), "record_count")
+        for name, df in zip(("raw", "silver", "gold"), _layers(spark, sf_dir), strict=True)
+    ]
+    return counts[0].union(counts[1]).union(counts[2])
+
+
+def layer_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, silver, gold = _layers(spark, sf_dir)
+    return quality.layer_balance(project_silver(raw), silver, gold)
+
+
+def raw_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared schema as rows, and in how many records each column has a value."""
+    raw = read_records(spark, _raw_csv(spark, sf_dir), raw_schema())
+    counts = raw.agg(*[F.count(c).alias(c) for c in raw.columns])
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(f.name).alias("name"),
+            F.lit(f.dataType.simpleString()).alias("type"),
+            F.col(f.name).alias("n_values"),
+        )
+        for i, f in enumerate(raw.schema, 1)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def preview_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = read_records(spark, _raw_csv(spark, sf_dir), raw_schema())
+    first = reports.preview(raw, 5, F.col("Covered_Recipient_Profile_ID").cast("long"))
+    return first.select(
+        "Covered_Recipient_Profile_ID",
+        "Record_ID",
+        "Contextual_Information",
+        "Recipient_Zip_Code",
+        "Program_Year",
+    )
 
 
 # Reports
@@ -237,7 +312,7 @@ def _amounts(df: DataFrame) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "csv_multiline_scan": csv_multiline_scan,
-        "csv_block_scan": csv_block_scan,
+        "csv_line_scan": csv_line_scan,
         "csv_bad_values": csv_bad_values,
         "silver_transform": silver_transform,
         "silver_from_csv": silver_from_csv,
@@ -249,10 +324,13 @@ def queries() -> dict[str, Query]:
         "gold_transform": _gold,
         "gold_replace_idempotent": gold_replace_idempotent,
         "gold_partitioned_table": _stored_gold,
+        "gold_replace_fewer_days": gold_replace_fewer_days,
         "gold_from_csv": gold_from_csv,
         "raw_count": _on(payments, reports.row_count),
         "gold_count": _on(_gold, reports.row_count),
         "layer_counts": layer_counts,
+        "layer_balance": layer_balance,
+        "gold_comment": gold_comment,
         "count_by_nature": _on(_gold, _by("payment_nature")),
         "count_by_state": _on(_gold, _by("recipient_state")),
         "monthly_total": _on(_gold, reports.monthly_total),
@@ -268,7 +346,8 @@ def queries() -> dict[str, Query]:
         "stored_count_by_nature_in_range": _on(_stored_gold, _range, _by("payment_nature")),
         "stored_monthly_total_in_range": _on(_stored_gold, _range, reports.monthly_total),
         "stored_state_filter": _on(_stored_gold, _state_f),
-        "preview_raw": _on(_silver, _preview),
+        "preview_raw": preview_raw,
+        "raw_columns": raw_columns,
         "preview_rows": _on(_gold, _preview),
         "dq_metrics": _on(payments, quality.silver_quality),
         "dq_metrics_gold": _on(_gold, quality.gold_quality),

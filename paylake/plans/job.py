@@ -1,7 +1,7 @@
 """Command line of the job.
 
-With the two paths alone it turns records into silver; naming a gold table runs
-all three stages.
+With two paths, or a base folder and a year, it turns records into silver; naming a gold
+table runs all three stages. An option that would have no effect is an error.
 """
 
 from __future__ import annotations
@@ -12,46 +12,66 @@ import logging
 from paylake.plans.stages import JobConfig, process_records, run_stages
 from paylake.session import build_session
 
+_GOLD_OPTIONS = ("staging_table", "gold_path", "copy_staging", "max_bad_share")
+
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="paylake")
-    parser.add_argument("--input_path", required=True, help="folder or file of CSV records")
-    parser.add_argument("--output_path", required=True, help="folder for silver Parquet")
-    parser.add_argument("--staging_table", default="payments_staging")
+    parser.add_argument("--input_path", help="folder or file of CSV records")
+    parser.add_argument("--output_path", help="folder for silver Parquet")
+    parser.add_argument("--base_path", help="instead of the paths: base folder of all years")
+    parser.add_argument("--year", type=int, help="program year under the base folder")
+    parser.add_argument("--staging_table", help="with gold: name of the staging table")
     parser.add_argument("--gold_table", help="run all stages and replace this table")
-    parser.add_argument("--gold_path", help="folder of the gold table's files")
-    parser.add_argument("--copy_staging", action="store_true", help="copy silver into staging")
+    parser.add_argument("--gold_path", help="with gold: folder of the table's files")
+    parser.add_argument("--copy_staging", action="store_true", help="with gold: copy silver")
+    parser.add_argument("--max_bad_share", type=float, help="with gold: limit of bad rows")
     parser.add_argument("--strict_header", action="store_true", help="refuse other headers")
-    parser.add_argument("--max_bad_share", type=float, help="fail above this share of bad rows")
+    parser.add_argument("--single_line", action="store_true", help="no record crosses lines")
     parser.add_argument("--show_sample", action="store_true", help="print schema and five rows")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    by_path, by_year = (args.input_path, args.output_path), (args.base_path, args.year)
+    if any(x is not None for x in by_year):
+        if None in by_year or any(x is not None for x in by_path):
+            parser.error("base_path and year are required together, and stand for both paths")
+    elif None in by_path:
+        parser.error("input_path and output_path are required")
+    unused = [f"--{x}" for x in _GOLD_OPTIONS if not args.gold_table and getattr(args, x)]
+    if unused:
+        parser.error(f"no effect without --gold_table: {', '.join(unused)}")
+    return args
+
+
+def config(args: argparse.Namespace) -> JobConfig:
+    given = {name: getattr(args, name) for name in (*_GOLD_OPTIONS, "gold_table")}
+    settings = {name: value for name, value in given.items() if value is not None}
+    settings |= {
+        "strict_header": args.strict_header,
+        "multi_line": not args.single_line,
+        "show_sample": args.show_sample,
+    }
+    if args.year is not None:
+        return JobConfig.for_year(args.base_path, args.year, **settings)
+    return JobConfig(input_path=args.input_path, silver_path=args.output_path, **settings)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    cfg = config(args)
     spark = build_session()
     try:
         if args.gold_table:
-            cfg = JobConfig(
-                input_path=args.input_path,
-                silver_path=args.output_path,
-                staging_table=args.staging_table,
-                gold_table=args.gold_table,
-                gold_path=args.gold_path,
-                copy_staging=args.copy_staging,
-                strict_header=args.strict_header,
-                max_bad_share=args.max_bad_share,
-            )
             logging.info("rows per layer: %s", run_stages(spark, cfg))
         else:
-            raw, silver = process_records(
+            counts = process_records(
                 spark,
-                args.input_path,
-                args.output_path,
-                show_sample=args.show_sample,
-                strict_header=args.strict_header,
+                cfg.input_path,
+                cfg.silver_path,
+                show_sample=cfg.show_sample,
+                strict_header=cfg.strict_header,
+                multi_line=cfg.multi_line,
             )
-            logging.info("wrote %d of %d records to %s", silver, raw, args.output_path)
+            logging.info("wrote %s to %s", counts, cfg.silver_path)
     finally:
         spark.stop()

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from paylake.plans.bindings import CONTEXT, ZIP
-from paylake.schema import GOLD_COLUMNS, SILVER_FROM_RAW
+from paylake.plans.stages import GOLD_COMMENT
+from paylake.schema import GOLD_COLUMNS, SILVER_FROM_RAW, raw_schema
 
 _P0 = """
 p0 AS (
-  SELECT
+  SELECT o_orderkey,
     CASE WHEN o_orderkey % 23 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS Record_ID,
     'Covered Recipient Physician' AS Covered_Recipient_Type,
     CAST(o_custkey AS VARCHAR) AS recipient_npi,
@@ -24,6 +25,7 @@ p0 AS (
          ELSE o_totalprice END AS payment_amount_usd,
     CASE WHEN o_orderkey % 17 = 0 THEN '02/30/1997'
          WHEN o_orderkey % 29 = 0 THEN strftime(o_orderdate, '%-m/%-d/%Y')
+         WHEN o_orderkey % 211 = 0 THEN '01/05/23'
          ELSE strftime(o_orderdate, '%m/%d/%Y') END AS payment_date_str,
     CASE WHEN o_custkey % 2 = 0 THEN 'Cash or cash equivalent'
          ELSE 'In-kind items and services' END AS payment_form,
@@ -58,13 +60,28 @@ _DOCUMENTS = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 _CONTEXT_SQL = CONTEXT.replace("'", "''")
 
 
+def _raw_columns() -> str:
+    """The 91 columns with their types, and in how many records each has a value."""
+    own = {src: f"count({name})" for name, src in SILVER_FROM_RAW.items()}
+    own["Covered_Recipient_Profile_ID"] = own["Contextual_Information"] = "count(*)"
+    own["Recipient_Zip_Code"] = "count(*)"
+    own["Number_of_Payments_Included_in_Total_Amount"] = "count_if(o_orderkey % 7 <> 0)"
+    rows = [
+        f"SELECT {i} AS position, '{f.name}' AS name, '{f.dataType.simpleString()}' AS type, "
+        f"(SELECT {own.get(f.name, 'count(NULL)')} FROM p0) AS n_values"
+        for i, f in enumerate(raw_schema(), 1)
+    ]
+    return _LAYERS + " UNION ALL ".join(rows)
+
+
 def oracle_sql() -> dict[str, str]:
     by_nature, by_nature_1996 = (_LAYERS + _BY_NATURE.format(w) for w in ("", f"WHERE {_IN_RANGE}"))
     by_month, by_month_1996 = (_LAYERS + _BY_MONTH.format(w) for w in ("", f"WHERE {_IN_RANGE}"))
     by_state = "SELECT recipient_state, count(*) AS record_count FROM gold GROUP BY recipient_state"
     return {
         "csv_multiline_scan": _DOCUMENTS,
-        "csv_block_scan": _DOCUMENTS,
+        "csv_line_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,"
+        " CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders",
         "csv_bad_values": f"""
             SELECT CAST(o_orderkey AS VARCHAR) AS profile_id,
                    CASE WHEN o_orderkey % 19 = 0 THEN NULL
@@ -116,7 +133,24 @@ def oracle_sql() -> dict[str, str]:
         "stored_monthly_total_in_range": by_month_1996,
         "stored_state_filter": _LAYERS + "SELECT * FROM gold WHERE recipient_state = 'F'",
         "preview_raw": _LAYERS
-        + """SELECT * FROM silver ORDER BY CAST(Record_ID AS BIGINT) LIMIT 5""",
+        + f"""SELECT CAST(o_orderkey AS VARCHAR) AS Covered_Recipient_Profile_ID,
+                     CASE WHEN o_orderkey % 23 <> 0 THEN CAST(o_orderkey AS VARCHAR) END
+                       AS Record_ID,
+                     '{_CONTEXT_SQL}' AS Contextual_Information,
+                     '{ZIP}' AS Recipient_Zip_Code,
+                     CAST(year(o_orderdate) AS VARCHAR) AS Program_Year
+              FROM orders ORDER BY o_orderkey LIMIT 5""",
+        "raw_columns": _raw_columns(),
+        "gold_comment": _LAYERS
+        + f"""SELECT '{GOLD_COMMENT}' AS table_comment, count(*) AS record_count FROM gold""",
+        "gold_replace_fewer_days": _GOLD + f" WHERE {_IN_RANGE}",
+        "layer_balance": _LAYERS
+        + f"""SELECT (SELECT count(*) FROM p0) AS raw,
+                     (SELECT count(*) FROM p0 WHERE Record_ID IS NULL) AS missing_key,
+                     (SELECT count(*) FROM silver) AS silver,
+                     (SELECT count(*) FROM silver WHERE {_DATE} IS NULL OR {_AMOUNT} IS NULL)
+                       AS rejected,
+                     (SELECT count(*) FROM gold) AS gold""",
         "preview_rows": _LAYERS
         + """SELECT * FROM gold ORDER BY CAST(Record_ID AS BIGINT) LIMIT 5""",
         "dq_metrics": _LAYERS

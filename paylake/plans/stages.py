@@ -11,14 +11,18 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from paylake.operators.gold import to_gold
-from paylake.operators.quality import gold_quality, require_quality, silver_quality
-from paylake.operators.silver import to_silver
+from paylake.operators.quality import (
+    observe_raw,
+    observe_silver,
+    require_balance,
+    require_quality,
+)
+from paylake.operators.silver import project_silver, require_key
 from paylake.schema import CLUSTER_COLUMNS, GOLD_COLUMNS, PARTITION_COLUMN, raw_schema
 from paylake.sinks.tables import register_parquet, replace_parquet, replace_table
-from paylake.sources.records import SPLIT_ABOVE, SPLIT_BYTES, read_records
+from paylake.sources.records import read_records
 from paylake.sources.tables import read_parquet, read_table
 
 log = logging.getLogger(__name__)
@@ -38,10 +42,11 @@ class JobConfig:
     # Staging is a pure copy of silver: by default the table points at its files.
     copy_staging: bool = False
     strict_header: bool = False
-    # Largest share of rows with a bad date or amount; None checks nothing.
+    # Whether fields may hold line breaks; if not, big files are split into blocks.
+    multi_line: bool = True
+    show_sample: bool = False
+    # Largest share of rows with a bad date or amount; None sets no limit.
     max_bad_share: float | None = None
-    split_bytes: int = SPLIT_BYTES
-    split_above: int | None = SPLIT_ABOVE
 
     @classmethod
     def for_year(cls, base: str, year: int, **settings) -> JobConfig:
@@ -71,48 +76,46 @@ def process_records(
     *,
     show_sample: bool = False,
     strict_header: bool = False,
-    split_bytes: int = SPLIT_BYTES,
-    split_above: int | None = SPLIT_ABOVE,
-) -> tuple[int, int]:
-    """CSV folder to silver Parquet; returns the raw and the silver row count.
+    multi_line: bool = True,
+) -> dict[str, int]:
+    """CSV folder to silver Parquet; returns what the write counted.
 
-    Both counts come out of the write itself, which has no shuffle: records are
-    parsed once, and a task that runs again is not counted twice.
+    ``raw``, ``missing_key``, ``silver``, ``bad_date``, ``bad_amount`` and ``rejected`` (bad
+    in either) come out of the write itself, which has no shuffle: records are parsed once,
+    and a task that runs again is not counted twice.
     """
     try:
         raw = read_records(
-            spark,
-            input_path,
-            raw_schema(),
-            strict_header=strict_header,
-            split_bytes=split_bytes,
-            split_above=split_above,
+            spark, input_path, raw_schema(), strict_header=strict_header, multi_line=multi_line
         )
     except AnalysisException:
-        log.error(
-            "cannot read records from %s: check the path, the file format and encoding, "
-            "and the declared schema against the file header",
-            input_path,
-        )
+        log.error("no CSV records could be read under %s; is it a folder of CSV files?", input_path)
         raise
     if show_sample:
         raw.printSchema()
         raw.show(5, truncate=False)
-    raw_rows, silver_rows = Observation(), Observation()
-    counted = F.count(F.lit(1)).alias("n")
-    silver = raw.observe(raw_rows, counted).transform(to_silver).observe(silver_rows, counted)
-    replace_parquet(silver, output_path)
-    return raw_rows.get["n"], silver_rows.get["n"]
+    raw_seen, silver_seen = Observation(), Observation()
+    silver = observe_raw(project_silver(raw), raw_seen).transform(require_key)
+    replace_parquet(observe_silver(silver, silver_seen), output_path)
+    return {**raw_seen.get, **silver_seen.get}
+
 
+def load_staging(
+    spark: SparkSession, silver_path: str, table: str, *, copy: bool, path: str | None = None
+) -> DataFrame:
+    """Make silver readable as a table, replacing what the name stood for.
 
-def load_staging(spark: SparkSession, silver_path: str, table: str, *, copy: bool) -> DataFrame:
-    """Make silver readable as a table, replacing what the name stood for."""
+    A copy's files go under ``path``, by default under the warehouse.
+    """
     if copy:
-        return replace_table(read_parquet(spark, f"{silver_path.rstrip('/')}/*.parquet"), table)
+        files = read_parquet(spark, f"{silver_path.rstrip('/')}/*.parquet")
+        return replace_table(files, table, path=path)
     return register_parquet(spark, table, silver_path)
 
 
-def build_gold(staging: DataFrame, table: str, path: str | None = None) -> DataFrame:
+def build_gold(
+    staging: DataFrame, table: str, path: str | None = None, written: Observation | None = None
+) -> DataFrame:
     """Typed, filtered rows as a table of day partitions, clustered inside each."""
     return replace_table(
         to_gold(staging),
@@ -121,30 +124,28 @@ def build_gold(staging: DataFrame, table: str, path: str | None = None) -> DataF
         partition_by=PARTITION_COLUMN,
         cluster_by=CLUSTER_COLUMNS,
         comment=GOLD_COMMENT,
+        written=written,
     ).select(*GOLD_COLUMNS)
 
 
 def run_stages(spark: SparkSession, cfg: JobConfig) -> RunCounts:
-    raw_rows, silver_rows = process_records(
+    """All stages. Too many bad rows stop the run before gold is replaced."""
+    metrics = process_records(
         spark,
         cfg.input_path,
         cfg.silver_path,
+        show_sample=cfg.show_sample,
         strict_header=cfg.strict_header,
-        split_bytes=cfg.split_bytes,
-        split_above=cfg.split_above,
+        multi_line=cfg.multi_line,
     )
-    log.info("silver: %d of %d records have a key", silver_rows, raw_rows)
-    load_staging(spark, cfg.silver_path, cfg.staging_table, copy=cfg.copy_staging)
-    staging = read_table(spark, cfg.staging_table)
-    if cfg.max_bad_share is not None:
-        # A scan of three columns, before gold is touched.
-        require_quality(silver_quality(staging).first().asDict(), cfg.max_bad_share)
-    gold = build_gold(staging, cfg.gold_table, cfg.gold_path)
+    log.info("silver: %s", metrics)
     if cfg.max_bad_share is not None:
-        metrics = gold_quality(gold).first().asDict()
-        require_quality(metrics, 0)
-        gold_rows = metrics["row_count"]
-    else:
-        gold_rows = gold.count()  # from file footers
-    log.info("gold: %d rows", gold_rows)
-    return RunCounts(raw_rows, silver_rows, gold_rows)
+        bad = {name: metrics[name] for name in ("bad_date", "bad_amount")}
+        require_quality({"row_count": metrics["silver"], **bad}, cfg.max_bad_share)
+    load_staging(spark, cfg.silver_path, cfg.staging_table, copy=cfg.copy_staging)
+    written = Observation()
+    build_gold(read_table(spark, cfg.staging_table), cfg.gold_table, cfg.gold_path, written)
+    metrics["gold"] = written.get["n"]
+    require_balance(metrics)
+    log.info("gold: %d rows", metrics["gold"])
+    return RunCounts(metrics["raw"], metrics["silver"], metrics["gold"])

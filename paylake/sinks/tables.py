@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+import math
+import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+# Size of a table's files, before compression of what the input's columns leave out.
+TARGET_BYTES = 256 << 20
 
 
 def replace_parquet(df: DataFrame, path: str) -> None:
@@ -13,15 +19,38 @@ def replace_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def cluster_rows(df: DataFrame, partition_by: str, cluster_by: Sequence[str]) -> DataFrame:
-    """Bring each partition value together, sort by the cluster columns inside.
+def input_bytes(df: DataFrame) -> int:
+    """The planner's estimate of a query's size; for files read, that of the columns used."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def cluster_rows(
+    df: DataFrame,
+    partition_by: str,
+    cluster_by: Sequence[str],
+    target_bytes: int = TARGET_BYTES,
+) -> DataFrame:
+    """Bring each partition value together, sorted by the cluster columns, in ranges.
+
+    Tasks get ranges of (partition value, cluster columns). A value with more than a task's
+    share of the rows is cut into ranges of the cluster columns, and where these are equal
+    by a hash, so its files hold few cluster values each and a filter skips the others. Any
+    other value is in one range, so it gets one file.
 
-    ``rebalance`` rather than ``repartition``: the adaptive planner cuts a value
-    that holds far more than its share into several tasks and packs small ones
-    together, so one hot day neither stalls a task nor costs the others files.
-    The sort makes Parquet row-group min/max ranges narrow on the cluster columns.
+    Costs an aggregation by partition value, which brings one row for each folder to be
+    written to the driver, and the sampling pass of the range shuffle.
     """
-    return df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *cluster_by)
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(input_bytes(df) / target_bytes))
+    counts = df.groupBy(partition_by).agg(F.count(F.lit(1)).alias("n")).collect()
+    share = sum(r["n"] for r in counts) / tasks
+    hot = [r[0] for r in counts if r["n"] > share and r[0] is not None]
+    keys: list[Column] = [F.col(partition_by)]
+    if hot:
+        cut = F.col(partition_by).isin(hot)
+        spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        keys += [F.when(cut, F.col(c)) for c in cluster_by] + [F.when(cut, spread)]
+    return df.repartitionByRange(tasks, *keys).sortWithinPartitions(partition_by, *cluster_by)
 
 
 def replace_table(
@@ -32,11 +61,17 @@ def replace_table(
     partition_by: str | None = None,
     cluster_by: Sequence[str] = (),
     comment: str | None = None,
+    written: Observation | None = None,
+    target_bytes: int = TARGET_BYTES,
 ) -> DataFrame:
     """Create or replace a Parquet table from a query and return it.
 
-    The stock catalog has no atomic replace: readers may see no table, or an empty
-    one, while it is written. The partition column moves to the end of the schema.
+    The new files go to a folder of their own under ``path`` (by default under the
+    warehouse), and a table under a working name is declared over them and filled. Only
+    when that has succeeded does it take the old table's place, and the old files go. A
+    failed write leaves the old table as it was. The swap is two catalog entries, so a
+    reader may for a moment see no table, never a part of one. The partition column moves
+    to the end of the schema. ``written`` gets the row count of the write as ``n``.
 
     The table is declared first and then filled, because an insert registers the
     partitions it wrote; a create-as-select lists all their folders to find them.
@@ -44,28 +79,35 @@ def replace_table(
     spark = df.sparkSession
     if partition_by:
         df = df.select(*[c for c in df.columns if c != partition_by], partition_by)
-        df = cluster_rows(df, partition_by, cluster_by)
+        df = cluster_rows(df, partition_by, cluster_by, target_bytes)
     elif cluster_by:
         df = df.sortWithinPartitions(*cluster_by)
+    if written is not None:
+        df = df.observe(written, F.count(F.lit(1)).alias("n"))
+    version = uuid.uuid4().hex[:12]
+    working = f"{table}_new_{version}"
+    base = (path or f"{spark.conf.get('spark.sql.warehouse.dir')}/{table}").rstrip("/")
+    folder = f"{base}/version-{version}"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    declaration = [f"CREATE TABLE {table} ({columns}) USING parquet"]
+    declaration = [f"CREATE TABLE {working} ({columns}) USING parquet"]
     if partition_by:
         declaration.append(f"PARTITIONED BY (`{partition_by}`)")
-    if path:
-        declaration.append(f"LOCATION {_literal(path)}")
+    declaration.append(f"LOCATION {_literal(folder)}")
     if comment:
         declaration.append(f"COMMENT {_literal(comment)}")
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(" ".join(declaration))
-    settings = {
-        "spark.sql.sources.partitionOverwriteMode": "static",
-        # Files are per partition value, so merging shuffle partitions saves none of them:
-        # keep a task per core, however small the data.
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
-    }
-    with _settings(spark, settings if partition_by else {}):
-        df.write.insertInto(table, overwrite=True)
+    try:
+        df.write.insertInto(working)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {working}")
+        _delete(spark, folder)
+        raise
+    old = _location(spark, table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {working} RENAME TO {table}")
+    # Only folders that this function made: a registered table's files are not its own.
+    if old and "/version-" in old:
+        _delete(spark, old)
     return spark.table(table)
 
 
@@ -75,16 +117,19 @@ def register_parquet(spark: SparkSession, table: str, path: str) -> DataFrame:
     return spark.catalog.createTable(table, path=path, source="parquet")
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    before = {key: spark.conf.get(key) for key in values}
+def _location(spark: SparkSession, table: str) -> str | None:
     try:
-        for key, value in values.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+        rows = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Location'").collect()
+    except AnalysisException:
+        return None
+    return rows[0]["data_type"] if rows else None
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder in whatever store it is, through Spark's own file systems."""
+    jvm, context = spark._jvm, spark.sparkContext._jsc
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
 
 
 def _literal(text: str) -> str:

@@ -2,28 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylake.session import scratch_dir
-from paylake.sources.record_split import BigFile, split_records
-
 # Quoted fields may hold line breaks; a doubled quote is a literal quote.
-CSV_OPTIONS = {"multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
+CSV_OPTIONS = {"quote": '"', "escape": '"', "encoding": "UTF-8", "header": "true"}
 
-SPLIT_BYTES = 128 << 20
-# Below this size a whole file in one task costs little more than it has to: Spark's
-# reader takes 12 s per GB, and joining lines costs several times the CPU.
-SPLIT_ABOVE = 2 << 30
-# Files Spark reads through a codec have no byte blocks of their own.
-_CODECS = r"\.(gz|bz2|zst|zstd|lz4|snappy|deflate)$"
 
-
-class HeaderMismatch(ValueError):
-    """A file's header does not name the declared columns."""
+class RecordsCrossLines(ValueError):
+    """Input declared to have one record a line has a record that goes on in the next."""
 
 
 def read_records(
@@ -32,88 +20,31 @@ def read_records(
     schema: T.StructType,
     *,
     strict_header: bool = False,
-    split_bytes: int = SPLIT_BYTES,
-    split_above: int | None = SPLIT_ABOVE,
+    multi_line: bool = True,
 ) -> DataFrame:
     """All files of a folder as one table; the header record of each is skipped.
 
-    Columns bind by position. Fields that do not parse become NULL and keep their
-    row. ``strict_header`` refuses files whose header names differ instead of
-    binding them by position.
-
-    Files up to ``split_above`` bytes go to Spark's reader, several to a task or
-    one; larger ones are cut into blocks of ``split_bytes`` (None: never cut).
-    """
-    options = {**CSV_OPTIONS, "header": "true", "enforceSchema": str(not strict_header).lower()}
-    reader = spark.read.schema(schema)
-    whole = reader.options(**options).csv(path)
-    declared = whole.select(*schema.names)
-    if split_above is None:
-        return declared
-    big = _files_above(spark, path, split_above)
-    if not big:
-        return declared
-    work_dir = f"{scratch_dir(spark)}/blocks-{uuid.uuid4().hex}"
-    split = split_records(spark, big, split_bytes, work_dir)
-    if split is None:
-        return declared
-    if strict_header:
-        _check_headers(spark, split.headers, schema)
-    # Spark drops the filtered files when it lists them, before any task.
-    rest = whole.filter(~F.col("_metadata.file_path").isin([f.uri for f in split.files]))
-    df = rest.select(*schema.names)
-    if split.single_line:
-        by_line = reader.options(**options).option("multiLine", "false")
-        df = df.union(by_line.csv([f.literal_path for f in split.single_line]))
-    if split.records is not None:
-        df = df.union(_parse(split.records, schema))
-    return df
-
-
-def _files_above(spark: SparkSession, path: str | list[str], size: int) -> list[BigFile]:
-    """The plain files above a size; file contents are not read.
+    Columns bind by position. Fields that do not parse become NULL and keep their row.
+    ``strict_header`` refuses files whose header names differ instead of binding them by
+    position.
 
-    At most total bytes / size rows, and each stands for a file the driver has
-    listed anyway.
+    With ``multi_line`` fields may hold line breaks, and a file is one task, whatever its
+    size: deliver many files. Without it the caller declares one record a line, and files
+    are split into blocks. That is checked, at the cost of reading the lines once more.
     """
-    uri = F.col("_metadata.file_path")
-    rows = (
-        spark.read.format("binaryFile")
-        .load(path)
-        .filter((F.col("length") > size) & ~F.col("path").rlike(_CODECS))
-        .select(F.xxhash64(uri).alias("file_id"), uri.alias("uri"), "path")
-        .collect()
+    if not multi_line:
+        require_single_lines(spark, path)
+    return (
+        spark.read.schema(schema)
+        .options(**CSV_OPTIONS, enforceSchema=not strict_header, multiLine=multi_line)
+        .csv(path)
     )
-    files = {r.file_id: BigFile(r.file_id, r.uri, r.path) for r in rows}
-    return sorted(files.values()) if len(files) == len(rows) else []
 
 
-def _ddl(fields: list[tuple[str, str]]) -> str:
-    return ", ".join(f"`{name}` {kind}" for name, kind in fields)
-
-
-def _parse(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """Fields of each record, by the parser behind Spark's CSV reader.
-
-    Record ends are settled, so no line break detection is left to it. ``inline``
-    keeps a later filter from being evaluated on a second parse of the record.
-    """
-    ddl = _ddl([(f.name, f.dataType.simpleString()) for f in schema])
-    parsed = F.from_csv("record", ddl, {**CSV_OPTIONS, "lineSep": "\n"})
-    return records.select(F.inline(F.array(parsed)))
-
-
-def _check_headers(spark: SparkSession, headers: list[str], schema: T.StructType) -> None:
-    # One spare column, so that a header with too many names shows.
-    ddl = _ddl([(f"c{i}", "string") for i in range(len(schema) + 1)])
-    found = (
-        spark.createDataFrame([(h,) for h in headers], "header string")
-        .select(F.from_csv("header", ddl, {**CSV_OPTIONS, "lineSep": "\n"}).alias("h"))
-        .select("h.*")
-        .distinct()
-        .collect()
-    )
-    wanted = [n.lower() for n in schema.names] + [None]
-    for row in found:
-        if [v.lower() if v else v for v in row] != wanted:
-            raise HeaderMismatch("CSV header does not conform to the schema")
+def require_single_lines(spark: SparkSession, path: str | list[str]) -> None:
+    """Raises if a line has an odd number of quotes: its record goes on in the next line."""
+    # Bytes, since a line may not be valid UTF-8.
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    crossing = spark.read.text(path).filter(quotes % 2 == 1)
+    if not crossing.isEmpty():
+        raise RecordsCrossLines(f"records in {path} cross lines: read them with multi_line")

@@ -3,12 +3,14 @@ import logging
 import os
 import subprocess
 import sys
+import zipfile
 from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
 
-from paylake.operators.quality import QualityError, require_quality
+from paylake.operators.gold import to_gold
+from paylake.operators.quality import QualityError, require_balance, require_quality
 from paylake.plans import job, stages
 from paylake.plans.bindings import raw_payments, write_csv
 from paylake.plans.stages import JobConfig, RunCounts, process_records, run_stages
@@ -52,14 +54,6 @@ def test_run_twice_gives_the_same_state(spark, csv_dir, tmp_path, copy):
     assert 0 < states[0][0].gold < states[0][0].silver < states[0][0].raw
 
 
-def test_counts_with_split_files(spark, csv_dir, tmp_path):
-    whole = process_records(spark, csv_dir, str(tmp_path / "a"))
-    split = process_records(spark, csv_dir, str(tmp_path / "b"), split_bytes=999, split_above=999)
-    assert whole == split
-    rows = [sorted(map(repr, spark.read.parquet(str(tmp_path / x)).collect())) for x in "ab"]
-    assert rows[0] == rows[1]
-
-
 def test_quality_gate_stops_before_gold(spark, csv_dir, tmp_path):
     before = config(csv_dir, tmp_path)
     run_stages(spark, before)
@@ -70,6 +64,21 @@ def test_quality_gate_stops_before_gold(spark, csv_dir, tmp_path):
     assert run_stages(spark, config(csv_dir, tmp_path, max_bad_share=0.5)).gold == rows
 
 
+def test_balance():
+    good = {"raw": 10, "missing_key": 2, "silver": 8, "rejected": 3, "gold": 5}
+    require_balance(good)
+    for name, n in (("missing_key", 1), ("silver", 9), ("rejected", 2), ("gold", 4)):
+        with pytest.raises(QualityError, match="unaccounted"):
+            require_balance({**good, name: n})
+
+
+def test_counts_come_from_the_writes(spark, csv_dir, tmp_path, monkeypatch):
+    """A run whose gold lost rows on the way fails its balance."""
+    monkeypatch.setattr(stages, "to_gold", lambda df: to_gold(df).filter("Record_ID <> '1'").limit(3))
+    with pytest.raises(QualityError, match="silver"):
+        run_stages(spark, config(csv_dir, tmp_path))
+
+
 def test_require_quality():
     good = {"row_count": 100, "missing_key": 0, "bad_date": 5, "bad_amount": 5}
     require_quality(good, 0.05)
@@ -80,7 +89,7 @@ def test_require_quality():
 def test_missing_input_is_explained_and_raised(spark, tmp_path, caplog):
     with caplog.at_level(logging.ERROR), pytest.raises(AnalysisException):
         process_records(spark, str(tmp_path / "nothing"), str(tmp_path / "out"))
-    assert "check the path" in caplog.text
+    assert "no CSV records could be read" in caplog.text
     assert not (tmp_path / "out").exists()
 
 
@@ -89,7 +98,8 @@ def test_header_is_positional_unless_strict(spark, tmp_path):
     folder.mkdir()
     names = ["Other", *RAW_COLUMNS[1:]]
     (folder / "a.csv").write_text(",".join(names) + "\n" + ",".join(["1"] * 91) + "\n")
-    assert process_records(spark, str(folder), str(tmp_path / "o")) == (1, 1)
+    counts = process_records(spark, str(folder), str(tmp_path / "o"))
+    assert (counts["raw"], counts["silver"], counts["rejected"]) == (1, 1, 1)
     with pytest.raises(Exception, match="(?i)header does not conform"):
         process_records(spark, str(folder), str(tmp_path / "o"), strict_header=True)
 
@@ -107,6 +117,38 @@ def test_both_paths_are_required(capsys):
     assert "required" in capsys.readouterr().err
 
 
+def test_options_without_effect_are_refused(capsys):
+    paths = ["--input_path=a", "--output_path=b"]
+    for more in (["--gold_path=c"], ["--copy_staging"], ["--max_bad_share=0.1"], ["--staging_table=t"]):
+        with pytest.raises(SystemExit):
+            job.parse_args(paths + more)
+        assert more[0].split("=")[0] in capsys.readouterr().err
+        job.parse_args([*paths, *more, "--gold_table=g"])
+
+
+def test_year_on_the_command_line(capsys):
+    cfg = job.config(job.parse_args(["--base_path=/lake", "--year=2023", "--gold_table=g", "--show_sample"]))
+    assert (cfg.input_path, cfg.silver_path) == ("/lake/raw/2023", "/lake/silver/2023")
+    assert (cfg.gold_table, cfg.staging_table) == ("g", "payments_staging_2023")
+    assert cfg.show_sample and cfg.multi_line
+    for argv in (["--year=2023"], ["--base_path=/l"], ["--base_path=/l", "--year=1", "--input_path=x"]):
+        with pytest.raises(SystemExit):
+            job.parse_args(argv)
+
+
+def test_sample_in_a_full_run(spark, csv_dir, tmp_path, capsys):
+    run_stages(spark, config(csv_dir, tmp_path, show_sample=True))
+    assert "Teaching_Hospital_CCN: string" in capsys.readouterr().out
+
+
+def test_zip_holds_the_package(tmp_path):
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+    import make_zip
+
+    names = zipfile.ZipFile(make_zip.build(tmp_path / "p.zip")).namelist()
+    assert "paylake/plans/job.py" in names and "paylake/__init__.py" in names
+
+
 def test_command_line_writes_silver(spark, csv_dir, tmp_path, monkeypatch, capsys):
     class Kept:
         """The test session, kept open at the end of the job."""
@@ -124,7 +166,7 @@ def test_command_line_writes_silver(spark, csv_dir, tmp_path, monkeypatch, capsy
     monkeypatch.setattr(job, "process_records", run)
     job.main([f"--input_path={csv_dir}", f"--output_path={tmp_path / 's'}", "--show_sample"])
     assert spark.read.parquet(str(tmp_path / "s")).count() > 0
-    assert seen["settings"] == {"show_sample": True, "strict_header": False}
+    assert seen["settings"] == {"show_sample": True, "strict_header": False, "multi_line": True}
     assert "Teaching_Hospital_CCN: string" in capsys.readouterr().out
 
 
@@ -155,7 +197,7 @@ def test_script_runs_all_stages(csv_dir, tmp_path):
     )
     assert done.returncode == 0, done.stderr[-2000:]
     assert "RunCounts(raw=" in done.stderr
-    assert list((tmp_path / "gold").glob("payment_date=1996-*/*.parquet"))
+    assert list((tmp_path / "gold").glob("version-*/payment_date=1996-*/*.parquet"))
 
 
 def test_gold_rows_fall_on_parsed_days(spark, csv_dir, tmp_path):

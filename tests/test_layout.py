@@ -43,7 +43,7 @@ def stored(spark, tmp_path_factory):
 
 def test_one_folder_per_day(stored):
     _, path = stored
-    assert len(list(path.glob("payment_date=*"))) == 31
+    assert len(list(path.glob("version-*/payment_date=*"))) == 31
 
 
 def test_partition_column_reads_as_date(stored):
@@ -85,29 +85,67 @@ def test_rows_are_clustered_inside_files(stored):
         assert keys == sorted(keys)
 
 
-def test_hot_day_is_cut_into_several_tasks(spark, tmp_path):
-    settings = {
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
-        "spark.sql.shuffle.partitions": "40",
-    }
-    saved = {key: spark.conf.get(key) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        rows = cluster_rows(day_rows(spark, 200_000), "payment_date", ("recipient_state",))
-        rows.write.partitionBy("payment_date").parquet(str(tmp_path / "t"))
-    finally:
-        for key, value in saved.items():
-            spark.conf.set(key, value)
-    sizes = {
-        folder.name: [pq.ParquetFile(f).metadata.num_rows for f in folder.glob("*.parquet")]
-        for folder in (tmp_path / "t").glob("payment_date=*")
-    }
-    hot = sizes[f"payment_date={DAY}"]
-    assert sum(hot) > 200_000 / 3 and max(hot) < sum(hot) / 3
-    assert sum(map(sum, sizes.values())) == 200_000
-    # Other days keep one file, save those that share the hot day's shuffle bucket.
-    assert sorted(map(len, sizes.values()))[len(sizes) // 2] == 1
+def hot_day_files(spark, tmp_path, rows, **more):
+    """Row counts and (lowest, highest) states of each file, by day."""
+    replace_parquet(rows, str(tmp_path / "in"))
+    source = spark.read.parquet(str(tmp_path / "in"))
+    size = sum(f.stat().st_size for f in (tmp_path / "in").glob("*.parquet"))
+    spread = cluster_rows(source, "payment_date", ("recipient_state", "payment_nature"), **more)
+    spread.write.partitionBy("payment_date").parquet(str(tmp_path / "out"))
+    files = {}
+    for folder in (tmp_path / "out").glob("payment_date=*"):
+        for file in folder.glob("*.parquet"):
+            states = pq.ParquetFile(file).read(["recipient_state"])["recipient_state"].to_pylist()
+            files.setdefault(folder.name, []).append((len(states), min(states), max(states)))
+    return files, size
+
+
+def test_hot_day_is_cut_into_files_that_a_state_filter_skips(spark, tmp_path):
+    files, size = hot_day_files(spark, tmp_path, day_rows(spark, 200_000), target_bytes=500_000)
+    hot = files.pop(f"payment_date={DAY}")
+    assert len(hot) >= 8
+    assert max(n for n, _, _ in hot) < sum(n for n, _, _ in hot) / 4
+    for state in {f"S{i}" for i in range(7)}:
+        assert sum(low <= state <= high for _, low, high in hot) <= 3
+    # An ordinary day keeps one file.
+    assert all(len(day) == 1 for day in files.values())
+    assert sum(n for day in [hot, *files.values()] for n, _, _ in day) == 200_000
+
+
+def test_one_hot_day_state_and_kind_is_cut_too(spark, tmp_path):
+    one = day_rows(spark, 200_000).withColumns(
+        {
+            "payment_date": F.lit(DAY),
+            "recipient_state": F.lit("S1"),
+            "payment_nature": F.lit(None).cast("string"),
+        }
+    )
+    files, _ = hot_day_files(spark, tmp_path, one, target_bytes=500_000)
+    counts = [n for n, _, _ in files[f"payment_date={DAY}"]]
+    assert len(counts) >= 8 and max(counts) < 200_000 / 4 and sum(counts) == 200_000
+
+
+@pytest.mark.parametrize("path", [True, False])
+@pytest.mark.parametrize("day", ["payment_date", None])
+def test_failed_replacement_leaves_the_old_table(spark, tmp_path, path, day):
+    name = f"layout_failed_{path}_{day}"
+    more = {"path": str(tmp_path / "t") if path else None, "partition_by": day}
+    rows = day_rows(spark, 300)
+    old = sorted(map(repr, replace_table(rows, name, **more).collect()))
+    bad = rows.withColumn(
+        "payer_name", F.when(F.col("Record_ID") == "r17", F.raise_error(F.lit("no"))).otherwise("x")
+    )
+    with pytest.raises(Exception, match="no"):
+        replace_table(bad, name, **more)
+    assert sorted(map(repr, spark.table(name).collect())) == old
+    assert not [t.name for t in spark.catalog.listTables() if "_new_" in t.name]
+    if path:
+        assert len(list((tmp_path / "t").iterdir())) == 1
+    fewer = replace_table(rows.filter("payment_date < DATE '2023-01-05'"), name, **more)
+    assert 0 < fewer.count() == rows.filter("payment_date < DATE '2023-01-05'").count()
+    if path:
+        assert len(list((tmp_path / "t").iterdir())) == 1
+    spark.sql(f"DROP TABLE {name}")
 
 
 def test_replace_twice(spark, tmp_path):

