@@ -34,6 +34,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +48,7 @@ UNIGRAM, BPE = 1, 2
 CACHE_WORDS = 400_000
 CACHE_PAIRS = 1_000_000
 UNKNOWN_PENALTY = 10.0
+_CODE_BITS = 22  # room for all pieces and, behind them, all characters
 
 
 @dataclass
@@ -60,12 +62,18 @@ class PieceModel:
     unknown: int
     kind: int
     prefix: bool
-    longest: int = 0
-    pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
+    tails: dict[str, int] = field(default_factory=dict)  # ends of pieces: the piece or -1
+    pairs: dict[int, bool] = field(default_factory=dict)
     byte_of: dict[int, int] = field(default_factory=dict)
+    raw: list[bytes] = field(default_factory=list)
 
     def __post_init__(self) -> None:
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
+        self.tails = {t[i:]: -1 for t in self.ids for i in range(len(t))} | self.ids
+        # What each id is in the text: its bytes, with spaces for marks.
+        self.raw = [t.replace(MARK, " ").encode("utf-8", "surrogatepass") for t in self.texts]
+        for i, b in self.byte_of.items():
+            self.raw[i] = bytes([b])
 
     @classmethod
     def from_bytes(cls, content: bytes) -> PieceModel:
@@ -103,7 +111,6 @@ class PieceModel:
             unknown,
             model.trainer_spec.model_type,
             norm.add_dummy_prefix,
-            max(map(len, ids), default=1),
         )
 
     def merged(self, text: str) -> list[str]:
@@ -134,14 +141,16 @@ class PieceModel:
             offer(i)
         return [s for s in symbols if s is not None]
 
-    def may_follow(self, left: str, right: str) -> bool:
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            known = self.merged(left + right) == [left, right]
-            if len(self.pairs) >= CACHE_PAIRS:
-                self.pairs.clear()
-            self.pairs[key] = known
+    def text_of(self, code: int) -> str:
+        return self.texts[code] if code < len(self.texts) else chr(code - len(self.texts))
+
+    def may_follow(self, left: int, right: int) -> bool:
+        """Whether merging the joined text of two pieces gives these two; remembered."""
+        pair = [self.text_of(left), self.text_of(right)]
+        known = self.merged("".join(pair)) == pair
+        if len(self.pairs) >= CACHE_PAIRS:
+            self.pairs.clear()
+        self.pairs[left << _CODE_BITS | right] = known
         return known
 
     def fallback(self, char: str) -> list[int]:
@@ -151,71 +160,79 @@ class PieceModel:
 
     def encode_sorted(self, words: Iterable[str]) -> Iterator[list[int]]:
         """Ids of each of the words, which come in sorted order, each once."""
-        bpe, ids, longest = self.kind == BPE, self.ids, self.longest
-        scores, pairs, may_follow = self.scores, self.pairs, self.may_follow
-        floor = min(scores, default=0.0) - UNKNOWN_PENALTY
+        extend = self._extend_bpe if self.kind == BPE else self._extend_unigram
+        known, raw_size = len(self.texts), [len(t) for t in self.texts]
         before = ""
-        best: list[float] = [0.0]
-        last: list[str] = [""]
+        # The forward states of the current path: best score and last piece of each prefix.
+        # A character without a piece has a code of its own behind the pieces' ids.
+        best, last = [0.0], [-1]
         for word in words:
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
             del best[shared + 1 :], last[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                top, piece = None, word[end - 1]
-                for start in range(max(0, end - longest), end):
-                    text = word[start:end]
-                    i = ids.get(text)
-                    if i is None:
-                        if end - start > 1:
-                            continue
-                        score = best[start] + floor
-                    else:
-                        score = best[start] + scores[i]
-                    if bpe:
-                        if start:
-                            fits = pairs.get((last[start], text))
-                            if fits is None:
-                                fits = may_follow(last[start], text)
-                            if not fits:
-                                continue
-                        top, piece = score, text
-                        break
-                    elif top is None or score > top:
-                        top, piece = score, text
-                best.append(0.0 if top is None else top)
-                last.append(piece)
-            out: list[list[int]] = []
-            end = len(word)
+            extend(word, shared, best, last)
+            out, end, plain = [], len(word), True
             while end:
-                text = last[end]
-                i = ids.get(text)
-                out.append([i] if i is not None else self.fallback(text))
-                end -= len(text)
-            yield [i for part in reversed(out) for i in part]
+                code = last[end]
+                out.append(code)
+                if code < known:
+                    end -= raw_size[code]
+                else:
+                    end, plain = end - 1, False
+            out.reverse()
+            if not plain:
+                out = [i for c in out for i in ((c,) if c < known else self.fallback(chr(c - known)))]
+            yield out
             before = word
 
+    def _extend_bpe(self, word: str, shared: int, best: list[float], last: list[int]) -> None:
+        """Forward states from ``shared`` on: the one piece that may end there."""
+        tail, fits_of, known = self.tails.get, self.pairs.get, len(self.texts)
+        for end in range(shared + 1, len(word) + 1):
+            start, found = end - 1, -1
+            # Every end of a piece is known, so the first unknown text ends the search.
+            while start >= 0 and (code := tail(word[start:end])) is not None:
+                if code >= 0:
+                    if not start:
+                        found = code
+                        break
+                    fits = fits_of(last[start] << _CODE_BITS | code)
+                    if fits is None:
+                        fits = self.may_follow(last[start], code)
+                    if fits:
+                        found = code
+                        break
+                start -= 1
+            last.append(found if found >= 0 else known + ord(word[end - 1]))
+
+    def _extend_unigram(self, word: str, shared: int, best: list[float], last: list[int]) -> None:
+        """Forward states from ``shared`` on: the best score; of equal ones the longer piece."""
+        tail, scores, known = self.tails.get, self.scores, len(self.texts)
+        floor = min(scores, default=0.0) - UNKNOWN_PENALTY
+        for end in range(shared + 1, len(word) + 1):
+            start, found, top = end - 1, known + ord(word[end - 1]), None
+            while start >= 0 and (code := tail(word[start:end])) is not None:
+                if code >= 0:
+                    score = best[start] + scores[code]
+                    if top is None or score >= top:
+                        top, found = score, code
+                start -= 1
+            if tail(word[end - 1], -1) < 0 and (top is None or best[end - 1] + floor > top):
+                top, found = best[end - 1] + floor, known + ord(word[end - 1])
+            best.append(top)
+            last.append(found)
+
     def marked_words(self, text: str) -> list[str]:
         if not text:
             return []
         text = text.replace(" ", MARK)
         return _WORDS.findall(MARK + text if self.prefix else text)
 
-    def decode(self, ids: Iterable[int]) -> str:
+    def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are not UTF-8 become U+FFFD."""
-        out, raw, byte_of = [], bytearray(), self.byte_of
-        for i in ids:
-            if i in byte_of:
-                raw.append(byte_of[i])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            out.append(self.texts[i])
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(MARK, " ")
+        raw = self.raw
+        text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
@@ -260,6 +277,13 @@ def public_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The ids of each row; a null row has none."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
+
+
 def encode_documents(
     docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -287,7 +311,7 @@ def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _encoder(model.value).model
         for batch in slices(batches):
-            texts = [pieces.decode(ids or ()) for ids in batch["pieces"].to_pylist()]
+            texts = [pieces.decode(x.tolist()) for x in _lists(batch["pieces"])]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(texts, pa.string())], names=["doc_id", "text"]
             )
@@ -305,7 +329,7 @@ def digests(encoded: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _encoder(model.value).model
         for batch in slices(batches):
-            lists = [np.array(x or (), "<u4") for x in batch["pieces"].to_pylist()]
+            lists = _lists(batch["pieces"])
             texts = [pieces.decode(x.tolist()).encode("utf-8", "surrogatepass") for x in lists]
             yield pa.RecordBatch.from_arrays(
                 [

@@ -1,0 +1,46 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+SF_DIR = "/root/testdata/sf0.001"
+
+# id, text, language, source, length, and extra columns named like the operators' own.
+DOCS = (
+    "doc_id long, text string, lang string, source string, n_chars long, spans string,"
+    " score double, pieces string, rep long, `odd name` int"
+)
+LONG = "lorem ipsum dolor sit amet " * 20_000
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF_DIR
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").cache()
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Nulls in every column, empty, blank and very long texts, ties and repeated rows."""
+    texts = [None, "", " \n\t ", "x", LONG, "same words here", "same words here", "ünïcode ✓ 文字 😀"]
+    rows = [(i, t, "en", "s", len(t or ""), "a", 1.0, "b", 7, 3) for i, t in enumerate(texts)]
+    rows.append((None, "no id at all", None, None, None, None, None, None, None, None))
+    rows.append((None, None, None, None, None, None, None, None, None, None))
+    rows += [rows[5], rows[5], (5, "another text of five", "en", "s", 20, "a", 1.0, "b", 7, 3)]
+    return spark.createDataFrame(rows, DOCS).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="session")
+def no_labels(spark):
+    return spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -1,0 +1,109 @@
+import hashlib
+import random
+import zlib
+from pathlib import Path
+
+import numpy as np
+import pytest
+import sentencepiece
+from sentencepiece import sentencepiece_model_pb2 as description
+
+from paylake.llm import piece_encoding
+
+PATH = piece_encoding.public_model()
+TEXTS = [
+    "",
+    " ",
+    "  a  b ",
+    "Hello\tworld\n\n x",
+    "日本語 テキスト 😀 ünï",
+    "a" * 300,
+    "          lots   of     spaces     ",
+    "<s> <unk> <0x41> </s>",
+    "ﬁ ½ ẞ\x00\x01",
+    "12345 3.14 -7",
+    "word " * 3000,
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+def test_ids_are_the_librarys(documents, library):
+    texts = TEXTS + [r.text for r in documents.collect()]
+    model = piece_encoding.PieceModel.from_bytes(Path(PATH).read_bytes())
+    encoder = piece_encoding.Encoder(model)
+    for _ in range(2):  # the second time from remembered words
+        got = encoder.encode(texts)
+        for text, ids, want in zip(texts, got, library.encode(texts), strict=True):
+            assert ids.tolist() == want
+            assert model.decode(want) == text
+
+
+def test_memory_is_bounded(monkeypatch, documents, library):
+    monkeypatch.setattr(piece_encoding, "CACHE_WORDS", 50)
+    encoder = piece_encoding.Encoder(piece_encoding.PieceModel.from_bytes(Path(PATH).read_bytes()))
+    for r in documents.limit(20).collect():
+        assert encoder.encode([r.text])[0].tolist() == library.encode(r.text)
+        assert len(encoder.known) <= 50 + len(set(encoder.model.marked_words(r.text)))
+
+
+def best_by_brute_force(model, word):
+    """The best-scoring split of a word, over all splits."""
+    best = {0: (0.0, [])}
+    floor = min(model.scores) - piece_encoding.UNKNOWN_PENALTY
+    for end in range(1, len(word) + 1):
+        options = []
+        for start in range(end):
+            piece = word[start:end]
+            if piece in model.ids:
+                options.append((best[start][0] + model.scores[model.ids[piece]], start, piece))
+            elif end - start == 1:
+                options.append((best[start][0] + floor, start, piece))
+        score, start, piece = max(options, key=lambda x: (x[0], -x[1]))
+        best[end] = (score, [*best[start][1], piece])
+    return best[len(word)][0]
+
+
+def test_unigram_paths_are_the_best():
+    content = description.ModelProto()
+    content.ParseFromString(Path(PATH).read_bytes())
+    content.trainer_spec.model_type = piece_encoding.UNIGRAM
+    rng = random.Random(1)
+    for p in content.pieces:
+        if p.type == description.ModelProto.SentencePiece.NORMAL:
+            p.score = -8 - 3 * rng.random()
+    model = piece_encoding.PieceModel.from_bytes(content.SerializeToString())
+    words = sorted({w for t in TEXTS[:10] + ["the theory of theorems, thereby"] for w in model.marked_words(t)})
+    for word, ids in zip(words, model.encode_sorted(words), strict=True):
+        if all(i not in model.byte_of for i in ids):
+            got = sum(model.scores[i] for i in ids)
+            assert got == pytest.approx(best_by_brute_force(model, word))
+        assert model.decode(ids).strip() == word.replace("▁", " ").strip()
+
+
+def test_digests_and_round_trip(spark, documents, library):
+    got = piece_encoding.digests(piece_encoding.encode_documents(documents, PATH), PATH).collect()
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    assert len(got) == len(texts)
+    for r in got:
+        ids = library.encode(texts[r.doc_id])
+        assert r.n_pieces == len(ids)
+        assert r.pieces_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+    back = piece_encoding.decode_documents(piece_encoding.encode_documents(documents, PATH), PATH)
+    assert {r.doc_id: r.text for r in back.collect()} == texts
+
+
+def test_odd_rows(odd, none):
+    got = piece_encoding.with_pieces(odd, PATH)
+    assert got.columns == [*odd.columns, "n_pieces", "round_trip"]
+    rows = got.collect()
+    assert len(rows) == odd.count() and all(r.round_trip for r in rows)
+    assert all(r.n_pieces == len(r.pieces) for r in rows)
+    assert {r.n_pieces for r in rows if not r.text} == {0}
+    assert piece_encoding.with_pieces(none, PATH).count() == 0
+    assert piece_encoding.digests(piece_encoding.encode_documents(odd, PATH), PATH).count() == len(rows)
+    assert piece_encoding.encode_documents(none, PATH).count() == 0
