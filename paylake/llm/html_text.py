@@ -53,11 +53,19 @@ BOILER_WORDS = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|"
     r"sidebar\w*|side-bar|widget\w*|breadcrumb\w*|comment\w*|respond|reply|replies|disqus|"
     r"cookie\w*|consent|notice\w*|alert|popup|modal|newsletter|subscribe|signup|login|search|"
-    r"share\w*|sharing|social\w*|related|recommend\w*|tags?|pagination|pager|toolbar|skip|"
-    r"footer\w*|copyright|masthead|topbar|legal|disclaimer|complementary|navigation|"
-    r"contentinfo|alertdialog|form)(?:$|[\s_-])",
+    r"share\w*|sharing|social\w*|related|recommend\w*|tags|tag-?cloud|tag-?list|pagination|"
+    r"pager|toolbar|skip|footer\w*|colophon|copyright|masthead|topbar|legal|disclaimer|rail|"
+    r"complementary|navigation|contentinfo|alertdialog|form|responses?|discussion|dropdown|"
+    r"outbrain|taboola)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+# An article element is boilerplate only as a reader's comment or another page's teaser.
+ARTICLE_WORDS = re.compile(
+    r"(?:^|[\s_-])(?:ad|advert\w*|sponsor\w*|promo\w*|comment\w*|reply|related|teaser)(?:$|[\s_-])",
+    re.IGNORECASE,
+)
+# Says something of the page's state, not of the element: "has-sidebar", "no-menu".
+_STATE = re.compile(r"(?:^|\s)(?:has|with|without|no|is|js)[_-]\S+", re.IGNORECASE)
 EDGE_WORDS = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.IGNORECASE)
 MAIN_WORDS = re.compile(
     r"(?:^|[\s_-])(?:article\w*|content|main|post|story|entry|body-?text|prose|text)(?:$|[\s_-])",
@@ -78,7 +86,9 @@ class Block:
 def _kind(tag: str, attributes: str, inside: bool) -> tuple[int, int, int]:
     """What a container adds: (boiler, inside, edge)."""
     hints = " ".join(m.group(2).strip("\"'") for m in _HINT.finditer(attributes or ""))
-    if tag in BOILER_TAGS or (hints and tag not in ("body", "main") and BOILER_WORDS.search(hints)):
+    hints = _STATE.sub(" ", hints)
+    telling = ARTICLE_WORDS if tag == "article" else BOILER_WORDS
+    if tag in BOILER_TAGS or (hints and tag not in ("body", "main") and telling.search(hints)):
         return 1, 0, 0
     if tag in EDGE_TAGS or EDGE_WORDS.search(hints):
         return (0, 0, 0) if inside and tag != "footer" else (0, 0, 1)

@@ -1,0 +1,115 @@
+import hashlib
+import re
+
+import pytest
+
+from paylake.llm import pii
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def base(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            good = {
+                "email": lambda: True,
+                "ip": lambda m=m: all(int(x) <= 255 for x in m.group().split(".")),
+                "card": lambda d=digits: 16 <= len(d) <= 19 and luhn(d),
+                "phone": lambda d=digits: 8 <= len(d) <= 15,
+            }[kind]()
+            if good:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def listed(spans):
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+
+
+TRICKY = [
+    "a@b a@b.c@d.e f@g..h x%@y.z-q.w a@b.cd%x@y.z",
+    "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.255 1.2.3 999.1.2.3.4",
+    "4539 1488 0343 6467 and 4539148803436467-1 and 4539-1488-0343-6467 5 55",
+    "+1 (980) 555-6268 +123 +1-2 ++49 30 1234567 +4930123456789012345",
+    "é✓😀 mail me: üser.name@exämple.com or bob@example.com, card 4539148803436467!",
+    "9" * 5000 + "@" + "a" * 5000 + ".b",
+    "+" + "1 " * 3000,
+    "1." * 2000,
+]
+
+
+def test_base_spans_match_brute_force(spark, documents):
+    rows = [(i, t) for i, t in enumerate(TRICKY)]
+    tricky = spark.createDataFrame(rows, "doc_id long, text string")
+    for docs in (tricky, documents):
+        want = {r.doc_id: base(r.text) for r in docs.collect()}
+        for r in pii.find_pii(docs).collect():
+            spans = want[r.doc_id]
+            got = [s for s in r.spans.split(",") if s.split(":")[0] in PATTERNS]
+            assert ",".join(got) == listed(spans)
+            assert r.base_sha256 == hashlib.sha256(listed(spans).encode()).hexdigest()
+            assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [
+                sum(s[0] == k for s in spans) for k in PATTERNS
+            ]
+
+
+def test_added_kinds_and_scores(spark):
+    texts = [
+        "Please pay to account DE89 3704 0044 0532 0130 00 today",
+        "DE89 3704 0044 0532 0130 01 has a wrong check number",
+        "ssn 123-45-6789",
+        "code 123-45-6789",
+        "call +49 30 12345678",
+        "foo +49 30 12345678",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.find_pii(docs).collect()}
+    assert got[0].n_iban == 1 and got[1].n_iban == 0
+    assert got[2].n_ssn == 1 and got[3].n_ssn == 0
+    assert int(got[4].scores) > int(got[5].scores) > 0
+
+
+def test_odd_rows(spark, odd, none):
+    got = pii.find_pii(odd).collect()
+    assert len(got) == odd.count()
+    assert all(r.spans == "" for r in got)
+    assert pii.find_pii(none).count() == 0
+    cleaned = pii.redact(odd)
+    assert cleaned.columns == odd.columns and cleaned.count() == odd.count()
+    same = sorted((str(r.doc_id), str(r.text)) for r in cleaned.collect())
+    assert same == sorted((str(r.doc_id), str(r.text)) for r in odd.collect())
+
+
+def test_redaction(spark):
+    text = "✓ bob@example.com, +1 (980) 555-6268 and 4539148803436467. End"
+    docs = spark.createDataFrame([(1, text, 99)], "doc_id long, text string, n_chars long")
+    row = pii.redact(docs).first()
+    assert row.text == "✓ [EMAIL], [PHONE] and [CARD]. End"
+    assert row.n_chars == len(row.text)
+
+
+def test_no_python_in_the_plan(documents):
+    for df in (pii.find_pii(documents), pii.redact(documents)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize("iban,good", [("GB82WEST12345698765432", 1), ("GB82WEST12345698765433", 0)])
+def test_mod_97(spark, iban, good):
+    docs = spark.createDataFrame([(1, iban)], "doc_id long, text string")
+    assert pii.find_pii(docs).first().n_iban == good
