@@ -96,3 +96,23 @@ def shingle_sets(texts: Iterable[str], width: int) -> list[np.ndarray]:
             shingles = mix(shingles ^ own[j : n - k + 1 + j])
         out.append(np.unique(shingles))
     return out
+
+
+def densify(values: np.ndarray, filled: np.ndarray) -> None:
+    """Fills the empty bins of each row in place from bins of the same row that are not empty.
+
+    Where an empty bin looks is a hash of (bin, attempt), the same for all rows, so rows with
+    equal contents are filled alike. Rows without any filled bin stay as they are.
+    """
+    bins = values.shape[1]
+    flat, full = values.reshape(-1), filled.reshape(-1)
+    empty = np.flatnonzero(~full & np.repeat(filled.any(axis=1), bins))
+    attempt = 0
+    while len(empty):
+        attempt += 1
+        own = empty % bins
+        to = mix(own.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(attempt))
+        source = empty - own + (to % np.uint64(bins)).astype(np.int64)
+        met = full[source]
+        flat[empty[met]] = flat[source[met]]
+        empty = empty[~met]

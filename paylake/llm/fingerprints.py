@@ -3,7 +3,7 @@
 A text's distinct shingles are hashed once. The top bits of a hash choose one of ``BINS``
 bins, and each bin keeps its smallest hash. An empty bin copies a bin that is chosen by a
 hash of (bin, attempt), the same for all texts, until it meets one that was not empty. Of
-every bin the low ``BITS`` bits are stored. Two fingerprints agree by chance in one bin of
+every bin the low ``BITS`` bits of its value, mixed with the bin, are stored. Two fingerprints agree by chance in one bin of
 2^BITS, which ``likeness`` takes out.
 
 Equal texts have equal fingerprints. A text without words has the empty fingerprint: like
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import keyed_text, mix, shingle_sets
+from paylake.llm.common import densify, keyed_text, mix, shingle_sets
 
 BINS, BITS, WIDTH = 256, 4, 5
 _TOP = np.uint64(64 - BINS.bit_length() + 1)
@@ -32,28 +32,20 @@ _LOW = np.uint64((1 << BITS) - 1)
 def signatures(texts: Iterable[str]) -> np.ndarray:
     """A row of BINS low-order values for each text; all 255 for a text without words."""
     sets = shingle_sets(texts, WIDTH)
-    out = np.full((len(sets), BINS), 255, np.uint8)
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    if not sizes.sum():
-        return out
-    hashes = np.concatenate(sets)
-    cell = np.repeat(np.arange(len(sets)), sizes) * BINS + (hashes >> _TOP).astype(np.int64)
-    first = np.flatnonzero(np.diff(cell, prepend=-1))  # sorted sets: the smallest comes first
-    filled = np.zeros(out.size, bool)
-    filled[cell[first]] = True
-    flat = out.reshape(-1)
-    flat[cell[first]] = (hashes[first] & _LOW).astype(np.uint8)
-    some = np.repeat(sizes > 0, BINS)
-    empty = np.flatnonzero(~filled & some)
-    attempt = 0
-    while len(empty):
-        attempt += 1
-        bins = (empty % BINS).astype(np.uint64)
-        at = mix(bins * np.uint64(0x9E3779B97F4A7C15) + np.uint64(attempt)) % np.uint64(BINS)
-        source = empty - empty % BINS + at.astype(np.int64)
-        met = filled[source]
-        flat[empty[met]] = flat[source[met]]
-        empty = empty[~met]
+    values = np.zeros((len(sets), BINS), np.uint64)
+    filled = np.zeros(values.shape, bool)
+    if sizes.sum():
+        hashes = np.concatenate(sets)
+        cell = np.repeat(np.arange(len(sets)), sizes) * BINS + (hashes >> _TOP).astype(np.int64)
+        first = np.flatnonzero(np.diff(cell, prepend=-1))  # sorted sets: the smallest comes first
+        values.reshape(-1)[cell[first]] = hashes[first]
+        filled.reshape(-1)[cell[first]] = True
+        densify(values, filled)
+    # A copied value gives other bits in each bin, or few shingles would make few distinct bits.
+    own = np.arange(BINS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    out = (mix(values ^ own) & _LOW).astype(np.uint8)
+    out[sizes == 0] = 255
     return out
 
 
