@@ -81,7 +81,8 @@ class Model:
     def score(self, x: np.ndarray) -> np.ndarray:
         own = ((expanded(x) - self.mean) / self.scale).clip(-8, 8) @ self.weights
         z = (own - self.threshold) / self.spread + np.log(CUT / (1 - CUT))
-        return 1 / (1 + np.exp(-z.clip(-40, 40)))
+        # Rounded, so that a text's score does not depend on the batch it came in.
+        return (1 / (1 + np.exp(-z.clip(-40, 40)))).round(9)
 
 
 def fit(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS) -> Model | None:
