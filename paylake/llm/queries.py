@@ -87,5 +87,36 @@ def queries() -> dict[str, Query]:
     }
 
 
+# Every pair of documents that share a shingle, in full; components by following all links.
+_NEAR_DUPLICATES = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE
+    list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM words
+), items AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id
+    AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other
+), roots AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN roots USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can express an operator; the others are tested against plain versions."""
+    return {"op6_near_duplicates": _NEAR_DUPLICATES}
