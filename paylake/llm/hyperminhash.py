@@ -6,17 +6,20 @@ of the rest (6 bits) and the ``MANTISSA`` bits that follow the first one.
 
 1. Texts with the same set of shingles form a class; only classes go on, by their smallest
    id. A set of up to ``TINY`` shingles reaches 0.8 with an equal set only.
-2. Bands of ``ROWS`` registers are keys. A pair at similarity s meets in a band with
-   probability 1 - (1 - s^4)^32: 0.99999995 at 0.8. Empty bands are no keys.
+2. Bands of ``ROWS`` registers are keys; for these, empty registers are filled from others
+   of the set (optimal densification), else one common shingle would be a small set's whole
+   key. A pair at similarity s meets in some band with probability 1 - (1 - s^4)^32:
+   0.99999995 at 0.8.
 3. In each key with more than one class, every class meets the key's centre: the member
    whose keys hold the most classes, which in a group of copies is the original.
 4. A pair's similarity is estimated from equal registers, less the collisions to expect for
    sets of those sizes. Pairs more than ``MARGIN`` below the threshold go no further.
 5. The rest are confirmed on the full sets; confirmed links form components.
 6. Steps 3 to 5 come again for keys that still hold several components, with a centre from
-   another component. After ``STARS`` such rounds, what is left of such keys is compared in
-   blocks, pairs of different components only. So no link that a key shows is lost, and
-   a group of copies costs a few links for each of its members, not one for each pair.
+   another component. After ``STARS`` such rounds, what is left of such keys is compared
+   where it lies, block against block, pairs of different components only. So no link that
+   a key shows is lost, and a group of copies gives a few rows for each of its members, not
+   one for each pair.
 
 A null text is empty. A text without words is linked with nothing. Each row gets the
 component of its own text, so rows that repeat an id and text get equal results; classes
@@ -35,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import keyed_text, shingle_sets, slices, stored
+from paylake.llm.common import densify, keyed_text, mix, shingle_sets, slices, stored
 from paylake.llm.components import components
 
 REGISTERS, MANTISSA = 256, 10
@@ -43,7 +46,8 @@ BANDS, ROWS = 32, 4
 TINY = 3
 MARGIN = 0.13
 STARS = 3
-BLOCK = 256
+# A block's members and the bytes of their sets: what one task holds at a time, twice.
+BLOCK, BLOCK_BYTES = 1024, 64 << 20
 _BUCKET_SHIFT = np.uint64(64 - 8)
 _EMPTY = 0
 
@@ -71,8 +75,8 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
 def collisions(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Expected share of buckets whose registers agree though the sets are disjoint.
 
-    The chance that both sets' smallest values in a bucket fall into the same register:
-    the sum over registers of two differences of (1 - x)^(size / buckets).
+    The chance that both sets' smallest values in a bucket fall into the same register: the
+    sum over registers of the product of both sets' differences of (1 - x / buckets)^size.
     """
     k = np.arange(0, 30)
     low = np.repeat(2.0 ** -(k + 1), 32) * (1 + np.tile(np.arange(32) / 32, len(k)))
@@ -81,8 +85,10 @@ def collisions(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     split = 32 / (1 << MANTISSA)
 
     def fall(size: np.ndarray) -> np.ndarray:
-        size = np.asarray(size, float)[:, None] / REGISTERS
-        return (1 - low) ** size - (1 - np.minimum(high, 1.0)) ** size
+        size = np.asarray(size, float)[:, None]
+        return np.exp(size * np.log1p(-low / REGISTERS)) - np.exp(
+            size * np.log1p(-high / REGISTERS)
+        )
 
     return (fall(n) * fall(m)).sum(axis=1) * split
 
@@ -97,39 +103,44 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
 
 
 def _sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, source, n, set_key, sketch) for each row; source is a hash of its text."""
+    """Each row's set: its size, its hash, registers and keys; source is a hash of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = shingle_sets(batch["text"].to_pylist(), width)
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+            own = registers(sets)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"],
                     batch["source"],
                     pa.array(map(len, sets), pa.int64()),
                     pa.array(keys, pa.binary()),
-                    pa.array([row.tobytes() for row in registers(sets)], pa.binary()),
+                    pa.array([row.tobytes() for row in own], pa.binary()),
+                    pa.array(list(band_keys(own)), pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "source", "n", "set_key", "sketch"],
+                names=["doc_id", "source", "n", "set_key", "sketch", "keys"],
             )
 
-    schema = "doc_id long, source long, n long, set_key binary, sketch binary"
+    schema = (
+        "doc_id long, source long, n long, set_key binary, sketch binary, keys array<bigint>"
+    )
     return docs.select("doc_id", "source", "text").mapInArrow(run, schema)
 
 
+def band_keys(own: np.ndarray) -> np.ndarray:
+    """A row of BANDS 64-bit keys for each row of registers."""
+    full = own.copy()
+    densify(full, own != _EMPTY)
+    keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(own), 1))
+    for j in range(ROWS):
+        keys = mix(keys ^ full[:, j : ROWS * BANDS : ROWS].astype(np.uint64))
+    return keys.view(np.int64)
+
+
 def _bands(classes: DataFrame) -> DataFrame:
-    """(key, rep): a key for each band that is not empty."""
-    size = 2 * ROWS
-    band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
-    part = F.expr(f"substring(sketch, band * {size} + 1, {size})")
-    return (
-        classes.filter(F.col("n") > TINY)
-        .select("rep", "sketch", band)
-        .select("rep", "band", part.alias("part"))
-        .filter(F.col("part") != F.lit(bytes(size)))
-        .select(F.xxhash64("band", "part").alias("key"), "rep")
-    )
+    """(key, rep) for each band of a class."""
+    return classes.filter(F.col("n") > TINY).select(F.explode("keys").alias("key"), "rep")
 
 
 def _shared_bands(classes: DataFrame, what: str) -> DataFrame:
@@ -211,10 +222,8 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
     return pairs.join(side[0], "a").join(side[1], "b").mapInArrow(run, "a long, b long")
 
 
-def _confirmed(
-    pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int
-) -> DataFrame:
-    """Pairs whose full sets have 100 * intersection >= percent * union."""
+def _items(reps: DataFrame, docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """(rep, items): the full sets of the classes in ``reps``, as sorted 64-bit hashes."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -224,19 +233,9 @@ def _confirmed(
                 names=["rep", "items"],
             )
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            near = []
-            for x, y in zip(batch["items_a"].to_pylist(), batch["items_b"].to_pylist()):
-                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                near.append(100 * common >= percent * (len(a) + len(b) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
-
-    needed = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep")))
-    chosen = classes.select("rep", "source").join(needed.distinct(), "rep", "left_semi")
+    chosen = classes.select("rep", "source").join(reps.distinct(), "rep", "left_semi")
     # A class's own text is told by its hash from others under a repeated id.
-    items = (
+    return (
         docs.withColumnRenamed("doc_id", "rep")
         .join(chosen, ["rep", "source"])
         .select("rep", "source", "text")
@@ -244,43 +243,86 @@ def _confirmed(
         .select("rep", "text")
         .mapInArrow(sets, "rep long, items binary")
     )
-    side = [items.select(F.col("rep").alias(x), F.col("items").alias(f"items_{x}")) for x in "ab"]
-    return pairs.join(side[0], "a").join(side[1], "b").mapInArrow(check, "a long, b long")
 
 
-def _blocked_pairs(members: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): likely pairs of different components of the same key, block against block.
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= percent * (len(a) + len(b) - common)
 
-    A key's members are dealt by hash into blocks of some ``BLOCK``; a group holds two blocks.
-    Each pair is reported only by the first band in which its registers agree.
+
+def _confirmed(
+    pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """Pairs whose full sets have 100 * intersection >= percent * union."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            near = [
+                _linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+                for x, y in zip(batch["items_a"].to_pylist(), batch["items_b"].to_pylist())
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    needed = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep")))
+    items = _items(needed, docs, classes, width)
+    side = [items.select(F.col("rep").alias(x), F.col("items").alias(f"items_{x}")) for x in "ab"]
+    found = pairs.join(side[0], "a").join(side[1], "b").mapInArrow(check, "a long, b long")
+    return found.distinct()
+
+
+def _blocked_links(
+    members: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """(a, b): links between components that meet in a key, block against block.
+
+    A key's members are dealt by hash into blocks of some ``BLOCK`` members or
+    ``BLOCK_BYTES`` of sets; a group holds two blocks, so a member goes to as many groups as
+    its key has blocks.
+    A pair is compared only under the first key it shares, first by registers, then in full.
+    Components that a group has joined are not compared again, so a group reports fewer links
+    than it has members.
     """
-    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    threshold = percent / 100
+    items = stored(_items(members.select("rep"), docs, classes, width), "near-items")
+    sizes = (
+        members.join(classes.select("rep", "n"), "rep")
+        .groupBy("key")
+        .agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") * 8 / BLOCK_BYTES)).alias("blocks"))
+    )
     rows = (
         members.join(sizes, "key")
-        .withColumn("blocks", blocks)
+        .withColumn("blocks", F.col("blocks").cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
-        .join(classes.select("rep", "n", "sketch"), "rep")
-        .select("key", "low", "high", "block", "rep", "component", "n", "sketch")
+        .select("key", "low", "high", "block", "rep", "component")
+        .join(classes.select("rep", "n", "sketch", "keys"), "rep")
+        .join(items, "rep")
     )
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        low, high = int(pdf["low"].iloc[0]), int(pdf["high"].iloc[0])
+        key, low, high = (int(pdf[c].iloc[0]) for c in ("key", "low", "high"))
         sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint16).reshape(-1, REGISTERS)
-        rep, part, n = (pdf[c].to_numpy() for c in ("rep", "component", "n"))
-        block = pdf["block"].to_numpy()
+        keys = np.array(pdf["keys"].tolist(), np.int64)
+        sets = [np.frombuffer(x, np.uint64) for x in pdf["items"]]
+        rep, part, n, block = (pdf[c].to_numpy() for c in ("rep", "component", "n", "block"))
+        part = part.copy()
         left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
         out = []
         for i in left:
             j = right[(part[right] != part[i]) & ((low != high) | (rep[right] > rep[i]))]
             j = j[np.minimum(n[j], n[i]) >= threshold * np.maximum(n[j], n[i]) - 1e-9]
-            if len(j):
-                a = np.broadcast_to(sketch[i], (len(j), REGISTERS))
-                near = estimate(a, sketch[j], np.full(len(j), n[i]), n[j]) >= threshold - MARGIN
-                out += [(min(rep[i], x), max(rep[i], x)) for x in rep[j[near]]]
+            same = keys[j] == keys[i]
+            j = j[keys[i][same.argmax(axis=1)] == key] if len(j) else j
+            if not len(j):
+                continue
+            own = np.broadcast_to(sketch[i], (len(j), REGISTERS))
+            near = estimate(own, sketch[j], np.full(len(j), n[i]), n[j]) >= threshold - MARGIN
+            for k in j[near]:
+                if part[k] != part[i] and _linked(sets[i], sets[k], percent):
+                    out.append((rep[i], rep[k]))
+                    part[part == part[k]] = part[i]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return rows.groupBy("key", "low", "high").applyInPandas(compare, "a long, b long").distinct()
@@ -335,17 +377,18 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 
 
 def _classes(sketches: DataFrame) -> DataFrame:
-    """(rep, source, set_key, n, sketch) for each distinct set: its smallest id stands for it."""
+    """(rep, source, set_key, n, sketch, keys) for each distinct set: its smallest id stands for it."""
     return (
         sketches.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
         .groupBy("set_key")
-        .agg(F.min(F.struct("doc_id", "source", "n", "sketch")).alias("least"))
+        .agg(F.min(F.struct("doc_id", "source", "n", "sketch", "keys")).alias("least"))
         .select(
             F.col("least.doc_id").alias("rep"),
             F.col("least.source").alias("source"),
             "set_key",
             F.col("least.n").alias("n"),
             F.col("least.sketch").alias("sketch"),
+            F.col("least.keys").alias("keys"),
         )
     )
 
@@ -363,17 +406,16 @@ def _linked_components(
             members = stored(_open_keys(members), f"near-open{turn}")
         if members.isEmpty():
             break
-        if turn < STARS:
-            pairs = _likely(_star_pairs(members, turn), classes, threshold)
+        if turn == STARS:
+            new = _blocked_links(members, rows, classes, width, percent)
         else:
-            pairs = _blocked_pairs(members, classes, threshold)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, f"near-pairs{turn}")
-        tested = pairs if tested is None else tested.union(pairs)
-        new = stored(
-            _confirmed(pairs, rows, classes, width, percent).distinct(), f"near-confirmed{turn}"
-        )
+            pairs = _likely(_star_pairs(members, turn), classes, threshold)
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = stored(pairs, f"near-pairs{turn}")
+            tested = pairs if tested is None else tested.union(pairs)
+            new = _confirmed(pairs, rows, classes, width, percent)
+        new = stored(new, f"near-confirmed{turn}")
         if turn and new.isEmpty():
             continue
         links = new if links is None else links.union(new)
