@@ -12,8 +12,8 @@ insertions, deletions, replacements) of the whole item.
    to the next word when a random bit of (place, word) says so. Small edit distance becomes
    small Hamming distance.
 4. Bit-sampling: words at ``SAMPLED`` random places are a key; ``TABLES`` keys for each walk.
-   Walks are repeated until ``TARGET`` of randomly edited items, with as many edits as are
-   allowed, share a key with their item.
+   Walks are repeated, up to ``MAX_WALKS``, until ``TARGET`` of randomly edited items, with
+   as many edits as are allowed, share a key with their item.
 5. A window and an item that share a key are verified: first by how many of the window's
    words the item has, then by the exact edit distance of the item and the passage.
 
