@@ -45,8 +45,8 @@ _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 UNIGRAM, BPE = 1, 2
 # Words remembered between batches of a task: their ids.
-CACHE_WORDS = 400_000
-CACHE_PAIRS = 1_000_000
+CACHE_WORDS = 200_000
+CACHE_PAIRS = 400_000
 UNKNOWN_PENALTY = 10.0
 _CODE_BITS = 22  # room for all pieces and, behind them, all characters
 
@@ -292,7 +292,7 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model.value)
-        for batch in slices(batches, 2000):
+        for batch in slices(batches, 500):
             found = encoder.encode(batch["text"].to_pylist())
             ends = np.cumsum([0, *map(len, found)])
             flat = np.concatenate(found) if found else np.empty(0, np.int32)
@@ -356,7 +356,7 @@ def with_pieces(docs: DataFrame, model_path: str, text_col: str = "text") -> Dat
     @F.pandas_udf("pieces array<int>, n_pieces long, round_trip boolean")
     def encode(texts: pd.Series) -> pd.DataFrame:
         encoder, values = _encoder(model.value), texts.tolist()
-        found = [x for i in range(0, len(values), 2000) for x in encoder.encode(values[i : i + 2000])]
+        found = [x for i in range(0, len(values), 500) for x in encoder.encode(values[i : i + 500])]
         same = [
             encoder.model.decode(x.tolist()) == t for x, t in zip(found, values, strict=True)
         ]

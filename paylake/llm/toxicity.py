@@ -8,9 +8,10 @@ resembles the insult it hides. Single letters in a row count as one word.
 Landmarks are short strings that set toxic learning texts apart, and common strings of
 clean ones, both found in the learning sample. A text's row holds, for each landmark, the
 kernel of its most similar word relative to the landmark with itself, turned into
-coordinates by the inverse root of the landmarks' kernel matrix (Nystroem), and the
-logarithm of how many words reach ``STRONG``. A linear machine with squared hinge loss is
-trained on labelled texts, and its margins are mapped to 0..1 by a logistic function.
+coordinates by the inverse root of the landmarks' kernel matrix (Nystroem), the logarithm
+of how many words reach ``STRONG``, and both again for all telling landmarks together. A
+linear machine with squared hinge loss is trained on labelled texts, some of them a second
+time with characters inserted, and its margins are mapped to 0..1 by a logistic function.
 
 A null text is an empty one and has a score. Rows are scored one by one: repeated rows and
 null ids come out as they went in. Without texts of both labels every score is 0.25. Whole
@@ -32,14 +33,19 @@ from pyspark.sql import functions as F
 from paylake.llm import training
 from paylake.llm.common import keyed_text, mix, slices
 
-LENGTH, SPAN, DECAY = 3, 8, 0.7
+LENGTH, SPAN, DECAY = 3, 8, 0.8
 LANDMARKS, CONTRAST, COVER = 64, 16, 3
 GRAMS = (4, 5, 6)
 # Kernels below the floor say nothing and count as 0; from STRONG on a word is as good as hit.
-FLOOR, STRONG = 0.3, 0.9
+# A power of a kernel is a kernel, and keeps words that are only somewhat alike apart.
+FLOOR, STRONG, POWER = 0.4, 0.9, 3
 MARK = "\x02"  # stands before each word, so that strings and subsequences can begin there
 # Learning texts: at most so many rows, of at most so many characters each.
-SAMPLE_ROWS, SAMPLE_CHARS = 6_000, 20_000
+SAMPLE_ROWS, SAMPLE_CHARS = 4_000, 20_000
+INSERTED = 1_000  # learning texts that are learned a second time with characters inserted
+SHARED = 2.0  # weight of what all telling landmarks share over what each has of its own
+PURITY = 5  # toxic texts a string must cover for each clean one, both as shares
+SLICE = 250  # texts that are scored at a time
 _BINS = 1 << 22
 _GAPS = [
     gaps
@@ -101,6 +107,7 @@ class Kernel:
     """Weights of the landmarks' subsequences, for kernels of any words with them."""
 
     landmarks: list[str]
+    telling: int  # the first of the landmarks, which tell toxic texts
     alphabet: Alphabet = field(init=False)
     known: np.ndarray = field(init=False)
     weights: np.ndarray = field(init=False)
@@ -139,6 +146,8 @@ class Kernel:
             where.append(w[hit])
             which.append(row[hit])
             weight.append(np.full(int(hit.sum()), value, np.float32))
+        if not where:
+            return np.empty(0, np.int64), np.empty((0, len(self.landmarks)), np.float32)
         where, which = np.concatenate(where), np.concatenate(which)
         order = np.argsort(where, kind="stable")
         where, which = where[order], which[order]
@@ -160,15 +169,18 @@ class Kernel:
             a, b = ends[i], ends[j]
             part = self.weights[which[a:b]] * weight[a:b, None]
             out[i:j] = np.add.reduceat(part, starts[i:j] - a, axis=0)
+        out = np.minimum(out, 1)
         out[out < FLOOR] = 0
-        return where[starts], out
+        return where[starts], out**POWER
 
     def rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """For each text and landmark, its most similar word's kernel, and its strong words."""
+        """For each text its most similar word's kernel with each landmark, and the logarithm of
+        its number of strong words for each telling one.
+        """
         lists = [words_of(t) for t in texts]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         best = np.zeros((len(texts), len(self.landmarks)), np.float32)
-        strong = np.zeros_like(best)
+        strong = np.zeros((len(texts), self.telling), np.float32)
         if not counts.sum():
             return best, strong
         flat = np.empty(int(counts.sum()), object)
@@ -189,7 +201,7 @@ class Kernel:
             starts = np.flatnonzero(np.diff(own, prepend=-1))
             ids = own[starts]
             best[ids] = np.maximum(best[ids], np.maximum.reduceat(k, starts, axis=0))
-            full = (k >= STRONG) * times[i : i + step, None]
+            full = (k[:, : self.telling] >= STRONG) * times[i : i + step, None]
             strong[ids] += np.add.reduceat(full, starts, axis=0)
         return best, np.log1p(strong)
 
@@ -209,24 +221,25 @@ def _grams(text: str, n: int) -> tuple[np.ndarray, np.ndarray]:
     return (code[at] % np.uint64(_BINS)).astype(np.int64), at
 
 
-def choose_landmarks(texts: list[str], y: np.ndarray) -> list[str]:
+def choose_landmarks(texts: list[str], y: np.ndarray) -> tuple[list[str], int]:
     """Strings that set the toxic texts apart, each text covered ``COVER`` times if possible.
 
-    Greedy: the next string is the one in most toxic texts that still lack cover, among
-    strings that are far more frequent in toxic texts than in clean ones. Then strings
-    common in clean texts, for contrast.
+    Greedy: the next string is the one in most toxic texts that still lack cover, less a
+    penalty for the clean texts it is in. Then strings common in clean texts, for contrast. Returned with how many are of the first sort.
     """
-    texts = [" ".join(words_of(t)) for t in texts]
-    sets = [
-        np.unique(np.concatenate([_grams(t, n)[0] for n in GRAMS]).astype(np.int32)) for t in texts
-    ]
     counts = np.zeros((2, _BINS), np.float32)
-    for own, label in zip(sets, y, strict=True):
+    seen: list[np.ndarray] = []  # of the toxic texts only
+    for text, label in zip(texts, y, strict=True):
+        joined = " ".join(words_of(text))
+        own = np.unique(np.concatenate([_grams(joined, n)[0] for n in GRAMS]).astype(np.int32))
         counts[label, own] += 1
+        if label == 1:
+            seen.append(own)
     toxic, clean = max(int((y == 1).sum()), 1), max(int((y == 0).sum()), 1)
     ratio = ((counts[1] + 0.5) / (toxic + 1)) / ((counts[0] + 0.5) / (clean + 1))
     telling = (counts[1] >= max(2, 0.002 * toxic)) & (ratio >= 8)
-    marks = [own[telling[own]] for own, label in zip(sets, y, strict=True) if label == 1]
+    marks = [own[telling[own]] for own in seen]
+    del seen
     lack = np.full(len(marks), COVER)
     chosen: list[int] = []
     taken = np.zeros(_BINS, bool)
@@ -235,6 +248,7 @@ def choose_landmarks(texts: list[str], y: np.ndarray) -> list[str]:
         for own, left in zip(marks, lack, strict=True):
             if left > 0:
                 weight[own] += 1
+        weight -= PURITY * counts[0] * (toxic / clean)
         weight[taken] = 0
         # Among equals the more telling one.
         best = int(np.argmax(weight + np.minimum(ratio, 1e6) / 1e7))
@@ -244,18 +258,21 @@ def choose_landmarks(texts: list[str], y: np.ndarray) -> list[str]:
         taken[best] = True
         for i, own in enumerate(marks):
             lack[i] -= bool(lack[i] > 0 and (own == best).any())
+    telling_ones = len(chosen)
     usual = np.argsort(-counts[0] + counts[1], kind="stable")
+    usual = usual[counts[0][usual] > 0]
     chosen += [int(b) for b in usual[: CONTRAST * 20 : 20]]
     wanted, names = set(chosen), {}
     for text in texts:
+        joined = " ".join(words_of(text))
         for n in GRAMS:
-            code, at = _grams(text, n)
+            code, at = _grams(joined, n)
             hit = np.isin(code, chosen)
             for c, i in zip(code[hit].tolist(), at[hit].tolist(), strict=True):
-                names.setdefault(c, text[i : i + n])
+                names.setdefault(c, joined[i : i + n])
         if len(names) == len(wanted):
             break
-    return list(dict.fromkeys(names[c] for c in chosen))
+    return [names[c] for c in chosen], telling_ones
 
 
 def train_machine(x: np.ndarray, y: np.ndarray, cost: float = 4.0) -> tuple[np.ndarray, float]:
@@ -309,16 +326,35 @@ class Model:
         return self.kernel.landmarks
 
     def score(self, texts: list[str]) -> np.ndarray:
-        best, strong = self.kernel.rows(texts)
-        margin = np.hstack([best @ self.root, strong]) @ self.weights + self.offset
-        return 1 / (1 + np.exp(-(self.slope * margin + self.shift).clip(-30, 30)))
+        margin = _row(self.kernel, self.root, texts) @ self.weights + self.offset
+        # Rounded, so that a text's score does not depend on the batch it came in.
+        return (1 / (1 + np.exp(-(self.slope * margin + self.shift).clip(-30, 30)))).round(9)
+
+
+def _inserted(text: str, random: np.random.Generator) -> str:
+    """The text with a character put into each longer word."""
+    words = text.split()
+    for i, word in enumerate(words):
+        if len(word) > 3:
+            at = int(random.integers(1, len(word) - 1))
+            words[i] = word[:at] + ".-_*x"[int(random.integers(5))] + word[at:]
+    return " ".join(words)
+
+
+def _row(kernel: Kernel, root: np.ndarray, texts: list[str]) -> np.ndarray:
+    """Coordinates, strong words by landmark, and what holds for all telling landmarks."""
+    best, strong = kernel.rows(texts)
+    total = np.log1p(np.expm1(strong).sum(axis=1, keepdims=True))
+    most = np.sort(best[:, : kernel.telling], axis=1)[:, ::-1][:, :2]
+    most = np.pad(most, ((0, 0), (0, 2 - most.shape[1])))
+    return np.hstack([best @ root, strong, SHARED * total, SHARED * most])
 
 
 def fit(texts: list[str], y: np.ndarray) -> Model | None:
     """A model from labelled texts; None if either label is missing."""
     if not len(y) or y.min() == y.max():
         return None
-    kernel = Kernel(choose_landmarks(texts, y))
+    kernel = Kernel(*choose_landmarks(texts, y))
     if not kernel.landmarks:
         return None
     gram = np.zeros((len(kernel.landmarks),) * 2)
@@ -327,8 +363,11 @@ def fit(texts: list[str], y: np.ndarray) -> Model | None:
     gram = (gram + gram.T) / 2
     values, vectors = np.linalg.eigh(gram)
     root = (vectors / np.sqrt(values.clip(0.05))) @ vectors.T
-    best, strong = kernel.rows(texts)
-    x = np.hstack([best @ root, strong])
+    random = np.random.default_rng(11)
+    again = random.permutation(len(texts))[:INSERTED]
+    texts = [*texts, *(_inserted(texts[i], random) for i in again)]
+    y = np.concatenate([y, y[again]])
+    x = np.vstack([_row(kernel, root, texts[i : i + 200]) for i in range(0, len(texts), 200)])
     weights, offset = train_machine(x, y)
     slope, shift = fit_logistic(x @ weights + offset, y)
     return Model(kernel, root, weights, offset, slope, shift)
@@ -354,7 +393,7 @@ def score_toxicity(docs: DataFrame, model: Model | None) -> DataFrame:
     """One row per row of ``docs``: its score, and whether it reaches a half."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             texts = batch["text"].to_pylist()
             score = model.score(texts) if model else np.full(len(texts), UNKNOWN)
             yield pa.RecordBatch.from_arrays(
@@ -381,7 +420,7 @@ def without_toxic(docs: DataFrame, model: Model | None, text_col: str = "text")
         values = texts.tolist()
         if not model:
             return pd.Series(np.full(len(values), UNKNOWN))
-        parts = [model.score(values[i : i + 1000]) for i in range(0, len(values), 1000)]
+        parts = [model.score(values[i : i + SLICE]) for i in range(0, len(values), SLICE)]
         return pd.Series(np.concatenate(parts) if parts else np.empty(0))
 
     return docs.filter(score(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))) < 0.5)
