@@ -250,9 +250,7 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def _confirmed(
-    pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int
-) -> DataFrame:
+def _confirmed(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets have 100 * intersection >= percent * union."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,15 +261,13 @@ def _confirmed(
             ]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    needed = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep")))
-    items = _items(needed, docs, classes, width)
     side = [items.select(F.col("rep").alias(x), F.col("items").alias(f"items_{x}")) for x in "ab"]
     found = pairs.join(side[0], "a").join(side[1], "b").mapInArrow(check, "a long, b long")
     return found.distinct()
 
 
 def _blocked_links(
-    members: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int
+    members: DataFrame, items: DataFrame, classes: DataFrame, percent: int
 ) -> DataFrame:
     """(a, b): links between components that meet in a key, block against block.
 
@@ -283,7 +279,6 @@ def _blocked_links(
     than it has members.
     """
     threshold = percent / 100
-    items = stored(_items(members.select("rep"), docs, classes, width), "near-items")
     sizes = (
         members.join(classes.select("rep", "n"), "rep")
         .groupBy("key")
@@ -399,6 +394,8 @@ def _linked_components(
     """Components of classes; None if no key holds two classes."""
     threshold = percent / 100
     shared = _shared_bands(classes, "near")
+    # The texts are shuffled once; later turns join the sets of classes that share a key.
+    items = stored(_items(shared.select("rep"), rows, classes, width), "near-items")
     found = tested = links = None
     for turn in range(STARS + 1):
         members = _with_components(shared, found)
@@ -407,14 +404,14 @@ def _linked_components(
         if members.isEmpty():
             break
         if turn == STARS:
-            new = _blocked_links(members, rows, classes, width, percent)
+            new = _blocked_links(members, items, classes, percent)
         else:
             pairs = _likely(_star_pairs(members, turn), classes, threshold)
             if tested is not None:
                 pairs = pairs.join(tested, ["a", "b"], "left_anti")
             pairs = stored(pairs, f"near-pairs{turn}")
             tested = pairs if tested is None else tested.union(pairs)
-            new = _confirmed(pairs, rows, classes, width, percent)
+            new = _confirmed(pairs, items, percent)
         new = stored(new, f"near-confirmed{turn}")
         if turn and new.isEmpty():
             continue
