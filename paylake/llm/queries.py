@@ -35,7 +35,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.new_folder(spark)
     docs = read_table(spark, sf_dir, "documents")
     token_files.write_token_files(docs, token_files.public_tokenizer(), folder)
-    return token_files.digests(token_files.TokenFiles(spark, folder).documents())
+    return token_files.TokenFiles(spark, folder).digests()
 
 
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,9 +18,11 @@ each other by text, and each is a document of its own. An empty table gives no f
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -34,7 +36,7 @@ from paylake.llm.common import keyed_text, slices, stored
 from paylake.session import scratch_dir
 
 BLOCK_TOKENS = 1 << 19
-CACHE_WORDS = 400_000
+CACHE_WORDS = 450_000
 END_ID = 1
 
 # For each control byte: the lengths of its four values, their sum, and for each of the 16
@@ -56,7 +58,14 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     two_bits[: len(values)] = lengths - 1
     quads = two_bits.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)
     control = np.bitwise_or.reduce(quads, axis=1).astype(np.uint8)
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
+    ends = np.cumsum(lengths, dtype=np.int64)
+    at = ends - lengths
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    for byte in range(int(lengths.max(initial=0))):
+        if byte:
+            longer = lengths > byte
+            values, at, lengths = values[longer], at[longer], lengths[longer]
+        data[at + byte] = values >> np.uint32(8 * byte) & np.uint32(0xFF)
     return control.tobytes(), data.tobytes()
 
 
@@ -71,11 +80,44 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(four, np.uint8).view("<u4").reshape(-1)[:n]
 
 
+# Words of these Latin letters (all of them in composed form, each with one lower-case letter)
+# and closing marks are cut into just these two pieces, whatever the text around them.
+_SIMPLE = re.compile(
+    "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+)([.,!?;:#$%&*|]*)"
+)
+# Byte-level models write a byte as itself where that is a visible Latin-1 character, and the
+# others in order from U+0100 on.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(sorted(set(range(256)) - set(_VISIBLE)))}
+
+
+class Remembered(dict):
+    """Words and their ids; a new word is looked up in the generation before, or encoded.
+
+    Words that are not met again go with their generation, so two of these bound the memory.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes], before: Remembered | None = None):
+        super().__init__()
+        self.encode, self.before = encode, before
+        if before is not None:
+            before.before = None
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word) if self.before is not None else None
+        if ids is None:
+            ids = self.encode(word)
+        self[word] = ids
+        return ids
+
+
 class WordTokenizer:
     """Encodes whole texts with the tokenizers library, each distinct word once in a while.
 
     The tokenizer drops white space and never joins what white space parts, so a text's ids
-    are those of its words. A bounded number of words is remembered from batch to batch.
+    are those of its words. Of simple words the letters go straight to the library's model,
+    in lower case, and other words through all of the library's steps. A bounded number of
+    words is remembered from batch to batch.
     """
 
     def __init__(self, content: bytes):
@@ -83,27 +125,53 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(content)
-        self.encode_batch = getattr(
-            self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch
-        )
-        self.known: dict[str, bytes] = {"": b""}
+        self.model = self.tokenizer.model
+        self.dtype = id_type(self.tokenizer.get_vocab_size())
+        self.known = Remembered(self._word)
+        self.stems: dict[str, bytes] = {}
+
+    def _packed(self, ids: list[int]) -> bytes:
+        # Most words have a few ids: an array of Python's own is made faster than numpy's.
+        return array("H" if self.dtype == "<u2" else "I", ids).tobytes()
+
+    def _whole(self, word: str) -> bytes:
+        return self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def _stem(self, letters: str) -> bytes:
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return self._packed([t.id for t in self.model.tokenize(letters)])
+
+    def _word(self, word: str) -> bytes:
+        parts = _SIMPLE.fullmatch(word)
+        if not parts:
+            return self._whole(word)
+        letters, marks = parts.groups()
+        letters = letters.lower()
+        stem = self.stems.get(letters)
+        if stem is None:
+            if len(self.stems) >= CACHE_WORDS:
+                self.stems.clear()
+            stem = self.stems[letters] = self._stem(letters)
+        if marks:
+            if marks not in self.stems:
+                self.stems[marks] = self._whole(marks)
+            return stem + self.stems[marks]
+        return stem
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        lists = [t.replace("\n", " ").split(" ") for t in texts]
-        wanted = set().union(*lists)
-        new = list(wanted.difference(self.known))
-        if len(self.known) + len(new) > CACHE_WORDS:
-            # Words of this batch are the likeliest to come again; others go.
-            self.known = {w: self.known[w] for w in wanted.intersection(self.known)}
-            self.known[""] = b""
-        known = self.known
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            found = self.encode_batch(part, add_special_tokens=False)
-            known.update(
-                (w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, found, strict=True)
-            )
-        return [np.frombuffer(b"".join([known[w] for w in words]), "<u4") for words in lists]
+        out = []
+        for text in texts:
+            words = text.replace("\n", " ").split(" ")
+            out.append(np.frombuffer(b"".join(map(self.known.__getitem__, words)), self.dtype))
+            if len(self.known) > CACHE_WORDS // 2:
+                self.known = Remembered(self._word, self.known)
+        return out
+
+
+def id_type(ids: int) -> str:
+    """The type that ids are kept in before they are ranked."""
+    return "<u2" if ids <= 1 << 16 else "<u4"
 
 
 _loaded: dict[int, WordTokenizer] = {}
@@ -140,7 +208,7 @@ def _encoded(docs: DataFrame, content, end_id: int) -> DataFrame:
         block, before = 0, 0
         doc_ids: list[int | None] = []
         held: list[np.ndarray] = []
-        end = np.array([end_id], "<u4")
+        end = np.array([end_id], tokenizer.dtype)
 
         def close() -> pa.RecordBatch:
             counts = [len(x) for x in held]
@@ -156,7 +224,7 @@ def _encoded(docs: DataFrame, content, end_id: int) -> DataFrame:
             )
 
         n = 0
-        for batch in slices(batches, 2000):
+        for batch in slices(batches, 500):
             found = tokenizer.encode(batch["text"].to_pylist())
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), found, strict=True):
                 doc_ids.append(doc_id)
@@ -172,14 +240,14 @@ def _encoded(docs: DataFrame, content, end_id: int) -> DataFrame:
     return docs.mapInArrow(run, _IDS)
 
 
-def _frequencies(encoded: DataFrame) -> list[tuple[int, int]]:
+def _frequencies(encoded: DataFrame, dtype: str) -> list[tuple[int, int]]:
     """(id, count) of all ids that occur: at most as many rows as the vocabulary has ids."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for raw in batch["ids"].to_pylist():
-                own = np.bincount(np.frombuffer(raw, "<u4"))
+                own = np.bincount(np.frombuffer(raw, dtype))
                 if len(own) > len(total):
                     own[: len(total)] += total
                     total = own
@@ -205,6 +273,7 @@ def write_token_files(
     """Writes the tokens of all rows of ``docs`` as files under ``target``."""
     spark = docs.sparkSession
     content = spark.sparkContext.broadcast(Path(tokenizer_path).read_bytes())
+    dtype = WordTokenizer(content.value).dtype
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
         keyed_text(docs, id_col, text_col)
@@ -212,7 +281,7 @@ def write_token_files(
         .sortWithinPartitions("doc_id", "text")
     )
     encoded = stored(_encoded(ordered, content, end_id), "token-ids")
-    counts = sorted(_frequencies(encoded), key=lambda x: (-x[1], x[0]))
+    counts = sorted(_frequencies(encoded, dtype), key=lambda x: (-x[1], x[0]))
     ranks = [(rank, int(i)) for rank, (i, _) in enumerate(counts)]
     spark.createDataFrame(ranks, "rank long, id long").coalesce(1).write.parquet(f"{target}/ranks")
     rank_of = np.zeros(max((i for _, i in ranks), default=0) + 1, "<u4")
@@ -221,7 +290,7 @@ def write_token_files(
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4):
-            packed = [pack(rank_of[np.frombuffer(x, "<u4")]) for x in batch["ids"].to_pylist()]
+            packed = [pack(rank_of[np.frombuffer(x, dtype)]) for x in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch[c] for c in ("part", "block", "before", "doc_ids", "counts")],
@@ -262,48 +331,60 @@ class TokenFiles:
             starts[part], at = at, at + n
         return starts
 
-    def documents(self) -> DataFrame:
-        """(doc_id, start, ids) of every document, decoded from the files."""
+    def _decoded(self) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]]:
+        """Turns block rows into (ids of documents, their starts and ends, token ids)."""
         ids_by_rank, starts = self.ids_by_rank(), self.part_starts()
 
-        def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             for row in (r for b in slices(batches, 1) for r in b.to_pylist()):
-                counts = np.array(row["counts"], np.int64)
-                ends = np.cumsum(counts)
-                ranks = unpack(row["control"], row["data"], int(counts.sum()))
-                offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-                ids = pa.array(ids_by_rank[ranks].astype(np.int32))
+                ends = np.cumsum(np.array(row["counts"], np.int64))
+                ranks = unpack(row["control"], row["data"], int(ends[-1]))
+                offsets = np.concatenate([[0], ends])
                 first = starts[row["part"]] + row["before"]
+                yield pa.array(row["doc_ids"], pa.int64()), first, offsets, ids_by_rank[ranks]
+
+        return decode
+
+    def documents(self) -> DataFrame:
+        """(doc_id, start, ids) of every document, decoded from the files."""
+        decoded = self._decoded()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for doc_ids, first, offsets, ids in decoded(batches):
+                lists = pa.ListArray.from_arrays(
+                    pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32))
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row["doc_ids"], pa.int64()),
-                        pa.array(first + ends - counts, pa.int64()),
-                        pa.ListArray.from_arrays(offsets, ids),
-                    ],
+                    [doc_ids, pa.array(first + offsets[:-1]), lists],
                     names=["doc_id", "start", "ids"],
                 )
 
-        return self.blocks().mapInArrow(decode, "doc_id long, start long, ids array<int>")
+        return self.blocks().mapInArrow(run, "doc_id long, start long, ids array<int>")
 
+    def digests(self) -> DataFrame:
+        """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the files.
 
-def digests(documents: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) for each row of (doc_id, start, ids)."""
+        The checksum is over the ids as little-endian unsigned 32-bit integers.
+        """
+        decoded = self._decoded()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            lists = batch["ids"]
-            sums = [zlib.crc32(x.values.to_numpy().astype("<u4").tobytes()) for x in lists]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["doc_id"],
-                    batch["start"],
-                    pa.array([len(x) for x in lists], pa.int64()),
-                    pa.array(sums, pa.int64()),
-                ],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for doc_ids, first, offsets, ids in decoded(batches):
+                raw = memoryview(ids.astype("<u4").tobytes())
+                at = (4 * offsets).tolist()
+                sums = [zlib.crc32(raw[i:j]) for i, j in zip(at, at[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        doc_ids,
+                        pa.array(first + offsets[:-1]),
+                        pa.array(np.diff(offsets)),
+                        pa.array(sums, pa.int64()),
+                    ],
+                    names=["doc_id", "start", "n_tokens", "ids_crc32"],
+                )
 
-    return documents.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+        schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
+        return self.blocks().mapInArrow(run, schema)
 
 
 def new_folder(spark: SparkSession) -> str:
