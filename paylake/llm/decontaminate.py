@@ -6,8 +6,8 @@ insertions, deletions, replacements) of the whole item.
 
 1. Items are put in classes of similar length. At every word of a document stands one
    window for each class, as long as the class's shortest item.
-2. A window with more words foreign to the class's items than edits allowed cannot match
-   and is left out; this loses nothing.
+2. A window with more words foreign to the class's items than edits allowed, or with too
+   many repeated words besides, cannot match and is left out; this loses nothing.
 3. The CGK random walk copies a window's words to ``STRETCH`` times as many places, going on
    to the next word when a random bit of (place, word) says so. Small edit distance becomes
    small Hamming distance.
@@ -156,13 +156,13 @@ class LengthClass:
         return np.array(words[: self.size], np.uint64)
 
     def candidates(
-        self, flat: np.ndarray, place: np.ndarray, room: np.ndarray, again: np.ndarray
+        self, flat: np.ndarray, place: np.ndarray, room: np.ndarray, same: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray]:
         """(start, item) of windows that share a key with an item and enough of its words.
 
         ``place`` is each word's place in the vocabulary (its length if none), ``room`` how
-        many words its document has from there on, ``again`` how many words before it equal
-        the one before them. Windows may run into the document's end.
+        many words its document has from there on, ``same`` whether it equals the word before
+        it. Windows may run into the document's end.
         """
         n, most = len(flat), int(self.allowed.max())
         foreign = np.zeros(n + self.size + 1, np.int32)
@@ -172,9 +172,14 @@ class LengthClass:
         starts = np.flatnonzero(foreign[self.size : n + self.size] - foreign[:n] <= most)
         length = np.minimum(room[starts], self.size)
         ends = starts + length
-        # Of two equal words in a row that no item has, at least every other costs an edit.
-        rows = np.maximum(again[ends - 1] - again[starts] - self.repeats, 0) // 2
-        starts = starts[foreign[ends] - foreign[starts] + self.size - length + rows <= most]
+        strange = foreign[ends] - foreign[starts] + self.size - length
+        # Two equal words of the vocabulary in a row, where the item has none, cost an edit of
+        # one of them (which may serve two such pairs) or a deletion between them. A deletion
+        # may also have let a word behind the passage into the window, a strange one or one
+        # more of a pair. So strange words and pairs together are at most twice the edits.
+        again = np.cumsum(same & (place < len(self.vocabulary)), dtype=np.int32)
+        pairs = np.maximum(again[ends - 1] - again[starts] - self.repeats, 0)
+        starts = starts[(strange <= most) & (strange + pairs <= 2 * most)]
         found_start, found_item = [], []
         offsets = np.arange(self.size)
         for i in range(0, len(starts), _WINDOWS):
@@ -229,7 +234,7 @@ class Matcher:
         ends = np.cumsum(counts)
         owner = np.repeat(np.arange(len(texts)), counts)
         room = ends[owner] - np.arange(len(flat))
-        again = np.cumsum(np.concatenate([[False], flat[1:] == flat[:-1]]), dtype=np.int32)
+        same = np.concatenate([[False], flat[1:] == flat[:-1]])
         every = np.unique(np.concatenate([own.vocabulary for own in self.classes]))
         known = np.minimum(np.searchsorted(every, flat), len(every) - 1).astype(np.int32)
         known[every[known] != flat] = len(every)
@@ -238,7 +243,7 @@ class Matcher:
             at = np.full(len(every) + 1, len(own.vocabulary), np.int32)
             at[np.searchsorted(every, own.vocabulary)] = np.arange(len(own.vocabulary))
             place = at[known]
-            starts, items = own.candidates(flat, place, room, again)
+            starts, items = own.candidates(flat, place, room, same)
             order = np.lexsort((starts, items))
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
             done = (-1, -1, -1)  # text, item and last start that the last look has covered
