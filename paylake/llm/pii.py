@@ -5,7 +5,10 @@ Built-in functions only. A span is (kind, start, end) in code points, end exclus
 Base kinds: ``email``, ``ip`` (four numbers up to 255), ``card`` (16 to 19 digits that
 pass Luhn), ``phone`` (a plus sign and 8 to 15 digits). Matches are leftmost and do not
 overlap within a kind; a match that fails its check is dropped, without a second try.
-Added kinds: ``iban`` (passes mod 97) and ``ssn`` (only with a fitting word nearby).
+Added kinds: ``iban`` and ``ssn`` (only with a fitting word nearby). An ``iban`` begins at a
+word of upper-case letters and digits and ends at the end of one, has its country's length
+(any from 15 to 34 characters, the longest first, if the country has none in ``LENGTHS``)
+and passes mod 97. It may begin at every such word that no ``iban`` before it covers.
 
 Every span has a score in percent: a prior of its kind, more if one of the kind's words
 stands within ``CONTEXT`` code points on either side. Base spans are reported whatever
@@ -33,7 +36,8 @@ class Kind:
     """``hint`` is a cheap necessary condition; ``pattern`` never backtracks into a run.
 
     A run that cannot start a match is not tried again from its inside: ``\\G`` lets a
-    match begin where the last one ended, the look-behind where a run begins.
+    match begin where the last one ended, the look-behind where a run begins. Where group 1
+    has the value, the match itself is only as long as its first ``step`` characters.
     """
 
     name: str
@@ -41,6 +45,7 @@ class Kind:
     pattern: str
     prior: int
     words: str
+    step: int = 0
 
 
 _MAIL = "[A-Za-z0-9._%+-]"
@@ -76,9 +81,11 @@ KINDS = (
     Kind(
         "iban",
         r"[A-Z][A-Z][0-9][0-9]",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+        r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})(?![A-Za-z0-9]))"
+        r"[A-Z]{2}[0-9]{2}",
         80,
         "iban|account|bank|konto|cuenta|compte",
+        4,
     ),
     Kind(
         "ssn",
@@ -90,6 +97,30 @@ KINDS = (
 )
 BASE = ("email", "ip", "card", "phone")
 BONUS = 30
+# Characters of a country's account numbers, without spaces.
+LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+_SIZED = "|".join(f"(?:{c.replace(' ', '|')}).{{{n - 2}}}" for n, c in LENGTHS.items())
+_LISTED = "|".join(" ".join(LENGTHS.values()).split())
+_IBAN_LENGTH = f"^(?:{_SIZED}|(?!{_LISTED}).{{15,34}})$"
 
 
 def _digits(value: Column) -> Column:
@@ -108,6 +139,19 @@ def _mod97(value: Column) -> Column:
     return F.aggregate(F.split(turned, ""), F.lit(0), step)
 
 
+def _account(run: Column) -> Column:
+    """The longest account number that a run of words begins with; null if none."""
+    words = F.split(run, " ")
+    starts = F.transform(
+        F.sequence(F.lit(1), F.size(words)), lambda n: F.array_join(F.slice(words, 1, n), " ")
+    )
+    good = F.filter(
+        starts,
+        lambda s: F.regexp_replace(s, " ", "").rlike(_IBAN_LENGTH) & (_mod97(s) == 1),
+    )
+    return F.get(good, F.size(good) - 1)
+
+
 def _confirmed(kind: str, span: Column) -> Column:
     value = span["value"]
     if kind == "ip":
@@ -118,8 +162,6 @@ def _confirmed(kind: str, span: Column) -> Column:
         return F.length(digits).between(16, 19) & F.call_function("luhn_check", digits)
     if kind == "phone":
         return F.length(_digits(value)).between(8, 15)
-    if kind == "iban":
-        return _mod97(value) == 1
     if kind == "ssn":
         return span["score"] >= MIN_SCORE
     return F.lit(True)
@@ -130,7 +172,7 @@ def _spans(kind: Kind, matches: Column, pieces: Column) -> Column:
     around = F.transform(
         matches,
         lambda m, i: F.struct(
-            m.alias("value"),
+            (_account(m) if kind.name == "iban" else m).alias("value"),
             F.get(pieces, i).alias("before"),
             F.get(pieces, i + 1).alias("after"),
         ),
@@ -139,8 +181,12 @@ def _spans(kind: Kind, matches: Column, pieces: Column) -> Column:
     def add(state: Column, x: Column) -> Column:
         start = state["at"] + F.length(x["before"]).cast("long")
         end = start + F.length(x["value"]).cast("long")
+        after, ends = x["after"], end
+        if kind.step:
+            after = F.substr(after, F.length(x["value"]) - kind.step + 1)
+            ends = start + kind.step
         near = F.concat_ws(
-            " ", F.right(x["before"], F.lit(CONTEXT)), F.left(x["after"], F.lit(CONTEXT))
+            " ", F.right(x["before"], F.lit(CONTEXT)), F.left(after, F.lit(CONTEXT))
         )
         score = F.lit(kind.prior) + F.when(near.rlike(f"(?i){kind.words}"), BONUS).otherwise(0)
         span = F.struct(
@@ -149,13 +195,22 @@ def _spans(kind: Kind, matches: Column, pieces: Column) -> Column:
             F.least(score, F.lit(99)).alias("score"),
             x["value"].alias("value"),
         )
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+        more = F.concat(state["spans"], F.array(span))
+        if not kind.step:
+            return F.struct(end.alias("at"), state["to"].alias("to"), more.alias("spans"))
+        free = x["value"].isNotNull() & (start >= state["to"])
+        return F.struct(
+            ends.alias("at"),
+            F.when(free, end).otherwise(state["to"]).alias("to"),
+            F.when(free, more).otherwise(state["spans"]).alias("spans"),
+        )
 
     empty = F.lit(None).cast("struct<start:bigint,end:bigint,score:int,value:string>")
     none = F.filter(F.array(empty), lambda x: x.isNotNull())
+    zero = F.lit(0).cast("long")
     all_spans = F.aggregate(
         around,
-        F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans")),
+        F.struct(zero.alias("at"), zero.alias("to"), none.alias("spans")),
         add,
         lambda state: state["spans"],
     )
@@ -169,7 +224,9 @@ def add_spans(docs: DataFrame, text: str) -> DataFrame:
     expression is worked out once.
     """
     own, nothing = F.col(f"`{text}`"), F.array().cast("array<string>")
-    hit = {k.name: F.regexp_extract_all(own, F.lit(k.pattern), F.lit(0)) for k in KINDS}
+    hit = {
+        k.name: F.regexp_extract_all(own, F.lit(k.pattern), F.lit(1 if k.step else 0)) for k in KINDS
+    }
     docs = docs.withColumns(
         {
             f"{text}_{k.name}_found": F.when(own.rlike(k.hint), hit[k.name]).otherwise(nothing)

@@ -113,3 +113,37 @@ def test_no_python_in_the_plan(documents):
 def test_mod_97(spark, iban, good):
     docs = spark.createDataFrame([(1, iban)], "doc_id long, text string")
     assert pii.find_pii(docs).first().n_iban == good
+
+
+def test_account_numbers_before_words_and_numbers(spark):
+    gb, de, no = "GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00", "NO9386011117947"
+    other = "DZ58 0002 1000 0111 3000 0005 70"  # its country is not listed
+    cases = [
+        (f"{gb} BIC NWBKGB2L", [gb]),
+        (f"{de} EUR 50", [de]),
+        ("GB82WEST12345698765432 2024", ["GB82WEST12345698765432"]),
+        (f"IBAN {no} 100 NOK", [no]),
+        (f"{de} {gb} {no}", [de, gb, no]),
+        (f"AB12 CODE 77 {de} EUR 50,00", [de]),
+        (f"✓😀 {other} DZD 5, {gb} Total", [other, gb]),
+        (f"{de}X {gb[:-1]}3 EUR {de[:-3]}", []),
+        (f"{de} {'A' * 60} {gb}", [de, gb]),
+    ]
+    docs = spark.createDataFrame(
+        [(i, t, 0) for i, (t, _) in enumerate(cases)], "doc_id long, text string, n_chars long"
+    )
+    for r in pii.find_pii(docs).collect():
+        text, want = cases[r.doc_id]
+        spans = [s.split(":") for s in r.spans.split(",") if s.startswith("iban:")]
+        assert [text[int(a) : int(b)] for _, a, b in spans] == want
+        assert r.n_iban == len(want)
+    masked = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert masked[0] == "[IBAN] BIC NWBKGB2L" and masked[1] == "[IBAN] EUR 50"
+    assert masked[4] == "[IBAN] [IBAN] [IBAN]"
+
+
+def test_account_numbers_words_around(spark):
+    texts = ["x DE89 3704 0044 0532 0130 00 EUR at my bank", "x DE89 3704 0044 0532 0130 00 EUR at my"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scores = {r.doc_id: r.scores for r in pii.find_pii(docs).collect()}
+    assert int(scores[0]) == 99 and int(scores[1]) == 80
