@@ -12,9 +12,10 @@ insertions, deletions, replacements) of the whole item.
    to the next word when a random bit of (place, word) says so. Small edit distance becomes
    small Hamming distance.
 4. Bit-sampling: words at ``SAMPLED`` random places are a key; ``TABLES`` keys for each walk.
-   Walks are repeated, up to ``MAX_WALKS``, until ``TARGET`` of randomly edited items, with
-   as many edits as are allowed, share a key with their item.
-5. A window and an item that share a key are verified: first by how many of the window's
+   Walks are repeated until ``TARGET`` of randomly edited items, with as many edits as are
+   allowed, share a key with their item. A class that needs more than ``MAX_WALKS``, as long
+   items do, has no keys: its windows go against all its items.
+5. A window and an item that share a key, or need none, are verified: first by how many of the window's
    words the item has, then by the exact edit distance of the item and the passage.
 
 The items are the query set, so they are collected, and go against all documents in blocks
@@ -107,6 +108,7 @@ class LengthClass:
     walks: int = 0
     keys: np.ndarray | None = None
     owners: np.ndarray | None = None
+    exact: bool = False  # too many walks would be needed: keys are not used
 
     @classmethod
     def of(cls, size: int, ids: list, items: list[np.ndarray], tolerance: float) -> LengthClass:
@@ -135,6 +137,7 @@ class LengthClass:
             keys.append(own.reshape(-1))
             owners.append(np.repeat(np.arange(len(heads)), TABLES))
             self.walks += 1
+        self.exact = bool(met.mean() < TARGET)
         keys, owners = np.concatenate(keys), np.concatenate(owners)
         order = np.argsort(keys, kind="stable")
         order = order[keys[order] != 0]
@@ -158,7 +161,7 @@ class LengthClass:
     def candidates(
         self, flat: np.ndarray, place: np.ndarray, room: np.ndarray, same: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray]:
-        """(start, item) of windows that share a key with an item and enough of its words.
+        """(start, item) of windows that share enough words with an item, and a key if it has any.
 
         ``place`` is each word's place in the vocabulary (its length if none), ``room`` how
         many words its document has from there on, ``same`` whether it equals the word before
@@ -180,6 +183,8 @@ class LengthClass:
         again = np.cumsum(same & (place < len(self.vocabulary)), dtype=np.int32)
         pairs = np.maximum(again[ends - 1] - again[starts] - self.repeats, 0)
         starts = starts[(strange <= most) & (strange + pairs <= 2 * most)]
+        if self.exact:
+            return self._by_words(place, starts, np.minimum(room[starts], self.size))
         found_start, found_item = [], []
         offsets = np.arange(self.size)
         for i in range(0, len(starts), _WINDOWS):
@@ -221,6 +226,19 @@ class LengthClass:
         )
         return pair // len(self.items), pair % len(self.items)
 
+    def _by_words(
+        self, place: np.ndarray, starts: np.ndarray, length: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(start, item) of all windows with at most as many words foreign to the item as edits."""
+        found_start, found_item = [starts[:0]], [starts[:0]]
+        for i in range(len(self.items)) if len(starts) else ():
+            known = np.concatenate([[0], np.cumsum((self.has[i] > 0)[place], dtype=np.int32)])
+            own = self.size - (known[starts + length] - known[starts])
+            fits = starts[own <= self.allowed[i]]
+            found_start.append(fits)
+            found_item.append(np.full(len(fits), i))
+        return np.concatenate(found_start), np.concatenate(found_item)
+
 
 @dataclass
 class Matcher:

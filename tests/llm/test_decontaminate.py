@@ -139,6 +139,35 @@ def test_no_window_of_a_passage_is_left_out_before_the_keys(monkeypatch, seed):
     assert got == want
 
 
+def test_classes_that_need_more_walks_lose_nothing(monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_WALKS", 2)
+    docs, items = planted(random.Random(7))
+    matcher = decontaminate.build_matcher(items)
+    assert any(own.exact for own in matcher.classes)
+    got = {(docs[t][0], item): n for t, item, n, _, _ in matcher.find([x for _, x in docs])}
+    want = brute(docs, items)
+    sizes = [own.size for own in matcher.classes if own.exact]
+    long = {k for k, t in items if len(t.split()) >= min(sizes)}
+    assert {k: n for k, n in got.items() if k[1] in long} == {
+        k: n for k, n in want.items() if k[1] in long
+    }
+
+
+def test_long_items_are_found_at_the_limit():
+    rng = random.Random(500)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=500 + k))) for k in range(20)]
+    matcher = decontaminate.build_matcher(items)
+    assert [own.exact for own in matcher.classes] == [True]
+    texts = []
+    for _, text in items:
+        own = text.split()
+        for at in sorted(rng.sample(range(len(own)), len(own) // 5), reverse=True):
+            own[at : at + 1] = rng.choice([[], rng.choices(vocabulary), [own[at], "more"]])
+        texts.append(" ".join(rng.choices(vocabulary, k=50) + own + rng.choices(vocabulary, k=50)))
+    assert {(t, item) for t, item, *_ in matcher.find(texts)} == {(t, t) for t in range(20)}
+
+
 def test_walk_keeps_equal_windows_and_ends_with_zeros():
     flat, _ = word_hashes(["a b c d e f g h i j"])
     windows = np.array([flat, flat, np.roll(flat, 1)])
