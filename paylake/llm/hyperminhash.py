@@ -331,7 +331,19 @@ def near_duplicates(
     text_col: str = "text",
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``."""
-    rows = keyed_text(docs, id_col, text_col).withColumn("source", F.xxhash64("text"))
+    return _near_rows(docs, width, percent, id_col, text_col).drop("source")
+
+
+def _source() -> Column:
+    """A hash of the text, which tells rows of one id apart."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def _near_rows(
+    docs: DataFrame, width: int, percent: int, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """What ``near_duplicates`` gives, and the hash of each row's text."""
+    rows = keyed_text(docs, id_col, text_col).withColumn("source", _source())
     sketches = stored(_sketches(rows, width), "near-sketches")
     classes = stored(_classes(sketches), "near-classes")
     found = _linked_components(rows, classes, width, percent)
@@ -342,7 +354,7 @@ def near_duplicates(
     else:
         by_key = by_key.withColumn("component", F.lit(None).cast("long"))
     by_key = by_key.select("set_key", F.coalesce("component", "rep").alias("component"))
-    own = sketches.select("doc_id", F.col("n").alias("n_shingles"), "set_key")
+    own = sketches.select("doc_id", "source", F.col("n").alias("n_shingles"), "set_key")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return (
         own.join(by_key, "set_key", "left")
@@ -352,6 +364,7 @@ def near_duplicates(
             "n_shingles",
             "component_id",
             F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+            "source",
         )
     )
 
@@ -359,15 +372,19 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without near-duplicates: of each component the row with the smallest id.
 
-    Rows with a null id stay. Of rows that repeat an id one stays, if its id does.
+    Rows with a null id stay. Of rows that repeat an id one stays, if its id does: one whose
+    own text is kept, and of several such texts always the same.
     """
-    near = near_duplicates(docs, width, percent)
-    keep = near.filter(F.col("kept") & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("__kept_id")
+    near = _near_rows(docs, width, percent)
+    keep = (
+        near.filter(F.col("kept") & F.col("doc_id").isNotNull())
+        .groupBy(F.col("doc_id").alias("__kept_id"))
+        .agg(F.min("source").alias("__kept_source"))
+    )
+    same = (F.col("doc_id").cast("long") == F.col("__kept_id")) & (
+        _source() == F.col("__kept_source")
     )
-    known = docs.join(
-        keep.distinct(), F.col("doc_id").cast("long") == F.col("__kept_id"), "left_semi"
-    ).dropDuplicates(["doc_id"])
+    known = docs.join(keep, same, "left_semi").dropDuplicates(["doc_id"])
     return known.union(docs.filter(F.col("doc_id").isNull()))
 
 

@@ -144,6 +144,24 @@ def test_one_of_each(odd, none):
     assert hyperminhash.one_of_each(none, 2).count() == 0
 
 
+def test_one_of_each_keeps_the_text_that_is_not_a_copy(spark):
+    copy, own, third = ("one two three four", "five six seven eight", "nine ten eleven twelve")
+    rows = [(3, copy), (9, copy), (9, own), (9, own), (20, own), (30, copy), (30, own), (30, third)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        left = sorted(tuple(r) for r in hyperminhash.one_of_each(docs, 2).collect())
+        assert left == [(3, copy), (9, own), (30, third)]
+
+
+def test_one_of_each_takes_the_same_of_several_kept_texts(spark):
+    rows = [(5, f"{w} stands alone here") for w in ("alpha", "beta", "gamma", "delta")]
+    got = set()
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        got |= {tuple(r) for r in hyperminhash.one_of_each(docs, 4).collect()}
+    assert len(got) == 1
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(0, 40)] + [(100, j) for j in range(101, 160)]
