@@ -7,7 +7,10 @@ a value of 8 or more characters), ``access`` (``AKIA``, 16 or more characters) a
 ``signed``  three base64url parts, the first a JSON object with ``alg``, the second JSON
 ``der``     base64 or hex whose bytes are one DER SEQUENCE with exactly nested lengths
 ``wire``    base64 of an OpenSSH key: length-prefixed strings that end with the bytes
-``pem``     an armoured key block whose body decodes to one of the above
+``pem``     an armoured key block of any length. Its body, less header lines and a PGP
+            checksum, must decode to one of the above, or begin as a PGP secret key; a body
+            that its headers call encrypted need only be base64. Blocks without an END line
+            of the same label, and PKCS#8 blocks that are encrypted but no DER, are left out
 
 A null or empty text has none. Rows are handled one by one, so repeated rows and null ids
 come out as they went in; other columns are not looked at. Whole texts are scanned.
@@ -41,9 +44,10 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _SIGNED = re.compile(r"(?<![\w-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]{8,})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
 _ANYHEX = re.compile(r"[0-9A-Fa-f]{64,}")
-_ARMOUR = re.compile(
-    r"-----BEGIN ([A-Z ]{0,40}KEY)-----([A-Za-z0-9+/=\s]{1,20000})-----END \1-----"
-)
+_ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}KEY(?: BLOCK)?)-----")
+_HEADERS = re.compile(r"(?:\s*+[A-Za-z][A-Za-z0-9-]*+:[^\n]*+(?:\n[\x20\t][^\n]*+)*+)*+")
+_ENCRYPTED = re.compile(r"^Proc-Type:.*ENCRYPTED", re.MULTILINE)
+_CHECKSUM = re.compile(r"\s=[A-Za-z0-9+/]{4}\s*$")
 _MAX_DEPTH = 16
 
 
@@ -128,6 +132,19 @@ def is_signed_token(header: str, claims: str) -> bool:
     return isinstance(top, dict) and isinstance(top.get("alg"), str) and isinstance(body, dict)
 
 
+def is_armoured_key(label: str, body: str) -> bool:
+    """Whether what stands between the BEGIN and END lines of a label is a key."""
+    headers = _HEADERS.match(body).group()
+    body = body[len(headers) :]
+    pgp = label.endswith("BLOCK")
+    data = unbase64("".join((_CHECKSUM.sub("", body) if pgp else body).split()))
+    if pgp:  # a packet's first byte: the old or the new form of tag 5, a secret key
+        return bool(data) and len(data) >= 24 and (data[0] & 0xFC == 0x94 or data[0] == 0xC5)
+    if _ENCRYPTED.search(headers):
+        return bool(data) and len(data) >= 24
+    return is_der_key(data) or is_wire_key(data)
+
+
 def find_spans(text: str) -> list[tuple[str, int, int]]:
     """All spans of a text by start, then kind as listed. Code points, end exclusive."""
     spans = []
@@ -156,10 +173,14 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
             if len(m.group()) % 2 == 0 and is_der_key(bytes.fromhex(m.group())):
                 spans.append(("der", *m.span()))
     if "-----BEGIN" in text:
+        begin = None
         for m in _ARMOUR.finditer(text):
-            data = unbase64("".join(m.group(2).split()))
-            if is_der_key(data) or is_wire_key(data):
-                spans.append(("pem", *m.span()))
+            if m.group(1) == "BEGIN":
+                begin = m
+            elif begin and begin.group(2) == m.group(2):
+                if is_armoured_key(m.group(2), text[begin.end() : m.start()]):
+                    spans.append(("pem", begin.start(), m.end()))
+                begin = None
     return sorted(set(spans), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

@@ -77,6 +77,31 @@ def test_confirmed_structures():
     assert "pem" in kinds(armoured)
 
 
+def armour(label, data, top="", end=""):
+    lines = "\n".join(re.findall(".{1,64}", b64(data)))
+    return f"-----BEGIN {label}-----\n{top}{lines}\n{end}-----END {label}-----"
+
+
+def test_armour_of_any_length_with_headers_and_of_pgp():
+    long = b"\x30\x83\x01\x00\x00" + (b"\x04\x82\x7f\xfc" + b"k" * 0x7FFC) * 2
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF\n\n"
+    blocks = [
+        armour("PRIVATE KEY", long),
+        armour("RSA PRIVATE KEY", KEY, "X-Note: mine, old\n\n"),
+        armour("RSA PRIVATE KEY", b"\x8f" * 64, headers),
+        armour("PGP PRIVATE KEY BLOCK", b"\x95\x01" + b"k" * 90, "Version: 1\n\n", "=aB3d\n"),
+    ]
+    for block in blocks:
+        text = f"✓ -----BEGIN X KEY----- {block} end"
+        assert ("pem", text.index(block), len(text) - 4) in scan.find_spans(text)
+    for broken in (
+        armour("PGP PRIVATE KEY BLOCK", b"\x99\x01" + b"k" * 90),
+        armour("PRIVATE KEY", long[:-1]),
+        armour("RSA PRIVATE KEY", b"\x8f" * 64, "X-Note: mine\n\n"),
+    ):
+        assert "pem" not in kinds(broken)
+
+
 def test_broken_structures_are_not_reported():
     assert kinds("key " + b64(KEY[:-3] + b"\0")) == []
     assert kinds("key " + b64(b"\x30\x81\x60" + KEY[3:])) == []
