@@ -15,6 +15,7 @@ from paylake.llm import (
     pii,
     quality,
     secret_scan,
+    token_counts,
     token_files,
     toxicity,
 )
@@ -72,6 +73,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(read_table(spark, sf_dir, "documents"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, token_counts.public_tokenizer())
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_html_text": op1_html_text,
@@ -84,6 +90,7 @@ def queries() -> dict[str, Query]:
         "op8_fingerprints": op8_fingerprints,
         "op9_toxicity": op9_toxicity,
         "op10_pii": op10_pii,
+        "op13_token_counts": op13_token_counts,
     }
 
 
