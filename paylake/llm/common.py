@@ -46,6 +46,18 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
+def groups(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``limit`` bytes in all; a row above it is alone."""
+    start, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and held + size > limit:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: equal inputs give equal outputs in any process."""
     x = (x ^ (x >> np.uint64(30))) * _M1

@@ -11,6 +11,7 @@ from paylake.llm import (
     fingerprints,
     html_text,
     hyperminhash,
+    periodic_runs,
     piece_encoding,
     pii,
     quality,
@@ -73,6 +74,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(read_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(read_table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.find_runs(docs))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return token_counts.count_tokens(docs, token_counts.public_tokenizer())
@@ -90,6 +96,7 @@ def queries() -> dict[str, Query]:
         "op8_fingerprints": op8_fingerprints,
         "op9_toxicity": op9_toxicity,
         "op10_pii": op10_pii,
+        "op11_periodic_runs": op11_periodic_runs,
         "op13_token_counts": op13_token_counts,
     }
 

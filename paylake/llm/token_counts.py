@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from paylake.llm.common import keyed_text
+from paylake.llm.common import groups, keyed_text
 
 GROUP_BYTES = 1 << 20
 KNOWN_PIECES, KNOWN_CHARS = 800_000, 16 << 20
@@ -145,18 +145,6 @@ def _counter(name: str, content: bytes) -> Counter:
     return _loaded[key]
 
 
-def groups(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about ``limit`` bytes in all; a row above it is alone."""
-    start, held = 0, 0
-    for i, size in enumerate(sizes):
-        if i > start and held + size > limit:
-            yield start, i
-            start, held = i, 0
-        held += size
-    if start < len(sizes):
-        yield start, len(sizes)
-
-
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 

@@ -18,6 +18,7 @@ PROMISED = {
     "op8_fingerprints": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
     "op9_toxicity": "doc_id held_out score predicted",
     "op10_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op11_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
     "op13_token_counts": "doc_id n_bytes n_tokens over_limit",
 }
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paylake.llm import token_counts
+from paylake.llm.common import groups
 
 
 @pytest.fixture(scope="module")
@@ -73,8 +74,8 @@ def test_long_texts_go_by_stretches(spark, library, monkeypatch):
 
 def test_groups_are_balanced_by_bytes():
     sizes = [5, 5, 100, 1, 1, 1, 9, 3]
-    assert list(token_counts.groups(sizes, 10)) == [(0, 2), (2, 3), (3, 6), (6, 7), (7, 8)]
-    assert list(token_counts.groups([], 10)) == []
+    assert list(groups(sizes, 10)) == [(0, 2), (2, 3), (3, 6), (6, 7), (7, 8)]
+    assert list(groups([], 10)) == []
 
 
 def test_other_files_get_whole_texts():
