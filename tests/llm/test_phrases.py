@@ -1,0 +1,115 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from paylake.llm import phrases
+
+
+def plain(rows, least=10, share=50, top=2000):
+    """The best phrases by counting every phrase of every piece."""
+    f, totals = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", low):
+            w = [x for x in re.split("[ \t]", piece) if x]
+            totals[lang] += len(w)
+            f.update((lang, *w[i : i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    found = {}
+    for (lang, *w), a in f.items():
+        if len(w) < 2 or a < least:
+            continue
+        longer = (x for x in f if len(x) == 4 and len(w) == 2 and x[0] == lang)
+        if any((x[1:3] == tuple(w) or x[2:4] == tuple(w)) and f[x] >= least and 100 * f[x] >= share * a for x in longer):
+            continue
+        cuts = []
+        for k in range(1, len(w)):
+            left, right = f[(lang, *w[:k])], f[(lang, *w[k:])]
+            cuts.append((1000000 * a * a // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        found.setdefault(lang, []).append((-score, -a, " ".join(w).encode(), left, right))
+    out = []
+    for lang, own in found.items():
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(own)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out)
+
+
+def mined(df, **options):
+    return sorted(tuple(r) for r in phrases.mine_phrases(df, **options).collect())
+
+
+def made(seed, rows=60, vocabulary=9):
+    rng = random.Random(seed)
+    words = ["the", "OF", "é", "ß", "x1", "y", "zz", "New", "york", "文字"][:vocabulary]
+    marks = [" ", " ", " ", "  ", "\t", ". ", ",", "\n", "\r\n", "!?", "\x0b", "\xa0", "\x1c"]
+    texts = []
+    for _ in range(rows):
+        parts = []
+        for _ in range(rng.randint(0, 30)):
+            parts.append("new york city" if rng.random() < 0.15 else rng.choice(words))
+            parts.append(rng.choice(marks))
+        texts.append((rng.choice(["en", "de", "und", None]), "".join(parts)))
+    return [*texts, ("en", None), (None, None), ("fr", ""), ("fr", " ,. ")]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("least", [1, 4, 10])
+def test_phrases_are_those_of_plain_counts(spark, seed, least):
+    rows = made(seed)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    assert mined(df, least=least) == plain(rows, least=least)
+    assert mined(df, least=least, top=3, share=90) == plain(rows, least=least, top=3, share=90)
+
+
+def test_stretches_and_shares_change_nothing(spark, monkeypatch):
+    """Pairs dealt by their third word too, and many small stretches."""
+    rows = made(3, rows=200)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    want = plain(rows)
+    assert any(len(r[2].split()) == 2 for r in want) and any(len(r[2].split()) == 3 for r in want)
+    pairs = {(r[0], *r[2].split()) for r in want if len(r[2].split()) == 2}
+    dealing = phrases.Dealing(8, *(list(x) for x in zip(*sorted(pairs), ("en", "new", "york"), ("none", "a", "b"), strict=True)))
+    monkeypatch.setattr(phrases, "_dealing", lambda *a: dealing)
+    monkeypatch.setattr(phrases, "STRETCH_BYTES", 300)
+    assert mined(df) == want
+
+
+def test_pairs_with_many_third_words_are_found(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "SAMPLED", 1)
+    rows = [("en", f"of the w{i}. a{i} b{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    found = phrases._dealing(df, 20)
+    assert ("en", "of", "the") in set(zip(found.lang, found.first, found.second, strict=True))
+    assert mined(df) == plain(rows)
+
+
+def test_large_counts_are_exact(spark):
+    """Products beyond 64 bits."""
+    rows = [("en", "aa bb " * 60_000), ("en", "aa bb cc\n" * 40_000)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    assert mined(df) == plain(rows)
+    big = 3_000_000_000
+    wide = spark.createDataFrame([(big,)], "a long").select(
+        (F.col("a").cast("decimal(38,0)") * F.col("a").cast("decimal(38,0)") * F.lit(1_000_000)).alias("above"),
+        (F.col("a").cast("decimal(38,0)") * F.lit(big + 7).cast("decimal(38,0)")).alias("below"),
+    )
+    assert wide.selectExpr("above div below").first()[0] == 1_000_000 * big * big // (big * (big + 7))
+
+
+def test_odd_rows(spark, odd, none):
+    assert mined(none) == []
+    rows = [tuple(r) for r in odd.select("lang", "text").collect()]
+    assert mined(odd) == plain(rows)
+    assert mined(odd, least=1) == plain(rows, least=1)
+
+
+def test_windows_are_shuffled_once_and_rolled_up(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = docs.select("lang", "text")
+    plan = phrases.folded_counts(texts)._jdf.queryExecution().executedPlan().toString()
+    # The rows by first word and share, then the folded counts; nothing between them.
+    assert plan.count("Exchange hashpartitioning") == 2
