@@ -18,7 +18,7 @@ second) sums the counts of shorter and shorter prefixes, down to all words of a
 4. ROLLUP runs over the folded rows. Each candidate meets the counts of its parts by joins on
    their text; scores are whole numbers, exact in 38 decimal digits.
 5. A candidate inside a longer one that is at least ``SHARE`` per cent as frequent is dropped.
-   The best of each language are kept by a window that Spark limits before it shuffles.
+   The best of each language are the best of the best of its shares.
 
 A null text is empty; a null language is ``und``; A-Z are lower-cased. Pieces end at any of
 ``.,;:!?`` and line breaks, words at spaces and tabs. Repeated rows count as often as they
@@ -46,6 +46,8 @@ STRETCH_BYTES = 8 << 20
 # A row in so many is looked at to find pairs with many third words: those with more than
 # 1 / (PAIRS_OF * partitions) of all windows' rows, so there are fewer of them than that.
 SAMPLED, PAIRS_OF = 100, 4
+# The best of each language are chosen in so many shares first.
+RANK_SHARES = 32
 _OUT_ROWS = 20_000
 
 _SPACE, _END = 0x20, 0x0A
@@ -313,8 +315,16 @@ def mine_phrases(
     free = best.join(within, ["lang", "phrase"], "left").filter(
         F.coalesce(F.col("longer"), F.lit(0)) * 100 < F.col("a") * share
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    ranked = free.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # The best of a language are among the best of its shares: no task gets all of them.
+    best_first = (F.desc("cut.score"), F.desc("a"), F.asc("phrase"))
+    shares = Window.partitionBy("lang", "of").orderBy(*best_first)
+    among = (
+        free.withColumn("of", F.pmod(F.xxhash64("phrase"), F.lit(RANK_SHARES)))
+        .withColumn("rank", F.row_number().over(shares))
+        .filter(F.col("rank") <= top)
+    )
+    order = Window.partitionBy("lang").orderBy(*best_first)
+    ranked = among.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     words = counts.filter("size = 0").select("lang", "n")
     return ranked.join(words, "lang").select(
         "lang",
