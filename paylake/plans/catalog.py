@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,7 @@ from paylake.plans.stages import (
 from paylake.schema import CLUSTER_COLUMNS, GOLD_COLUMNS, PARTITION_COLUMN, raw_schema
 from paylake.session import scratch_dir
 from paylake.sinks.tables import replace_parquet, replace_table
+from paylake.sinks.versions import publish_table, versions
 from paylake.sources.records import read_records
 from paylake.sources.tables import read_parquet, read_table
 
@@ -200,6 +203,36 @@ def gold_replace_fewer_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select(*GOLD_COLUMNS)
 
 
+def _shown_twice(spark: SparkSession, sf_dir: str) -> str:
+    """A name that showed one year of gold and now shows all of it."""
+    gold, name = _gold(spark, sf_dir), f"gold_shown_{_tag(sf_dir)}_{uuid.uuid4().hex[:8]}"
+    for rows in (_range(gold), gold):
+        publish_table(
+            rows,
+            name,
+            path=_place(spark, sf_dir, name),
+            partition_by=PARTITION_COLUMN,
+            cluster_by=CLUSTER_COLUMNS,
+        )
+    return name
+
+
+def gold_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _shown_twice(spark, sf_dir)).select(*GOLD_COLUMNS)
+
+
+def gold_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of each version behind a name, oldest first, and which of them is shown."""
+    there = versions(spark, _shown_twice(spark, sf_dir))
+    counts = [
+        reports.row_count(read_table(spark, v.table)).select(
+            F.lit(i).alias("version"), F.lit(v.current).alias("shown"), "record_count"
+        )
+        for i, v in enumerate(there, 1)
+    ]
+    return reduce(DataFrame.union, counts)
+
+
 def gold_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _run(spark, sf_dir).gold_table).select(*GOLD_COLUMNS)
 
@@ -325,6 +358,8 @@ def queries() -> dict[str, Query]:
         "gold_replace_idempotent": gold_replace_idempotent,
         "gold_partitioned_table": _stored_gold,
         "gold_replace_fewer_days": gold_replace_fewer_days,
+        "gold_published": gold_published,
+        "gold_versions": gold_versions,
         "gold_from_csv": gold_from_csv,
         "raw_count": _on(payments, reports.row_count),
         "gold_count": _on(_gold, reports.row_count),

@@ -106,6 +106,11 @@ def oracle_sql() -> dict[str, str]:
         "gold_replace_idempotent": _GOLD,
         "gold_partitioned_table": _GOLD,
         "gold_from_csv": _GOLD,
+        "gold_published": _GOLD,
+        "gold_versions": _LAYERS
+        + f"""SELECT 1 AS version, false AS shown, count(*) AS record_count
+              FROM gold WHERE {_IN_RANGE}
+              UNION ALL SELECT 2, true, count(*) FROM gold""",
         "raw_count": "SELECT count(*) AS record_count FROM orders",
         "gold_count": _LAYERS + "SELECT count(*) AS record_count FROM gold",
         "layer_counts": _LAYERS

@@ -21,7 +21,8 @@ from paylake.operators.quality import (
 )
 from paylake.operators.silver import project_silver, require_key
 from paylake.schema import CLUSTER_COLUMNS, GOLD_COLUMNS, PARTITION_COLUMN, raw_schema
-from paylake.sinks.tables import register_parquet, replace_parquet, replace_table
+from paylake.sinks.tables import replace_parquet
+from paylake.sinks.versions import KEEP, publish_folder, publish_table
 from paylake.sources.records import read_records
 from paylake.sources.tables import read_parquet, read_table
 
@@ -39,6 +40,8 @@ class JobConfig:
     staging_table: str = "payments_staging"
     gold_table: str = "payments"
     gold_path: str | None = None
+    # Versions of gold that stay behind the one in use.
+    keep_versions: int = KEEP
     # Staging is a pure copy of silver: by default the table points at its files.
     copy_staging: bool = False
     strict_header: bool = False
@@ -103,21 +106,29 @@ def process_records(
 def load_staging(
     spark: SparkSession, silver_path: str, table: str, *, copy: bool, path: str | None = None
 ) -> DataFrame:
-    """Make silver readable as a table, replacing what the name stood for.
+    """Make silver readable under a name, in place of what that stood for.
 
-    A copy's files go under ``path``, by default under the warehouse.
+    A copy's files go under ``path``, by default under the warehouse; the copy before stays
+    while queries may still read it.
     """
     if copy:
         files = read_parquet(spark, f"{silver_path.rstrip('/')}/*.parquet")
-        return replace_table(files, table, path=path)
-    return register_parquet(spark, table, silver_path)
+        return publish_table(files, table, path=path, keep=1)
+    return publish_folder(spark, table, silver_path)
 
 
 def build_gold(
-    staging: DataFrame, table: str, path: str | None = None, written: Observation | None = None
+    staging: DataFrame,
+    table: str,
+    path: str | None = None,
+    written: Observation | None = None,
+    keep: int = KEEP,
 ) -> DataFrame:
-    """Typed, filtered rows as a table of day partitions, clustered inside each."""
-    return replace_table(
+    """Typed, filtered rows as a table of day partitions, clustered inside each.
+
+    Readers of ``table`` pass from the version before to this one in one step.
+    """
+    return publish_table(
         to_gold(staging),
         table,
         path=path,
@@ -125,6 +136,7 @@ def build_gold(
         cluster_by=CLUSTER_COLUMNS,
         comment=GOLD_COMMENT,
         written=written,
+        keep=keep,
     ).select(*GOLD_COLUMNS)
 
 
@@ -144,7 +156,8 @@ def run_stages(spark: SparkSession, cfg: JobConfig) -> RunCounts:
         require_quality({"row_count": metrics["silver"], **bad}, cfg.max_bad_share)
     load_staging(spark, cfg.silver_path, cfg.staging_table, copy=cfg.copy_staging)
     written = Observation()
-    build_gold(read_table(spark, cfg.staging_table), cfg.gold_table, cfg.gold_path, written)
+    staging = read_table(spark, cfg.staging_table)
+    build_gold(staging, cfg.gold_table, cfg.gold_path, written, cfg.keep_versions)
     metrics["gold"] = written.get["n"]
     require_balance(metrics)
     log.info("gold: %d rows", metrics["gold"])

@@ -6,7 +6,6 @@ import math
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,25 +52,18 @@ def cluster_rows(
     return df.repartitionByRange(tasks, *keys).sortWithinPartitions(partition_by, *cluster_by)
 
 
-def replace_table(
+def fill_table(
     df: DataFrame,
     table: str,
+    folder: str,
     *,
-    path: str | None = None,
     partition_by: str | None = None,
     cluster_by: Sequence[str] = (),
     comment: str | None = None,
     written: Observation | None = None,
     target_bytes: int = TARGET_BYTES,
-) -> DataFrame:
-    """Create or replace a Parquet table from a query and return it.
-
-    The new files go to a folder of their own under ``path`` (by default under the
-    warehouse), and a table under a working name is declared over them and filled. Only
-    when that has succeeded does it take the old table's place, and the old files go. A
-    failed write leaves the old table as it was. The swap is two catalog entries, so a
-    reader may for a moment see no table, never a part of one. The partition column moves
-    to the end of the schema. ``written`` gets the row count of the write as ``n``.
+) -> None:
+    """Declare a new Parquet table over a new folder and fill it; a failure leaves neither.
 
     The table is declared first and then filled, because an insert registers the
     partitions it wrote; a create-as-select lists all their folders to find them.
@@ -84,30 +76,62 @@ def replace_table(
         df = df.sortWithinPartitions(*cluster_by)
     if written is not None:
         df = df.observe(written, F.count(F.lit(1)).alias("n"))
-    version = uuid.uuid4().hex[:12]
-    working = f"{table}_new_{version}"
-    base = (path or f"{spark.conf.get('spark.sql.warehouse.dir')}/{table}").rstrip("/")
-    folder = f"{base}/version-{version}"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    declaration = [f"CREATE TABLE {working} ({columns}) USING parquet"]
+    declaration = [f"CREATE TABLE {table} ({columns}) USING parquet"]
     if partition_by:
         declaration.append(f"PARTITIONED BY (`{partition_by}`)")
-    declaration.append(f"LOCATION {_literal(folder)}")
+    declaration.append(f"LOCATION {sql_text(folder)}")
     if comment:
-        declaration.append(f"COMMENT {_literal(comment)}")
+        declaration.append(f"COMMENT {sql_text(comment)}")
     spark.sql(" ".join(declaration))
     try:
-        df.write.insertInto(working)
+        df.write.insertInto(table)
     except BaseException:
-        spark.sql(f"DROP TABLE IF EXISTS {working}")
-        _delete(spark, folder)
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        delete_folder(spark, folder)
         raise
-    old = _location(spark, table)
+
+
+def replace_table(
+    df: DataFrame,
+    table: str,
+    *,
+    path: str | None = None,
+    partition_by: str | None = None,
+    cluster_by: Sequence[str] = (),
+    comment: str | None = None,
+    written: Observation | None = None,
+    target_bytes: int = TARGET_BYTES,
+) -> DataFrame:
+    """Create or replace a Parquet table from a query and return it.
+
+    The new files go to a folder of their own under ``path`` (by default under the
+    warehouse), and a table under a working name is declared over them and filled. Only
+    when that has succeeded does it take the old table's place, and the old files go. A
+    failed write leaves the old table as it was. The swap is two catalog entries, so a
+    reader may for a moment see no table, never a part of one. The partition column moves
+    to the end of the schema. ``written`` gets the row count of the write as ``n``.
+    """
+    spark = df.sparkSession
+    version = uuid.uuid4().hex[:12]
+    working = f"{table}_new_{version}"
+    base = table_folder(spark, table, path)
+    fill_table(
+        df,
+        working,
+        f"{base}/version-{version}",
+        partition_by=partition_by,
+        cluster_by=cluster_by,
+        comment=comment,
+        written=written,
+        target_bytes=target_bytes,
+    )
+    old = table_location(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {working} RENAME TO {table}")
     # Only folders that this function made: a registered table's files are not its own.
     if old and "/version-" in old:
-        _delete(spark, old)
+        delete_folder(spark, old)
     return spark.table(table)
 
 
@@ -117,21 +141,26 @@ def register_parquet(spark: SparkSession, table: str, path: str) -> DataFrame:
     return spark.catalog.createTable(table, path=path, source="parquet")
 
 
-def _location(spark: SparkSession, table: str) -> str | None:
-    try:
-        rows = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Location'").collect()
-    except AnalysisException:
+def table_folder(spark: SparkSession, table: str, path: str | None) -> str:
+    """Where the folders of a table's versions are."""
+    return (path or f"{spark.conf.get('spark.sql.warehouse.dir')}/{table}").rstrip("/")
+
+
+def table_location(spark: SparkSession, table: str) -> str | None:
+    """The folder of a table's files; None if there is no such table."""
+    if not spark.catalog.tableExists(table):
         return None
+    rows = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Location'").collect()
     return rows[0]["data_type"] if rows else None
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def delete_folder(spark: SparkSession, folder: str) -> None:
     """Deletes a folder in whatever store it is, through Spark's own file systems."""
     jvm, context = spark._jvm, spark.sparkContext._jsc
     path = jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
 
 
-def _literal(text: str) -> str:
+def sql_text(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
