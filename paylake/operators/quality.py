@@ -58,8 +58,9 @@ def observe_silver(silver: DataFrame, into: Observation) -> DataFrame:
 
 def require_balance(metrics: dict[str, int]) -> None:
     """Raise unless every raw row is accounted for in silver, and every silver row in gold."""
+    refused = metrics.get("refused", metrics.get("missing_key"))
     lost = {
-        "raw": metrics["raw"] - metrics["missing_key"] - metrics["silver"],
+        "raw": metrics["raw"] - refused - metrics["silver"],
         "silver": metrics["silver"] - metrics["rejected"] - metrics["gold"],
     }
     if any(lost.values()):

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake.functions.scalars import safe_cast_numeric, safe_parse_date
-from paylake.operators import quality, reports
+from paylake.operators import quality, quarantine, reports
 from paylake.operators.gold import to_gold
 from paylake.operators.silver import project_silver, require_key, to_silver
 from paylake.plans.bindings import payments, raw_payments, table, write_csv
@@ -23,7 +23,13 @@ from paylake.plans.stages import (
     process_records,
     run_stages,
 )
-from paylake.schema import CLUSTER_COLUMNS, GOLD_COLUMNS, PARTITION_COLUMN, raw_schema
+from paylake.schema import (
+    CLUSTER_COLUMNS,
+    GOLD_COLUMNS,
+    PARTITION_COLUMN,
+    SILVER_FROM_RAW,
+    raw_schema,
+)
 from paylake.session import scratch_dir
 from paylake.sinks.tables import replace_parquet, replace_table
 from paylake.sinks.versions import publish_table, versions
@@ -265,6 +271,35 @@ def layer_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.layer_balance(project_silver(raw), silver, gold)
 
 
+def _quarantined(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The CSV files parsed once into silver and a quarantine: their folders."""
+
+    def make(place: str) -> tuple[str, str]:
+        silver, kept = f"{place}/silver", f"{place}/quarantine"
+        process_records(spark, _raw_csv(spark, sf_dir), silver, quarantine_path=kept)
+        return silver, kept
+
+    return _once(spark, sf_dir, "guarded", make)
+
+
+def quarantined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every refused record, by which layer, and its faults."""
+    kept = read_parquet(spark, _quarantined(spark, sf_dir)[1])
+    return kept.select(
+        *SILVER_FROM_RAW,
+        quarantine.REFUSED_BY,
+        F.array_join(quarantine.FAULTS, ",").alias(quarantine.FAULTS),
+    )
+
+
+def quarantine_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of raw, silver, gold and quarantine, and what is left over between them."""
+    silver_path, kept = _quarantined(spark, sf_dir)
+    raw = read_records(spark, _raw_csv(spark, sf_dir), raw_schema())
+    silver = read_parquet(spark, silver_path)
+    return quarantine.balance(raw, silver, to_gold(silver), read_parquet(spark, kept))
+
+
 def raw_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The declared schema as rows, and in how many records each column has a value."""
     raw = read_records(spark, _raw_csv(spark, sf_dir), raw_schema())
@@ -366,6 +401,8 @@ def queries() -> dict[str, Query]:
         "layer_counts": layer_counts,
         "layer_balance": layer_balance,
         "gold_comment": gold_comment,
+        "quarantined_records": quarantined_records,
+        "quarantine_balance": quarantine_balance,
         "count_by_nature": _on(_gold, _by("payment_nature")),
         "count_by_state": _on(_gold, _by("recipient_state")),
         "monthly_total": _on(_gold, reports.monthly_total),

@@ -145,6 +145,25 @@ def oracle_sql() -> dict[str, str]:
                      '{ZIP}' AS Recipient_Zip_Code,
                      CAST(year(o_orderdate) AS VARCHAR) AS Program_Year
               FROM orders ORDER BY o_orderkey LIMIT 5""",
+        "quarantined_records": _LAYERS
+        + f"""SELECT {", ".join(SILVER_FROM_RAW)},
+                CASE WHEN Record_ID IS NULL THEN 'silver' ELSE 'gold' END AS refused_by,
+                concat_ws(',', CASE WHEN Record_ID IS NULL THEN 'missing_key' END,
+                  CASE WHEN payment_amount_usd IS NULL AND o_orderkey % 2 = 0
+                       THEN 'bad_value:Total_Amount_of_Payment_USDollars' END,
+                  CASE WHEN o_orderkey % 7 = 0
+                       THEN 'bad_value:Number_of_Payments_Included_in_Total_Amount' END,
+                  CASE WHEN {_DATE} IS NULL THEN 'bad_date' END,
+                  CASE WHEN {_AMOUNT} IS NULL THEN 'bad_amount' END) AS faults
+              FROM p0 WHERE Record_ID IS NULL OR {_DATE} IS NULL OR {_AMOUNT} IS NULL""",
+        "quarantine_balance": _LAYERS
+        + f"""SELECT (SELECT count(*) FROM p0) AS raw,
+                     (SELECT count(*) FROM silver) AS silver,
+                     (SELECT count(*) FROM gold) AS gold,
+                     (SELECT count(*) FROM p0 WHERE Record_ID IS NULL) AS refused_by_silver,
+                     (SELECT count(*) FROM silver WHERE {_DATE} IS NULL OR {_AMOUNT} IS NULL)
+                       AS refused_by_gold,
+                     0::BIGINT AS raw_left, 0::BIGINT AS silver_left""",
         "raw_columns": _raw_columns(),
         "gold_comment": _LAYERS
         + f"""SELECT '{GOLD_COMMENT}' AS table_comment, count(*) AS record_count FROM gold""",

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 
+from paylake.operators import quarantine
 from paylake.operators.gold import to_gold
 from paylake.operators.quality import (
     observe_raw,
@@ -21,9 +22,9 @@ from paylake.operators.quality import (
 )
 from paylake.operators.silver import project_silver, require_key
 from paylake.schema import CLUSTER_COLUMNS, GOLD_COLUMNS, PARTITION_COLUMN, raw_schema
-from paylake.sinks.tables import replace_parquet
+from paylake.sinks.tables import delete_folder, replace_parquet
 from paylake.sinks.versions import KEEP, publish_folder, publish_table
-from paylake.sources.records import read_records
+from paylake.sources.records import RECORD, read_records
 from paylake.sources.tables import read_parquet, read_table
 
 log = logging.getLogger(__name__)
@@ -80,27 +81,54 @@ def process_records(
     show_sample: bool = False,
     strict_header: bool = False,
     multi_line: bool = True,
+    quarantine_path: str | None = None,
+    refuse_malformed: bool = False,
 ) -> dict[str, int]:
     """CSV folder to silver Parquet; returns what the write counted.
 
-    ``raw``, ``missing_key``, ``silver``, ``bad_date``, ``bad_amount`` and ``rejected`` (bad
-    in either) come out of the write itself, which has no shuffle: records are parsed once,
-    and a task that runs again is not counted twice.
+    ``raw``, ``missing_key``, ``refused`` (by silver), ``silver``, ``bad_date``,
+    ``bad_amount`` and ``rejected`` (by gold: bad in either) come out of the write itself,
+    which has no shuffle: records are parsed once, and a task that runs again is not counted
+    twice.
+
+    With ``quarantine_path`` the records that silver or gold refuse are kept there, with what
+    is wrong with them. The one parse then goes to a folder beside silver first, from which
+    silver and the quarantine are written, and which goes at the end.
     """
     try:
         raw = read_records(
-            spark, input_path, raw_schema(), strict_header=strict_header, multi_line=multi_line
+            spark,
+            input_path,
+            raw_schema(),
+            strict_header=strict_header,
+            multi_line=multi_line,
+            with_record=quarantine_path is not None,
         )
     except AnalysisException:
         log.error("no CSV records could be read under %s; is it a folder of CSV files?", input_path)
         raise
     if show_sample:
-        raw.printSchema()
-        raw.show(5, truncate=False)
+        shown = raw.drop(RECORD)
+        shown.printSchema()
+        shown.show(5, truncate=False)
+    if refuse_malformed and quarantine_path is None:
+        raise ValueError("malformed records are refused into a quarantine: name its path")
     raw_seen, silver_seen = Observation(), Observation()
-    silver = observe_raw(project_silver(raw), raw_seen).transform(require_key)
-    replace_parquet(observe_silver(silver, silver_seen), output_path)
-    return {**raw_seen.get, **silver_seen.get}
+    if quarantine_path is None:
+        silver = observe_raw(project_silver(raw), raw_seen).transform(require_key)
+        replace_parquet(observe_silver(silver, silver_seen), output_path)
+        counts = {**raw_seen.get, **silver_seen.get}
+        return {**counts, "refused": counts["missing_key"]}
+    parsed_path = f"{output_path.rstrip('/')}_parsed"
+    judged = quarantine.judge(raw, raw_schema(), refuse_malformed=refuse_malformed)
+    refused_seen = Observation()
+    judged = quarantine.observe_refused(observe_raw(judged, raw_seen), refused_seen)
+    replace_parquet(judged, parsed_path)
+    parsed = read_parquet(spark, parsed_path)
+    replace_parquet(quarantine.refused(parsed), quarantine_path)
+    replace_parquet(observe_silver(quarantine.accepted(parsed), silver_seen), output_path)
+    delete_folder(spark, parsed_path)
+    return {**raw_seen.get, **refused_seen.get, **silver_seen.get}
 
 
 def load_staging(

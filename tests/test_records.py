@@ -7,6 +7,8 @@ from collections import Counter
 from decimal import Decimal
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,6 +135,37 @@ def test_records_that_cross_lines_must_be_declared(spark, edge_dir, tmp_path):
         read_records(spark, str(tmp_path), TWO, multi_line=False)
 
 
+def test_a_quote_inside_a_plain_field_hides_no_crossing(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('h1,h2,h3\n1,5" pipe,"first\nsecond",5" x\n')
+    three = T.StructType([*TWO, T.StructField("c", T.StringType())])
+    with pytest.raises(RecordsCrossLines):
+        read_records(spark, str(tmp_path), three, multi_line=False)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text('a",\n ', max_size=9), min_size=1, max_size=5))
+def test_what_passes_the_line_check_reads_as_records_do(spark, tmp_path_factory, parts):
+    """Any text: either the check refuses it, or both ways of reading give the same rows.
+
+    Lines of blanks are left aside: Spark skips them unless fields may hold line breaks.
+    """
+    folder = tmp_path_factory.mktemp("any")
+    (folder / "a.csv").write_text("h1,h2\n" + "\n".join(parts) + "\n")
+    want = read_records(spark, str(folder), TWO).collect()
+    try:
+        got = read_records(spark, str(folder), TWO, multi_line=False).collect()
+    except RecordsCrossLines:
+        return
+    full = [r for r in want if (r.a or "").strip() or r.b is not None]
+    assert sorted(map(repr, got)) == sorted(map(repr, full))
+
+
+def test_long_quoted_lines_pass_the_check(spark, tmp_path):
+    long = "x" * 200_000 + '""' * 50_000
+    (tmp_path / "a.csv").write_text(f'h1,h2\n1,"{long}"\n')
+    assert read_records(spark, str(tmp_path), TWO, multi_line=False).count() == 1
+
+
 def test_single_lines_are_split_into_blocks(spark, tmp_path):
     (tmp_path / "a.csv").write_text("h1,h2\n" + "".join(f"{i},x\n" for i in range(20_000)))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
