@@ -6,15 +6,18 @@ import datetime as dt
 import hashlib
 import uuid
 from collections.abc import Callable
+from contextlib import suppress
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylake.functions.scalars import safe_cast_numeric, safe_parse_date
 from paylake.operators import quality, quarantine, reports
 from paylake.operators.gold import to_gold
 from paylake.operators.silver import project_silver, require_key, to_silver
+from paylake.plans import runlog
 from paylake.plans.bindings import payments, raw_payments, table, write_csv
 from paylake.plans.stages import (
     JobConfig,
@@ -300,6 +303,38 @@ def quarantine_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine.balance(raw, silver, to_gold(silver), read_parquet(spark, kept))
 
 
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stages of three runs: one stopped by its limit of bad rows, the next goes on from there
+    with a wider one, and the last finds all done."""
+
+    def make(place: str) -> str:
+        cfg = JobConfig(
+            input_path=_raw_csv(spark, sf_dir),
+            silver_path=f"{place}/silver",
+            staging_table=f"logged_staging_{_tag(sf_dir)}",
+            gold_table=f"logged_gold_{_tag(sf_dir)}",
+            gold_path=f"{place}/gold",
+            run_log=f"{place}/log",
+            manifest=f"{place}/done",
+        )
+        with suppress(quality.QualityError):
+            run_stages(spark, replace(cfg, max_bad_share=0.0001))
+        for _ in range(2):
+            run_stages(spark, replace(cfg, max_bad_share=0.2))
+        return cfg.run_log
+
+    runs = runlog.read_runs(spark, _once(spark, sf_dir, "logged", make))
+    numbered = runs.withColumn("run", F.row_number().over(Window.orderBy("started_at")))
+    each = numbered.select("run", F.col("status").alias("run_status"), F.explode("stages").alias("s"))
+    return each.select(
+        "run",
+        "run_status",
+        "s.stage",
+        F.col("s.status").alias("stage_status"),
+        *[F.col("s.rows")[m].alias(m) for m in ("raw", "refused", "silver", "rejected", "gold")],
+    )
+
+
 def raw_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The declared schema as rows, and in how many records each column has a value."""
     raw = read_records(spark, _raw_csv(spark, sf_dir), raw_schema())
@@ -401,6 +436,7 @@ def queries() -> dict[str, Query]:
         "layer_counts": layer_counts,
         "layer_balance": layer_balance,
         "gold_comment": gold_comment,
+        "run_log": run_log,
         "quarantined_records": quarantined_records,
         "quarantine_balance": quarantine_balance,
         "count_by_nature": _on(_gold, _by("payment_nature")),

@@ -12,7 +12,16 @@ import logging
 from paylake.plans.stages import JobConfig, process_records, run_stages
 from paylake.session import build_session
 
-_GOLD_OPTIONS = ("staging_table", "gold_path", "copy_staging", "max_bad_share")
+_GOLD_OPTIONS = (
+    "staging_table",
+    "gold_path",
+    "copy_staging",
+    "max_bad_share",
+    "keep_versions",
+    "run_log",
+    "manifest",
+)
+_SILVER_OPTIONS = ("quarantine_path", "refuse_malformed")
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
@@ -26,6 +35,13 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--gold_path", help="with gold: folder of the table's files")
     parser.add_argument("--copy_staging", action="store_true", help="with gold: copy silver")
     parser.add_argument("--max_bad_share", type=float, help="with gold: limit of bad rows")
+    parser.add_argument("--keep_versions", type=int, help="with gold: earlier versions that stay")
+    parser.add_argument("--run_log", help="with gold: folder that each run is recorded in")
+    parser.add_argument("--manifest", help="with gold: folder of what is done, to go on from there")
+    parser.add_argument("--quarantine_path", help="folder for the records that are refused")
+    parser.add_argument(
+        "--refuse_malformed", action="store_true", help="with a quarantine: wrong field counts too"
+    )
     parser.add_argument("--strict_header", action="store_true", help="refuse other headers")
     parser.add_argument("--single_line", action="store_true", help="no record crosses lines")
     parser.add_argument("--show_sample", action="store_true", help="print schema and five rows")
@@ -36,14 +52,20 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
             parser.error("base_path and year are required together, and stand for both paths")
     elif None in by_path:
         parser.error("input_path and output_path are required")
-    unused = [f"--{x}" for x in _GOLD_OPTIONS if not args.gold_table and getattr(args, x)]
+    unused = [
+        f"--{x}"
+        for x in _GOLD_OPTIONS
+        if not args.gold_table and getattr(args, x) not in (None, False)
+    ]
     if unused:
         parser.error(f"no effect without --gold_table: {', '.join(unused)}")
+    if args.refuse_malformed and not args.quarantine_path:
+        parser.error("no effect without --quarantine_path: --refuse_malformed")
     return args
 
 
 def config(args: argparse.Namespace) -> JobConfig:
-    given = {name: getattr(args, name) for name in (*_GOLD_OPTIONS, "gold_table")}
+    given = {name: getattr(args, name) for name in (*_GOLD_OPTIONS, *_SILVER_OPTIONS, "gold_table")}
     settings = {name: value for name, value in given.items() if value is not None}
     settings |= {
         "strict_header": args.strict_header,
@@ -55,6 +77,12 @@ def config(args: argparse.Namespace) -> JobConfig:
     return JobConfig(input_path=args.input_path, silver_path=args.output_path, **settings)
 
 
+def _quarantine(cfg: JobConfig) -> dict[str, object]:
+    if cfg.quarantine_path is None:
+        return {}
+    return {"quarantine_path": cfg.quarantine_path, "refuse_malformed": cfg.refuse_malformed}
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
@@ -71,6 +99,7 @@ def main(argv: list[str] | None = None) -> None:
                 show_sample=cfg.show_sample,
                 strict_header=cfg.strict_header,
                 multi_line=cfg.multi_line,
+                **_quarantine(cfg),
             )
             logging.info("wrote %s to %s", counts, cfg.silver_path)
     finally:

@@ -145,6 +145,28 @@ def oracle_sql() -> dict[str, str]:
                      '{ZIP}' AS Recipient_Zip_Code,
                      CAST(year(o_orderdate) AS VARCHAR) AS Program_Year
               FROM orders ORDER BY o_orderkey LIMIT 5""",
+        "run_log": _LAYERS
+        + f""", n AS (
+                SELECT (SELECT count(*) FROM p0) AS raw,
+                  (SELECT count(*) FROM p0 WHERE Record_ID IS NULL) AS refused,
+                  (SELECT count(*) FROM silver) AS silver,
+                  (SELECT count(*) FROM silver WHERE {_DATE} IS NULL OR {_AMOUNT} IS NULL)
+                    AS rejected,
+                  (SELECT count(*) FROM gold) AS gold
+              ), stages(run, run_status, stage, stage_status) AS (
+                VALUES (1, 'failed', 'silver', 'done'), (1, 'failed', 'quality', 'failed'),
+                  (2, 'done', 'silver', 'skipped'), (2, 'done', 'quality', 'done'),
+                  (2, 'done', 'staging', 'done'), (2, 'done', 'gold', 'done'),
+                  (3, 'done', 'silver', 'skipped'), (3, 'done', 'quality', 'done'),
+                  (3, 'done', 'staging', 'done'), (3, 'done', 'gold', 'skipped')
+              )
+              SELECT run, run_status, stage, stage_status,
+                CASE WHEN stage = 'silver' THEN n.raw END AS raw,
+                CASE WHEN stage = 'silver' THEN n.refused END AS refused,
+                CASE WHEN stage = 'silver' THEN n.silver END AS silver,
+                CASE WHEN stage = 'silver' THEN n.rejected END AS rejected,
+                CASE WHEN stage = 'gold' THEN n.gold END AS gold
+              FROM stages, n""",
         "quarantined_records": _LAYERS
         + f"""SELECT {", ".join(SILVER_FROM_RAW)},
                 CASE WHEN Record_ID IS NULL THEN 'silver' ELSE 'gold' END AS refused_by,

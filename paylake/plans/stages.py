@@ -21,9 +21,11 @@ from paylake.operators.quality import (
     require_quality,
 )
 from paylake.operators.silver import project_silver, require_key
+from paylake.plans.manifest import Manifest, is_complete, signature
+from paylake.plans.runlog import Stage, recorded
 from paylake.schema import CLUSTER_COLUMNS, GOLD_COLUMNS, PARTITION_COLUMN, raw_schema
 from paylake.sinks.tables import delete_folder, replace_parquet
-from paylake.sinks.versions import KEEP, publish_folder, publish_table
+from paylake.sinks.versions import KEEP, current_version, publish_folder, publish_table
 from paylake.sources.records import RECORD, read_records
 from paylake.sources.tables import read_parquet, read_table
 
@@ -49,6 +51,11 @@ class JobConfig:
     # Whether fields may hold line breaks; if not, big files are split into blocks.
     multi_line: bool = True
     show_sample: bool = False
+    # Folders of the records that silver or gold refuse, of the runs, and of what is done.
+    quarantine_path: str | None = None
+    refuse_malformed: bool = False
+    run_log: str | None = None
+    manifest: str | None = None
     # Largest share of rows with a bad date or amount; None sets no limit.
     max_bad_share: float | None = None
 
@@ -169,24 +176,71 @@ def build_gold(
 
 
 def run_stages(spark: SparkSession, cfg: JobConfig) -> RunCounts:
-    """All stages. Too many bad rows stop the run before gold is replaced."""
+    """All stages. Too many bad rows stop the run before gold is replaced.
+
+    With ``cfg.run_log`` the run is recorded, also if it fails. With ``cfg.manifest`` a stage
+    is skipped that a run before has finished for the same input files and settings, if what
+    it made is still in place.
+    """
+    manifest = Manifest(spark, cfg.manifest)
+    with recorded(spark, cfg.run_log, cfg.gold_table) as run:
+        with run.stage("silver") as stage:
+            metrics, silver_id = _silver_stage(spark, cfg, manifest, stage)
+        log.info("silver: %s", metrics)
+        with run.stage("quality"):
+            if cfg.max_bad_share is not None:
+                bad = {name: metrics[name] for name in ("bad_date", "bad_amount")}
+                require_quality({"row_count": metrics["silver"], **bad}, cfg.max_bad_share)
+        with run.stage("staging"):
+            load_staging(spark, cfg.silver_path, cfg.staging_table, copy=cfg.copy_staging)
+        with run.stage("gold") as stage:
+            metrics["gold"] = _gold_stage(spark, cfg, manifest, stage, silver_id)
+            require_balance(metrics)
+        log.info("gold: %d rows", metrics["gold"])
+    return RunCounts(metrics["raw"], metrics["silver"], metrics["gold"])
+
+
+def _silver_stage(
+    spark: SparkSession, cfg: JobConfig, manifest: Manifest, stage: Stage
+) -> tuple[dict[str, int], str]:
+    """What silver's write counted, and the event that stands for this silver."""
+    settings = {
+        "strict_header": cfg.strict_header,
+        "multi_line": cfg.multi_line,
+        "quarantine_path": cfg.quarantine_path,
+        "refuse_malformed": cfg.refuse_malformed,
+    }
+    inputs = ""
+    if cfg.manifest:
+        inputs = signature(spark, cfg.input_path, silver_path=cfg.silver_path, **settings)
+        done = manifest.finished("silver", inputs)
+        folders = [f for f in (cfg.silver_path, cfg.quarantine_path) if f]
+        if done and all(is_complete(spark, f) for f in folders):
+            stage.skip()
+            stage.counted(done.rows)
+            return done.rows, done.event_id
+    manifest.start("silver", inputs)
     metrics = process_records(
-        spark,
-        cfg.input_path,
-        cfg.silver_path,
-        show_sample=cfg.show_sample,
-        strict_header=cfg.strict_header,
-        multi_line=cfg.multi_line,
+        spark, cfg.input_path, cfg.silver_path, show_sample=cfg.show_sample, **settings
     )
-    log.info("silver: %s", metrics)
-    if cfg.max_bad_share is not None:
-        bad = {name: metrics[name] for name in ("bad_date", "bad_amount")}
-        require_quality({"row_count": metrics["silver"], **bad}, cfg.max_bad_share)
-    load_staging(spark, cfg.silver_path, cfg.staging_table, copy=cfg.copy_staging)
+    stage.counted(metrics)
+    return metrics, manifest.finish("silver", inputs, cfg.silver_path, metrics)
+
+
+def _gold_stage(
+    spark: SparkSession, cfg: JobConfig, manifest: Manifest, stage: Stage, silver_id: str
+) -> int:
+    """Gold's rows; made anew unless the version shown was made from this silver."""
+    done = manifest.finished("gold", silver_id)
+    if done and current_version(spark, cfg.gold_table) == done.made:
+        stage.skip()
+        stage.counted(done.rows)
+        return done.rows["gold"]
+    manifest.start("gold", silver_id)
     written = Observation()
     staging = read_table(spark, cfg.staging_table)
     build_gold(staging, cfg.gold_table, cfg.gold_path, written, cfg.keep_versions)
-    metrics["gold"] = written.get["n"]
-    require_balance(metrics)
-    log.info("gold: %d rows", metrics["gold"])
-    return RunCounts(metrics["raw"], metrics["silver"], metrics["gold"])
+    rows = {"gold": written.get["n"]}
+    stage.counted(rows)
+    manifest.finish("gold", silver_id, current_version(spark, cfg.gold_table), rows)
+    return rows["gold"]

@@ -98,7 +98,7 @@ def publish_folder(spark: SparkSession, name: str, path: str) -> DataFrame:
 
 def versions(spark: SparkSession, name: str) -> list[Version]:
     """All versions of ``name`` that there are, oldest first."""
-    shown, found = _shown(spark, name), []
+    shown, found = current_version(spark, name), []
     database, _, own = name.rpartition(".")
     within = f"IN {database} " if database else ""
     for row in spark.sql(f"SHOW TABLE EXTENDED {within}LIKE {sql_text(own + '__v*')}").collect():
@@ -173,7 +173,7 @@ def _take_over(spark: SparkSession, name: str) -> None:
     _show(spark, name, f"SELECT * FROM {first}")
 
 
-def _shown(spark: SparkSession, name: str) -> str | None:
+def current_version(spark: SparkSession, name: str) -> str | None:
     """The version that a view reads; None for a folder, or if there is no view."""
     if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType != "VIEW":
         return None
