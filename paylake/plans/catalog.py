@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
 import uuid
 from collections.abc import Callable
 from contextlib import suppress
@@ -36,6 +37,7 @@ from paylake.schema import (
 from paylake.session import scratch_dir
 from paylake.sinks.tables import replace_parquet, replace_table
 from paylake.sinks.versions import publish_table, versions
+from paylake.sources import layouts
 from paylake.sources.records import read_records
 from paylake.sources.tables import read_parquet, read_table
 
@@ -173,6 +175,37 @@ def silver_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_silver(read_records(spark, _raw_csv(spark, sf_dir), raw_schema()))
 
 
+# Two earlier generations of the record layout: names that were changed since, fewer columns,
+# the amount as text; and the same columns as today from the last to the first, and one more.
+_RENAMED = {
+    "Covered_Recipient_Profile_ID": "Profile_ID",
+    "Covered_Recipient_NPI": "NPI",
+    "Covered_Recipient_First_Name": "First_Name",
+    "Covered_Recipient_Last_Name": "Last_Name",
+}
+
+
+def silver_from_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three generations of record files, each bound by its header, as one silver."""
+
+    def make(place: str) -> str:
+        raw = raw_payments(spark, sf_dir)
+        of = F.pmod(F.col("Covered_Recipient_Profile_ID").cast("long"), F.lit(3))
+        old = [c for c in raw.columns if c in (*SILVER_FROM_RAW.values(), *_RENAMED)]
+        first = raw.filter(of == 0).select(*[F.col(c).alias(_RENAMED.get(c, c)) for c in old])
+        second = raw.filter(of == 1).select(*reversed(raw.columns), F.lit("new").alias("Added_Column"))
+        for n, part in enumerate((first, second, raw.filter(of == 2))):
+            write_csv(part, f"{place}/raw/{n}")
+        said = {"version": "1", "columns": first.columns, "renames": {v: k for k, v in _RENAMED.items()}}
+        text = spark.createDataFrame([(json.dumps(said),)], "value string").coalesce(1)
+        text.write.mode("overwrite").text(f"{place}/layouts")
+        return place
+
+    place = _once(spark, sf_dir, "generations", make)
+    known = layouts.load_layouts(spark, f"{place}/layouts")
+    return to_silver(layouts.read_layouts(spark, [f"{place}/raw/{n}" for n in range(3)], known)[0])
+
+
 def silver_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, place = _raw_csv(spark, sf_dir), _place(spark, sf_dir, "silver_twice")
     for _ in range(2):
@@ -419,6 +452,7 @@ def queries() -> dict[str, Query]:
         "csv_bad_values": csv_bad_values,
         "silver_transform": silver_transform,
         "silver_from_csv": silver_from_csv,
+        "silver_from_layouts": silver_from_layouts,
         "silver_overwrite_roundtrip": silver_overwrite_roundtrip,
         "parquet_glob_stage": lambda spark, sf_dir: _stage(spark, sf_dir, copy=True),
         "parquet_register_stage": lambda spark, sf_dir: _stage(spark, sf_dir, copy=False),

@@ -21,7 +21,7 @@ _GOLD_OPTIONS = (
     "run_log",
     "manifest",
 )
-_SILVER_OPTIONS = ("quarantine_path", "refuse_malformed")
+_SILVER_OPTIONS = ("quarantine_path", "refuse_malformed", "layouts_path")
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
@@ -42,6 +42,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--refuse_malformed", action="store_true", help="with a quarantine: wrong field counts too"
     )
+    parser.add_argument("--layouts_path", help="folder of layout files: bind columns by name")
     parser.add_argument("--strict_header", action="store_true", help="refuse other headers")
     parser.add_argument("--single_line", action="store_true", help="no record crosses lines")
     parser.add_argument("--show_sample", action="store_true", help="print schema and five rows")
@@ -59,6 +60,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ]
     if unused:
         parser.error(f"no effect without --gold_table: {', '.join(unused)}")
+    if args.layouts_path and (args.strict_header or args.quarantine_path):
+        parser.error("--layouts_path resolves headers: no --strict_header, no --quarantine_path")
     if args.refuse_malformed and not args.quarantine_path:
         parser.error("no effect without --quarantine_path: --refuse_malformed")
     return args
@@ -77,10 +80,10 @@ def config(args: argparse.Namespace) -> JobConfig:
     return JobConfig(input_path=args.input_path, silver_path=args.output_path, **settings)
 
 
-def _quarantine(cfg: JobConfig) -> dict[str, object]:
-    if cfg.quarantine_path is None:
-        return {}
-    return {"quarantine_path": cfg.quarantine_path, "refuse_malformed": cfg.refuse_malformed}
+def _more(cfg: JobConfig) -> dict[str, object]:
+    """Settings of the first stage that were given."""
+    given = {name: getattr(cfg, name) for name in _SILVER_OPTIONS}
+    return {name: value for name, value in given.items() if value}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -99,7 +102,7 @@ def main(argv: list[str] | None = None) -> None:
                 show_sample=cfg.show_sample,
                 strict_header=cfg.strict_header,
                 multi_line=cfg.multi_line,
-                **_quarantine(cfg),
+                **_more(cfg),
             )
             logging.info("wrote %s to %s", counts, cfg.silver_path)
     finally:

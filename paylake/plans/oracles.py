@@ -95,6 +95,7 @@ def oracle_sql() -> dict[str, str]:
             FROM orders""",
         "silver_transform": _SILVER,
         "silver_from_csv": _SILVER,
+        "silver_from_layouts": _SILVER,
         "silver_overwrite_roundtrip": _SILVER,
         "parquet_glob_stage": _SILVER,
         "parquet_register_stage": _SILVER,

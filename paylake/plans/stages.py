@@ -26,6 +26,7 @@ from paylake.plans.runlog import Stage, recorded
 from paylake.schema import CLUSTER_COLUMNS, GOLD_COLUMNS, PARTITION_COLUMN, raw_schema
 from paylake.sinks.tables import delete_folder, replace_parquet
 from paylake.sinks.versions import KEEP, current_version, publish_folder, publish_table
+from paylake.sources.layouts import load_layouts, read_layouts
 from paylake.sources.records import RECORD, read_records
 from paylake.sources.tables import read_parquet, read_table
 
@@ -54,6 +55,8 @@ class JobConfig:
     # Folders of the records that silver or gold refuse, of the runs, and of what is done.
     quarantine_path: str | None = None
     refuse_malformed: bool = False
+    # Folder of layout files: columns then bind by the names in each file's header.
+    layouts_path: str | None = None
     run_log: str | None = None
     manifest: str | None = None
     # Largest share of rows with a bad date or amount; None sets no limit.
@@ -90,6 +93,7 @@ def process_records(
     multi_line: bool = True,
     quarantine_path: str | None = None,
     refuse_malformed: bool = False,
+    layouts_path: str | None = None,
 ) -> dict[str, int]:
     """CSV folder to silver Parquet; returns what the write counted.
 
@@ -101,16 +105,29 @@ def process_records(
     With ``quarantine_path`` the records that silver or gold refuse are kept there, with what
     is wrong with them. The one parse then goes to a folder beside silver first, from which
     silver and the quarantine are written, and which goes at the end.
+
+    With ``layouts_path`` columns bind by the names in each file's header, which picks one of
+    the layouts in that folder or the declared one. Records are then not judged by their text.
     """
+    if layouts_path and (quarantine_path or strict_header):
+        raise ValueError("with layouts, headers are resolved: no strict header, no quarantine")
     try:
-        raw = read_records(
-            spark,
-            input_path,
-            raw_schema(),
-            strict_header=strict_header,
-            multi_line=multi_line,
-            with_record=quarantine_path is not None,
-        )
+        if layouts_path:
+            known = load_layouts(spark, layouts_path)
+            raw, bindings = read_layouts(spark, input_path, known, multi_line=multi_line)
+            for binding, files in bindings:
+                log.info("%d files of layout %s", len(files), binding.layout.version)
+                for change in binding.changes:
+                    log.warning("%s: %s %s", change.column, change.kind, change.detail)
+        else:
+            raw = read_records(
+                spark,
+                input_path,
+                raw_schema(),
+                strict_header=strict_header,
+                multi_line=multi_line,
+                with_record=quarantine_path is not None,
+            )
     except AnalysisException:
         log.error("no CSV records could be read under %s; is it a folder of CSV files?", input_path)
         raise
@@ -209,6 +226,7 @@ def _silver_stage(
         "multi_line": cfg.multi_line,
         "quarantine_path": cfg.quarantine_path,
         "refuse_malformed": cfg.refuse_malformed,
+        "layouts_path": cfg.layouts_path,
     }
     inputs = ""
     if cfg.manifest:
