@@ -18,12 +18,15 @@ from paylake.functions.scalars import safe_cast_numeric, safe_parse_date
 from paylake.operators import quality, quarantine, reports
 from paylake.operators.gold import to_gold
 from paylake.operators.silver import project_silver, require_key, to_silver
+from paylake.operators.summary import Reports, Where
 from paylake.plans import runlog
 from paylake.plans.bindings import payments, raw_payments, table, write_csv
 from paylake.plans.stages import (
     JobConfig,
     build_gold,
+    build_summary,
     load_staging,
+    open_reports,
     process_records,
     run_stages,
 )
@@ -399,6 +402,21 @@ def preview_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Reports
 
 
+def _summed(spark: SparkSession, sf_dir: str) -> Reports:
+    """Reports from the cube of the gold table that a whole run made."""
+    table = _run(spark, sf_dir).gold_table
+    _once(spark, sf_dir, "summary", lambda place: build_summary(spark, table, place) and table)
+    return open_reports(spark, table)
+
+
+def gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _summed(spark, sf_dir).summary
+
+
+def _summary_report(report: Callable[[Reports], DataFrame]) -> Query:
+    return lambda spark, sf_dir: report(_summed(spark, sf_dir))
+
+
 def _on(source: Query, *steps: Callable[[DataFrame], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = source(spark, sf_dir)
@@ -488,6 +506,16 @@ def queries() -> dict[str, Query]:
         "stored_count_by_nature_in_range": _on(_stored_gold, _range, _by("payment_nature")),
         "stored_monthly_total_in_range": _on(_stored_gold, _range, reports.monthly_total),
         "stored_state_filter": _on(_stored_gold, _state_f),
+        "gold_summary": gold_summary,
+        "summary_count": _summary_report(lambda r: r.row_count()),
+        "summary_count_by_nature": _summary_report(lambda r: r.count_by("payment_nature")),
+        "summary_count_by_state_in_range": _summary_report(
+            lambda r: r.count_by("recipient_state", Where(FIRST_DAY, LAST_DAY))
+        ),
+        "summary_monthly_total": _summary_report(lambda r: r.monthly_total()),
+        "summary_monthly_total_of_state": _summary_report(
+            lambda r: r.monthly_total(Where(equals={"recipient_state": "F"}))
+        ),
         "preview_raw": preview_raw,
         "raw_columns": raw_columns,
         "preview_rows": _on(_gold, _preview),

@@ -18,6 +18,8 @@ _GOLD_OPTIONS = (
     "copy_staging",
     "max_bad_share",
     "keep_versions",
+    "summary",
+    "summary_path",
     "run_log",
     "manifest",
 )
@@ -36,6 +38,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--copy_staging", action="store_true", help="with gold: copy silver")
     parser.add_argument("--max_bad_share", type=float, help="with gold: limit of bad rows")
     parser.add_argument("--keep_versions", type=int, help="with gold: earlier versions that stay")
+    parser.add_argument("--summary", action="store_true", help="with gold: its cube for reports")
+    parser.add_argument("--summary_path", help="with gold: folder of the cube's files")
     parser.add_argument("--run_log", help="with gold: folder that each run is recorded in")
     parser.add_argument("--manifest", help="with gold: folder of what is done, to go on from there")
     parser.add_argument("--quarantine_path", help="folder for the records that are refused")

@@ -138,6 +138,18 @@ def oracle_sql() -> dict[str, str]:
         "stored_count_by_nature_in_range": by_nature_1996,
         "stored_monthly_total_in_range": by_month_1996,
         "stored_state_filter": _LAYERS + "SELECT * FROM gold WHERE recipient_state = 'F'",
+        "gold_summary": _LAYERS
+        + """SELECT recipient_state, payment_nature, count(*) AS record_count,
+                    CAST(sum(payment_amount_usd) AS DECIMAL(38,9)) AS total_amount_usd, payment_date
+             FROM gold GROUP BY payment_date, recipient_state, payment_nature""",
+        "summary_count": _LAYERS + "SELECT count(*) AS record_count FROM gold",
+        "summary_count_by_nature": by_nature,
+        "summary_count_by_state_in_range": _LAYERS
+        + f"""SELECT recipient_state, count(*) AS record_count FROM gold WHERE {_IN_RANGE}
+              GROUP BY recipient_state""",
+        "summary_monthly_total": by_month,
+        "summary_monthly_total_of_state": _LAYERS
+        + _BY_MONTH.format("WHERE recipient_state = 'F'"),
         "preview_raw": _LAYERS
         + f"""SELECT CAST(o_orderkey AS VARCHAR) AS Covered_Recipient_Profile_ID,
                      CASE WHEN o_orderkey % 23 <> 0 THEN CAST(o_orderkey AS VARCHAR) END

@@ -21,11 +21,12 @@ from paylake.operators.quality import (
     require_quality,
 )
 from paylake.operators.silver import project_silver, require_key
+from paylake.operators.summary import DIMENSIONS, Reports, summarize
 from paylake.plans.manifest import Manifest, is_complete, signature
 from paylake.plans.runlog import Stage, recorded
 from paylake.schema import CLUSTER_COLUMNS, GOLD_COLUMNS, PARTITION_COLUMN, raw_schema
 from paylake.sinks.tables import delete_folder, replace_parquet
-from paylake.sinks.versions import KEEP, current_version, publish_folder, publish_table
+from paylake.sinks.versions import KEEP, current_version, origin, publish_folder, publish_table
 from paylake.sources.layouts import load_layouts, read_layouts
 from paylake.sources.records import RECORD, read_records
 from paylake.sources.tables import read_parquet, read_table
@@ -44,6 +45,9 @@ class JobConfig:
     staging_table: str = "payments_staging"
     gold_table: str = "payments"
     gold_path: str | None = None
+    # Whether gold's cube for reports is made too, and the folder of its files.
+    summary: bool = False
+    summary_path: str | None = None
     # Versions of gold that stay behind the one in use.
     keep_versions: int = KEEP
     # Staging is a pure copy of silver: by default the table points at its files.
@@ -192,6 +196,35 @@ def build_gold(
     ).select(*GOLD_COLUMNS)
 
 
+def build_summary(spark: SparkSession, gold_table: str, path: str | None = None) -> DataFrame:
+    """The cube of a gold table, beside it, made from the version that is shown now."""
+    version = current_version(spark, gold_table)
+    return publish_table(
+        summarize(read_table(spark, version or gold_table)),
+        summary_name(gold_table),
+        path=path,
+        cluster_by=DIMENSIONS,
+        made_from=version,
+    )
+
+
+def summary_name(gold_table: str) -> str:
+    return f"{gold_table}_summary"
+
+
+def open_reports(spark: SparkSession, gold_table: str) -> Reports:
+    """Reports over a gold table, from its summary if that is of the version shown now.
+
+    Gold is read by that version's own name, so both stay as they are while one reports.
+    """
+    version, name = current_version(spark, gold_table), summary_name(gold_table)
+    gold = read_table(spark, version or gold_table)
+    summary = current_version(spark, name)
+    if version is None or summary is None or origin(spark, name) != version:
+        return Reports(gold)
+    return Reports(gold, read_table(spark, summary))
+
+
 def run_stages(spark: SparkSession, cfg: JobConfig) -> RunCounts:
     """All stages. Too many bad rows stop the run before gold is replaced.
 
@@ -213,6 +246,14 @@ def run_stages(spark: SparkSession, cfg: JobConfig) -> RunCounts:
         with run.stage("gold") as stage:
             metrics["gold"] = _gold_stage(spark, cfg, manifest, stage, silver_id)
             require_balance(metrics)
+        if cfg.summary:
+            with run.stage("summary") as stage:
+                if origin(spark, summary_name(cfg.gold_table)) == current_version(
+                    spark, cfg.gold_table
+                ):
+                    stage.skip()
+                else:
+                    build_summary(spark, cfg.gold_table, cfg.summary_path)
         log.info("gold: %d rows", metrics["gold"])
     return RunCounts(metrics["raw"], metrics["silver"], metrics["gold"])
 

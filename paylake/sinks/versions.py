@@ -35,7 +35,7 @@ from paylake.sinks.tables import (
 KEEP = 2
 UNFINISHED = dt.timedelta(days=1)
 
-_COMPLETE = "paylake.complete"
+_COMPLETE, _ORIGIN = "paylake.complete", "paylake.made-from"
 _STAMP = "%Y%m%d%H%M%S%f"
 _VERSION = re.compile(r"(.*)__v(\d{20})_[0-9a-f]{8}")
 _QUERY = re.compile(r"SELECT \* FROM (\S+)")
@@ -61,12 +61,14 @@ def publish_table(
     comment: str | None = None,
     written: Observation | None = None,
     keep: int = KEEP,
+    made_from: str | None = None,
     target_bytes: int = TARGET_BYTES,
 ) -> DataFrame:
     """Write a query's rows as a new version of ``name``, switch to it, and return it.
 
     Version folders go under ``path``, by default under the warehouse. ``keep`` versions
-    behind the new one stay, older ones go with their files.
+    behind the new one stay, older ones go with their files. ``made_from`` is said of the
+    version, for ``origin`` to tell: what its rows come from.
     """
     spark = df.sparkSession
     version = _new_version(name)
@@ -81,7 +83,8 @@ def publish_table(
         written=written,
         target_bytes=target_bytes,
     )
-    spark.sql(f"ALTER TABLE {version} SET TBLPROPERTIES ('{_COMPLETE}' = 'true')")
+    said = f", '{_ORIGIN}' = {sql_text(made_from)}" if made_from else ""
+    spark.sql(f"ALTER TABLE {version} SET TBLPROPERTIES ('{_COMPLETE}' = 'true'{said})")
     _take_over(spark, name)
     _show(spark, name, f"SELECT * FROM {version}", comment)
     prune(spark, name, keep)
@@ -181,3 +184,11 @@ def current_version(spark: SparkSession, name: str) -> str | None:
     query = _QUERY.fullmatch(rows[0]["data_type"]) if rows else None
     return query.group(1) if query and _VERSION.fullmatch(query.group(1)) else None
 
+
+def origin(spark: SparkSession, name: str) -> str | None:
+    """What the version that a view reads was made from, where that was said."""
+    version = current_version(spark, name)
+    if version is None:
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {version}").filter(f"key = '{_ORIGIN}'").collect()
+    return rows[0]["value"] if rows else None
