@@ -13,7 +13,8 @@ of the rest (6 bits) and the ``MANTISSA`` bits that follow the first one.
 3. In each key with more than one class, every class meets the key's centre: the member
    whose keys hold the most classes, which in a group of copies is the original.
 4. A pair's similarity is estimated from equal registers, less the collisions to expect for
-   sets of those sizes. Pairs more than ``MARGIN`` below the threshold go no further.
+   sets of those sizes. Pairs more than ``MARGIN`` below the threshold go no further, but for
+   those with a set of under ``FEW`` shingles.
 5. The rest are confirmed on the full sets; confirmed links form components.
 6. Steps 3 to 5 come again for keys that still hold several components, with a centre from
    another component. After ``STARS`` such rounds, what is left of such keys is compared
@@ -45,6 +46,9 @@ REGISTERS, MANTISSA = 256, 10
 BANDS, ROWS = 32, 4
 TINY = 3
 MARGIN = 0.13
+# The estimate says nothing certain of sets that fill few registers: pairs with a smaller one
+# than this are confirmed without it.
+FEW = 16
 STARS = 3
 # A block's members and the bytes of their sets: what one task holds at a time, twice.
 BLOCK, BLOCK_BYTES = 1024, 64 << 20
@@ -209,7 +213,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
                 for c in ("sketch_a", "sketch_b")
             )
             n, m = (batch[c].to_numpy() for c in ("n_a", "n_b"))
-            near = estimate(a, b, n, m) >= threshold - MARGIN
+            near = (estimate(a, b, n, m) >= threshold - MARGIN) | (np.minimum(n, m) < FEW)
             near &= np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
@@ -314,6 +318,7 @@ def _blocked_links(
                 continue
             own = np.broadcast_to(sketch[i], (len(j), REGISTERS))
             near = estimate(own, sketch[j], np.full(len(j), n[i]), n[j]) >= threshold - MARGIN
+            near |= np.minimum(n[j], n[i]) < FEW
             for k in j[near]:
                 if part[k] != part[i] and _linked(sets[i], sets[k], percent):
                     out.append((rep[i], rep[k]))
@@ -372,20 +377,27 @@ def _near_rows(
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without near-duplicates: of each component the row with the smallest id.
 
-    Rows with a null id stay. Of rows that repeat an id one stays, if its id does: one whose
-    own text is kept, and of several such texts always the same.
+    A row is known by its id and its text: unlike texts under one id are documents of their
+    own, in the order of a hash of the text, and rows that agree in both count once. Rows with
+    a null id stay.
     """
-    near = _near_rows(docs, width, percent)
-    keep = (
-        near.filter(F.col("kept") & F.col("doc_id").isNotNull())
-        .groupBy(F.col("doc_id").alias("__kept_id"))
-        .agg(F.min("source").alias("__kept_source"))
+    row = ["__near_id", "__near_text"]
+    known = docs.filter(F.col("doc_id").isNotNull()).withColumns(
+        {row[0]: F.col("doc_id").cast("long"), row[1]: _source()}
     )
-    same = (F.col("doc_id").cast("long") == F.col("__kept_id")) & (
-        _source() == F.col("__kept_source")
-    )
-    known = docs.join(keep, same, "left_semi").dropDuplicates(["doc_id"])
-    return known.union(docs.filter(F.col("doc_id").isNull()))
+    pairs = stored(known.select(*row).distinct(), "near-rows")
+    if pairs.groupBy(row[0]).count().filter("count > 1").isEmpty():
+        near = _near_rows(docs, width, percent).filter(F.col("kept") & F.col("doc_id").isNotNull())
+        keep = near.select(F.col("doc_id").alias(row[0]), F.col("source").alias(row[1]))
+    else:
+        # Numbers in the order of id and text stand for the ids.
+        order = pairs.repartitionByRange(*row).sortWithinPartitions(*row)
+        named = stored(order.withColumn("name", F.monotonically_increasing_id()), "near-names")
+        texts = known.select(*row, "text").join(named, row).select("name", "text")
+        near = _near_rows(texts, width, percent, id_col="name").filter("kept")
+        keep = near.select(F.col("doc_id").alias("name")).distinct().join(named, "name")
+    left = known.join(keep.select(*row), row, "left_semi").dropDuplicates(row)
+    return left.select(*docs.columns).union(docs.filter(F.col("doc_id").isNull()))
 
 
 def _classes(sketches: DataFrame) -> DataFrame:

@@ -139,7 +139,7 @@ def test_one_of_each(odd, none):
     left = hyperminhash.one_of_each(odd, 2)
     assert left.columns == odd.columns
     ids = [r.doc_id for r in left.select("doc_id").collect()]
-    assert sorted(i for i in ids if i is not None) == [0, 1, 2, 3, 4, 5, 7]
+    assert sorted(i for i in ids if i is not None) == [0, 1, 2, 3, 4, 5, 5, 7]
     assert ids.count(None) == 2
     assert hyperminhash.one_of_each(none, 2).count() == 0
 
@@ -153,13 +153,36 @@ def test_one_of_each_keeps_the_text_that_is_not_a_copy(spark):
         assert left == [(3, copy), (9, own), (30, third)]
 
 
-def test_one_of_each_takes_the_same_of_several_kept_texts(spark):
+def test_one_of_each_loses_no_unlike_text_of_an_id(spark):
     rows = [(5, f"{w} stands alone here") for w in ("alpha", "beta", "gamma", "delta")]
-    got = set()
+    rows += [(5, rows[0][1]), (6, rows[1][1]), (-(2**63), "the smallest id of all"), (2**63 - 1, rows[2][1])]
     for order in (rows, rows[::-1], rows[2:] + rows[:2]):
         docs = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
-        got |= {tuple(r) for r in hyperminhash.one_of_each(docs, 4).collect()}
-    assert len(got) == 1
+        got = sorted(tuple(r) for r in hyperminhash.one_of_each(docs, 4).collect())
+        assert got == sorted([*rows[:4], rows[6]])
+
+
+def test_near_copies_under_a_repeated_id_go_to_the_smaller_id(spark):
+    rng = random.Random(4)
+    long = " ".join(f"w{i}" for i in range(80))
+    near = edited(long, 1, rng)
+    rows = [(7, "something else entirely here"), (7, near), (3, long), (7, "a third text of its own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in hyperminhash.one_of_each(docs, 2).collect())
+    assert got == sorted([rows[0], rows[2], rows[3]])
+
+
+def test_no_link_of_small_sets_is_lost(spark):
+    """Pairs of 4 shingles of 5, and of 5 of 6."""
+    rng, rows = random.Random(9), []
+    for i in range(4000):
+        n = 5 if i % 2 else 6
+        w = [f"x{rng.randrange(10**9)}" for _ in range(n)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join([*w, f"y{i}"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in hyperminhash.near_duplicates(docs, 2).collect()}
+    lost = [i for i in range(4000) if got[2 * i + 1] != 2 * i]
+    assert not lost
 
 
 def test_components(spark):
