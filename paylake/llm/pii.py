@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from paylake.llm.common import keyed_text
 
 CONTEXT = 40
+# Matches, and code points, that one step of work on a long text takes at a time.
+BLOCK, CUT = 128, 4096
 MIN_SCORE = 50
 
 
@@ -66,8 +68,8 @@ KINDS = (
     ),
     Kind(
         "card",
-        r"[0-9][\x20-]?[0-9]",
-        r"[0-9]++(?:[\x20-][0-9]++)*+",
+        r"[0-9](?:[\x20-]?[0-9]){15}",
+        r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,}+",
         70,
         "card|visa|credit|payment|karte|tarjeta|carte",
     ),
@@ -167,54 +169,112 @@ def _confirmed(kind: str, span: Column) -> Column:
     return F.lit(True)
 
 
+def _blocks(items: Column) -> Column:
+    """The items in arrays of BLOCK; work that grows with the square stays within one of these."""
+    starts = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int"))
+    return F.transform(starts, lambda b: F.slice(items, b * BLOCK + 1, BLOCK))
+
+
+def _running(items: Column, zero: Column, step) -> Column:
+    """For each item what ``step`` makes of ``zero`` and the items before it."""
+
+    def within(block: Column, start: Column) -> Column:
+        def add(state: Column, x: Column) -> Column:
+            return F.struct(
+                step(state["now"], x).alias("now"),
+                F.concat(state["seen"], F.array(state["now"])).alias("seen"),
+            )
+
+        begin = F.struct(start.alias("now"), _empty("bigint").alias("seen"))
+        return F.aggregate(block, begin, add, lambda state: state["seen"])
+
+    def whole(block: Column, start: Column) -> Column:
+        return F.aggregate(block, start, step)
+
+    # The state before each block, then the states within it.
+    return _let(
+        _blocks(items),
+        lambda blocks: _let(
+            F.aggregate(
+                blocks,
+                F.struct(zero.alias("now"), _empty("bigint").alias("seen")),
+                lambda state, block: F.struct(
+                    whole(block, state["now"]).alias("now"),
+                    F.concat(state["seen"], F.array(state["now"])).alias("seen"),
+                ),
+                lambda state: state["seen"],
+            ),
+            lambda starts: F.flatten(
+                F.transform(blocks, lambda block, i: within(block, F.get(starts, i)))
+            ),
+        ),
+    )
+
+
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once: an array of one stands for its name."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _empty(type_name: str) -> Column:
+    return F.array().cast(f"array<{type_name}>")
+
+
 def _spans(kind: Kind, matches: Column, pieces: Column) -> Column:
     """Spans from a kind's matches and the pieces of text around them."""
-    around = F.transform(
+    found = F.transform(
         matches,
         lambda m, i: F.struct(
             (_account(m) if kind.name == "iban" else m).alias("value"),
             F.get(pieces, i).alias("before"),
             F.get(pieces, i + 1).alias("after"),
+            # What the pattern takes from the text.
+            (F.lit(kind.step) if kind.step else F.length(m)).cast("long").alias("taken"),
         ),
     )
 
-    def add(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["before"]).cast("long")
-        end = start + F.length(x["value"]).cast("long")
-        after, ends = x["after"], end
+    def span(x: Column, at: Column) -> Column:
+        start = at + F.length(x["before"])
+        after = x["after"]
         if kind.step:
             after = F.substr(after, F.length(x["value"]) - kind.step + 1)
-            ends = start + kind.step
         near = F.concat_ws(
             " ", F.right(x["before"], F.lit(CONTEXT)), F.left(after, F.lit(CONTEXT))
         )
         score = F.lit(kind.prior) + F.when(near.rlike(f"(?i){kind.words}"), BONUS).otherwise(0)
-        span = F.struct(
+        return F.struct(
             start.alias("start"),
-            end.alias("end"),
+            (start + F.length(x["value"])).alias("end"),
             F.least(score, F.lit(99)).alias("score"),
             x["value"].alias("value"),
         )
-        more = F.concat(state["spans"], F.array(span))
+
+    def placed(around: Column) -> Column:
+        zero = F.lit(0).cast("long")
+        offsets = _running(around, zero, lambda at, x: at + F.length(x["before"]) + x["taken"])
+        spans = _let(offsets, lambda o: F.transform(around, lambda x, i: span(x, F.get(o, i))))
         if not kind.step:
-            return F.struct(end.alias("at"), state["to"].alias("to"), more.alias("spans"))
-        free = x["value"].isNotNull() & (start >= state["to"])
-        return F.struct(
-            ends.alias("at"),
-            F.when(free, end).otherwise(state["to"]).alias("to"),
-            F.when(free, more).otherwise(state["spans"]).alias("spans"),
-        )
+            return F.filter(spans, lambda x: _confirmed(kind.name, x))
+        good = F.filter(spans, lambda x: x["value"].isNotNull())
+        return _let(good, lambda g: F.when(F.size(g) > 0, _apart(g)).otherwise(g))
+
+    none = F.filter(
+        F.array(F.lit(None).cast("struct<start:bigint,end:bigint,score:int,value:string>")),
+        lambda x: x.isNotNull(),
+    )
+    return F.when(F.size(matches) > 0, _let(found, placed)).otherwise(none)
 
-    empty = F.lit(None).cast("struct<start:bigint,end:bigint,score:int,value:string>")
-    none = F.filter(F.array(empty), lambda x: x.isNotNull())
-    zero = F.lit(0).cast("long")
-    all_spans = F.aggregate(
-        around,
-        F.struct(zero.alias("at"), zero.alias("to"), none.alias("spans")),
-        add,
-        lambda state: state["spans"],
+
+def _apart(spans: Column) -> Column:
+    """Spans that do not begin within one that was taken before them."""
+    taken_to = _running(
+        spans,
+        F.lit(0).cast("long"),
+        lambda to, x: F.when(x["start"] >= to, x["end"]).otherwise(to),
+    )
+    return _let(
+        taken_to, lambda to: F.filter(spans, lambda x, i: x["start"] >= F.get(to, i))
     )
-    return F.filter(all_spans, lambda x: _confirmed(kind.name, x))
 
 
 def add_spans(docs: DataFrame, text: str) -> DataFrame:
@@ -294,25 +354,34 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars")
     spans = F.array_sort(F.concat(*[F.transform(f"{work}_{k.name}", marked(k.name)) for k in KINDS]))
     docs = docs.withColumn("__pii_all", spans)
     own = F.col(work)
+    cuts = F.regexp_extract_all(own, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+
+    def clean(cut: Column) -> Column:
+        def part(start: Column, end: Column) -> Column:
+            """The text from start to end, from the cuts it lies in."""
+            first, last = F.floor(start / CUT).cast("int"), F.floor(end / CUT).cast("int")
+            begin, stop = (start % CUT).cast("int") + 1, (end % CUT).cast("int")
+            within = F.substr(F.get(cut, first), begin, (end - start).cast("int"))
+            over = F.concat(
+                F.substr(F.get(cut, first), begin, F.lit(CUT)),
+                F.array_join(F.slice(cut, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+                F.coalesce(F.left(F.get(cut, last), stop), F.lit("")),
+            )
+            return F.when(start >= end, "").when(first == last, within).otherwise(over)
 
-    def part(start: Column, end: Column) -> Column:
-        return F.substr(own, (start + 1).cast("int"), (end - start).cast("int"))
+        def piece(s: Column, to: Column) -> Column:
+            return F.when(s["start"] >= to, F.concat(part(to, s["start"]), s["mark"])).otherwise("")
 
-    def fold(state: Column, s: Column) -> Column:
-        end, fresh = -s["back"], s["start"] >= state["at"]
-        out = F.concat(state["out"], part(state["at"], s["start"]), s["mark"])
-        return F.struct(
-            F.greatest(state["at"], end).alias("at"),
-            F.when(fresh, out).otherwise(state["out"]).alias("out"),
+        ends = _running(
+            F.col("__pii_all"), F.lit(0).cast("long"), lambda to, s: F.greatest(to, -s["back"])
+        )
+        marks = _let(
+            ends, lambda to: F.transform("__pii_all", lambda s, i: piece(s, F.get(to, i)))
         )
+        last = F.array_max(F.transform("__pii_all", lambda s: -s["back"]))
+        return F.concat(F.array_join(marks, ""), part(last, F.length(own).cast("long")))
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    cleaned = F.aggregate(
-        "__pii_all",
-        start,
-        fold,
-        lambda s: F.concat(s["out"], part(s["at"], F.length(own).cast("long"))),
-    )
+    cleaned = _let(cuts, clean)
     touched = F.size("__pii_all") > 0
     docs = docs.withColumn("__pii_new", F.when(touched, cleaned).otherwise(F.col(f"`{text_col}`")))
     new = {text_col: F.col("__pii_new"), length_col: F.length("__pii_new").cast("long")}

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 
@@ -147,3 +149,46 @@ def test_account_numbers_words_around(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     scores = {r.doc_id: r.scores for r in pii.find_pii(docs).collect()}
     assert int(scores[0]) == 99 and int(scores[1]) == 80
+
+
+def test_digit_heavy_texts_match_brute_force(spark):
+    rng = random.Random(8)
+    parts = ["4539148803436467", "4539-1488-0343-6467", "12", "7", "0", " ", " ", "-", "  ", ", ", "+", "."]
+    parts += ["+49 30 1234567", "10.0.0.1", "a@b.cd", "(", ")", "x"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 60))) for _ in range(1500)]
+    texts += ["".join(rng.choices(parts, k=6000)) for _ in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find_pii(docs).collect():
+        got = [s for s in r.spans.split(",") if s.split(":")[0] in PATTERNS]
+        assert ",".join(got) == listed(base(texts[r.doc_id]))
+
+
+def test_masking_of_many_spans_cuts_the_right_text(spark):
+    """Spans on both sides of the cuts, overlaps, and texts that end in a span."""
+    rng = random.Random(2)
+    words = ["a@b.cd", "10.0.0.1", "4539148803436467", "+49 30 1234567@x.yz", "GB82WEST12345698765432", "é😀", "plain"]
+    texts = [" ".join(rng.choices(words, k=n)) for n in (1, 5, 900, 2500)] + ["x" * 4095 + " a@b.cd", "y" * 4096]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    found = {r.doc_id: r.spans for r in pii.find_pii(docs).collect()}
+    for r in pii.redact(docs).collect():
+        spans = [s.split(":") for s in found[r.doc_id].split(",") if s]
+        spans = sorted((int(a), -int(b), k) for k, a, b in spans)
+        out, at = "", 0
+        for start, back, kind in spans:
+            if start >= at:
+                out += texts[r.doc_id][at:start] + f"[{kind.upper()}]"
+            at = max(at, -back)
+        assert r.text == out + texts[r.doc_id][at:] and r.n_chars == len(r.text)
+
+
+@pytest.mark.parametrize("part", ["37, ", "host 10.0.0.1 ok\n", "a@b.cd ", "+49 30 1234567; "])
+def test_work_grows_with_the_matches(spark, part):
+    def seconds(n):
+        docs = spark.createDataFrame([(1, part * n, len(part) * n)], "doc_id long, text string, n_chars long")
+        start = time.perf_counter()
+        pii.find_pii(docs).collect()
+        pii.redact(docs).collect()
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(64_000) < 15
