@@ -1,5 +1,9 @@
 import html
+import random
 import re
+import time
+
+import pytest
 
 from paylake.llm import html_text
 
@@ -91,3 +95,88 @@ def test_odd_pages(spark):
 def test_tree_agrees_with_its_table():
     x, y = html_text.labelled_table()
     assert (html_text.classify(html_text.trained_tree(), x) == (y == 1)).mean() > 0.95
+
+
+def test_shape_decides_where_nothing_tells(spark, sf_dir):
+    """Names scrambled and article elements made plain: nearly all blocks are told by shape."""
+    rng, right = random.Random(3), {True: [0, 0], False: [0, 0]}
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        page = re.sub(
+            r'(class|id|role)="[^"]*"', lambda m: f'{m.group(1)}="x{rng.randrange(999)}"', r.html
+        )
+        first, _, rest = page.partition("<article>")
+        body, _, last = rest.partition("</article>")
+        blocks = html_text.blocks_of(f"{first}<div>{body}</div>{last}")
+        before = len(html_text.blocks_of(first))
+        inside = range(before, before + len(html_text.blocks_of(f"<div>{body}</div>")))
+        kept = html_text.classify(html_text.trained_tree(), html_text.features(blocks))
+        for i, keep in enumerate(kept):
+            right[i in inside][int(keep == (i in inside))] += 1
+    for wrong, good in right.values():
+        assert good > 100 and good >= 0.95 * (wrong + good)
+
+
+def test_most_plain_blocks_are_told_by_words_and_links(spark, sf_dir):
+    """Paths of the tree that look at no container, on the pages as they are."""
+    tree, shape, all_blocks = html_text.trained_tree(), 0, 0
+    telling = {html_text.FEATURES.index(x) for x in ("boiler", "inside", "hint")}
+    assert html_text.FEATURES[tree.feature] not in ("boiler", "inside", "hint")
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        x = html_text.features(html_text.blocks_of(r.html))
+        plain = x.copy()
+        plain[:, sorted(telling)] = 0
+        same = html_text.classify(tree, x) == html_text.classify(tree, plain)
+        shape, all_blocks = shape + int(same.sum()), all_blocks + len(x)
+    assert shape >= 0.95 * all_blocks
+
+
+ARTICLE = (
+    "<article><h1>A bridge</h1><p>The council met on Monday to talk about the new bridge, and"
+    " many came to listen.</p><p>Nine.</p></article>"
+)
+READ = "A bridge The council met on Monday to talk about the new bridge, and many came to listen. Nine."
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        '<form id="aspnetForm">%s</form>',
+        '<div class="content-sidebar-wrap">%s</div>',
+        '<div class="page-search-layout">%s</div>',
+        '<div class="social-history">%s</div>',
+        '<div class="site-banner-offset">%s</div>',
+        '<div class="legal">%s</div>',
+    ],
+)
+def test_an_article_outweighs_a_name_around_it(wrapper):
+    menu = "<nav><a href=a>One</a><a href=b>Two</a></nav>"
+    assert html_text.texts_of([f"<body>{menu}{wrapper % ARTICLE}</body>"]) == [READ]
+
+
+@pytest.mark.parametrize("wrapper", ["<aside>%s</aside>", '<div id="comments">%s</div>', '<div class="related-posts">%s</div>'])
+def test_but_not_asides_comments_and_other_pages(wrapper):
+    assert html_text.texts_of([f"<body>{ARTICLE}{wrapper % ARTICLE}</body>"]) == [READ]
+
+
+def test_a_hint_inside_an_article_leaves_it_to_the_shape():
+    page = (
+        '<article><h1>Law</h1><div class="legal-analysis"><p>The court held that the statute'
+        " applies to all of the parties in this case.</p><p>Short one.</p></div>"
+        '<div class="share-buttons"><a href=x>Share</a> this</div></article>'
+    )
+    want = "Law The court held that the statute applies to all of the parties in this case. Short one."
+    assert html_text.texts_of([page]) == [want]
+
+
+@pytest.mark.parametrize(
+    "part, end",
+    [
+        ('<p title="', ""), ("<script ", ""), ("<!", ""), ("<p '", ""), ("<p \"'", ">"), ('<a <b "', ">"),
+        ('<p title="x', ">"), ("<div>", "</ul>" * 200_000), ("<!--", ""), ("&", ""),
+    ],
+)
+def test_pages_of_open_markup_take_seconds(part, end):
+    page = part * (2_000_000 // len(part)) + end
+    start = time.perf_counter()
+    html_text.texts_of([page])
+    assert time.perf_counter() - start < 8
