@@ -38,9 +38,10 @@ from paylake.schema import (
     raw_schema,
 )
 from paylake.session import scratch_dir
+from paylake.sinks import years
 from paylake.sinks.tables import replace_parquet, replace_table
 from paylake.sinks.versions import publish_table, versions
-from paylake.sources import layouts
+from paylake.sources import layouts, merged
 from paylake.sources.records import read_records
 from paylake.sources.tables import read_parquet, read_table
 
@@ -278,6 +279,48 @@ def gold_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.union, counts)
 
 
+def gold_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold by program year under one name; one year was wrong at first and replaced alone."""
+    name, silver = f"gold_years_{_tag(sf_dir)}", _silver(spark, sf_dir)
+
+    def make(place: str) -> str:
+        every = [int(r[0]) for r in silver.select("program_year").distinct().collect()]
+        for year in (min(every), *sorted(every)):
+            rows = silver.filter(F.col("program_year") == str(year))
+            first = not years.years(spark, name)
+            own = f"{name}_{year}"
+            build_gold(rows.limit(10) if first else rows, own, f"{place}/{year}")
+            years.add_year(spark, name, year, own, GOLD_COLUMNS)
+        return name
+
+    return read_table(spark, _once(spark, sf_dir, "gold_years", make))
+
+
+def gold_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold with Bloom filters on the recipient, and the payments to one of them."""
+    name = f"gold_lookup_{_tag(sf_dir)}"
+
+    def make(place: str) -> str:
+        build_gold(_silver(spark, sf_dir), name, place, lookup=("Record_ID", "recipient_npi"))
+        return name
+
+    stored = read_table(spark, _once(spark, sf_dir, "gold_lookup", make))
+    return reports.where_equals(stored.select(*GOLD_COLUMNS), "recipient_npi", "7")
+
+
+def parquet_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver files of three generations, with other types and without a column, as one."""
+    place, silver = _place(spark, sf_dir, "silver_merged"), _silver(spark, sf_dir)
+    of = F.pmod(F.col("Record_ID").cast("long"), F.lit(3))
+    npi = F.col("recipient_npi").cast("int")
+    first = silver.filter(of == 0).withColumn("recipient_npi", npi).drop("payment_form")
+    second = silver.filter(of == 1).withColumn("recipient_npi", npi.cast("long"))
+    third = silver.filter(of == 2).withColumn("recipient_npi", npi.cast("decimal(12,0)"))
+    for n, part in enumerate((first, second, third)):
+        replace_parquet(part, f"{place}/{n}")
+    return merged.read_merged(spark, [f"{place}/{n}" for n in range(3)])
+
+
 def gold_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _run(spark, sf_dir).gold_table).select(*GOLD_COLUMNS)
 
@@ -480,6 +523,9 @@ def queries() -> dict[str, Query]:
         "gold_replace_idempotent": gold_replace_idempotent,
         "gold_partitioned_table": _stored_gold,
         "gold_replace_fewer_days": gold_replace_fewer_days,
+        "gold_years": gold_years,
+        "gold_lookup": gold_lookup,
+        "parquet_merged": parquet_merged,
         "gold_published": gold_published,
         "gold_versions": gold_versions,
         "gold_from_csv": gold_from_csv,

@@ -20,6 +20,8 @@ _GOLD_OPTIONS = (
     "keep_versions",
     "summary",
     "summary_path",
+    "all_years",
+    "lookup",
     "run_log",
     "manifest",
 )
@@ -38,6 +40,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--copy_staging", action="store_true", help="with gold: copy silver")
     parser.add_argument("--max_bad_share", type=float, help="with gold: limit of bad rows")
     parser.add_argument("--keep_versions", type=int, help="with gold: earlier versions that stay")
+    parser.add_argument("--all_years", help="with gold and year: name that shows all years")
+    parser.add_argument("--lookup", nargs="+", help="with gold: columns looked up by value")
     parser.add_argument("--summary", action="store_true", help="with gold: its cube for reports")
     parser.add_argument("--summary_path", help="with gold: folder of the cube's files")
     parser.add_argument("--run_log", help="with gold: folder that each run is recorded in")
@@ -64,6 +68,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ]
     if unused:
         parser.error(f"no effect without --gold_table: {', '.join(unused)}")
+    if args.all_years and args.year is None:
+        parser.error("no effect without --year: --all_years")
     if args.layouts_path and (args.strict_header or args.quarantine_path):
         parser.error("--layouts_path resolves headers: no --strict_header, no --quarantine_path")
     if args.refuse_malformed and not args.quarantine_path:
@@ -74,6 +80,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 def config(args: argparse.Namespace) -> JobConfig:
     given = {name: getattr(args, name) for name in (*_GOLD_OPTIONS, *_SILVER_OPTIONS, "gold_table")}
     settings = {name: value for name, value in given.items() if value is not None}
+    if args.lookup:
+        settings["lookup"] = tuple(args.lookup)
     settings |= {
         "strict_header": args.strict_header,
         "multi_line": not args.single_line,

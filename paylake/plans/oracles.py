@@ -107,6 +107,13 @@ def oracle_sql() -> dict[str, str]:
         "gold_replace_idempotent": _GOLD,
         "gold_partitioned_table": _GOLD,
         "gold_from_csv": _GOLD,
+        "gold_years": _LAYERS + "SELECT *, CAST(program_year AS INTEGER) AS year FROM gold",
+        "gold_lookup": _GOLD + " WHERE recipient_npi = '7'",
+        "parquet_merged": _LAYERS
+        + """SELECT * REPLACE (
+                CAST(recipient_npi AS DECIMAL(20,0)) AS recipient_npi,
+                CASE WHEN CAST(Record_ID AS BIGINT) % 3 <> 0 THEN payment_form END AS payment_form)
+             FROM silver""",
         "gold_published": _GOLD,
         "gold_versions": _LAYERS
         + f"""SELECT 1 AS version, false AS shown, count(*) AS record_count

@@ -7,6 +7,7 @@ stage stops the chain.
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -27,6 +28,7 @@ from paylake.plans.runlog import Stage, recorded
 from paylake.schema import CLUSTER_COLUMNS, GOLD_COLUMNS, PARTITION_COLUMN, raw_schema
 from paylake.sinks.tables import delete_folder, replace_parquet
 from paylake.sinks.versions import KEEP, current_version, origin, publish_folder, publish_table
+from paylake.sinks.years import add_year
 from paylake.sources.layouts import load_layouts, read_layouts
 from paylake.sources.records import RECORD, read_records
 from paylake.sources.tables import read_parquet, read_table
@@ -45,6 +47,11 @@ class JobConfig:
     staging_table: str = "payments_staging"
     gold_table: str = "payments"
     gold_path: str | None = None
+    # Columns of gold that are looked up by value: they get Bloom filters.
+    lookup: tuple[str, ...] = ()
+    # A name that shows the gold of all years, and the year of this run.
+    all_years: str | None = None
+    year: int | None = None
     # Whether gold's cube for reports is made too, and the folder of its files.
     summary: bool = False
     summary_path: str | None = None
@@ -74,6 +81,7 @@ class JobConfig:
             "silver_path": f"{base}/silver/{year}",
             "staging_table": f"payments_staging_{year}",
             "gold_table": f"payments_{year}",
+            "year": year,
         }
         return cls(**{**named, **settings})
 
@@ -179,6 +187,7 @@ def build_gold(
     path: str | None = None,
     written: Observation | None = None,
     keep: int = KEEP,
+    lookup: Sequence[str] = (),
 ) -> DataFrame:
     """Typed, filtered rows as a table of day partitions, clustered inside each.
 
@@ -193,6 +202,7 @@ def build_gold(
         comment=GOLD_COMMENT,
         written=written,
         keep=keep,
+        lookup=lookup,
     ).select(*GOLD_COLUMNS)
 
 
@@ -232,6 +242,8 @@ def run_stages(spark: SparkSession, cfg: JobConfig) -> RunCounts:
     is skipped that a run before has finished for the same input files and settings, if what
     it made is still in place.
     """
+    if cfg.all_years is not None and cfg.year is None:
+        raise ValueError("a name for all years needs the year of the run")
     manifest = Manifest(spark, cfg.manifest)
     with recorded(spark, cfg.run_log, cfg.gold_table) as run:
         with run.stage("silver") as stage:
@@ -246,6 +258,9 @@ def run_stages(spark: SparkSession, cfg: JobConfig) -> RunCounts:
         with run.stage("gold") as stage:
             metrics["gold"] = _gold_stage(spark, cfg, manifest, stage, silver_id)
             require_balance(metrics)
+        if cfg.all_years is not None:
+            with run.stage("years"):
+                add_year(spark, cfg.all_years, cfg.year, cfg.gold_table, GOLD_COLUMNS)
         if cfg.summary:
             with run.stage("summary") as stage:
                 if origin(spark, summary_name(cfg.gold_table)) == current_version(
@@ -298,7 +313,7 @@ def _gold_stage(
     manifest.start("gold", silver_id)
     written = Observation()
     staging = read_table(spark, cfg.staging_table)
-    build_gold(staging, cfg.gold_table, cfg.gold_path, written, cfg.keep_versions)
+    build_gold(staging, cfg.gold_table, cfg.gold_path, written, cfg.keep_versions, cfg.lookup)
     rows = {"gold": written.get["n"]}
     stage.counted(rows)
     manifest.finish("gold", silver_id, current_version(spark, cfg.gold_table), rows)

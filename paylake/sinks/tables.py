@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,32 @@ def cluster_rows(
     return df.repartitionByRange(tasks, *keys).sortWithinPartitions(partition_by, *cluster_by)
 
 
+def _bloom_filters(columns: Sequence[str]) -> dict[str, str]:
+    """Settings of the Parquet writer; each file's filter is as large as its values need."""
+    if not columns:
+        return {}
+    each = {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+    # Twelve sizes, each half the one before: from a megabyte to 512 bytes.
+    sizes = {"adaptive.enabled": "true", "candidates.number": "12"}
+    return each | {f"parquet.bloom.filter.{k}": v for k, v in sizes.items()}
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for a write; an insert takes the writer's options from nowhere else."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def fill_table(
     df: DataFrame,
     table: str,
@@ -61,12 +88,14 @@ def fill_table(
     cluster_by: Sequence[str] = (),
     comment: str | None = None,
     written: Observation | None = None,
+    lookup: Sequence[str] = (),
     target_bytes: int = TARGET_BYTES,
 ) -> None:
     """Declare a new Parquet table over a new folder and fill it; a failure leaves neither.
 
     The table is declared first and then filled, because an insert registers the
     partitions it wrote; a create-as-select lists all their folders to find them.
+    Files get Bloom filters on the ``lookup`` columns, each as large as its values need.
     """
     spark = df.sparkSession
     if partition_by:
@@ -85,7 +114,8 @@ def fill_table(
         declaration.append(f"COMMENT {sql_text(comment)}")
     spark.sql(" ".join(declaration))
     try:
-        df.write.insertInto(table)
+        with _settings(spark, _bloom_filters(lookup)):
+            df.write.insertInto(table)
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         delete_folder(spark, folder)

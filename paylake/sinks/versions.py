@@ -62,13 +62,15 @@ def publish_table(
     written: Observation | None = None,
     keep: int = KEEP,
     made_from: str | None = None,
+    lookup: Sequence[str] = (),
     target_bytes: int = TARGET_BYTES,
 ) -> DataFrame:
     """Write a query's rows as a new version of ``name``, switch to it, and return it.
 
     Version folders go under ``path``, by default under the warehouse. ``keep`` versions
     behind the new one stay, older ones go with their files. ``made_from`` is said of the
-    version, for ``origin`` to tell: what its rows come from.
+    version, for ``origin`` to tell: what its rows come from. ``lookup`` names columns that
+    are looked up by value: their Bloom filters let a reader skip row groups.
     """
     spark = df.sparkSession
     version = _new_version(name)
@@ -81,12 +83,13 @@ def publish_table(
         cluster_by=cluster_by,
         comment=comment,
         written=written,
+        lookup=lookup,
         target_bytes=target_bytes,
     )
     said = f", '{_ORIGIN}' = {sql_text(made_from)}" if made_from else ""
     spark.sql(f"ALTER TABLE {version} SET TBLPROPERTIES ('{_COMPLETE}' = 'true'{said})")
     _take_over(spark, name)
-    _show(spark, name, f"SELECT * FROM {version}", comment)
+    show_query(spark, name, f"SELECT * FROM {version}", comment)
     prune(spark, name, keep)
     return spark.table(name)
 
@@ -95,7 +98,7 @@ def publish_folder(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Make ``name`` read an existing Parquet folder; moves no data. Its versions stay."""
     _take_over(spark, name)
     quoted = path.replace("`", "``")
-    _show(spark, name, f"SELECT * FROM parquet.`{quoted}`")
+    show_query(spark, name, f"SELECT * FROM parquet.`{quoted}`")
     return spark.table(name)
 
 
@@ -124,7 +127,7 @@ def switch_back(spark: SparkSession, name: str, table: str | None = None) -> Dat
     if not usable or (table and table not in usable):
         raise ValueError(f"{name} has no such complete version: {table or 'an earlier one'}")
     chosen = table or usable[-1]
-    _show(spark, name, f"SELECT * FROM {chosen}", spark.catalog.getTable(chosen).description)
+    show_query(spark, name, f"SELECT * FROM {chosen}", spark.catalog.getTable(chosen).description)
     return spark.table(name)
 
 
@@ -155,7 +158,7 @@ def _new_version(name: str) -> str:
     return f"{name}__v{now:{_STAMP}}_{uuid.uuid4().hex[:8]}".lower()
 
 
-def _show(spark: SparkSession, name: str, query: str, comment: str | None = None) -> None:
+def show_query(spark: SparkSession, name: str, query: str, comment: str | None = None) -> None:
     """Readers pass from what they read to another query, in one call."""
     said = f"COMMENT {sql_text(comment)} " if comment else ""
     if not spark.catalog.tableExists(name):
@@ -173,15 +176,20 @@ def _take_over(spark: SparkSession, name: str) -> None:
     first = f"{name}__v{dt.datetime(2000, 1, 1):{_STAMP}}_{uuid.uuid4().hex[:8]}".lower()
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_COMPLETE}' = 'true')")
     spark.sql(f"ALTER TABLE {name} RENAME TO {first}")
-    _show(spark, name, f"SELECT * FROM {first}")
+    show_query(spark, name, f"SELECT * FROM {first}")
 
 
-def current_version(spark: SparkSession, name: str) -> str | None:
-    """The version that a view reads; None for a folder, or if there is no view."""
+def view_query(spark: SparkSession, name: str) -> str | None:
+    """The query of a view; None if there is no view of that name."""
     if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType != "VIEW":
         return None
     rows = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'View Text'").collect()
-    query = _QUERY.fullmatch(rows[0]["data_type"]) if rows else None
+    return rows[0]["data_type"] if rows else None
+
+
+def current_version(spark: SparkSession, name: str) -> str | None:
+    """The version that a view reads; None for a folder, or if there is no view."""
+    query = _QUERY.fullmatch(view_query(spark, name) or "")
     return query.group(1) if query and _VERSION.fullmatch(query.group(1)) else None
 
 
