@@ -1,16 +1,22 @@
-"""Secrets in texts: patterns propose candidates, their decoded structure confirms them.
+r"""Secrets in texts: patterns propose candidates, their decoded structure confirms them.
 
 Base kinds, as the patterns have them: ``assign`` (a name such as ``password``, a sign and
 a value of 8 or more characters), ``access`` (``AKIA``, 16 or more characters) and ``hex``
 (32 or more lowercase hex digits). Added kinds, each reported only when it parses:
 
 ``signed``  three base64url parts, the first a JSON object with ``alg``, the second JSON
-``der``     base64 or hex whose bytes are one DER SEQUENCE with exactly nested lengths
-``wire``    base64 of an OpenSSH key: length-prefixed strings that end with the bytes
-``pem``     an armoured key block of any length. Its body, less header lines and a PGP
-            checksum, must decode to one of the above, or begin as a PGP secret key; a body
-            that its headers call encrypted need only be base64. Blocks without an END line
-            of the same label, and PKCS#8 blocks that are encrypted but no DER, are left out
+``der``     base64 (of either alphabet, also over lines) or hex (also in pairs with colons)
+            whose bytes are one DER SEQUENCE with exactly nested lengths and the shape of a
+            private key: a version and integers, or an octet string, or an algorithm and an
+            octet string; or an encrypted one: an algorithm and an octet string. Public keys
+            and certificates have other shapes
+``wire``    base64 of an OpenSSH private key file: its magic and length-prefixed strings
+``pem``     an armoured block whose label ends in KEY, of any length, also with line breaks
+            written as ``\n`` or with marks of quotation before its lines. Its body, less
+            header lines and a PGP checksum, must decode to exactly nested DER or to an
+            OpenSSH key, or begin as a PGP secret key; a body that its headers call encrypted
+            need only be base64. Left out: labels that say PUBLIC, blocks without an END line
+            of the same label, and PKCS#8 blocks that are encrypted but no DER
 
 A null or empty text has none. Rows are handled one by one, so repeated rows and null ids
 come out as they went in; other columns are not looked at. Whole texts are scanned.
@@ -42,13 +48,23 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _SIGNED = re.compile(r"(?<![\w-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]{8,})")
+# A JSON object's first letters in base64; a failed start hides no later one.
+_HEADER = re.compile(
+    r"(?<![\w-])(?=((e[w-z][A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{4,})\.[A-Za-z0-9_-]{8,}))"
+)
 _BASE64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
+# Where a SEQUENCE may begin in base64: at a run's start, behind its marks or a written "\n".
+_SEQUENCE = re.compile(r"(?:(?<![A-Za-z0-9])|(?<=\\n))M[A-P][A-Za-z0-9+/_-]{6}")
 _ANYHEX = re.compile(r"[0-9A-Fa-f]{64,}")
-_ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}KEY(?: BLOCK)?)-----")
+_PAIRS = re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{2}(?::\s{0,40}[0-9A-Fa-f]{2}){23,}+")
+_ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]*+)-----")
+_LABEL = re.compile(r"(?!.*PUBLIC).*KEY(?: BLOCK)?")
 _HEADERS = re.compile(r"(?:\s*+[A-Za-z][A-Za-z0-9-]*+:[^\n]*+(?:\n[\x20\t][^\n]*+)*+)*+")
 _ENCRYPTED = re.compile(r"^Proc-Type:.*ENCRYPTED", re.MULTILINE)
 _CHECKSUM = re.compile(r"\s=[A-Za-z0-9+/]{4}\s*$")
-_MAX_DEPTH = 16
+_WRITTEN = re.compile(r"\\+[nrt]")
+_MARKS = re.compile(r"^[\x20\t>|#*]+", re.MULTILINE)
+_TO_PLAIN = str.maketrans("-_", "+/")
 
 
 def unbase64(value: str, url: bool = False) -> bytes | None:
@@ -73,54 +89,120 @@ def _length(data: bytes, at: int) -> tuple[int, int] | None:
     if not 1 <= n <= 4 or at + 1 + n > len(data):
         return None
     value = int.from_bytes(data[at + 1 : at + 1 + n], "big")
-    return None if value < 0x80 else (value, at + 1 + n)
+    return None if value < max(0x80, 1 << 8 * (n - 1)) else (value, at + 1 + n)
 
 
-def _exact(data: bytes, start: int, end: int, depth: int) -> int:
-    """How many elements fill the bytes from start to end exactly; -1 if they don't."""
-    n = 0
+def _elements(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] | None:
+    """(tag, where its content begins, where it ends) of the elements that fill a range."""
+    out = []
     while start < end:
-        if depth > _MAX_DEPTH or not (got := _length(data, start + 1)):
-            return -1
+        if not (got := _length(data, start + 1)) or got[0] + got[1] > end:
+            return None
         length, inner = got
-        if inner + length > end:
-            return -1
-        if data[start] & 0x20:
-            within = _exact(data, inner, inner + length, depth + 1)
-            if within < 0:
-                return -1
-            n += within
-        n += 1
+        out.append((data[start], inner, inner + length))
         start = inner + length
-    return n
+    return out
 
 
-def is_der_key(data: bytes | None) -> bool:
-    """One SEQUENCE that fills the bytes, of nested lengths that fit, with 2 or more elements."""
+def _nested(data: bytes, top: list[tuple[int, int, int]]) -> bool:
+    """Whether the elements within elements, however deep, fill these exactly."""
+    left = [x for x in top if x[0] & 0x20]
+    while left:
+        _, start, end = left.pop()
+        within = _elements(data, start, end)
+        if within is None:
+            return False
+        left += [x for x in within if x[0] & 0x20]
+    return True
+
+
+def _sequence(data: bytes | None) -> list[tuple[int, int, int]] | None:
+    """The elements of one SEQUENCE that fills the bytes, if all lengths in it fit."""
     if not data or len(data) < 24 or data[0] != 0x30 or not (got := _length(data, 1)):
+        return None
+    if got[0] + got[1] != len(data):
+        return None
+    top = _elements(data, got[1], len(data))
+    return top if top and _nested(data, top) else None
+
+
+def is_der(data: bytes | None) -> bool:
+    """One SEQUENCE that fills the bytes, of nested lengths that fit, with 2 or more elements."""
+    top = _sequence(data)
+    return top is not None and len(top) >= 2
+
+
+def is_der_key(data: bytes | None) -> bool:
+    """DER in the shape of a private key, plain or encrypted."""
+    top = _sequence(data)
+    if not top or len(top) < 2:
         return False
-    length, inner = got
-    return inner + length == len(data) and _exact(data, inner, len(data), 1) >= 2
+    tags = [tag for tag, _, _ in top]
+    of_algorithm = [
+        tag == 0x30 and start < end and data[start] == 0x06 for tag, start, end in top
+    ]
+    if of_algorithm[0]:
+        return tags[1:] == [0x04]
+    _, start, end = top[0]
+    if tags[0] != 0x02 or end - start != 1 or data[start] > 2:
+        return False
+    if tags[1] == 0x02:
+        return len(tags) >= 4 and set(tags) == {0x02}
+    if tags[1] == 0x04:
+        return set(tags[2:]) <= {0xA0, 0xA1}
+    return of_algorithm[1] and len(tags) >= 3 and tags[2] == 0x04
+
+
+def der_in_base64(text: str, at: int) -> int | None:
+    """Where the base64 of a DER key that begins at a place ends; None if there is none.
+
+    The first bytes say how long it is; so many letters are taken, over line breaks and the
+    blanks and marks of quotation behind them, written line breaks too.
+    """
+    head = unbase64(text[at : at + 8].translate(_TO_PLAIN))
+    if not head or not (got := _length(head, 1)):
+        return None
+    size = got[0] + got[1]
+    letters, parts = -(-size * 4 // 3), []
+    # A key begins with an integer or a sequence, and is not longer than what is there.
+    if letters > len(text) - at or (got[1] < len(head) and head[got[1]] not in (0x02, 0x30)):
+        return None
+    while letters > 0:
+        run = _RUN.match(text, at, at + letters)
+        if not run:
+            return None
+        parts.append(run.group())
+        letters -= run.end() - at
+        at = run.end()
+        if letters > 0:
+            gap = _GAP.match(text, at)
+            if not gap:
+                return None
+            at = gap.end()
+    data = unbase64("".join(parts).translate(_TO_PLAIN))
+    if not is_der_key(data):
+        return None
+    padding = -len("".join(parts)) % 4
+    while padding and text[at : at + 1] == "=":
+        at, padding = at + 1, padding - 1
+    return at if not _RUN.match(text, at) else None
+
+
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+_GAP = re.compile(r"(?:\r?\n|\\+r\\+n|\\+n)[\x20\t>|#*]{0,40}")
 
 
 def is_wire_key(data: bytes | None) -> bool:
-    """An OpenSSH private key file's magic, or length-prefixed strings that name a key type."""
-    if not data or len(data) < 24:
-        return False
+    """An OpenSSH private key file: its magic, and the fields that stand before its keys."""
     magic = b"openssh-key-v1\0"
-    at, n = (len(magic), 0) if data.startswith(magic) else (0, 0)
-    private = at > 0
-    while at + 4 <= len(data):
-        size = int.from_bytes(data[at : at + 4], "big")
-        field = data[at + 4 : at + 4 + size]
-        if len(field) < size:
-            return False
-        if n == 0 and not private and not re.fullmatch(rb"(ssh|ecdsa|sk-)[a-z0-9@.-]+", field):
+    if not data or not data.startswith(magic):
+        return False
+    at = len(magic)
+    for _ in range(3):  # the cipher, the derivation and its options, then the count
+        if at + 4 > len(data):
             return False
-        at, n = at + 4 + size, n + 1
-        if private and n == 3:  # the cipher, the derivation and its options come before the count
-            return at + 4 <= len(data)
-    return at == len(data) and n >= 2
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    return at + 4 <= len(data)
 
 
 def is_signed_token(header: str, claims: str) -> bool:
@@ -134,6 +216,7 @@ def is_signed_token(header: str, claims: str) -> bool:
 
 def is_armoured_key(label: str, body: str) -> bool:
     """Whether what stands between the BEGIN and END lines of a label is a key."""
+    body = _MARKS.sub("", _WRITTEN.sub("\n", body))
     headers = _HEADERS.match(body).group()
     body = body[len(headers) :]
     pgp = label.endswith("BLOCK")
@@ -142,7 +225,7 @@ def is_armoured_key(label: str, body: str) -> bool:
         return bool(data) and len(data) >= 24 and (data[0] & 0xFC == 0x94 or data[0] == 0xC5)
     if _ENCRYPTED.search(headers):
         return bool(data) and len(data) >= 24
-    return is_der_key(data) or is_wire_key(data)
+    return is_der(data) or is_wire_key(data)
 
 
 def find_spans(text: str) -> list[tuple[str, int, int]]:
@@ -158,23 +241,30 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     if any(len(word) >= 24 for word in text.split()):
         spans += [("hex", *m.span()) for m in _HEX.finditer(text)]
         if "." in text:
-            spans += [
-                ("signed", *m.span())
-                for m in _SIGNED.finditer(text)
-                if is_signed_token(m.group(1), m.group(2))
-            ]
+            for pattern, whole, header, claims in ((_SIGNED, 0, 1, 2), (_HEADER, 1, 2, 3)):
+                spans += [
+                    ("signed", *m.span(whole))
+                    for m in pattern.finditer(text)
+                    if is_signed_token(m.group(header), m.group(claims))
+                ]
         for m in _BASE64.finditer(text):
-            data = unbase64(m.group())
-            if is_der_key(data):
-                spans.append(("der", *m.span()))
-            elif is_wire_key(data):
+            if is_wire_key(unbase64(m.group())):
                 spans.append(("wire", *m.span()))
+        for m in _SEQUENCE.finditer(text):
+            if end := der_in_base64(text, m.start()):
+                spans.append(("der", m.start(), end))
         for m in _ANYHEX.finditer(text):
             if len(m.group()) % 2 == 0 and is_der_key(bytes.fromhex(m.group())):
                 spans.append(("der", *m.span()))
+    if ":" in text:
+        for m in _PAIRS.finditer(text):
+            if is_der_key(bytes.fromhex("".join(m.group().replace(":", "").split()))):
+                spans.append(("der", *m.span()))
     if "-----BEGIN" in text:
         begin = None
         for m in _ARMOUR.finditer(text):
+            if not _LABEL.fullmatch(m.group(2)):
+                continue
             if m.group(1) == "BEGIN":
                 begin = m
             elif begin and begin.group(2) == m.group(2):

@@ -58,6 +58,9 @@ def b64(data, url=False):
 
 KEY = der(b"\0", b"\x7f" * 70, b"\x55" * 70, b"\1\0\1")
 WIRE = b"".join(struct.pack(">I", len(f)) + f for f in (b"ssh-ed25519", b"k" * 32))
+OPENSSH = b"openssh-key-v1\0" + b"".join(
+    struct.pack(">I", len(f)) + f for f in (b"none", b"none", b"")
+) + struct.pack(">I", 1) + b"k" * 60
 JWT = ".".join(
     [b64(json.dumps({"alg": "HS256"}).encode(), True), b64(b'{"sub":1}', True), "c2lnbmF0dXJl"]
 )
@@ -70,7 +73,8 @@ def kinds(text):
 def test_confirmed_structures():
     assert kinds("key " + b64(KEY)) == ["der"]
     assert kinds("key " + KEY.hex().upper()).count("der") == 1
-    assert kinds("ssh-ed25519 " + b64(WIRE)) == ["wire"]
+    assert kinds("ssh-ed25519 " + b64(WIRE)) == []  # a public key
+    assert kinds("key " + b64(OPENSSH)) == ["wire"]
     assert kinds("jwt " + JWT) == ["signed"]
     lines = "\n".join(re.findall(".{1,40}", b64(KEY)))
     armoured = f"-----BEGIN PRIVATE KEY-----\n{lines}\n-----END PRIVATE KEY-----"
@@ -115,3 +119,91 @@ def test_odd_rows(odd, none):
     got = scan.scan_secrets(odd).collect()
     assert len(got) == odd.count() and all(r.spans == "" for r in got)
     assert scan.scan_secrets(none).count() == 0
+
+
+def seq(*parts, tag=0x30):
+    body = b"".join(parts)
+    n = len(body)
+    if n < 128:
+        return bytes([tag, n]) + body
+    size = n.to_bytes((n.bit_length() + 7) // 8, "big")
+    return bytes([tag, 0x80 | len(size)]) + size + body
+
+
+OID, NULL = seq(b"\x2a\x86\x48\x86", tag=6), b"\x05\x00"
+RSA = seq(*(seq(x, tag=2) for x in (b"\0", b"\x6f" * 128, b"\1\0\1", b"\x55" * 128, b"\x31" * 64)))
+EC = seq(seq(b"\1", tag=2), seq(b"k" * 32, tag=4), seq(OID, tag=0xA0), seq(seq(b"\0" * 66, tag=3), tag=0xA1))
+PKCS8 = seq(seq(b"\0", tag=2), seq(OID, NULL), seq(RSA, tag=4))
+LOCKED = seq(seq(OID, seq(OID, NULL)), seq(b"\x8f" * 80, tag=4))
+PRIVATE = [RSA, EC, PKCS8, LOCKED]
+PUBLIC = [
+    seq(seq(OID, NULL), seq(b"\0" + RSA, tag=3)),  # a public key with its algorithm
+    seq(seq(b"\x6f" * 128, tag=2), seq(b"\1\0\1", tag=2)),  # modulus and exponent
+    seq(seq(seq(b"\1", tag=2), seq(OID), seq(b"a" * 60, tag=12)), seq(OID, NULL), seq(b"\0" * 65, tag=3)),
+    seq(*(seq(b"four text strings", tag=12) for _ in range(4))),
+]
+
+
+def found(text, kind="der"):
+    return [text[a:b] for k, a, b in scan.find_spans(text) if k == kind]
+
+
+def test_private_shapes_only():
+    for key in PRIVATE:
+        assert found(f"key {b64(key)}.") == [b64(key)]
+        assert found(f"key {key.hex()} end") == [key.hex()]
+    for other in PUBLIC:
+        assert found(f"key {b64(other)}.") == [] == found(f"key {other.hex()}")
+
+
+def test_forms_that_keys_leak_in():
+    for key in PRIVATE:
+        text = b64(key)
+        assert found(f"see keys/{text} and on") == [text]
+        url = b64(key, url=True)
+        assert found(f"key={url} x") == [url]
+        lines = "\n".join(re.findall(".{1,64}", text))
+        assert found(f"the key:\n{lines}\nand more words") == [lines]
+        quoted = "\n> ".join(re.findall(".{1,76}", text))
+        assert found(f"> {quoted}\n> bye") == [quoted]
+        written = "\\n".join(re.findall(".{1,64}", text))
+        assert found('{"k": "' + written + '"}') == [written]
+        pairs = ":".join(re.findall("..", key.hex()))
+        assert found(f"bytes {pairs} end") == [pairs]
+        rows = ":\n    ".join(":".join(re.findall("..", x)) for x in re.findall(".{1,30}", key.hex()))
+        assert found(f"private:\n    {rows}\npublic") == [rows]
+
+
+def test_armour_in_json_and_in_quotes():
+    for key in (RSA, PKCS8, OPENSSH):
+        plain = armour("PRIVATE KEY", key)
+        for text in (plain.replace("\n", "\\n"), plain.replace("\n", "\n> "), plain.replace("\n", "\r\n")):
+            whole = '{"private_key": "' + text + '\\n"}'
+            assert found(whole, "pem") == [text]
+    label = "VERY " * 20 + "LONG KEY"
+    assert found(armour(label, RSA), "pem") == [armour(label, RSA)]
+    assert found(armour("PUBLIC KEY", PUBLIC[0]), "pem") == []
+    assert found(armour("CERTIFICATE", PUBLIC[2]), "pem") == []
+
+
+def test_signed_tokens_behind_dotted_words():
+    for before in ("authorization.", "a.b.", "long_dotted_words.of_a_path.", "Bearer "):
+        assert found(before + JWT, "signed") == [JWT]
+
+
+def test_depth_has_no_bound():
+    deep = seq(b"k" * 40, tag=4)
+    for _ in range(3000):
+        deep = seq(deep)
+    key = seq(seq(b"\0", tag=2), seq(OID, deep), seq(b"k" * 40, tag=4))
+    assert scan.is_der_key(key) and not scan.is_der_key(key[:-1] + b"")
+    assert found("x " + b64(key)) == [b64(key)]
+
+
+def test_long_texts_of_starts_take_seconds():
+    import time
+
+    for part in ("MIIE", "MA", "M" * 40 + " ", "aa:", "eyJ.", "-----BEGIN ", "eyJhbGciOiJI.", "MIIEvA/", "/MIMP//8C"):
+        start = time.perf_counter()
+        scan.find_spans(part * (600_000 // len(part)))
+        assert time.perf_counter() - start < 8, part
