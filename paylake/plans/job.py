@@ -64,7 +64,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     unused = [
         f"--{x}"
         for x in _GOLD_OPTIONS
-        if not args.gold_table and getattr(args, x) not in (None, False)
+        if not args.gold_table and getattr(args, x) is not None and getattr(args, x) is not False
     ]
     if unused:
         parser.error(f"no effect without --gold_table: {', '.join(unused)}")

@@ -126,6 +126,27 @@ def test_options_without_effect_are_refused(capsys):
         job.parse_args([*paths, *more, "--gold_table=g"])
 
 
+def test_more_options_on_the_command_line(capsys):
+    base = ["--base_path=/lake", "--year=2023", "--gold_table=g"]
+    more = ["--keep_versions=0", "--run_log=/l", "--manifest=/m", "--summary", "--summary_path=/s", "--all_years=all"]
+    cfg = job.config(job.parse_args([*base, *more, "--lookup", "Record_ID", "recipient_npi", "--layouts_path=/y"]))
+    assert (cfg.keep_versions, cfg.run_log, cfg.manifest, cfg.layouts_path) == (0, "/l", "/m", "/y")
+    assert (cfg.summary, cfg.summary_path, cfg.all_years, cfg.year) == (True, "/s", "all", 2023)
+    assert cfg.lookup == ("Record_ID", "recipient_npi") and cfg.quarantine_path is None
+    cfg = job.config(job.parse_args([*base, "--quarantine_path=/q", "--refuse_malformed"]))
+    assert (cfg.quarantine_path, cfg.refuse_malformed, cfg.lookup) == ("/q", True, ())
+    paths = ["--input_path=a", "--output_path=b"]
+    for wrong in (
+        ["--keep_versions=0"],
+        ["--refuse_malformed"],
+        ["--layouts_path=y", "--strict_header"],
+        ["--gold_table=g", "--all_years=all"],
+    ):
+        with pytest.raises(SystemExit):
+            job.parse_args([*paths, *wrong])
+        assert wrong[-1].split("=")[0] in capsys.readouterr().err
+
+
 def test_year_on_the_command_line(capsys):
     cfg = job.config(job.parse_args(["--base_path=/lake", "--year=2023", "--gold_table=g", "--show_sample"]))
     assert (cfg.input_path, cfg.silver_path) == ("/lake/raw/2023", "/lake/silver/2023")
