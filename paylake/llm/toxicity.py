@@ -3,15 +3,24 @@
 The kernel of two words sums, over common subsequences of ``LENGTH`` characters, a weight
 that falls by ``DECAY`` with every character either occurrence spans beyond its letters;
 occurrences span at most ``SPAN`` characters. So a word with characters inserted still
-resembles the insult it hides. Single letters in a row count as one word.
+resembles the insult it hides. Signs are gaps that cost nothing: ``i.d.i.o.t`` is ``idiot``.
+Single letters a blank apart are one word from ``LENGTH`` of them on. Neighbours a blank apart
+count as one word beside being two, if all strings of ``LENGTH`` letters over the blank stand
+in some landmark (a blank has cut an insult in two). Letters of more than ``LONG`` in a row are read
+in overlapping windows, so that far parts do not add up.
 
 Landmarks are short strings that set toxic learning texts apart, and common strings of
 clean ones, both found in the learning sample. A text's row holds, for each landmark, the
 kernel of its most similar word relative to the landmark with itself, turned into
-coordinates by the inverse root of the landmarks' kernel matrix (Nystroem), the logarithm
-of how many words reach ``STRONG``, and both again for all telling landmarks together. A
-linear machine with squared hinge loss is trained on labelled texts, some of them a second
-time with characters inserted, and its margins are mapped to 0..1 by a logistic function.
+coordinates by the inverse root of the landmarks' kernel matrix (Nystroem); the logarithm of
+the sum of a sharpened kernel over all its words, which is a kernel of documents; and both
+again for all telling landmarks together. A linear machine with squared hinge loss is
+trained on labelled texts, some of them a second time with words hidden in these ways, and its
+margins are mapped to 0..1 by a logistic function.
+
+Not seen through: insults cut into three parts, cut over a line break or by several blanks,
+cut with letters inserted at the cut, with letters replaced, or spelt with more than
+``SPAN - LENGTH`` inserted letters around.
 
 A null text is an empty one and has a score. Rows are scored one by one: repeated rows and
 null ids come out as they went in. Without texts of both labels every score is 0.25. Whole
@@ -21,6 +30,7 @@ texts are read; words of any length are.
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,17 +46,22 @@ from paylake.llm.common import keyed_text, mix, slices
 LENGTH, SPAN, DECAY = 3, 8, 0.8
 LANDMARKS, CONTRAST, COVER = 64, 16, 3
 GRAMS = (4, 5, 6)
-# Kernels below the floor say nothing and count as 0; from STRONG on a word is as good as hit.
-# A power of a kernel is a kernel, and keeps words that are only somewhat alike apart.
-FLOOR, STRONG, POWER = 0.4, 0.9, 3
+# Kernels below the floor count as 0: sharpened, they would add less than a thousandth.
+# A power of a kernel is a kernel, and keeps words that are only somewhat alike apart; the
+# document's kernel sums a power of that power.
+FLOOR, POWER, SHARP = 0.4, 3, 3
 MARK = "\x02"  # stands before each word, so that strings and subsequences can begin there
 # Learning texts: at most so many rows, of at most so many characters each.
 SAMPLE_ROWS, SAMPLE_CHARS = 4_000, 20_000
-INSERTED = 1_000  # learning texts that are learned a second time with characters inserted
+HIDDEN = 2_400  # learning texts that are learned a second time with their words hidden
+FEWEST = 0.005  # share of the toxic texts that a further string must cover
 SHARED = 2.0  # weight of what all telling landmarks share over what each has of its own
 PURITY = 5  # toxic texts a string must cover for each clean one, both as shares
 SLICE = 250  # texts that are scored at a time
+LONG, WINDOW = 24, 12  # letters of a word from which on it is read in windows, of this size
 _BINS = 1 << 22
+_SIGNS = re.compile(r"[^\w\s\x02]|_")
+_BREAKS = re.compile(r"\s\s+|[^\S ]")
 _GAPS = [
     gaps
     for gaps in itertools.product(range(1, SPAN), repeat=LENGTH - 1)
@@ -54,19 +69,43 @@ _GAPS = [
 ]
 
 
+def _blocks(letters: str) -> list[str]:
+    """The letters behind a mark; long ones as overlapping windows, so that kernels stay local.
+
+    An empty string between two windows says that they are no neighbours.
+    """
+    if len(letters) <= LONG:
+        return [MARK + letters]
+    out = [MARK + letters[:WINDOW]]
+    for i in range(WINDOW // 2, len(letters) - WINDOW // 2, WINDOW // 2):
+        out += ["", letters[i : i + WINDOW]]
+    return out
+
+
 def words_of(text: str) -> list[str]:
-    """Words in lower case, each behind a mark; runs of single characters are joined."""
-    words = text.lower().split()
+    """Words in lower case, each behind a mark, without the signs in and around them.
+
+    Single letters a blank apart are one word from ``LENGTH`` of them on. An empty string
+    stands where words are more than one blank apart.
+    """
+    words = _SIGNS.sub("", _BREAKS.sub(f" {MARK} ", text.lower())).split()
     sizes = list(map(len, words))
-    if sizes.count(1) >= LENGTH and any(
+    spaced = sizes.count(1) >= LENGTH and any(
         a == b == c == 1 for a, b, c in zip(sizes, sizes[1:], sizes[2:], strict=False)
-    ):
-        joined = []
-        for single, run in itertools.groupby(words, lambda w: len(w) == 1):
-            run = list(run)
-            joined += ["".join(run)] if single and len(run) >= LENGTH else run
-        words = joined
-    return [MARK + w for w in words]
+    )
+    if not spaced and max(sizes, default=0) <= LONG:
+        return [MARK + w if w != MARK else "" for w in words]
+    out: list[str] = []
+    run: list[str] = []
+    for word in [*words, MARK]:
+        if len(word) == 1 and word != MARK:
+            run.append(word)
+            continue
+        if run:
+            out += _blocks("".join(run)) if len(run) >= LENGTH else [MARK + c for c in run]
+            run = []
+        out += _blocks(word) if word != MARK else [""]
+    return out
 
 
 class Alphabet:
@@ -110,6 +149,7 @@ class Kernel:
     telling: int  # the first of the landmarks, which tell toxic texts
     alphabet: Alphabet = field(init=False)
     known: np.ndarray = field(init=False)
+    closed: np.ndarray = field(init=False)  # strings of three that stand in a landmark
     weights: np.ndarray = field(init=False)
     most: np.ndarray = field(init=False)
 
@@ -129,6 +169,12 @@ class Kernel:
             weights[row[c], i] = weight
         self.weights = (weights / np.maximum((weights**2).sum(axis=0), 1e-9)).astype(np.float32)
         self.most = self.weights.max(axis=1, initial=0)
+        self.closed = np.zeros(size**LENGTH, bool)
+        for landmark in self.landmarks:
+            codes = self.alphabet.codes(landmark)
+            for at in range(len(codes) - LENGTH + 1):
+                first, second, third = codes[at : at + LENGTH]
+                self.closed[(first * size + second) * size + third] = True
         self.known = np.full(size**LENGTH, -1, np.int32)
         self.known[distinct] = np.arange(len(distinct))
 
@@ -173,37 +219,66 @@ class Kernel:
         out[out < FLOOR] = 0
         return where[starts], out**POWER
 
+    def joined(self, distinct: list[str], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Which neighbouring words may be one that a blank cuts: strings over the blank are some
+        landmark's own.
+        """
+        size = self.alphabet.size
+        bare = [w.removeprefix(MARK) for w in distinct]
+        ends = self.alphabet.codes("".join([("  " + w)[-2:] for w in distinct])).reshape(-1, 2)
+        starts = self.alphabet.codes("".join([(w + "  ")[:2] for w in bare])).reshape(-1, 2)
+        lengths = np.fromiter(map(len, bare), np.int64, len(bare))
+        a, b = ends[left], starts[right]
+        before = self.closed[(a[:, 0] * size + a[:, 1]) * size + b[:, 0]]
+        behind = self.closed[(a[:, 1] * size + b[:, 0]) * size + b[:, 1]]
+        some = (lengths[left] > 0) & (lengths[right] > 0)
+        return some & (before | (lengths[left] == 1)) & (behind | (lengths[right] == 1))
+
     def rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """For each text its most similar word's kernel with each landmark, and the logarithm of
-        its number of strong words for each telling one.
+        """For each text its most similar word's kernel with each landmark, and the sum of all
+        its words' kernels, sharpened, with each telling one.
         """
         lists = [words_of(t) for t in texts]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         best = np.zeros((len(texts), len(self.landmarks)), np.float32)
-        strong = np.zeros((len(texts), self.telling), np.float32)
+        whole = np.zeros((len(texts), self.telling), np.float32)
         if not counts.sum():
-            return best, strong
+            return best, whole
         flat = np.empty(int(counts.sum()), object)
         flat[:] = list(itertools.chain.from_iterable(lists))
         code, distinct = pd.factorize(flat)
-        some, kernels = self.similar(list(distinct))
+        distinct = list(distinct)
+        owner = np.repeat(np.arange(len(texts)), counts)
+        cut = np.flatnonzero(owner[1:] == owner[:-1])
+        cut = cut[self.joined(distinct, code[cut], code[cut + 1])]
+        extra = [
+            distinct[i][-WINDOW:] + distinct[j].removeprefix(MARK)[:WINDOW]
+            for i, j in zip(code[cut].tolist(), code[cut + 1].tolist(), strict=True)
+        ]
+        if extra:
+            more, pairs = pd.factorize(np.array(extra, object))
+            owner = np.concatenate([owner, owner[cut]])
+            code = np.concatenate([code, more + len(distinct)])
+            distinct += list(pairs)
+        some, kernels = self.similar(distinct)
         # Only words near some landmark can raise a text above zero.
         place = np.full(len(distinct), -1, np.int64)
         place[some] = np.arange(len(some))
-        owner, at = np.repeat(np.arange(len(texts)), counts), place[code]
+        at = place[code]
         pair = np.sort(owner[at >= 0] * len(distinct) + at[at >= 0])
         first = np.flatnonzero(np.diff(pair, prepend=-1))
         times = np.diff(np.append(first, len(pair))).astype(np.float32)
         owner, at = pair[first] // len(distinct), pair[first] % len(distinct)
+        sharp = kernels[:, : self.telling] ** SHARP
         step = 50_000
         for i in range(0, len(owner), step):
             own, k = owner[i : i + step], kernels[at[i : i + step]]
             starts = np.flatnonzero(np.diff(own, prepend=-1))
             ids = own[starts]
             best[ids] = np.maximum(best[ids], np.maximum.reduceat(k, starts, axis=0))
-            full = (k[:, : self.telling] >= STRONG) * times[i : i + step, None]
-            strong[ids] += np.add.reduceat(full, starts, axis=0)
-        return best, np.log1p(strong)
+            full = sharp[at[i : i + step]] * times[i : i + step, None]
+            whole[ids] += np.add.reduceat(full, starts, axis=0)
+        return best, np.log1p(whole)
 
 
 def _grams(text: str, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -252,7 +327,7 @@ def choose_landmarks(texts: list[str], y: np.ndarray) -> tuple[list[str], int]:
         weight[taken] = 0
         # Among equals the more telling one.
         best = int(np.argmax(weight + np.minimum(ratio, 1e6) / 1e7))
-        if weight[best] < max(1, 0.002 * toxic):
+        if weight[best] < max(1, FEWEST * toxic):
             break
         chosen.append(best)
         taken[best] = True
@@ -331,23 +406,29 @@ class Model:
         return (1 / (1 + np.exp(-(self.slope * margin + self.shift).clip(-30, 30)))).round(9)
 
 
-def _inserted(text: str, random: np.random.Generator) -> str:
-    """The text with a character put into each longer word."""
+def _hidden(text: str, way: int, random: np.random.Generator) -> str:
+    """The text with its longer words hidden: a sign or letter put in, dots between letters, a
+    blank within, or blanks between letters.
+    """
     words = text.split()
     for i, word in enumerate(words):
-        if len(word) > 3:
-            at = int(random.integers(1, len(word) - 1))
-            words[i] = word[:at] + ".-_*x"[int(random.integers(5))] + word[at:]
+        at = int(random.integers(1, max(len(word) - 1, 2)))
+        if way == 0 and len(word) > 3:
+            words[i] = word[:at] + ".-_*xaeu"[int(random.integers(8))] + word[at:]
+        elif way == 1 and len(word) > 3:
+            words[i] = word[:at] + " " + word[at:]
+        elif way == 2:
+            words[i] = " ".join(word)
     return " ".join(words)
 
 
 def _row(kernel: Kernel, root: np.ndarray, texts: list[str]) -> np.ndarray:
     """Coordinates, strong words by landmark, and what holds for all telling landmarks."""
-    best, strong = kernel.rows(texts)
-    total = np.log1p(np.expm1(strong).sum(axis=1, keepdims=True))
+    best, whole = kernel.rows(texts)
+    total = np.log1p(np.expm1(whole).sum(axis=1, keepdims=True))
     most = np.sort(best[:, : kernel.telling], axis=1)[:, ::-1][:, :2]
     most = np.pad(most, ((0, 0), (0, 2 - most.shape[1])))
-    return np.hstack([best @ root, strong, SHARED * total, SHARED * most])
+    return np.hstack([best @ root, whole, SHARED * total, SHARED * most])
 
 
 def fit(texts: list[str], y: np.ndarray) -> Model | None:
@@ -364,8 +445,8 @@ def fit(texts: list[str], y: np.ndarray) -> Model | None:
     values, vectors = np.linalg.eigh(gram)
     root = (vectors / np.sqrt(values.clip(0.05))) @ vectors.T
     random = np.random.default_rng(11)
-    again = random.permutation(len(texts))[:INSERTED]
-    texts = [*texts, *(_inserted(texts[i], random) for i in again)]
+    again = random.permutation(len(texts))[:HIDDEN]
+    texts = [*texts, *(_hidden(texts[i], j % 3, random) for j, i in enumerate(again))]
     y = np.concatenate([y, y[again]])
     x = np.vstack([_row(kernel, root, texts[i : i + 200]) for i in range(0, len(texts), 200)])
     weights, offset = train_machine(x, y)

@@ -101,6 +101,130 @@ def test_gapped_insults_are_found():
     assert (model.score(["the river runs past", "", "green fields and houses"]) < 0.5).all()
 
 
+def words_by_definition(text):
+    """Words and cut words, from the rules of the module's docstring, one character at a time."""
+    spoken = "".join(c for c in text.lower() if c.isalnum() or c.isspace())
+    groups, gap, word = [[]], "", ""
+    for c in spoken + " ":
+        if c.isspace():
+            gap += c
+            if word:
+                groups[-1].append(word)
+                word = ""
+        else:
+            if gap not in ("", " "):
+                groups.append([])
+            gap, word = "", word + c
+    out = []
+    for group in groups:
+        merged = []
+        for single, run in itertools.groupby(group, lambda w: len(w) == 1):
+            run = list(run)
+            merged += ["".join(run)] if single and len(run) >= toxicity.LENGTH else run
+        out.append([])
+        for word in merged:
+            if len(word) <= toxicity.LONG:
+                out[-1].append(toxicity.MARK + word)
+                continue
+            half = toxicity.WINDOW // 2
+            out[-1].append(toxicity.MARK + word[: 2 * half])
+            out += [[word[i : i + 2 * half]] for i in range(half, len(word) - half, half)]
+    return out
+
+
+def score_by_definition(model, text):
+    kernel, marks = model.kernel, model.landmarks
+    closed = {m[i : i + 3] for m in marks for i in range(len(m) - 2)}
+    words = []
+    for group in words_by_definition(text):
+        words += group
+        for a, b in itertools.pairwise(group):
+            tail, head = a[-2:], b[1:3]
+            over = [tail + head[0]] if len(a.removeprefix(toxicity.MARK)) > 1 else []
+            over += [tail[-1] + head] if len(head) == 2 else []
+            if all(t in closed for t in over):
+                words.append(a[-toxicity.WINDOW :] + b[1 : 1 + toxicity.WINDOW])
+    best, whole = np.zeros(len(marks)), np.zeros(kernel.telling)
+    for word in words:
+        for j, mark in enumerate(marks):
+            k = min(kernel_by_definition(word, mark) / kernel_by_definition(mark, mark), 1)
+            k = k**toxicity.POWER if k >= toxicity.FLOOR else 0.0
+            best[j] = max(best[j], k)
+            if j < kernel.telling:
+                whole[j] += k**toxicity.SHARP
+    top = np.sort(best[: kernel.telling])[::-1][:2]
+    top = np.pad(top, (0, 2 - len(top)))
+    row = np.concatenate(
+        [best @ model.root, np.log1p(whole), toxicity.SHARED * np.append(np.log1p(whole.sum()), top)]
+    )
+    margin = row @ model.weights + model.offset
+    return 1 / (1 + np.exp(-(model.slope * margin + model.shift)))
+
+
+def test_score_is_that_of_the_definition():
+    insults, plain = ["idiot", "moron", "stupid"], ["the", "river", "runs", "a", "old", "houses"]
+    rng = random.Random(8)
+
+    def text(y):
+        words = rng.choices(plain, k=20)
+        return " ".join([*words[:10], rng.choice(insults) if y else "and", *words[10:]])
+
+    y = np.array([i % 2 for i in range(200)])
+    model = toxicity.fit([text(t) for t in y], y)
+    texts = ["", " ", "an id iot runs", "i.d.i.o.t", "s tupid", "stupi d", "mo\nron", "mor  on",
+             "i d i o t", "i d  i o t a b", "the, old - mo-ron.", "idxiot id iot id iot", "a b",
+             "É_ß id_iot"]
+    texts += [toxicity._hidden(text(i % 2), i % 3, np.random.default_rng(i)) for i in range(12)]
+    texts = [" ".join(t.split(" ")[:30]) for t in texts]
+    got = model.score(texts)
+    assert got == pytest.approx([score_by_definition(model, t) for t in texts], abs=1e-4)
+
+
+def _hiding(random_):
+    def longer(change):
+        return lambda text: " ".join(change(w) if len(w) > 3 else w for w in text.split())
+
+    def put(word, signs):
+        at = random_.randrange(1, len(word))
+        return word[:at] + signs[random_.randrange(len(signs))] + word[at:]
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return {
+        "as it is": (str, 0.82),
+        "dots": (longer(".".join), 0.82),
+        "a blank": (longer(lambda w: put(w, " ")), 0.78),
+        "a sign": (longer(lambda w: put(w, ".-_*")), 0.78),
+        "a letter": (longer(lambda w: put(w, letters)), 0.68),
+        "spaced out": (lambda t: "   ".join(" ".join(w) for w in t.split()), 0.8),
+        "spaced out, words run on": (lambda t: " ".join(" ".join(w) for w in t.split()), 0.5),
+    }
+
+
+def test_hidden_insults_on_held_out_rows(spark):
+    """Least recall over all toxic rows, nearly half of which hold no insult at all."""
+    docs, labels = (
+        spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels")
+    )
+    model = toxicity.learn(docs, labels)
+    rows = [r for r in docs.join(labels, "doc_id").collect() if held(r.doc_id)]
+    toxic = np.array([r.toxic == 1 for r in rows])
+    for way, (hide, least) in _hiding(random.Random(6)).items():
+        texts = [hide(r.text or "") for r in rows]
+        said = model.score(texts) >= 0.5
+        assert said[toxic].mean() >= least, way
+        assert said[~toxic].mean() <= 0.03, way
+
+
+def test_very_long_and_run_on_texts():
+    rng = random.Random(2)
+    y = np.array([i % 2 for i in range(60)])
+    model = toxicity.fit([("an idiot " if t else "the river ") + str(i) for i, t in enumerate(y)], y)
+    long = "".join(rng.choices("abcdefgh", k=200_000))
+    texts = [long, " ".join(long), long + "idiot" + long, ". " * 50_000, "\x02 \x02idiot \x02\x02"]
+    assert ((0 <= model.score(texts)) & (model.score(texts) <= 1)).all()
+    assert model.score(texts[:1])[0] < 0.5 <= model.score(["you idiot"])[0]
+
+
 def test_ranking_needs_both_labels():
     x = np.zeros((4, quality.N_FEATURES))
     assert quality.fit(x, np.ones(4, int)) is None
