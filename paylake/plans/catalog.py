@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylake.functions.scalars import safe_cast_numeric, safe_parse_date
-from paylake.operators import quality, quarantine, reports
+from paylake.operators import quality, quarantine, reports, uniqueness
 from paylake.operators.gold import to_gold
 from paylake.operators.silver import project_silver, require_key, to_silver
 from paylake.operators.summary import Reports, Where
@@ -474,6 +474,22 @@ def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem")
 
 
+def _double_orders(df: DataFrame) -> DataFrame:
+    return uniqueness.duplicate_keys(df, "l_orderkey")
+
+
+def key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Double keys of silver, which has none, and of silver with some days delivered twice."""
+    silver = _silver(spark, sf_dir)
+    twice = silver.unionByName(silver.filter(F.col("payment_date_str").endswith("1995")))
+    named = {"silver": silver, "delivered_twice": twice}
+    parts = [
+        uniqueness.key_uniqueness(df).select(F.lit(name).alias("rows_of"), "*")
+        for name, df in named.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def _lineitem_months(df: DataFrame) -> DataFrame:
     return reports.monthly_total(
         df, F.to_date("l_shipdate"), safe_cast_numeric(F.col("l_extendedprice"))
@@ -567,6 +583,8 @@ def queries() -> dict[str, Query]:
         "preview_rows": _on(_gold, _preview),
         "dq_metrics": _on(payments, quality.silver_quality),
         "dq_metrics_gold": _on(_gold, quality.gold_quality),
+        "duplicate_keys": _on(_lineitem, _double_orders),
+        "key_uniqueness": key_uniqueness,
     }
 
 

@@ -17,6 +17,7 @@ _GOLD_OPTIONS = (
     "gold_path",
     "copy_staging",
     "max_bad_share",
+    "unique_key",
     "keep_versions",
     "summary",
     "summary_path",
@@ -39,6 +40,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--gold_path", help="with gold: folder of the table's files")
     parser.add_argument("--copy_staging", action="store_true", help="with gold: copy silver")
     parser.add_argument("--max_bad_share", type=float, help="with gold: limit of bad rows")
+    parser.add_argument("--unique_key", action="store_true", help="with gold: refuse double keys")
     parser.add_argument("--keep_versions", type=int, help="with gold: earlier versions that stay")
     parser.add_argument("--all_years", help="with gold and year: name that shows all years")
     parser.add_argument("--lookup", nargs="+", help="with gold: columns looked up by value")

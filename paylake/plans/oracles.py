@@ -225,6 +225,19 @@ def oracle_sql() -> dict[str, str]:
                      count(*) FILTER (WHERE {_DATE} IS NULL) AS bad_date,
                      count(*) FILTER (WHERE {_AMOUNT} IS NULL) AS bad_amount
               FROM p0""",
+        "duplicate_keys": """SELECT l_orderkey, count(*) AS row_count FROM lineitem
+              WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey HAVING count(*) > 1""",
+        "key_uniqueness": _LAYERS
+        + """, twice AS (
+                SELECT 'silver' AS rows_of, Record_ID FROM silver
+                UNION ALL SELECT 'delivered_twice', Record_ID FROM silver
+                UNION ALL SELECT 'delivered_twice', Record_ID FROM silver
+                  WHERE payment_date_str LIKE '%1995'),
+              by_key AS (SELECT rows_of, Record_ID, count(*) AS n FROM twice GROUP BY ALL)
+              SELECT rows_of, count(*) FILTER (WHERE n > 1) AS double_keys,
+                     CAST(sum(n - 1) AS BIGINT) AS surplus_rows,
+                     coalesce(max(n) FILTER (WHERE n > 1), 0) AS most_rows
+              FROM by_key GROUP BY rows_of""",
         "dq_metrics_gold": _LAYERS
         + """SELECT count(*) AS row_count,
                     count(*) FILTER (WHERE Record_ID IS NULL) AS missing_key,

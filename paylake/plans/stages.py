@@ -23,6 +23,7 @@ from paylake.operators.quality import (
 )
 from paylake.operators.silver import project_silver, require_key
 from paylake.operators.summary import DIMENSIONS, Reports, summarize
+from paylake.operators.uniqueness import require_unique
 from paylake.plans.manifest import Manifest, is_complete, signature
 from paylake.plans.runlog import Stage, recorded
 from paylake.schema import CLUSTER_COLUMNS, GOLD_COLUMNS, PARTITION_COLUMN, raw_schema
@@ -72,6 +73,8 @@ class JobConfig:
     manifest: str | None = None
     # Largest share of rows with a bad date or amount; None sets no limit.
     max_bad_share: float | None = None
+    # Whether a record key on several rows of silver stops the run before gold is replaced.
+    unique_key: bool = False
 
     @classmethod
     def for_year(cls, base: str, year: int, **settings) -> JobConfig:
@@ -253,6 +256,8 @@ def run_stages(spark: SparkSession, cfg: JobConfig) -> RunCounts:
             if cfg.max_bad_share is not None:
                 bad = {name: metrics[name] for name in ("bad_date", "bad_amount")}
                 require_quality({"row_count": metrics["silver"], **bad}, cfg.max_bad_share)
+            if cfg.unique_key:
+                require_unique(read_parquet(spark, cfg.silver_path))
         with run.stage("staging"):
             load_staging(spark, cfg.silver_path, cfg.staging_table, copy=cfg.copy_staging)
         with run.stage("gold") as stage:
