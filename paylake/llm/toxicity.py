@@ -58,6 +58,7 @@ FEWEST = 0.005  # share of the toxic texts that a further string must cover
 SHARED = 2.0  # weight of what all telling landmarks share over what each has of its own
 PURITY = 5  # toxic texts a string must cover for each clean one, both as shares
 SLICE = 250  # texts that are scored at a time
+BLOCK = 4_096  # distinct words whose subsequences are held at a time
 LONG, WINDOW = 24, 12  # letters of a word from which on it is read in windows, of this size
 _BINS = 1 << 22
 _SIGNS = re.compile(r"[^\w\s\x02]|_")
@@ -179,7 +180,17 @@ class Kernel:
         self.known[distinct] = np.arange(len(distinct))
 
     def similar(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Words that come near any landmark, and their kernels with each."""
+        """Words that come near any landmark, and their kernels with each.
+
+        So many words at a time that their subsequences stay within a bound.
+        """
+        parts = [self._similar(words[i : i + BLOCK]) for i in range(0, len(words), BLOCK)]
+        if not parts:
+            return self._similar([])
+        places = [some + n * BLOCK for n, (some, _) in enumerate(parts)]
+        return np.concatenate(places), np.concatenate([kernels for _, kernels in parts])
+
+    def _similar(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         if not lengths.sum():
             return np.empty(0, np.int64), np.empty((0, len(self.landmarks)), np.float32)
@@ -241,7 +252,7 @@ class Kernel:
         lists = [words_of(t) for t in texts]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         best = np.zeros((len(texts), len(self.landmarks)), np.float32)
-        whole = np.zeros((len(texts), self.telling), np.float32)
+        whole = np.zeros((len(texts), self.telling))
         if not counts.sum():
             return best, whole
         flat = np.empty(int(counts.sum()), object)
@@ -270,13 +281,14 @@ class Kernel:
         times = np.diff(np.append(first, len(pair))).astype(np.float32)
         owner, at = pair[first] // len(distinct), pair[first] % len(distinct)
         sharp = kernels[:, : self.telling] ** SHARP
-        step = 50_000
+        step = 10_000
         for i in range(0, len(owner), step):
             own, k = owner[i : i + step], kernels[at[i : i + step]]
             starts = np.flatnonzero(np.diff(own, prepend=-1))
             ids = own[starts]
             best[ids] = np.maximum(best[ids], np.maximum.reduceat(k, starts, axis=0))
-            full = sharp[at[i : i + step]] * times[i : i + step, None]
+            # In double precision, so that sums do not depend on what a text is scored with.
+            full = sharp[at[i : i + step]] * times[i : i + step, None].astype(np.float64)
             whole[ids] += np.add.reduceat(full, starts, axis=0)
         return best, np.log1p(whole)
 
