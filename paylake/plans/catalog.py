@@ -82,9 +82,7 @@ def _raw_csv(spark: SparkSession, sf_dir: str) -> str:
         spark,
         sf_dir,
         "raw_csv",
-        lambda place: write_csv(
-            raw_payments(spark, sf_dir), place, split_by="Covered_Recipient_Profile_ID"
-        ),
+        lambda place: write_csv(raw_payments(spark, sf_dir), place, deal=True),
     )
 
 
@@ -93,7 +91,7 @@ def _documents_csv(spark: SparkSession, sf_dir: str) -> str:
         spark,
         sf_dir,
         "documents_csv",
-        lambda place: write_csv(table(spark, sf_dir, "documents"), place, split_by="doc_id"),
+        lambda place: write_csv(table(spark, sf_dir, "documents"), place, deal=True),
     )
 
 
@@ -150,7 +148,7 @@ def csv_line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         sf_dir,
         "orders_csv",
-        lambda place: write_csv(orders, place, split_by="o_orderkey"),
+        lambda place: write_csv(orders, place, deal=True),
     )
     return read_records(spark, path, orders.schema, multi_line=False)
 
@@ -199,7 +197,7 @@ def silver_from_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
         first = raw.filter(of == 0).select(*[F.col(c).alias(_RENAMED.get(c, c)) for c in old])
         second = raw.filter(of == 1).select(*reversed(raw.columns), F.lit("new").alias("Added_Column"))
         for n, part in enumerate((first, second, raw.filter(of == 2))):
-            write_csv(part, f"{place}/raw/{n}")
+            write_csv(part, f"{place}/raw/{n}", deal=True)
         said = {"version": "1", "columns": first.columns, "renames": {v: k for k, v in _RENAMED.items()}}
         text = spark.createDataFrame([(json.dumps(said),)], "value string").coalesce(1)
         text.write.mode("overwrite").text(f"{place}/layouts")

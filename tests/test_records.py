@@ -5,6 +5,7 @@ import datetime as dt
 import math
 from collections import Counter
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from paylake.operators.gold import to_gold
 from paylake.operators.reports import count_by, monthly_total
 from paylake.operators.silver import to_silver
+from paylake.plans import bindings, catalog
 from paylake.schema import GOLD_COLUMNS, RAW_COLUMNS, SILVER_FROM_RAW, raw_schema
 from paylake.sources.records import RecordsCrossLines, read_records
 
@@ -182,6 +184,29 @@ def test_single_lines_are_split_into_blocks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.mark.parametrize("key", ["id", "7", "null"])
+def test_more_rows_make_more_files_not_larger_ones(spark, tmp_path, monkeypatch, key):
+    """A file with line breaks in fields is one task; keys may be all alike or missing."""
+    monkeypatch.setattr(bindings, "FILE_BYTES", 100_000, raising=False)
+    for n in (2_000, 8_000):
+        orders = spark.range(n).selectExpr(
+            f"cast({key} as long) o_orderkey",
+            "1L o_custkey",
+            "'F' o_orderstatus",
+            "1.5d o_totalprice",
+            "timestamp '1996-01-02' o_orderdate",
+            "'5-LOW' o_orderpriority",
+        )
+        orders.write.parquet(str(tmp_path / f"{n}" / "orders.parquet"))
+        folder = Path(catalog._raw_csv(spark, str(tmp_path / f"{n}")))
+        sizes = [f.stat().st_size for f in folder.glob("*.csv")]
+        assert max(sizes) < 200_000 and len(sizes) >= n // 500
+        raw = read_records(spark, str(folder), raw_schema())
+        got = raw.groupBy("Covered_Recipient_Profile_ID", "Contextual_Information").count().collect()
+        assert sum(r["count"] for r in got) == n and len(got) == (n if key == "id" else 1)
+        assert {r.Contextual_Information for r in got} == {bindings.CONTEXT}
+
+
 def test_column_pruning_and_key_filter_reach_the_csv_scan(spark, edge_dir):
     plan = to_silver(read_records(spark, edge_dir, raw_schema()))._jdf.queryExecution().toString()
     scan = next(line for line in plan.splitlines() if "FileScan csv" in line)
