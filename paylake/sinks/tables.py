@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Size of a table's files, before compression of what the input's columns leave out.
 TARGET_BYTES = 256 << 20
+# Rows of a task that sorts them, where files are much smaller than what they hold.
+TARGET_ROWS = 1 << 20
 
 
 def replace_parquet(df: DataFrame, path: str) -> None:
@@ -41,9 +43,11 @@ def cluster_rows(
     written to the driver, and the sampling pass of the range shuffle.
     """
     spark = df.sparkSession
-    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(input_bytes(df) / target_bytes))
     counts = df.groupBy(partition_by).agg(F.count(F.lit(1)).alias("n")).collect()
-    share = sum(r["n"] for r in counts) / tasks
+    rows = sum(r["n"] for r in counts)
+    wanted = max(math.ceil(input_bytes(df) / target_bytes), math.ceil(rows / TARGET_ROWS))
+    tasks = max(spark.sparkContext.defaultParallelism, wanted)
+    share = rows / tasks
     hot = [r[0] for r in counts if r["n"] > share and r[0] is not None]
     keys: list[Column] = [F.col(partition_by)]
     if hot:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paylake.operators.reports import count_by, in_range, where_equals
+from paylake.sinks import tables
 from paylake.sinks.tables import cluster_rows, register_parquet, replace_parquet, replace_table
 
 DAY = dt.date(2023, 1, 1)
@@ -41,6 +42,15 @@ def stored(spark, tmp_path_factory):
     return table, Path(path)
 
 
+def test_rows_of_small_files_are_sorted_by_many_tasks(spark, monkeypatch):
+    """Files may be far smaller than their rows: the bytes alone would ask for a task per core."""
+    monkeypatch.setattr(tables, "TARGET_ROWS", 1_000, raising=False)
+    rows = day_rows(spark, 20_000)
+    out = cluster_rows(rows, "payment_date", ("recipient_state", "payment_nature"))
+    sizes = [n for n in out.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect() if n]
+    assert len(sizes) > 15 and max(sizes) < 2_000 and sum(sizes) == 20_000
+
+
 def test_one_folder_per_day(stored):
     _, path = stored
     assert len(list(path.glob("version-*/payment_date=*"))) == 31
