@@ -36,7 +36,9 @@ from paylake.llm.common import keyed_text, slices, stored
 from paylake.session import scratch_dir
 
 BLOCK_TOKENS = 1 << 19
-CACHE_WORDS = 450_000
+# Words remembered, half of them from the generation before; and their letters without marks.
+CACHE_WORDS = 1_000_000
+CACHE_STEMS = 450_000
 END_ID = 1
 
 # For each control byte: the lengths of its four values, their sum, and for each of the 16
@@ -150,7 +152,7 @@ class WordTokenizer:
         letters = letters.lower()
         stem = self.stems.get(letters)
         if stem is None:
-            if len(self.stems) >= CACHE_WORDS:
+            if len(self.stems) >= CACHE_STEMS:
                 self.stems.clear()
             stem = self.stems[letters] = self._stem(letters)
         if marks:

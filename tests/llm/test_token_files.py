@@ -1,4 +1,5 @@
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -62,3 +63,14 @@ def test_words_of_a_text_give_the_texts_ids():
     got = own.encode(texts)
     for text, ids in zip(texts, got, strict=True):
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_of_a_large_vocabulary_are_encoded_once():
+    tokenizer = token_files.WordTokenizer(Path(token_files.public_tokenizer()).read_bytes())
+    encoded = []
+    tokenizer._word = lambda word: encoded.append(word) or b"\0\0"
+    tokenizer.known = token_files.Remembered(tokenizer._word)
+    texts = [" ".join(f"w{i}" for i in range(at, at + 1_000)) for at in range(0, 480_000, 1_000)]
+    for _ in range(2):
+        assert [len(ids) for ids in tokenizer.encode(texts)] == [1_000] * 480
+    assert len(encoded) == 480_000
