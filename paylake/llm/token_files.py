@@ -37,7 +37,7 @@ from paylake.session import scratch_dir
 
 BLOCK_TOKENS = 1 << 19
 # Words remembered, half of them from the generation before; and their letters without marks.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 1_500_000
 CACHE_STEMS = 450_000
 END_ID = 1
 
@@ -58,17 +58,9 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     lengths = 1 + (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
     two_bits = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     two_bits[: len(values)] = lengths - 1
-    quads = two_bits.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)
-    control = np.bitwise_or.reduce(quads, axis=1).astype(np.uint8)
-    ends = np.cumsum(lengths, dtype=np.int64)
-    at = ends - lengths
-    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
-    for byte in range(int(lengths.max(initial=0))):
-        if byte:
-            longer = lengths > byte
-            values, at, lengths = values[longer], at[longer], lengths[longer]
-        data[at + byte] = values >> np.uint32(8 * byte) & np.uint32(0xFF)
-    return control.tobytes(), data.tobytes()
+    control = two_bits[::4] | two_bits[1::4] << 2 | two_bits[2::4] << 4 | two_bits[3::4] << 6
+    there = np.arange(4, dtype=np.uint8) < lengths[:, None]
+    return control.tobytes(), values.view(np.uint8).reshape(-1, 4)[there].tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
