@@ -28,17 +28,21 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm.common import keyed_text, slices, stored
+from paylake.llm.common import groups, keyed_text, slices, stored
 from paylake.session import scratch_dir
 
 BLOCK_TOKENS = 1 << 19
-# Words remembered, half of them from the generation before; and their letters without marks.
-CACHE_WORDS = 1_500_000
-CACHE_STEMS = 450_000
+# Bytes of text whose words are looked up at a time; a longer text is alone.
+WORK_BYTES = 8 << 20
+# Words remembered, those kept when they are more, and bytes of a word that is remembered.
+CACHE_WORDS = 600_000
+CACHE_KEPT = 500_000
+CACHE_WORD_BYTES = 64
 END_ID = 1
 
 # For each control byte: the lengths of its four values, their sum, and for each of the 16
@@ -76,33 +80,56 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 # Words of these Latin letters (all of them in composed form, each with one lower-case letter)
 # and closing marks are cut into just these two pieces, whatever the text around them.
-_SIMPLE = re.compile(
-    "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+)([.,!?;:#$%&*|]*)"
+_LETTERS = re.compile(
+    "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+"
 )
+_MARKS = ".,!?;:#$%&*|"
 # Byte-level models write a byte as itself where that is a visible Latin-1 character, and the
 # others in order from U+0100 on.
 _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(sorted(set(range(256)) - set(_VISIBLE)))}
 
 
-class Remembered(dict):
-    """Words and their ids; a new word is looked up in the generation before, or encoded.
+class Remembered:
+    """Words and their ids in Arrow arrays: a few dozen bytes a word, where Python takes 200.
 
-    Words that are not met again go with their generation, so two of these bound the memory.
+    Words not met for longest go first, and long words are not kept, which bounds the memory.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], before: Remembered | None = None):
-        super().__init__()
-        self.encode, self.before = encode, before
-        if before is not None:
-            before.before = None
+    def __init__(self, encode: Callable[[str], bytes]):
+        self.encode = encode
+        self.words = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_binary())
+        self.met, self.now = np.zeros(0, np.int32), 0
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def ids_of(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words, in bytes; those not remembered are encoded."""
+        self.now += 1
+        found = pc.index_in(self.words, value_set=words)
+        known = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+        at = np.full(len(words), -1, np.int64)
+        at[found.drop_null().to_numpy()] = known
+        new = np.flatnonzero(at < 0)
+        at[new] = len(self.words) + np.arange(len(new))
+        new_words = words.take(pa.array(new))
+        new_ids = pa.array([self.encode(w) for w in new_words.to_pylist()], pa.large_binary())
+        out = pa.concat_arrays([self.ids, new_ids]).take(pa.array(at))
+        self.met[known] = self.now
+        short = pc.less_equal(pc.binary_length(new_words), CACHE_WORD_BYTES)
+        self._keep(new_words.filter(short), new_ids.filter(short))
+        return out
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.before.get(word) if self.before is not None else None
-        if ids is None:
-            ids = self.encode(word)
-        self[word] = ids
-        return ids
+    def _keep(self, words: pa.Array, ids: pa.Array) -> None:
+        self.words = pa.concat_arrays([self.words, words])
+        self.ids = pa.concat_arrays([self.ids, ids])
+        self.met = np.concatenate([self.met, np.full(len(words), self.now, np.int32)])
+        if len(self.words) > CACHE_WORDS:
+            last = np.sort(np.argpartition(self.met, -CACHE_KEPT)[-CACHE_KEPT:])
+            self.words, self.ids = self.words.take(pa.array(last)), self.ids.take(pa.array(last))
+            self.met = self.met[last]
 
 
 class WordTokenizer:
@@ -111,7 +138,7 @@ class WordTokenizer:
     The tokenizer drops white space and never joins what white space parts, so a text's ids
     are those of its words. Of simple words the letters go straight to the library's model,
     in lower case, and other words through all of the library's steps. A bounded number of
-    words is remembered from batch to batch.
+    words is remembered from batch to batch, simple ones as their letters and marks.
     """
 
     def __init__(self, content: bytes):
@@ -122,7 +149,6 @@ class WordTokenizer:
         self.model = self.tokenizer.model
         self.dtype = id_type(self.tokenizer.get_vocab_size())
         self.known = Remembered(self._word)
-        self.stems: dict[str, bytes] = {}
 
     def _packed(self, ids: list[int]) -> bytes:
         # Most words have a few ids: an array of Python's own is made faster than numpy's.
@@ -137,30 +163,67 @@ class WordTokenizer:
         return self._packed([t.id for t in self.model.tokenize(letters)])
 
     def _word(self, word: str) -> bytes:
-        parts = _SIMPLE.fullmatch(word)
-        if not parts:
-            return self._whole(word)
-        letters, marks = parts.groups()
-        letters = letters.lower()
-        stem = self.stems.get(letters)
-        if stem is None:
-            if len(self.stems) >= CACHE_STEMS:
-                self.stems.clear()
-            stem = self.stems[letters] = self._stem(letters)
-        if marks:
-            if marks not in self.stems:
-                self.stems[marks] = self._whole(marks)
-            return stem + self.stems[marks]
-        return stem
+        return self._stem(word.lower()) if _LETTERS.fullmatch(word) else self._whole(word)
+
+    def _ids_of(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words, in bytes."""
+        stems = pc.utf8_rtrim(words, characters=_MARKS)
+        simple = pc.match_substring_regex(stems, f"^(?:{_LETTERS.pattern})$")
+        firsts = pc.if_else(simple, pc.utf8_lower(stems), words)
+        lengths = pc.binary_length(stems).to_numpy()
+        marked = np.flatnonzero(
+            simple.to_numpy(zero_copy_only=False) & (lengths < pc.binary_length(words).to_numpy())
+        )
+        # Marks are ASCII: what a word ends in after as many bytes as its letters take.
+        ends = pa.array(
+            [
+                word[n:].decode()
+                for word, n in zip(
+                    words.take(pa.array(marked)).cast(pa.large_binary()).to_pylist(),
+                    lengths[marked].tolist(),
+                    strict=True,
+                )
+            ],
+            pa.large_string(),
+        )
+        parts = pa.concat_arrays([firsts, ends]).dictionary_encode()
+        codes = parts.indices.to_numpy()
+        # An empty word has no ids, and so has the second part of a word without marks.
+        two = np.zeros((len(words), 2), np.int64)
+        there = np.zeros((len(words), 2), bool)
+        two[:, 0], there[:, 0] = codes[: len(words)], pc.binary_length(words).to_numpy() > 0
+        two[marked, 1], there[marked, 1] = codes[len(words) :], True
+        ids = self.known.ids_of(parts.dictionary)
+        both = ids.take(pa.array(two.reshape(-1), mask=~there.reshape(-1)))
+        starts, data = _bytes_of(both)
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(words), [None, pa.py_buffer(starts[::2].copy()), data]
+        )
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out = []
-        for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            out.append(np.frombuffer(b"".join(map(self.known.__getitem__, words)), self.dtype))
-            if len(self.known) > CACHE_WORDS // 2:
-                self.known = Remembered(self._word, self.known)
-        return out
+        return list(self.each(pa.array(texts, pa.large_string())))
+
+    def each(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        texts = texts.cast(pa.large_string())
+        for start, end in groups(pc.binary_length(texts).to_pylist(), WORK_BYTES):
+            words = pc.split_pattern(
+                pc.replace_substring(texts.slice(start, end - start), "\n", " "), " "
+            )
+            met = words.flatten().dictionary_encode()
+            starts, data = _bytes_of(self._ids_of(met.dictionary).take(met.indices))
+            offsets = words.offsets.to_numpy()
+            ends = starts[offsets - offsets[0]] // np.dtype(self.dtype).itemsize
+            ids = np.frombuffer(memoryview(data)[: starts[-1]], self.dtype)
+            ends = ends.tolist()
+            yield from (ids[i:j] for i, j in zip(ends, ends[1:], strict=False))
+
+
+def _bytes_of(values: pa.Array) -> tuple[np.ndarray, pa.Buffer]:
+    """Where each of the values starts, and the end of the last; and the bytes of all."""
+    _, offsets, data = values.buffers()
+    starts = np.frombuffer(offsets, np.int64, len(values) + 1, 8 * values.offset)
+    return starts, data if data is not None else pa.py_buffer(b"")
 
 
 def id_type(ids: int) -> str:
@@ -218,8 +281,8 @@ def _encoded(docs: DataFrame, content, end_id: int) -> DataFrame:
             )
 
         n = 0
-        for batch in slices(batches, 500):
-            found = tokenizer.encode(batch["text"].to_pylist())
+        for batch in batches:
+            found = tokenizer.each(batch["text"])
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), found, strict=True):
                 doc_ids.append(doc_id)
                 held.append(np.concatenate([ids, end]))

@@ -1,3 +1,5 @@
+import subprocess
+import sys
 import zlib
 from pathlib import Path
 
@@ -74,3 +76,63 @@ def test_words_of_a_large_vocabulary_are_encoded_once():
     for _ in range(2):
         assert [len(ids) for ids in tokenizer.encode(texts)] == [1_000] * 480
     assert len(encoded) == 480_000
+
+
+def library_ids(texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(token_files.public_tokenizer())
+    return [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_all_letters_and_marks_give_the_librarys_ids():
+    tokenizer = token_files.WordTokenizer(Path(token_files.public_tokenizer()).read_bytes())
+    letters = [chr(c) for c in range(0x21, 0x250)]
+    texts = [
+        "",
+        " ",
+        "\n\n",
+        *[f"{c} a{c} {c}b {c}. a{c}b?! {c}{c}&*| .{c}" for c in letters],
+        "".join(letters),
+        "word... WORD... word!?! ... !! a.b, it's. don't!",
+    ]
+    assert [ids.tolist() for ids in tokenizer.encode(texts)] == library_ids(texts)
+    assert [ids.tolist() for ids in tokenizer.encode(["", " "])] == [[], []]
+    assert tokenizer.encode([]) == []
+
+
+def test_forgotten_and_long_words_give_the_same_ids(monkeypatch):
+    for name, value in {
+        "CACHE_WORDS": 40, "CACHE_KEPT": 20, "CACHE_WORD_BYTES": 8, "WORK_BYTES": 100
+    }.items():
+        monkeypatch.setattr(token_files, name, value)
+    tokenizer = token_files.WordTokenizer(Path(token_files.public_tokenizer()).read_bytes())
+    texts = [f"The w{i} word{chr(97 + i % 26)}, {'long' * (i % 60)}! ÉTÉ {i}." for i in range(300)]
+    for _ in range(2):
+        assert [ids.tolist() for ids in tokenizer.encode(texts)] == library_ids(texts)
+        assert len(tokenizer.known) <= 40
+        assert max(map(len, tokenizer.known.words.to_pylist())) <= 8
+
+
+def test_remembered_words_take_little_memory():
+    code = """
+import psutil, random
+from pathlib import Path
+from paylake.llm import token_files
+
+tokenizer = token_files.WordTokenizer(Path(token_files.public_tokenizer()).read_bytes())
+draw = random.Random(1)
+before = psutil.Process().memory_info().rss
+for _ in range(100):
+    text = " ".join("".join(draw.choices("etaoinsr", k=9)) for _ in range(10_000))
+    tokenizer.encode([text])
+print((psutil.Process().memory_info().rss - before) >> 20)
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", code],
+        capture_output=True,
+        text=True,
+        check=True,
+        cwd=Path(__file__).resolve().parents[2],
+    )
+    assert int(done.stdout) < 100
