@@ -36,12 +36,12 @@ from pyspark.sql import functions as F
 from paylake.llm.common import groups, keyed_text, slices, stored
 from paylake.session import scratch_dir
 
-BLOCK_TOKENS = 1 << 19
+BLOCK_TOKENS = 1 << 17
 # Bytes of text whose words are looked up at a time; a longer text is alone.
-WORK_BYTES = 8 << 20
+WORK_BYTES = 4 << 20
 # Words remembered, those kept when they are more, and bytes of a word that is remembered.
-CACHE_WORDS = 600_000
-CACHE_KEPT = 500_000
+CACHE_WORDS = 500_000
+CACHE_KEPT = 400_000
 CACHE_WORD_BYTES = 64
 END_ID = 1
 
@@ -291,6 +291,8 @@ def _encoded(docs: DataFrame, content, end_id: int) -> DataFrame:
                     yield close()
                     block, before, n = block + 1, before + n, 0
                     doc_ids, held = [], []
+            # A worker lives on, and another one may stand beside it.
+            pa.default_memory_pool().release_unused()
         if held:
             yield close()
 
